@@ -53,3 +53,42 @@ def _dim_query(dim, grain):
 for _dim, _key in _DIM_KEYS.items():
     REGISTRY[f"{_key}_weekly"] = _dim_query(_dim, "week")
     REGISTRY[f"{_key}_monthly"] = _dim_query(_dim, "month")
+
+
+# ---------------------------------------------------------------- kpis ------
+from cierre.operators import kpis as K  # noqa: E402
+
+
+@register("weekly_hub_str")
+def _q_weekly_hub_str(spark, sf):
+    return K.weekly_hub_str(_b(spark, sf), P)
+
+
+@register("bookings_weekly")
+def _q_bookings_weekly(spark, sf):
+    return K.bookings_weekly(_b(spark, sf), P)
+
+
+@register("profile_mix_weekly")
+def _q_profile_mix_weekly(spark, sf):
+    return K.profile_mix_weekly(_b(spark, sf), P)
+
+
+@register("kpi_mtd")
+def _q_kpi_mtd(spark, sf):
+    return K.kpi_period(_b(spark, sf), P, "mtd")
+
+
+@register("kpi_lmtd")
+def _q_kpi_lmtd(spark, sf):
+    return K.kpi_period(_b(spark, sf), P, "lmtd")
+
+
+@register("daily_hub")
+def _q_daily_hub(spark, sf):
+    return K.daily_hub(_b(spark, sf), P)
+
+
+@register("last_month_hub")
+def _q_last_month_hub(spark, sf):
+    return K.last_month_hub(_b(spark, sf), P)

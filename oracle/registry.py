@@ -17,3 +17,13 @@ _DIM_KEYS = {
 for _dim, _key in _DIM_KEYS.items():
     SQL[f"{_key}_weekly"] = OD.report_sql(_dim, "week")
     SQL[f"{_key}_monthly"] = OD.report_sql(_dim, "month")
+
+from oracle import kpis as OK  # noqa: E402
+
+SQL["weekly_hub_str"] = OK.weekly_hub_str_sql()
+SQL["bookings_weekly"] = OK.bookings_weekly_sql()
+SQL["profile_mix_weekly"] = OK.profile_mix_weekly_sql()
+SQL["kpi_mtd"] = OK.kpi_period_sql("mtd")
+SQL["kpi_lmtd"] = OK.kpi_period_sql("lmtd")
+SQL["daily_hub"] = OK.daily_hub_sql()
+SQL["last_month_hub"] = OK.last_month_hub_sql()
