@@ -92,3 +92,56 @@ def _q_daily_hub(spark, sf):
 @register("last_month_hub")
 def _q_last_month_hub(spark, sf):
     return K.last_month_hub(_b(spark, sf), P)
+
+
+# ---------------------------------------------------------------- funnel ----
+from cierre.operators import funnel as FN  # noqa: E402
+
+
+@register("funnel_weekly")
+def _q_funnel_weekly(spark, sf):
+    return FN.funnel_weekly(_b(spark, sf), P)
+
+
+@register("funnel_app_sale_weekly")
+def _q_funnel_app_sale_weekly(spark, sf):
+    return FN.funnel_app_sale_weekly(_b(spark, sf), P)
+
+
+@register("funnel_mtd")
+def _q_funnel_mtd(spark, sf):
+    return FN.funnel_period(_b(spark, sf), P, "mtd")
+
+
+@register("funnel_lmtd")
+def _q_funnel_lmtd(spark, sf):
+    return FN.funnel_period(_b(spark, sf), P, "lmtd")
+
+
+@register("funnel_by_week_month")
+def _q_funnel_by_week_month(spark, sf):
+    return FN.funnel_by_week_month(FN.funnel_weekly(_b(spark, sf), P))
+
+
+def _funnel_inputs(spark, sf):
+    b = _b(spark, sf)
+    periods = FN.funnel_periods(b, P)
+    mtd = periods.filter("period_kind = 'mtd'").drop("period_kind")
+    lmtd = periods.filter("period_kind = 'lmtd'").drop("period_kind")
+    return FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P), mtd, lmtd
+
+
+@register("funnel_kpi")
+def _q_funnel_kpi(spark, sf):
+    return FN.funnel_kpi(*_funnel_inputs(spark, sf), P)
+
+
+@register("funnel_by_ti")
+def _q_funnel_by_ti(spark, sf):
+    return FN.funnel_by_ti(FN.funnel_kpi(*_funnel_inputs(spark, sf), P))
+
+
+@register("funnel_trend")
+def _q_funnel_trend(spark, sf):
+    b = _b(spark, sf)
+    return FN.funnel_trend(FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P))

@@ -27,3 +27,14 @@ SQL["kpi_mtd"] = OK.kpi_period_sql("mtd")
 SQL["kpi_lmtd"] = OK.kpi_period_sql("lmtd")
 SQL["daily_hub"] = OK.daily_hub_sql()
 SQL["last_month_hub"] = OK.last_month_hub_sql()
+
+from oracle import funnel as OF  # noqa: E402
+
+SQL["funnel_weekly"] = OF.funnel_weekly_sql()
+SQL["funnel_app_sale_weekly"] = OF.funnel_app_sale_weekly_sql()
+SQL["funnel_mtd"] = OF.funnel_period_sql("mtd")
+SQL["funnel_lmtd"] = OF.funnel_period_sql("lmtd")
+SQL["funnel_by_week_month"] = OF.funnel_by_week_month_sql()
+SQL["funnel_kpi"] = OF.funnel_kpi_sql()
+SQL["funnel_by_ti"] = OF.funnel_by_ti_sql()
+SQL["funnel_trend"] = OF.funnel_trend_sql()
