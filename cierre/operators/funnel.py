@@ -191,9 +191,9 @@ def funnel_week_marks(weekly: DataFrame, p: Params) -> DataFrame:
     closed = F.filter(F.sort_array(F.collect_set("semana")), lambda w: w < mon)
     upcoming = F.filter(F.sort_array(F.collect_set("semana")), lambda w: w >= mon)
     return weekly.agg(closed.alias("_closed"), upcoming.alias("_up")).select(
-        F.element_at("_closed", -1).alias("last_w"),
-        F.when(F.size("_closed") >= 2, F.element_at("_closed", -2)).alias("prev_w"),
-        F.coalesce(F.element_at("_up", 1), F.element_at("_closed", -1)).alias("cur_w"),
+        F.try_element_at("_closed", F.lit(-1)).alias("last_w"),
+        F.when(F.size("_closed") >= 2, F.try_element_at("_closed", F.lit(-2))).alias("prev_w"),
+        F.coalesce(F.try_element_at("_up", F.lit(1)), F.try_element_at("_closed", F.lit(-1))).alias("cur_w"),
     )
 
 

@@ -145,3 +145,50 @@ def _q_funnel_by_ti(spark, sf):
 def _q_funnel_trend(spark, sf):
     b = _b(spark, sf)
     return FN.funnel_trend(FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P))
+
+
+# ---------------------------------------------------------------- sla, verdict, profile
+from cierre.operators import profile as PF  # noqa: E402
+from cierre.operators import sla as SL  # noqa: E402
+from cierre.operators import verdict as VD  # noqa: E402
+from cierre.sources import datasets as DS  # noqa: E402
+
+
+@register("sla_weekly")
+def _q_sla_weekly(spark, sf):
+    return DS.sla_dataset(_b(spark, sf), P)
+
+
+@register("sla_kpi")
+def _q_sla_kpi(spark, sf):
+    return SL.sla_kpi(DS.sla_dataset(_b(spark, sf), P), P)
+
+
+@register("sla_trend")
+def _q_sla_trend(spark, sf):
+    return SL.sla_trend(DS.sla_dataset(_b(spark, sf), P))
+
+
+@register("verdict_dataset")
+def _q_verdict_dataset(spark, sf):
+    return DS.verdict_dataset(_b(spark, sf), P)
+
+
+@register("verdict_mix")
+def _q_verdict_mix(spark, sf):
+    return VD.verdict_mix(DS.verdict_dataset(_b(spark, sf), P))
+
+
+@register("verdict_approved_kpi")
+def _q_verdict_approved_kpi(spark, sf):
+    return VD.verdict_approved_kpi(DS.verdict_dataset(_b(spark, sf), P), P)
+
+
+@register("profile_dataset")
+def _q_profile_dataset(spark, sf):
+    return DS.profile_dataset(_b(spark, sf), P)
+
+
+@register("profile_funnel")
+def _q_profile_funnel(spark, sf):
+    return PF.profile_funnel(DS.profile_dataset(_b(spark, sf), P), P)

@@ -38,3 +38,14 @@ SQL["funnel_by_week_month"] = OF.funnel_by_week_month_sql()
 SQL["funnel_kpi"] = OF.funnel_kpi_sql()
 SQL["funnel_by_ti"] = OF.funnel_by_ti_sql()
 SQL["funnel_trend"] = OF.funnel_trend_sql()
+
+from oracle import funnel_extra as OX  # noqa: E402
+
+SQL["sla_weekly"] = OX.sla_weekly_sql()
+SQL["sla_kpi"] = OX.sla_kpi_sql()
+SQL["sla_trend"] = OX.sla_trend_sql()
+SQL["verdict_dataset"] = OX.verdict_dataset_sql()
+SQL["verdict_mix"] = OX.verdict_mix_sql()
+SQL["verdict_approved_kpi"] = OX.verdict_approved_kpi_sql()
+SQL["profile_dataset"] = OX.profile_dataset_sql()
+SQL["profile_funnel"] = OX.profile_funnel_sql()
