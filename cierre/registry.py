@@ -192,3 +192,179 @@ def _q_profile_dataset(spark, sf):
 @register("profile_funnel")
 def _q_profile_funnel(spark, sf):
     return PF.profile_funnel(DS.profile_dataset(_b(spark, sf), P), P)
+
+
+# ---------------------------------------------------------------- building blocks
+from pyspark.sql import functions as F  # noqa: E402
+
+from cierre.functions import buckets as B  # noqa: E402
+from cierre.operators import qa as QA  # noqa: E402
+from cierre.plans import enrich as E  # noqa: E402
+from cierre.plans.periods import period_table  # noqa: E402
+
+
+@register("src_bookings")
+def _q_src_bookings(spark, sf):
+    return _b(spark, sf)
+
+
+@register("src_inventory")
+def _q_src_inventory(spark, sf):
+    return _i(spark, sf)
+
+
+@register("method_norm")
+def _q_method_norm(spark, sf):
+    b = _b(spark, sf).filter(F.col("b2b") == 0)
+    return b.groupBy(F.col("metodo_de_pago").alias("metodo_de_pago_raw")).agg(F.count(F.lit(1)).alias("n")).select(
+        "metodo_de_pago_raw", B.method_norm("metodo_de_pago_raw").alias("metodo_de_pago"),
+        F.coalesce(B.is_kpi_method("metodo_de_pago_raw"), F.lit(False)).alias("kpi_method"), "n",
+    )
+
+
+@register("closed_rows")
+def _q_closed_rows(spark, sf):
+    return E.closed_rows(_b(spark, sf), P.weeks_start, P.yesterday).select(
+        "booking_id", "metodo_de_pago", "reservation_hub_name", "close_date", "venta", "cancel"
+    )
+
+
+@register("weekly_str")
+def _q_weekly_str(spark, sf):
+    return D.method_weekly(_b(spark, sf), P, "week", fold=False)
+
+
+@register("monthly_str")
+def _q_monthly_str(spark, sf):
+    return D.method_weekly(_b(spark, sf), P, "month", fold=False)
+
+
+@register("str_method_fold")
+def _q_str_method_fold(spark, sf):
+    return D.method_weekly(_b(spark, sf), P, "week", fold=True)
+
+
+@register("dim_order")
+def _q_dim_order(spark, sf):
+    return D.with_dim_order(D.str_report(_b(spark, sf), _i(spark, sf), P, "aging", "week"), "aging")
+
+
+@register("first_receipt")
+def _q_first_receipt(spark, sf):
+    return E.first_receipt(_i(spark, sf), P.as_of)
+
+
+@register("latest_stock_region")
+def _q_latest_stock_region(spark, sf):
+    return E.latest_stock_region(E.stock_region_daily(_i(spark, sf), P.as_of))
+
+
+@register("stock_region_asof")
+def _q_stock_region_asof(spark, sf):
+    rows = E.closed_rows(_b(spark, sf), P.weeks_start, P.yesterday).select(
+        "booking_id", "stock_key", "fecha_reserva"
+    )
+    out = E.with_stock_region(rows, _i(spark, sf), P.as_of)
+    return out.withColumn("stock_region_code", B.stock_region_code("stock_region_asof"))
+
+
+@register("mix_weekly")
+def _q_mix_weekly(spark, sf):
+    return D.mix_rows(D.str_report(_b(spark, sf), _i(spark, sf), P, "aging", "week"))
+
+
+@register("mix_monthly")
+def _q_mix_monthly(spark, sf):
+    return D.mix_rows(D.str_report(_b(spark, sf), _i(spark, sf), P, "price", "month"))
+
+
+@register("wow_delta")
+def _q_wow_delta(spark, sf):
+    return D.last_two(D.str_report(_b(spark, sf), _i(spark, sf), P, "aging", "week"), "week")
+
+
+@register("mom_delta")
+def _q_mom_delta(spark, sf):
+    return D.last_two(D.str_report(_b(spark, sf), _i(spark, sf), P, "region", "month"), "month")
+
+
+@register("str_deltas")
+def _q_str_deltas(spark, sf):
+    return D.str_deltas(D.str_report(_b(spark, sf), _i(spark, sf), P, "region", "week"))
+
+
+def _calendar_weeks():
+    from datetime import timedelta
+
+    out, w = [], P.weeks_start
+    while w < P.wtd_start:
+        out.append(w.isoformat())
+        w += timedelta(days=7)
+    return out
+
+
+@register("region_pivot")
+def _q_region_pivot(spark, sf):
+    rep = D.str_report(_b(spark, sf), _i(spark, sf), P, "region", "week")
+    return D.pivot_weeks(rep, P, _calendar_weeks())
+
+
+@register("period_labels")
+def _q_period_labels(spark, sf):
+    """The period table with its labels and the closed rows of each window."""
+    b = _b(spark, sf)
+    pt = period_table(b, P)
+    lo, hi = min(x[0] for x in P.windows().values()), P.yesterday
+    closed = E.closed_rows(b, lo, hi).select("close_date")
+    w = P.windows()
+    tags = F.filter(
+        F.array(*[F.when((F.col("close_date") >= F.lit(a)) & (F.col("close_date") <= F.lit(z)), F.lit(k))
+                  for k, (a, z) in w.items()]),
+        lambda x: x.isNotNull(),
+    )
+    n = closed.select(F.explode(tags).alias("period_kind")).groupBy("period_kind").agg(
+        F.count(F.lit(1)).alias("n_closed")
+    )
+    return pt.join(n, "period_kind", "left").na.fill(0, ["n_closed"])
+
+
+@register("qa_recent_weeks")
+def _q_qa_recent_weeks(spark, sf):
+    b = _b(spark, sf)
+    return QA.qa_recent_weeks(K.weekly_hub_str(b, P), K.bookings_weekly(b, P), K.profile_mix_weekly(b, P))
+
+
+@register("qa_period_totals")
+def _q_qa_period_totals(spark, sf):
+    b = _b(spark, sf)
+    return QA.qa_period_totals(K.kpi_period(b, P, "mtd"), K.kpi_period(b, P, "lmtd"), K.last_month_hub(b, P))
+
+
+@register("qa_funnel_weeks")
+def _q_qa_funnel_weeks(spark, sf):
+    b = _b(spark, sf)
+    return QA.qa_funnel_weeks(FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P))
+
+
+@register("qa_dim_row")
+def _q_qa_dim_row(spark, sf):
+    b, i = _b(spark, sf), _i(spark, sf)
+    reps = D.dim_reports(b, i, P, ["region", "aging"], ["week"])
+    region, aging = reps[("region", "week")], reps[("aging", "week")]
+    return QA.qa_dim_row(region, D.str_deltas(region), D.str_deltas(aging))
+
+
+@register("dataset_presence")
+def _q_dataset_presence(spark, sf):
+    """Publish three reports into the shared checkpoint folder, then check
+    the published set (no oracle: it reads what this run wrote)."""
+    import uuid
+
+    from cierre.session import ensure_checkpoint_dir
+    from cierre.sources.io import dataset_presence, publish
+
+    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/published-{uuid.uuid4().hex[:8]}"
+    b = _b(spark, sf)
+    names = publish({"rawE_w": K.weekly_hub_str(b, P), "rawA_w": K.bookings_weekly(b, P),
+                     "rawDaily": K.daily_hub(b, P)}, root)
+    return dataset_presence(spark, root, names + ["rawLastMonth"])

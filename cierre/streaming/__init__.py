@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+The reference is a bounded batch refreshed once a calendar day; it has no
+watermark, window, state or late-data logic (survey 2.11), so nothing is
+built here. A daily refresh is one batch run of the reports over the day's
+tables (see ``cierre.refresh``).
+"""

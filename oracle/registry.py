@@ -49,3 +49,28 @@ SQL["verdict_mix"] = OX.verdict_mix_sql()
 SQL["verdict_approved_kpi"] = OX.verdict_approved_kpi_sql()
 SQL["profile_dataset"] = OX.profile_dataset_sql()
 SQL["profile_funnel"] = OX.profile_funnel_sql()
+
+from oracle import blocks as OB  # noqa: E402
+
+SQL["src_bookings"] = OB.src_bookings_sql()
+SQL["src_inventory"] = OB.src_inventory_sql()
+SQL["method_norm"] = OB.method_norm_sql()
+SQL["closed_rows"] = OB.closed_rows_sql()
+SQL["weekly_str"] = OD.method_period_sql("week", False)
+SQL["monthly_str"] = OD.method_period_sql("month", False)
+SQL["str_method_fold"] = OD.method_period_sql("week", True)
+SQL["dim_order"] = OD.dim_order_sql()
+SQL["first_receipt"] = OB.first_receipt_sql()
+SQL["latest_stock_region"] = OB.latest_stock_region_sql()
+SQL["stock_region_asof"] = OB.stock_region_asof_sql()
+SQL["mix_weekly"] = OD.mix_rows_sql("aging", "week")
+SQL["mix_monthly"] = OD.mix_rows_sql("price", "month")
+SQL["wow_delta"] = OD.last_two_sql("aging", "week")
+SQL["mom_delta"] = OD.last_two_sql("region", "month")
+SQL["str_deltas"] = OD.str_deltas_sql("region")
+SQL["region_pivot"] = OD.region_pivot_sql()
+SQL["period_labels"] = OB.period_labels_sql()
+SQL["qa_recent_weeks"] = OB.qa_recent_weeks_sql()
+SQL["qa_period_totals"] = OB.qa_period_totals_sql()
+SQL["qa_funnel_weeks"] = OB.qa_funnel_weeks_sql()
+SQL["qa_dim_row"] = OB.qa_dim_row_sql()
