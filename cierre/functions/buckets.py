@@ -88,6 +88,16 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def q(text: str) -> str:
+    """SQL string literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _name(c) -> str | None:
+    """Quoted SQL name of a column given by name (None for a Column)."""
+    return f"`{c}`" if isinstance(c, str) else None
+
+
 def method_norm(method="metodo_de_pago") -> Column:
     """The captive financing method counts as Financing; null stays null."""
     m = _col(method)
@@ -114,6 +124,14 @@ def method_fold(method="metodo_de_pago") -> Column:
     Cash payment -> [Cash payment, all]; any other method -> [~other], which
     no report shows but which still marks its week as observed (survey Q5).
     """
+    n = _name(method)
+    if n is not None:
+        fin = ", ".join(q(x) for x in FINANCING_METHODS)
+        return F.expr(
+            f"CASE WHEN {n} IS NULL THEN array('all') "
+            f"WHEN {n} IN ({fin}) THEN array({q(FINANCING)}, 'all') "
+            f"WHEN {n} = {q(CASH)} THEN array({q(CASH)}, 'all') ELSE array('~other') END"
+        )
     m = _col(method)
     return (
         F.when(m.isNull(), F.array(F.lit("all")))
@@ -134,6 +152,13 @@ def ti_flag(trade_in="trade_in") -> Column:
 
 def region_of_hub(hub="reservation_hub_name") -> Column:
     """City prefix of the hub name -> region code, else null."""
+    n = _name(hub)
+    if n is not None:
+        whens = " ".join(
+            "WHEN " + " OR ".join(f"{n} ILIKE {q(p + '%')}" for p in prefixes) + f" THEN {q(code)}"
+            for code, prefixes in REGION_PREFIXES
+        )
+        return F.expr(f"CASE {whens} END")
     h = _col(hub)
     expr = None
     for code, prefixes in REGION_PREFIXES:
@@ -147,6 +172,9 @@ def region_of_hub(hub="reservation_hub_name") -> Column:
 
 def stock_region_code(region) -> Column:
     """Inventory stock region name -> region code, else null."""
+    n = _name(region)
+    if n is not None:
+        return F.expr("CASE " + " ".join(f"WHEN {n} = {q(a)} THEN {q(b)}" for a, b in STOCK_REGION_CODES) + " END")
     r = _col(region)
     expr = None
     for name, code in STOCK_REGION_CODES:
@@ -158,6 +186,11 @@ def stock_region_names() -> list[str]:
     return [name for name, _ in STOCK_REGION_CODES]
 
 
+def _edges_sql(value_sql: str, buckets, top: str) -> Column:
+    whens = " ".join(f"WHEN {value_sql} < {edge!r} THEN {q(label)}" for edge, label in buckets)
+    return F.expr(f"CASE {whens} ELSE {q(top)} END")
+
+
 def _edges(value: Column, buckets, top: str) -> Column:
     expr = None
     for edge, label in buckets:
@@ -169,11 +202,16 @@ def _edges(value: Column, buckets, top: str) -> Column:
 def aging_bucket(receipt_date, reservation_date) -> Column:
     """P10: days from first receipt to reservation; negative -> first bucket,
     null -> top bucket."""
+    a, b = _name(receipt_date), _name(reservation_date)
+    if a and b:
+        return _edges_sql(f"datediff({b}, {a})", AGING_BUCKETS, AGING_TOP)
     return _edges(F.datediff(_col(reservation_date), _col(receipt_date)), AGING_BUCKETS, AGING_TOP)
 
 
 def price_bucket(price="real_published_price") -> Column:
     """P11."""
+    if _name(price):
+        return _edges_sql(_name(price), PRICE_BUCKETS, PRICE_TOP)
     return _edges(_col(price), PRICE_BUCKETS, PRICE_TOP)
 
 

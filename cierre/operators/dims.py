@@ -23,7 +23,7 @@ from cierre.functions.dates import month_key
 from cierre.functions.rates import delta_pp, rate
 from cierre.params import Params
 from cierre.plans import enrich as E
-from cierre.plans.periods import monthly_tags, tags, weekly_tags
+from cierre.plans.periods import monthly_tags, monthly_tags_sql, tags, tags_sql, weekly_tags, weekly_tags_sql
 
 DIMS = ["region", "aging", "price", "coming_soon", "pix", "stock_region"]
 # Reports with a fixed dim list (and no mix); the others show observed dims.
@@ -80,62 +80,79 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
 
 
 def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
-    """The single aggregate behind every dim report:
-    ``(dim_name, dim, method, period_kind, period) -> ventas, cancelaciones``.
-
-    ``dim_name = 'country'`` (dim ``MX``) holds every closed row; its weeks are
-    the observed weeks of all reports. Method ``~other`` rows are kept so that
-    observed weeks and dims include them, as in the reference.
+    """The single aggregate behind every dim report, already dense:
+    ``(dim_name, dim, method, period_kind, period) -> ventas, cancelaciones,
+    _present`` for every candidate cell.
+
+    Each closed row explodes into its (dimension, method, period)
+    memberships; ``dim_name = 'country'`` (dim ``MX``) holds every closed row,
+    and its weeks are the observed weeks of all reports. Method ``~other``
+    rows are kept so that observed weeks and buckets include them, as in the
+    reference. The literal scaffold of candidate cells (labels x methods x
+    calendar periods, ``_present = 0``) is unioned into the same aggregate,
+    so absent cells exist without a join or a second aggregation.
     """
+    spark = enriched.sparkSession
+
     def pair(name, value):
-        return F.named_struct(F.lit("dim_name"), F.lit(name), F.lit("dim"), value).cast(
-            "struct<dim_name:string,dim:string>"
-        )
+        return F.when(value.isNotNull(), F.named_struct(F.lit("dim_name"), F.lit(name), F.lit("dim"), value))
 
-    pairs = [pair("country", F.lit(B.COUNTRY_DIM))] + [pair(d, F.col(f"dim_{d}")) for d in dims]
-    d = F.col("close_date")
-    period_items = []
-    if "week" in grains:
-        period_items += weekly_tags(d, p)
-    if "month" in grains:
-        period_items += monthly_tags(d, p)
-    exploded = (
+    pairs = F.array_compact(F.array(pair("country", F.lit(B.COUNTRY_DIM)), *[pair(d, F.col(f"dim_{d}")) for d in dims]))
+    items = (weekly_tags_sql("close_date", p) if "week" in grains else []) + (
+        monthly_tags_sql("close_date", p) if "month" in grains else [])
+    keys = ["dim_name", "dim", "method", "period_kind", "period"]
+    rows = (
         enriched.select(
-            F.explode(F.filter(F.array(*pairs), lambda x: x["dim"].isNotNull())).alias("pair"),
+            F.explode(pairs).alias("x"),
             B.method_fold("metodo_de_pago").alias("methods"),
-            tags(*period_items).alias("periods"),
+            tags_sql(items).alias("periods"),
             "venta",
             "cancel",
         )
-        .select("pair.*", F.explode("methods").alias("method"), "periods", "venta", "cancel")
+        .select("x.*", F.explode("methods").alias("method"), "periods", "venta", "cancel")
         .select("dim_name", "dim", "method", F.explode("periods").alias("pk"), "venta", "cancel")
-        .select("dim_name", "dim", "method", "pk.*", "venta", "cancel")
+        .select("dim_name", "dim", "method", "pk.*", "venta", "cancel", F.lit(1).alias("_present"))
     )
-    return exploded.groupBy("dim_name", "dim", "method", "period_kind", "period").agg(
+    scaffold = _scaffold(spark, p, dims, grains).select(
+        *keys, F.lit(0).alias("venta"), F.lit(0).alias("cancel"), F.lit(0).alias("_present")
+    )
+    return rows.unionByName(scaffold).groupBy(*keys).agg(
         F.sum("venta").cast("bigint").alias("ventas"),
         F.sum("cancel").cast("bigint").alias("cancelaciones"),
+        F.max("_present").alias("_present"),
     )
 
 
-def _dim_names(dim: str) -> list[str]:
-    return ["country", dim] if dim in FIXED_DIMS else [dim]
+def calendar_periods(p: Params, grain: str) -> list[tuple[str, object]]:
+    """Candidate periods of a report, known from the parameters alone:
+    every Monday from the week of ``weeks_start`` up to last week, plus WTD
+    and LWTD; or the four calendar months."""
+    from datetime import timedelta
 
+    from cierre.params import monday_of
 
-def _period_frame(counts: DataFrame, p: Params, grain: str) -> DataFrame:
-    """Periods of the report: observed closed weeks plus WTD and LWTD, or the
-    four calendar months. Bounded by the calendar, not by the data."""
-    spark = counts.sparkSession
-    if grain == "week":
-        weeks = (
-            counts.filter((F.col("dim_name") == "country") & (F.col("period_kind") == "week"))
-            .select("period_kind", "period")
-            .distinct()
-        )
-        extra = spark.createDataFrame(
-            [("wtd", p.wtd_start), ("lwtd", p.lwtd_start)], "period_kind string, period date"
-        )
-        return weeks.unionByName(extra)
-    return spark.createDataFrame([("month", m) for m in p.month_starts], "period_kind string, period date")
+    if grain == "month":
+        return [("month", m) for m in p.month_starts]
+    out, w = [], monday_of(p.weeks_start)
+    while w < p.wtd_start:
+        out.append(("week", w))
+        w += timedelta(days=7)
+    return out + [("wtd", p.wtd_start), ("lwtd", p.lwtd_start)]
+
+
+def _scaffold(spark, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
+    """Every candidate cell: (label x method x calendar period), a literal
+    table of a few hundred rows per report, derived from the parameters."""
+    from cierre.plans.totals import literal_rows
+
+    labels = [("country", B.COUNTRY_DIM)] + [
+        (dim, x) for dim in dims for x in B.DIM_LABELS[dim] if x != B.COUNTRY_DIM
+    ]
+    periods = [kp for g in grains for kp in calendar_periods(p, g)]
+    rows = [(n, d, m, k, per) for n, d in labels for m in B.METHOD_TARGETS + ["~other"] for k, per in periods]
+    schema = [("dim_name", "string"), ("dim", "string"), ("method", "string"), ("period_kind", "string"),
+              ("period", "date")]
+    return literal_rows(spark, rows, schema)
 
 
 def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> DataFrame:
@@ -145,34 +162,36 @@ def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> D
     Weekly periods: every observed closed week (``week``), ``wtd`` (period =
     Monday of this week) and ``lwtd`` (Monday of last week). Monthly: the four
     calendar months (``month``). ``mix`` is null for region reports.
+
+    Reads the dense ``counts`` once; two window flags keep observed weeks
+    (any country row, any method) and, for bucket reports, observed buckets.
     """
-    names = _dim_names(dim)
-    mine = counts.filter(F.col("dim_name").isin(names) & F.col("method").isin(B.METHOD_TARGETS))
-    labels = B.DIM_LABELS[dim]
-    scaffold = _period_frame(counts, p, grain).select(
-        "period_kind",
-        "period",
-        F.explode(F.array(*[F.lit(m) for m in B.METHOD_TARGETS])).alias("method"),
-    ).select("period_kind", "period", "method", F.explode(F.array(*[F.lit(x) for x in labels])).alias("dim"))
-    if dim not in FIXED_DIMS:
-        seen_kinds = ["week", "wtd"] if grain == "week" else ["month"]
-        seen = (
-            counts.filter((F.col("dim_name") == dim) & F.col("period_kind").isin(seen_kinds))
-            .select("dim")
-            .distinct()
-        )
-        scaffold = scaffold.join(seen, "dim", "left_semi")
-    rep = scaffold.join(
-        mine.drop("dim_name"), ["period_kind", "period", "method", "dim"], "left"
-    ).na.fill(0, ["ventas", "cancelaciones"])
+    fixed = dim in FIXED_DIMS
+    kinds = ["week", "wtd", "lwtd"] if grain == "week" else ["month"]
+    seen_kinds = ["week", "wtd"] if grain == "week" else ["month"]
+    present = F.col("_present") == 1
+    grid = counts.filter(F.col("dim_name").isin("country", dim) & F.col("period_kind").isin(kinds))
+    # "seen" first (bucket reports only): the later windows over
+    # (period_kind, period) and (method, period_kind, period) then share one
+    # hash partitioning, so the report adds at most two small shuffles.
+    if not fixed:
+        seen = F.max(F.when(present & F.col("period_kind").isin(seen_kinds), 1)).over(
+            Window.partitionBy("dim_name", "dim"))
+        grid = grid.select("*", seen.alias("_seen"))
+    observed = F.max(F.when(present & (F.col("dim_name") == "country"), 1)).over(
+        Window.partitionBy("period_kind", "period"))
+    grid = grid.select("*", observed.alias("_observed"))
+    keep = (F.col("method") != "~other") & ((F.col("period_kind") != "week") | (F.col("_observed") == 1))
+    keep = keep & (F.lit(True) if fixed else ((F.col("dim_name") == dim) & (F.col("_seen") == 1)))
     closed = F.col("ventas") + F.col("cancelaciones")
-    rep = rep.withColumn("str", rate(F.col("ventas"), closed))
-    if dim in MIX_DIMS:
-        total = F.sum(closed).over(Window.partitionBy("method", "period_kind", "period"))
-        rep = rep.withColumn("mix", rate(closed, total))
-    else:
-        rep = rep.withColumn("mix", F.lit(None).cast("double"))
-    return rep.select(*REPORT_COLUMNS)
+    mix = (
+        rate(closed, F.sum(closed).over(Window.partitionBy("method", "period_kind", "period")))
+        if dim in MIX_DIMS else F.lit(None).cast("double")
+    )
+    return grid.filter(keep).select(
+        "method", "dim", "period_kind", "period", "ventas", "cancelaciones",
+        rate(F.col("ventas"), closed).alias("str"), mix.alias("mix"),
+    )
 
 
 def dim_reports(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str] = DIMS,

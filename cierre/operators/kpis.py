@@ -9,7 +9,7 @@ the reference counts bookings without a method filter (origin-date legs).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cierre.functions import buckets as B
@@ -248,30 +248,36 @@ def daily_hub(bookings: DataFrame, p: Params) -> DataFrame:
     window, on dates where they have a sale, delivery, cancel or booking row
     (Q17, Q18: presence depends on rows, not counts). ``entregas_netas`` is
     ``max(0, deliveries - returns)``, for the country from its own sums.
+
+    The (date, hub) aggregate is consumed once: grouping sets over it add
+    the per-date country rows, a window over hub marks the selling hubs.
     """
     ev = _event_legs(bookings, p.daily_start, p.daily_end, ["v", "e", "d", "c", "r"])
     g = _leg_counts(["fecha", "hub"], ev)
     sums = [c for c in g.columns if c not in ("fecha", "hub")]
-    mx = g.groupBy("fecha").agg(*[F.sum(c).alias(c) for c in sums]).filter(F.col("_live") > 0)
-    mx = mx.select("fecha", F.lit(B.COUNTRY_HUB).alias("hub"), *sums)
-    sellers = g.filter(F.col("_ve") > 0).select("hub").distinct()
-    hubs = g.filter(F.col("_live") > 0).join(sellers, "hub", "left_semi")
+    t = g.groupingSets([["fecha", "hub"], ["fecha"]], "fecha", "hub").agg(
+        *[F.sum(c).alias(c) for c in sums], F.grouping("hub").alias("_gt")
+    )
+    seller = F.max(F.when(F.col("_gt") == 0, F.col("_ve"))).over(Window.partitionBy("_gt", "hub"))
+    t = t.withColumn("_seller", seller)
+    keep = (F.col("_live") > 0) & ((F.col("_gt") == 1) | (F.col("_seller") > 0))
+    hub = F.when(F.col("_gt") == 1, F.lit(B.COUNTRY_HUB)).otherwise(F.col("hub")).alias("hub")
     cols = [F.col(c) if c != "entregas_netas" else _net() for c in DAILY_MEASURES]
-    return hubs.select("fecha", "hub", *sums).unionByName(mx).select("fecha", "hub", *cols)
+    return t.filter(keep).select("fecha", hub, *cols)
 
 
 def last_month_hub(bookings: DataFrame, p: Params) -> DataFrame:
     """R14 (J8, A11): previous calendar month by hub plus ``__MX__``.
 
     Hubs with a sale or delivery appear; returns count in the country net
-    deliveries even for hubs without either.
+    deliveries even for hubs without either. The country row comes from
+    grouping sets over the small hub-level aggregate (none for empty input).
     """
     ev = _event_legs(bookings, p.last_month_start, p.last_month_end, ["v", "e", "d"])
     g = _leg_counts(["hub"], ev)
     sums = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_kuna", "entregas_brutas", "entregas_fin",
             "entregas_kuna", "devoluciones", "_ve"]
-    mx = g.agg(*[F.sum(c).alias(c) for c in sums]).filter(F.col("_ve") > 0)
-    mx = mx.select(F.lit(B.COUNTRY_HUB).alias("hub"), *sums)
-    hubs = g.filter(F.col("_ve") > 0).select("hub", *sums)
+    t = g.groupingSets([["hub"], []], "hub").agg(*[F.sum(c).alias(c) for c in sums], F.grouping("hub").alias("_gt"))
+    hub = F.when(F.col("_gt") == 1, F.lit(B.COUNTRY_HUB)).otherwise(F.col("hub")).alias("hub")
     cols = [F.col(c) if c != "entregas_netas" else _net() for c in LAST_MONTH_MEASURES]
-    return hubs.unionByName(mx).select("hub", *cols)
+    return t.filter(F.col("_ve") > 0).select(hub, *cols)

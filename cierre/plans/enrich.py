@@ -57,21 +57,19 @@ def closed_rows(bookings: DataFrame, lo: date, hi: date) -> DataFrame:
     lo``), which it implies, because a COALESCE predicate is not pushed to the
     Parquet scan while the per-column form is (survey section 4).
     """
-    lo_l, hi_l = F.lit(lo), F.lit(hi)
-    SALE, CANCEL, CLOSE_DATE = sale_date(), cancel_date(), close_date()
-    IS_SALE, IS_CANCEL = is_sale(), is_cancel()
-    return (
-        bookings.filter(
-            (F.col("b2b") == 0)
-            & (IS_SALE | IS_CANCEL)
-            & ((SALE >= lo_l) | (CANCEL >= lo_l))
-            & ((SALE <= hi_l) | (CANCEL <= hi_l))
-            & (CLOSE_DATE >= lo_l)
-            & (CLOSE_DATE <= hi_l)
-        )
-        .withColumn("close_date", CLOSE_DATE)
-        .withColumn("venta", IS_SALE.cast("int"))
-        .withColumn("cancel", IS_CANCEL.cast("int"))
+    lo_s, hi_s = f"DATE'{lo.isoformat()}'", f"DATE'{hi.isoformat()}'"
+    sale, can = "fecha_venta_declarada", "fecha_cancelacion_reserva"
+    is_s, is_c = f"{sale} IS NOT NULL", f"({can} IS NOT NULL AND estimate_flag = 1)"
+    close = f"coalesce({sale}, {can})"
+    cond = (
+        f"b2b = 0 AND ({is_s} OR {is_c}) AND ({sale} >= {lo_s} OR {can} >= {lo_s}) "
+        f"AND ({sale} <= {hi_s} OR {can} <= {hi_s}) AND {close} BETWEEN {lo_s} AND {hi_s}"
+    )
+    return bookings.filter(F.expr(cond)).select(
+        "*",
+        F.expr(close).alias("close_date"),
+        F.expr(f"CAST({is_s} AS INT)").alias("venta"),
+        F.expr(f"CAST({is_c} AS INT)").alias("cancel"),
     )
 
 

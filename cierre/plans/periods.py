@@ -27,7 +27,37 @@ def tag(kind: str, period: Column | date, cond: Column) -> Column:
 
 def tags(*items: Column) -> Column:
     """Array of the non-null period structs among ``items``."""
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+    return F.array_compact(F.array(*items))
+
+
+def _iso(x: date) -> str:
+    return f"DATE'{x.isoformat()}'"
+
+
+def _tag_sql(kind: str, period_sql: str, cond_sql: str) -> str:
+    return (f"CASE WHEN {cond_sql} THEN named_struct('period_kind', '{kind}', 'period', "
+            f"CAST({period_sql} AS DATE)) END")
+
+
+def weekly_tags_sql(d: str, p: Params) -> list[str]:
+    """SQL form of :func:`weekly_tags` for a column given by name (one
+    expression string, parsed once in the JVM)."""
+    ws = _iso(p.weeks_start)
+    return [
+        _tag_sql("week", f"date_trunc('week', {d})", f"{d} >= {ws} AND {d} < {_iso(p.wtd_start)}"),
+        _tag_sql("wtd", _iso(p.wtd_start), f"{d} >= {ws} AND {d} BETWEEN {_iso(p.wtd_start)} AND {_iso(p.wtd_end)}"),
+        _tag_sql("lwtd", _iso(p.lwtd_start), f"{d} BETWEEN {_iso(p.lwtd_start)} AND {_iso(p.lwtd_end)}"),
+    ]
+
+
+def monthly_tags_sql(d: str, p: Params) -> list[str]:
+    return [_tag_sql("month", f"date_trunc('month', {d})",
+                     f"{d} BETWEEN {_iso(p.months_start)} AND {_iso(p.yesterday)}")]
+
+
+def tags_sql(items: list[str]) -> Column:
+    """Array of the non-null period structs among SQL ``items``."""
+    return F.expr("array_compact(array(" + ", ".join(items) + "))")
 
 
 def weekly_tags(d: Column, p: Params) -> list[Column]:
@@ -60,8 +90,11 @@ def period_label(lo: date, hi: date) -> str:
 def period_table(df: DataFrame, p: Params) -> DataFrame:
     """The literal period table ``(period_kind, lo, hi, label)`` as a small
     DataFrame in the session of ``df``. Empty windows keep their row."""
+    from cierre.plans.totals import literal_rows
+
     rows = []
     for kind, (lo, hi) in p.windows().items():
         label = "—" if hi < lo else period_label(lo, hi)
         rows.append((kind, lo, hi, label))
-    return df.sparkSession.createDataFrame(rows, "period_kind string, lo date, hi date, label string")
+    schema = [("period_kind", "string"), ("lo", "date"), ("hi", "date"), ("label", "string")]
+    return literal_rows(df.sparkSession, rows, schema)

@@ -32,3 +32,32 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return df.withColumn("_one", F.lit(1)).join(
         F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one"
     ).drop("_one")
+
+
+def _sql_literal(v, t: str) -> str:
+    from datetime import date
+
+    if v is None:
+        return f"CAST(NULL AS {t})"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, date):
+        return f"DATE'{v.isoformat()}'"
+    if isinstance(v, (int, float)):
+        return f"CAST({v!r} AS {t})"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def literal_rows(spark, rows: list[tuple], schema: list[tuple[str, str]]):
+    """A small literal table (parameters such as periods and labels, never
+    data): ``VALUES`` plans as a local relation in the JVM, with no Python
+    RDD behind it and no Python workers at execution."""
+    names = ", ".join(n for n, _ in schema)
+    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in schema)
+    if not rows:
+        nulls = ", ".join(f"CAST(NULL AS {t}) AS {n}" for n, t in schema)
+        return spark.sql(f"SELECT {nulls} WHERE FALSE")
+    values = ", ".join(
+        "(" + ", ".join(_sql_literal(v, t) for v, (_, t) in zip(r, schema)) + ")" for r in rows
+    )
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
