@@ -126,12 +126,7 @@ def method_fold(method="metodo_de_pago") -> Column:
     """
     n = _name(method)
     if n is not None:
-        fin = ", ".join(q(x) for x in FINANCING_METHODS)
-        return F.expr(
-            f"CASE WHEN {n} IS NULL THEN array('all') "
-            f"WHEN {n} IN ({fin}) THEN array({q(FINANCING)}, 'all') "
-            f"WHEN {n} = {q(CASH)} THEN array({q(CASH)}, 'all') ELSE array('~other') END"
-        )
+        return F.expr(method_fold_sql(n))
     m = _col(method)
     return (
         F.when(m.isNull(), F.array(F.lit("all")))
@@ -141,6 +136,16 @@ def method_fold(method="metodo_de_pago") -> Column:
     )
 
 
+def method_fold_sql(n: str) -> str:
+    """SQL text of :func:`method_fold` for the quoted column name ``n``."""
+    fin = ", ".join(q(x) for x in FINANCING_METHODS)
+    return (
+        f"CASE WHEN {n} IS NULL THEN array('all') "
+        f"WHEN {n} IN ({fin}) THEN array({q(FINANCING)}, 'all') "
+        f"WHEN {n} = {q(CASH)} THEN array({q(CASH)}, 'all') ELSE array('~other') END"
+    )
+
+
 def hub_label(hub="reservation_hub_name") -> Column:
     """One literal label for the null hub in every report."""
     return F.coalesce(_col(hub), F.lit(NULL_HUB))

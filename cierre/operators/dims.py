@@ -23,7 +23,7 @@ from cierre.functions.dates import month_key
 from cierre.functions.rates import delta_pp, rate
 from cierre.params import Params
 from cierre.plans import enrich as E
-from cierre.plans.periods import monthly_tags, monthly_tags_sql, tags, tags_sql, weekly_tags, weekly_tags_sql
+from cierre.plans.periods import monthly_tags_sql, weekly_tags_sql
 
 DIMS = ["region", "aging", "price", "coming_soon", "pix", "stock_region"]
 # Reports with a fixed dim list (and no mix); the others show observed dims.
@@ -90,37 +90,34 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
     rows are kept so that observed weeks and buckets include them, as in the
     reference. The literal scaffold of candidate cells (labels x methods x
     calendar periods, ``_present = 0``) is unioned into the same aggregate,
-    so absent cells exist without a join or a second aggregation.
+    so absent cells exist without a join or a second aggregation. The
+    explodes feed the partial (map-side) aggregate directly.
     """
-    spark = enriched.sparkSession
+    from cierre.plans.totals import values_sql
 
-    def pair(name, value):
-        return F.when(value.isNotNull(), F.named_struct(F.lit("dim_name"), F.lit(name), F.lit("dim"), value))
+    def pair(name, value_sql):
+        return f"CASE WHEN {value_sql} IS NOT NULL THEN named_struct('dim_name', '{name}', 'dim', {value_sql}) END"
 
-    pairs = F.array_compact(F.array(pair("country", F.lit(B.COUNTRY_DIM)), *[pair(d, F.col(f"dim_{d}")) for d in dims]))
+    pairs = ", ".join([pair("country", f"'{B.COUNTRY_DIM}'")] + [pair(d, f"dim_{d}") for d in dims])
     items = (weekly_tags_sql("close_date", p) if "week" in grains else []) + (
         monthly_tags_sql("close_date", p) if "month" in grains else [])
-    keys = ["dim_name", "dim", "method", "period_kind", "period"]
-    rows = (
-        enriched.select(
-            F.explode(pairs).alias("x"),
-            B.method_fold("metodo_de_pago").alias("methods"),
-            tags_sql(items).alias("periods"),
-            "venta",
-            "cancel",
-        )
-        .select("x.*", F.explode("methods").alias("method"), "periods", "venta", "cancel")
-        .select("dim_name", "dim", "method", F.explode("periods").alias("pk"), "venta", "cancel")
-        .select("dim_name", "dim", "method", "pk.*", "venta", "cancel", F.lit(1).alias("_present"))
-    )
-    scaffold = _scaffold(spark, p, dims, grains).select(
-        *keys, F.lit(0).alias("venta"), F.lit(0).alias("cancel"), F.lit(0).alias("_present")
-    )
-    return rows.unionByName(scaffold).groupBy(*keys).agg(
-        F.sum("venta").cast("bigint").alias("ventas"),
-        F.sum("cancel").cast("bigint").alias("cancelaciones"),
-        F.max("_present").alias("_present"),
+    sql = f"""
+    SELECT dim_name, dim, method, period_kind, period,
+           CAST(SUM(venta) AS BIGINT) AS ventas, CAST(SUM(cancel) AS BIGINT) AS cancelaciones,
+           MAX(_present) AS _present
+    FROM (
+      SELECT x.dim_name, x.dim, m AS method, t.period_kind, t.period, venta, cancel, 1 AS _present
+      FROM {{enriched}}
+      LATERAL VIEW explode(array_compact(array({pairs}))) xs AS x
+      LATERAL VIEW explode({B.method_fold_sql("metodo_de_pago")}) ms AS m
+      LATERAL VIEW explode(array_compact(array({", ".join(items)}))) ts AS t
+      UNION ALL
+      SELECT dim_name, dim, method, period_kind, period, 0, 0, 0
+      FROM ({values_sql(_scaffold_rows(p, dims, grains), SCAFFOLD_SCHEMA)})
     )
+    GROUP BY dim_name, dim, method, period_kind, period
+    """
+    return enriched.sparkSession.sql(sql, enriched=enriched)
 
 
 def calendar_periods(p: Params, grain: str) -> list[tuple[str, object]]:
@@ -140,19 +137,18 @@ def calendar_periods(p: Params, grain: str) -> list[tuple[str, object]]:
     return out + [("wtd", p.wtd_start), ("lwtd", p.lwtd_start)]
 
 
-def _scaffold(spark, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
+SCAFFOLD_SCHEMA = [("dim_name", "string"), ("dim", "string"), ("method", "string"), ("period_kind", "string"),
+                   ("period", "date")]
+
+
+def _scaffold_rows(p: Params, dims: list[str], grains: list[str]) -> list[tuple]:
     """Every candidate cell: (label x method x calendar period), a literal
     table of a few hundred rows per report, derived from the parameters."""
-    from cierre.plans.totals import literal_rows
-
     labels = [("country", B.COUNTRY_DIM)] + [
         (dim, x) for dim in dims for x in B.DIM_LABELS[dim] if x != B.COUNTRY_DIM
     ]
     periods = [kp for g in grains for kp in calendar_periods(p, g)]
-    rows = [(n, d, m, k, per) for n, d in labels for m in B.METHOD_TARGETS + ["~other"] for k, per in periods]
-    schema = [("dim_name", "string"), ("dim", "string"), ("method", "string"), ("period_kind", "string"),
-              ("period", "date")]
-    return literal_rows(spark, rows, schema)
+    return [(n, d, m, k, per) for n, d in labels for m in B.METHOD_TARGETS + ["~other"] for k, per in periods]
 
 
 def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> DataFrame:
@@ -163,35 +159,44 @@ def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> D
     Monday of this week) and ``lwtd`` (Monday of last week). Monthly: the four
     calendar months (``month``). ``mix`` is null for region reports.
 
-    Reads the dense ``counts`` once; two window flags keep observed weeks
-    (any country row, any method) and, for bucket reports, observed buckets.
+    Reads the dense ``counts`` once. The report's slice of it is bounded by
+    labels x methods x calendar periods (a few hundred rows at any data
+    size), so it moves to one partition with a single tiny shuffle and the
+    three window flags (observed week, observed bucket, period total for the
+    mix) run there without further shuffles.
     """
     fixed = dim in FIXED_DIMS
     kinds = ["week", "wtd", "lwtd"] if grain == "week" else ["month"]
     seen_kinds = ["week", "wtd"] if grain == "week" else ["month"]
-    present = F.col("_present") == 1
-    grid = counts.filter(F.col("dim_name").isin("country", dim) & F.col("period_kind").isin(kinds))
-    # "seen" first (bucket reports only): the later windows over
-    # (period_kind, period) and (method, period_kind, period) then share one
-    # hash partitioning, so the report adds at most two small shuffles.
-    if not fixed:
-        seen = F.max(F.when(present & F.col("period_kind").isin(seen_kinds), 1)).over(
-            Window.partitionBy("dim_name", "dim"))
-        grid = grid.select("*", seen.alias("_seen"))
-    observed = F.max(F.when(present & (F.col("dim_name") == "country"), 1)).over(
-        Window.partitionBy("period_kind", "period"))
-    grid = grid.select("*", observed.alias("_observed"))
-    keep = (F.col("method") != "~other") & ((F.col("period_kind") != "week") | (F.col("_observed") == 1))
-    keep = keep & (F.lit(True) if fixed else ((F.col("dim_name") == dim) & (F.col("_seen") == 1)))
-    closed = F.col("ventas") + F.col("cancelaciones")
+    grid = counts.filter(F.col("dim_name").isin("country", dim) & F.col("period_kind").isin(kinds)).repartition(1)
+    kinds_sql = ", ".join(f"'{k}'" for k in seen_kinds)
+    dim_filter = "TRUE" if fixed else f"dim_name = '{dim}' AND _seen = 1"
+    closed = "(ventas + cancelaciones)"
     mix = (
-        rate(closed, F.sum(closed).over(Window.partitionBy("method", "period_kind", "period")))
-        if dim in MIX_DIMS else F.lit(None).cast("double")
-    )
-    return grid.filter(keep).select(
-        "method", "dim", "period_kind", "period", "ventas", "cancelaciones",
-        rate(F.col("ventas"), closed).alias("str"), mix.alias("mix"),
+        f"CASE WHEN {closed}_total > 0 THEN CAST(FLOOR(({closed} * 2000 + {closed}_total) / ({closed}_total * 2)) "
+        f"AS DOUBLE) / 10 END"
+        if dim in MIX_DIMS else "CAST(NULL AS DOUBLE)"
+    ).replace(f"{closed}_total", "_total")
+    sql = f"""
+    SELECT method, dim, period_kind, period, ventas, cancelaciones,
+           CASE WHEN {closed} > 0 THEN CAST(FLOOR((ventas * 2000 + {closed}) / ({closed} * 2)) AS DOUBLE) / 10 END AS str,
+           {mix} AS mix
+    FROM (
+      SELECT *, SUM(CASE WHEN {dim_filter} THEN {closed} END)
+                  OVER (PARTITION BY method, period_kind, period) AS _total
+      FROM (
+        SELECT *,
+          MAX(CASE WHEN _present = 1 AND period_kind IN ({kinds_sql}) THEN 1 END)
+            OVER (PARTITION BY dim_name, dim) AS _seen,
+          MAX(CASE WHEN _present = 1 AND dim_name = 'country' THEN 1 END)
+            OVER (PARTITION BY period_kind, period) AS _observed
+        FROM {{grid}}
+      )
+      WHERE method <> '~other' AND (period_kind <> 'week' OR _observed = 1)
     )
+    WHERE {dim_filter}
+    """
+    return counts.sparkSession.sql(sql, grid=grid)
 
 
 def dim_reports(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str] = DIMS,
