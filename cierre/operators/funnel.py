@@ -39,113 +39,123 @@ def funnel_base(bookings: DataFrame) -> DataFrame:
     )
 
 
-def _stage_items(lo, hi, period: callable) -> list[Column]:
-    """(stage, period) structs of one row for the window [lo, hi]."""
-    ho, app = F.col("fecha_handoff"), F.col("fecha_aprobacion")
-    can = F.col("fecha_cancelacion_reserva")
+def _d(x) -> str:
+    return f"DATE'{x.isoformat()}'"
 
-    def item(stage, date_col, cond):
-        return F.when(
-            cond & in_window(date_col, lo, hi),
-            F.named_struct(F.lit("stage"), F.lit(stage), F.lit("period"), period(date_col)),
-        )
 
-    return [
-        item("ho", ho, ho.isNotNull()),
-        item("can_no_ho", can, ho.isNull()),
-        item("app", app, app.isNotNull()),
-        item("can_no_app", can, app.isNull()),
-    ]
+def _base_where() -> str:
+    fin = ", ".join(B.q(m) for m in B.FINANCING_METHODS)
+    return f"b2b = 0 AND metodo_de_pago IN ({fin}) AND estimate_flag = 1"
 
 
-def _flags_level1(ev: DataFrame, keys: list[str]) -> DataFrame:
-    ti = F.col("trade_in")
-    return ev.groupBy(*keys, "booking_id").agg(
-        F.max((ti == 0).cast("int")).alias("_t0"),
-        F.max((ti == 1).cast("int")).alias("_t1"),
-    )
+def _stage_items_sql(lo, hi, period) -> list[str]:
+    """(stage, period) structs of a row for the window [lo, hi]; ``period``
+    maps the event-date column name to the period SQL."""
+    win = lambda c: f"{c} BETWEEN {_d(lo)} AND {_d(hi)}"
+
+    def item(stage, col, cond):
+        return (f"CASE WHEN {cond} AND {win(col)} THEN named_struct('stage', '{stage}', "
+                f"'period', {period(col)}) END")
 
+    return [
+        item("ho", "fecha_handoff", "fecha_handoff IS NOT NULL"),
+        item("can_no_ho", "fecha_cancelacion_reserva", "fecha_handoff IS NULL"),
+        item("app", "fecha_aprobacion", "fecha_aprobacion IS NOT NULL"),
+        item("can_no_app", "fecha_cancelacion_reserva", "fecha_aprobacion IS NULL"),
+    ]
 
-def _stage_sums(stage_col: str = "stage") -> list[Column]:
+
+def _stage_sums_sql() -> str:
     out = []
     for s in STAGES:
-        is_s = F.col(stage_col) == s
         out += [
-            F.count(F.when(is_s, 1)).alias(f"{s}_total"),
-            F.count(F.when(is_s & (F.col("_t0") == 1), 1)).alias(f"{s}_sales"),
-            F.count(F.when(is_s & (F.col("_t1") == 1), 1)).alias(f"{s}_ti"),
+            f"COUNT(CASE WHEN stage = '{s}' THEN 1 END) AS {s}_total",
+            f"COUNT(CASE WHEN stage = '{s}' AND _t0 = 1 THEN 1 END) AS {s}_sales",
+            f"COUNT(CASE WHEN stage = '{s}' AND _t1 = 1 THEN 1 END) AS {s}_ti",
         ]
-    return out
+    return ", ".join(out)
 
 
 def funnel_weekly(bookings: DataFrame, p: Params) -> DataFrame:
     """R15 (J5): by (event week, hub): 4 stages x (total, sales = no trade-in,
     ti = trade-in) distinct bookings; absent combinations are 0."""
-    b = funnel_base(bookings)
-    items = _stage_items(p.weeks_start, p.yesterday, week_of)
-    ev = b.select(
-        "booking_id", "hub", "trade_in", F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("t")
-    ).select("booking_id", "hub", "trade_in", F.col("t.stage").alias("stage"), F.col("t.period").alias("semana"))
-    l1 = _flags_level1(ev, ["semana", "hub", "stage"])
-    return l1.groupBy("semana", "hub").agg(*_stage_sums())
-
-
-def _vta_flags(b: DataFrame, keys: list) -> DataFrame:
-    app = F.col("fecha_aprobacion").isNotNull()
-    sale = F.col("fecha_venta_declarada").isNotNull()
-    can = F.col("fecha_cancelacion_reserva").isNotNull()
-    ti = F.col("trade_in")
-    flags = []
-    for name, cond in (("vta_app", app & sale), ("cancel_app", app & can)):
+    items = _stage_items_sql(p.weeks_start, p.yesterday, lambda c: f"CAST(date_trunc('week', {c}) AS DATE)")
+    sql = f"""
+    SELECT semana, hub, {_stage_sums_sql()}
+    FROM (
+      SELECT t.period AS semana, hub, t.stage AS stage, booking_id,
+             MAX(CAST(trade_in = 0 AS INT)) AS _t0, MAX(CAST(trade_in = 1 AS INT)) AS _t1
+      FROM (SELECT booking_id, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, trade_in,
+                   array_compact(array({", ".join(items)})) AS ev
+            FROM {{b}} WHERE {_base_where()})
+      LATERAL VIEW explode(ev) e AS t
+      GROUP BY t.period, hub, t.stage, booking_id
+    )
+    GROUP BY semana, hub
+    """
+    return bookings.sparkSession.sql(sql, b=bookings)
+
+
+def _vta_flags_sql() -> str:
+    out = []
+    for name, cond in (("vta_app", "fecha_aprobacion IS NOT NULL AND fecha_venta_declarada IS NOT NULL"),
+                       ("cancel_app", "fecha_aprobacion IS NOT NULL AND fecha_cancelacion_reserva IS NOT NULL")):
         for v, t in VARIANTS:
-            c = cond if t is None else cond & (ti == t)
-            flags.append(F.max(c.cast("int")).alias(f"{name}_{v}"))
-    return b.groupBy(*keys, "booking_id").agg(*flags)
+            c = cond if t is None else f"{cond} AND trade_in = {t}"
+            out.append(f"MAX(CAST({c} AS INT)) AS {name}_{v}")
+    return ", ".join(out)
 
 
 def funnel_app_sale_weekly(bookings: DataFrame, p: Params) -> DataFrame:
     """By (week of COALESCE(sale, cancel), hub): approved bookings sold
     and approved bookings cancelled (distinct), for rows whose sale or cancel
     falls in the window (Q21: the week itself may fall outside it)."""
-    b = funnel_base(bookings)
-    win = in_window("fecha_venta_declarada", p.weeks_start, p.yesterday) | in_window(
-        "fecha_cancelacion_reserva", p.weeks_start, p.yesterday
+    lo, hi = _d(p.weeks_start), _d(p.yesterday)
+    sums = ", ".join(f"CAST(SUM({m}) AS BIGINT) AS {m}" for m in VTA_MEASURES)
+    sql = f"""
+    SELECT semana, hub, {sums}
+    FROM (
+      SELECT CAST(date_trunc('week', coalesce(fecha_venta_declarada, fecha_cancelacion_reserva)) AS DATE) AS semana,
+             coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, booking_id, {_vta_flags_sql()}
+      FROM {{b}}
+      WHERE {_base_where()}
+        AND (fecha_venta_declarada BETWEEN {lo} AND {hi} OR fecha_cancelacion_reserva BETWEEN {lo} AND {hi})
+      GROUP BY 1, 2, 3
     )
-    b = b.filter(win).withColumn("semana", week_of(F.coalesce("fecha_venta_declarada", "fecha_cancelacion_reserva")))
-    l1 = _vta_flags(b, ["semana", "hub"])
-    return l1.groupBy("semana", "hub").agg(*[F.sum(m).cast("bigint").alias(m) for m in VTA_MEASURES])
+    GROUP BY semana, hub
+    """
+    return bookings.sparkSession.sql(sql, b=bookings)
 
 
 def funnel_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> DataFrame:
     """R17 (J6): by (period, hub): the 12 stage measures and the 6 approved
     sale/cancel measures, 0 where a hub has none (one pass, no outer joins)."""
-    b = funnel_base(bookings)
     w = p.windows()
     items = []
     for k in kinds:
         lo, hi = w[k]
-        items += _stage_items(lo, hi, lambda _c, k=k: F.lit(k))
-        sold_or_cancelled = in_window("fecha_venta_declarada", lo, hi) | in_window("fecha_cancelacion_reserva", lo, hi)
-        items.append(F.when(sold_or_cancelled, F.named_struct(F.lit("stage"), F.lit("vta"), F.lit("period"), F.lit(k))))
-    ev = b.select(
-        "booking_id", "hub", "trade_in", "fecha_aprobacion", "fecha_venta_declarada", "fecha_cancelacion_reserva",
-        F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("t"),
-    ).select("*", F.col("t.stage").alias("stage"), F.col("t.period").alias("period_kind")).drop("t")
-    app = F.col("fecha_aprobacion").isNotNull()
-    sale = F.col("fecha_venta_declarada").isNotNull()
-    can = F.col("fecha_cancelacion_reserva").isNotNull()
-    ti = F.col("trade_in")
-    vta = F.col("stage") == "vta"
-    l1_aggs = [F.max((ti == 0).cast("int")).alias("_t0"), F.max((ti == 1).cast("int")).alias("_t1")]
-    for name, cond in (("vta_app", app & sale), ("cancel_app", app & can)):
-        for v, t in VARIANTS:
-            c = vta & cond if t is None else vta & cond & (ti == t)
-            l1_aggs.append(F.max(c.cast("int")).alias(f"_{name}_{v}"))
-    l1 = ev.groupBy("period_kind", "hub", "stage", "booking_id").agg(*l1_aggs)
-    l2 = l1.groupBy("period_kind", "hub").agg(
-        *_stage_sums(), *[F.sum(f"_{m}").cast("bigint").alias(m) for m in VTA_MEASURES]
+        items += _stage_items_sql(lo, hi, lambda _c, k=k: f"'{k}'")
+        sold_or_cancelled = (f"(fecha_venta_declarada BETWEEN {_d(lo)} AND {_d(hi)} "
+                             f"OR fecha_cancelacion_reserva BETWEEN {_d(lo)} AND {_d(hi)})")
+        items.append(f"CASE WHEN {sold_or_cancelled} THEN named_struct('stage', 'vta', 'period', '{k}') END")
+    vta_flags = _vta_flags_sql().replace("MAX(CAST(", "MAX(CAST(t.stage = 'vta' AND ").replace(" AS vta", " AS _vta").replace(
+        " AS cancel", " AS _cancel")
+    vta_sums = ", ".join(f"CAST(SUM(_{m}) AS BIGINT) AS {m}" for m in VTA_MEASURES)
+    sql = f"""
+    SELECT period_kind, hub, {_stage_sums_sql()}, {vta_sums}
+    FROM (
+      SELECT t.period AS period_kind, hub, t.stage AS stage, booking_id,
+             MAX(CAST(trade_in = 0 AS INT)) AS _t0, MAX(CAST(trade_in = 1 AS INT)) AS _t1, {vta_flags}
+      FROM (SELECT booking_id, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, trade_in,
+                   fecha_aprobacion, fecha_venta_declarada, fecha_cancelacion_reserva,
+                   array_compact(array({", ".join(items)})) AS ev
+            FROM {{b}} WHERE {_base_where()})
+      LATERAL VIEW explode(ev) e AS t
+      GROUP BY t.period, hub, t.stage, booking_id
     )
-    return l2
+    GROUP BY period_kind, hub
+    """
+    return bookings.sparkSession.sql(sql, b=bookings)
 
 
 def funnel_period(bookings: DataFrame, p: Params, kind: str) -> DataFrame:

@@ -130,6 +130,16 @@ KPI_PERIOD_MEASURES = [
 ]
 
 
+def _d(x) -> str:
+    return f"DATE'{x.isoformat()}'"
+
+
+def _method_sql():
+    fin = ", ".join(B.q(m) for m in B.FINANCING_METHODS)
+    kpi = ", ".join(B.q(m) for m in B.KPI_METHODS)
+    return f"metodo_de_pago IN ({fin})", f"metodo_de_pago = {B.q(B.CASH)}", f"metodo_de_pago IN ({kpi})"
+
+
 def kpi_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> DataFrame:
     """R12 (U1 + A11): per period and hub (plus ``__MX__``): sales/cancels
     by close date (listed methods) and bookings by origin date (any method).
@@ -138,38 +148,39 @@ def kpi_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> DataFr
     tagged with the (leg, period) pairs it belongs to and one aggregate
     serves all periods.
     """
-    FIN, CASH, EF = _flags()
+    fin, cash, kpi = _method_sql()
     w = p.windows()
-    b = _b2b0(bookings)
-    close = E.close_date()
-    closed_ok = (E.is_sale() | E.is_cancel()) & B.is_kpi_method()
+    close = "coalesce(fecha_venta_declarada, fecha_cancelacion_reserva)"
+    sale = "fecha_venta_declarada IS NOT NULL"
+    canc = "(fecha_cancelacion_reserva IS NOT NULL AND estimate_flag = 1)"
     items = []
     for k in kinds:
-        lo, hi = w[k]
-        items.append(F.when(closed_ok & in_window(close, lo, hi),
-                            F.named_struct(F.lit("leg"), F.lit("c"), F.lit("period_kind"), F.lit(k))))
-        items.append(F.when(in_window("fecha_origen", lo, hi),
-                            F.named_struct(F.lit("leg"), F.lit("o"), F.lit("period_kind"), F.lit(k))))
-    t = b.select(
-        B.hub_label().alias("hub"), F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("t"),
-        "metodo_de_pago", "estimate_flag", "fecha_venta_declarada", "fecha_cancelacion_reserva",
-    )
-    cl, o = F.col("t.leg") == "c", F.col("t.leg") == "o"
-    s, c = E.is_sale(), E.is_cancel()
-    g = t.groupBy(F.col("t.period_kind").alias("period_kind"), "hub").agg(
-        _count(cl & s, "ventas_total"),
-        _count(cl & s & FIN, "ventas_fin"),
-        _count(cl & s & CASH, "ventas_cash"),
-        _count(cl & c, "cancel_total"),
-        _count(cl & c & FIN, "cancel_fin"),
-        _count(cl & c & CASH, "cancel_cash"),
-        _count(o, "reservas_total"),
-        _count(o & FIN, "reservas_fin"),
-        _count(o & CASH, "reservas_cash"),
-        _count(o & EF, "reservas_netas"),
-        _count(o & EF & FIN, "reservas_netas_fin"),
-        _count(o & EF & CASH, "reservas_netas_cash"),
-    )
+        lo, hi = _d(w[k][0]), _d(w[k][1])
+        items.append(f"CASE WHEN ({sale} OR {canc}) AND {kpi} AND {close} BETWEEN {lo} AND {hi} "
+                     f"THEN named_struct('leg', 'c', 'period_kind', '{k}') END")
+        items.append(f"CASE WHEN fecha_origen BETWEEN {lo} AND {hi} "
+                     f"THEN named_struct('leg', 'o', 'period_kind', '{k}') END")
+    ef = "estimate_flag = 1"
+
+    def cnt(cond, name):
+        return f"COUNT(CASE WHEN {cond} THEN 1 END) AS {name}"
+
+    c, o = "t.leg = 'c'", "t.leg = 'o'"
+    aggs = ", ".join([
+        cnt(f"{c} AND {sale}", "ventas_total"), cnt(f"{c} AND {sale} AND {fin}", "ventas_fin"),
+        cnt(f"{c} AND {sale} AND {cash}", "ventas_cash"), cnt(f"{c} AND {canc}", "cancel_total"),
+        cnt(f"{c} AND {canc} AND {fin}", "cancel_fin"), cnt(f"{c} AND {canc} AND {cash}", "cancel_cash"),
+        cnt(o, "reservas_total"), cnt(f"{o} AND {fin}", "reservas_fin"), cnt(f"{o} AND {cash}", "reservas_cash"),
+        cnt(f"{o} AND {ef}", "reservas_netas"), cnt(f"{o} AND {ef} AND {fin}", "reservas_netas_fin"),
+        cnt(f"{o} AND {ef} AND {cash}", "reservas_netas_cash"),
+    ])
+    sql = f"""
+    SELECT t.period_kind AS period_kind, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, {aggs}
+    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0)
+    LATERAL VIEW explode(ev) e AS t
+    GROUP BY 1, 2
+    """
+    g = bookings.sparkSession.sql(sql, b=bookings)
     return with_country_total(g, ["period_kind"], "hub", KPI_PERIOD_MEASURES)
 
 
@@ -189,51 +200,54 @@ LAST_MONTH_MEASURES = [
 ]
 
 
-def _event_legs(bookings: DataFrame, lo, hi, legs: list[str]) -> DataFrame:
-    """Stack each booking's events in ``[lo, hi]`` as ``(leg, fecha)`` rows.
+def _leg_counts(bookings: DataFrame, lo, hi, legs: list[str], keys: list[str]) -> DataFrame:
+    """Stack each booking's events in ``[lo, hi]`` as ``(leg, fecha)`` and
+    count them per ``keys`` (``fecha`` and/or ``hub``) in one aggregate.
 
     Legs: ``v`` sale, ``e`` delivery, ``d`` return, ``c`` cancel (listed
     methods; cancels with estimate_flag=1) and ``r`` origin (any method).
     Each leg keeps its own filter, as the five reference queries do.
+    ``_live`` counts rows of any leg but returns (row presence, Q17/Q18),
+    ``_ve`` rows of sales or deliveries.
     """
-    FIN, CASH, EF = _flags()
-    m = B.is_kpi_method()
+    fin, cash, kpi = _method_sql()
     spec = {
-        "v": (F.col("fecha_venta_declarada"), m),
-        "e": (F.col("fecha_entrega"), m),
-        "d": (F.col("devolucion_date"), m),
-        "c": (F.col("fecha_cancelacion_reserva"), m & EF),
-        "r": (F.col("fecha_origen"), F.lit(True)),
+        "v": ("fecha_venta_declarada", kpi),
+        "e": ("fecha_entrega", kpi),
+        "d": ("devolucion_date", kpi),
+        "c": ("fecha_cancelacion_reserva", f"{kpi} AND estimate_flag = 1"),
+        "r": ("fecha_origen", "TRUE"),
     }
     items = [
-        F.when(cond & in_window(dt, lo, hi), F.named_struct(F.lit("leg"), F.lit(k), F.lit("fecha"), dt))
-        for k, (dt, cond) in spec.items()
-        if k in legs
+        f"CASE WHEN {cond} AND {col} BETWEEN {_d(lo)} AND {_d(hi)} THEN named_struct('leg', '{k}', 'fecha', {col}) END"
+        for k, (col, cond) in spec.items() if k in legs
     ]
-    return _b2b0(bookings).select(
-        B.hub_label().alias("hub"),
-        F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("t"),
-        "metodo_de_pago", "estimate_flag", "financing_provider",
-    ).select("hub", "t.leg", "t.fecha", "metodo_de_pago", "estimate_flag", "financing_provider")
-
-
-def _leg_counts(keys: list[str], ev: DataFrame) -> DataFrame:
-    FIN, CASH, EF = _flags()
-    leg = F.col("leg")
-    v, e, dv, c, r = (leg == x for x in ("v", "e", "d", "c", "r"))
-    kuna = F.col("financing_provider") == B.CAPTIVE_PROVIDER
-    return ev.groupBy(*keys).agg(
-        _count(v, "ventas_total"), _count(v & FIN, "ventas_fin"), _count(v & CASH, "ventas_cash"),
-        _count(v & kuna, "ventas_kuna"),
-        _count(e, "entregas_brutas"), _count(e & FIN, "entregas_fin"), _count(e & CASH, "entregas_cash"),
-        _count(e & kuna, "entregas_kuna"),
-        _count(dv, "devoluciones"),
-        _count(c, "cancel_total"), _count(c & FIN, "cancel_fin"), _count(c & CASH, "cancel_cash"),
-        _count(r & EF, "reservas_netas"), _count(r & EF & FIN, "reservas_netas_fin"),
-        _count(r & EF & CASH, "reservas_netas_cash"),
-        _count(leg != "d", "_live"),
-        _count(v | e, "_ve"),
-    )
+    kuna = f"financing_provider = {B.q(B.CAPTIVE_PROVIDER)}"
+    ef = "estimate_flag = 1"
+
+    def cnt(cond, name):
+        return f"COUNT(CASE WHEN {cond} THEN 1 END) AS {name}"
+
+    L = lambda x: f"t.leg = '{x}'"
+    aggs = ", ".join([
+        cnt(L("v"), "ventas_total"), cnt(f"{L('v')} AND {fin}", "ventas_fin"),
+        cnt(f"{L('v')} AND {cash}", "ventas_cash"), cnt(f"{L('v')} AND {kuna}", "ventas_kuna"),
+        cnt(L("e"), "entregas_brutas"), cnt(f"{L('e')} AND {fin}", "entregas_fin"),
+        cnt(f"{L('e')} AND {cash}", "entregas_cash"), cnt(f"{L('e')} AND {kuna}", "entregas_kuna"),
+        cnt(L("d"), "devoluciones"),
+        cnt(L("c"), "cancel_total"), cnt(f"{L('c')} AND {fin}", "cancel_fin"), cnt(f"{L('c')} AND {cash}", "cancel_cash"),
+        cnt(f"{L('r')} AND {ef}", "reservas_netas"), cnt(f"{L('r')} AND {ef} AND {fin}", "reservas_netas_fin"),
+        cnt(f"{L('r')} AND {ef} AND {cash}", "reservas_netas_cash"),
+        cnt("t.leg <> 'd'", "_live"), cnt("t.leg IN ('v', 'e')", "_ve"),
+    ])
+    key_sql = {"fecha": "t.fecha AS fecha", "hub": f"coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub"}
+    sql = f"""
+    SELECT {", ".join(key_sql[k] for k in keys)}, {aggs}
+    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0)
+    LATERAL VIEW explode(ev) e AS t
+    GROUP BY {", ".join(str(n + 1) for n in range(len(keys)))}
+    """
+    return bookings.sparkSession.sql(sql, b=bookings)
 
 
 def _net(eb: str = "entregas_brutas", dev: str = "devoluciones") -> Column:
@@ -252,8 +266,7 @@ def daily_hub(bookings: DataFrame, p: Params) -> DataFrame:
     The (date, hub) aggregate is consumed once: grouping sets over it add
     the per-date country rows, a window over hub marks the selling hubs.
     """
-    ev = _event_legs(bookings, p.daily_start, p.daily_end, ["v", "e", "d", "c", "r"])
-    g = _leg_counts(["fecha", "hub"], ev)
+    g = _leg_counts(bookings, p.daily_start, p.daily_end, ["v", "e", "d", "c", "r"], ["fecha", "hub"])
     sums = [c for c in g.columns if c not in ("fecha", "hub")]
     t = g.groupingSets([["fecha", "hub"], ["fecha"]], "fecha", "hub").agg(
         *[F.sum(c).alias(c) for c in sums], F.grouping("hub").alias("_gt")
@@ -273,8 +286,7 @@ def last_month_hub(bookings: DataFrame, p: Params) -> DataFrame:
     deliveries even for hubs without either. The country row comes from
     grouping sets over the small hub-level aggregate (none for empty input).
     """
-    ev = _event_legs(bookings, p.last_month_start, p.last_month_end, ["v", "e", "d"])
-    g = _leg_counts(["hub"], ev)
+    g = _leg_counts(bookings, p.last_month_start, p.last_month_end, ["v", "e", "d"], ["hub"])
     sums = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_kuna", "entregas_brutas", "entregas_fin",
             "entregas_kuna", "devoluciones", "_ve"]
     t = g.groupingSets([["hub"], []], "hub").agg(*[F.sum(c).alias(c) for c in sums], F.grouping("hub").alias("_gt"))
