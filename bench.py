@@ -70,7 +70,11 @@ def main():
     t0 = time.perf_counter()
     n_reports = full_refresh(b, i, P)
     refresh = time.perf_counter() - t0
-    sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    sf_name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        sf = float(sf_name)
+    except ValueError:
+        sf = sf_name
     print(json.dumps({
         "metric": "headline_reports_total",
         "value": round(sum(queries.values()), 4),

@@ -59,7 +59,10 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
             F.when(F.col("item_receipt_date").isNotNull(), B.aging_bucket("item_receipt_date", "fecha_reserva")),
         )
     if {"price", "coming_soon", "pix"} & set(dims):
-        rows = E.with_snapshot(rows, inventory, p.as_of)
+        needed = {"price": ["real_published_price"], "coming_soon": ["flag_coming_soon"],
+                  "pix": ["pix_financing", "pix_cash"]}
+        cols = [c for d in ("price", "coming_soon", "pix") if d in dims for c in needed[d]]
+        rows = E.with_snapshot(rows, inventory, p.as_of, columns=cols)
         snap = F.col("_snap")
         if "price" in dims:
             price = F.col("snap_real_published_price")

@@ -88,15 +88,23 @@ def first_receipt(inventory: DataFrame, as_of: date) -> DataFrame:
     )
 
 
-def daily_snapshot(inventory: DataFrame, as_of: date) -> DataFrame:
+def daily_snapshot(inventory: DataFrame, as_of: date, columns: list[str] | None = None) -> DataFrame:
     """Q8: exactly one snapshot row per (car, day).
 
     Duplicates keep the row that is smallest in column order
     (``SNAPSHOT_VALUE_COLUMNS``, nulls first). ``min(struct)`` is an ordinary
     aggregate, so it combines map-side, and its hash partitioning on
     (bk_stock, inv_date) is the one the (car, day) join needs anyway.
+
+    With ``columns``, only the prefix of the column order that covers them is
+    carried: the minimum's prefix is the prefix's minimum, so the values are
+    those of the same kept row, with a narrower shuffle.
     """
-    s = F.struct(*[F.col(c) for c in SNAPSHOT_VALUE_COLUMNS])
+    keep = SNAPSHOT_VALUE_COLUMNS
+    if columns:
+        last = max(SNAPSHOT_VALUE_COLUMNS.index(c) for c in columns)
+        keep = SNAPSHOT_VALUE_COLUMNS[: last + 1]
+    s = F.struct(*[F.col(c) for c in keep])
     return (
         snapshots_before(inventory, as_of)
         .groupBy("bk_stock", "inv_date")
@@ -136,16 +144,19 @@ def with_first_receipt(rows: DataFrame, inventory: DataFrame, as_of: date, how:
     return rows.join(fr, rows.stock_key == fr._fr_stock, how).drop("_fr_stock")
 
 
-def with_snapshot(rows: DataFrame, inventory: DataFrame, as_of: date, how: str = "left") -> DataFrame:
+def with_snapshot(rows: DataFrame, inventory: DataFrame, as_of: date, how: str = "left",
+                  columns: list[str] | None = None) -> DataFrame:
     """Attach the car's snapshot on the reservation day.
 
-    Adds ``_snap`` (true when a snapshot matched) and the snapshot columns.
+    Adds ``_snap`` (true when a snapshot matched) and the snapshot columns
+    (``columns``, default all), as ``snap_<column>``.
     """
-    snap = daily_snapshot(inventory, as_of).select(
+    snap = daily_snapshot(inventory, as_of, columns)
+    snap = snap.select(
         F.col("bk_stock").alias("_sn_stock"),
         F.col("inv_date").alias("_sn_date"),
         F.lit(True).alias("_snap"),
-        *[F.col(c).alias(f"snap_{c}") for c in SNAPSHOT_VALUE_COLUMNS],
+        *[F.col(c).alias(f"snap_{c}") for c in (columns or SNAPSHOT_VALUE_COLUMNS)],
     )
     cond = (F.col("stock_key") == F.col("_sn_stock")) & (F.col("fecha_reserva") == F.col("_sn_date"))
     out = rows.join(snap, cond, how).drop("_sn_stock", "_sn_date")
