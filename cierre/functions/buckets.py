@@ -16,7 +16,7 @@ FINANCING = "Financing"
 CASH = "Cash payment"
 # Neutral stand-in name of the captive financing method; it folds into FINANCING.
 FINANCING_CAPTIVE = "Financing Inhouse"
-# Neutral stand-in name of the captive financing provider (the "_kuna" counts).
+# Neutral stand-in name of the captive financing provider (the "_captive" counts).
 CAPTIVE_PROVIDER = "Captive"
 KPI_METHODS = [FINANCING, CASH, FINANCING_CAPTIVE]
 FINANCING_METHODS = [FINANCING, FINANCING_CAPTIVE]

@@ -190,13 +190,13 @@ def kpi_period(bookings: DataFrame, p: Params, kind: str) -> DataFrame:
 
 # --------------------------------------------------------------- R13/R14 ----
 DAILY_MEASURES = [
-    "ventas_total", "ventas_fin", "ventas_cash", "ventas_kuna", "cancel_total", "cancel_fin", "cancel_cash",
+    "ventas_total", "ventas_fin", "ventas_cash", "ventas_captive", "cancel_total", "cancel_fin", "cancel_cash",
     "reservas_netas", "reservas_netas_fin", "reservas_netas_cash", "entregas_brutas", "entregas_netas",
-    "entregas_fin", "entregas_cash", "entregas_kuna",
+    "entregas_fin", "entregas_cash", "entregas_captive",
 ]
 LAST_MONTH_MEASURES = [
-    "ventas_total", "ventas_fin", "ventas_cash", "ventas_kuna", "entregas_brutas", "entregas_netas",
-    "entregas_fin", "entregas_kuna",
+    "ventas_total", "ventas_fin", "ventas_cash", "ventas_captive", "entregas_brutas", "entregas_netas",
+    "entregas_fin", "entregas_captive",
 ]
 
 
@@ -222,7 +222,7 @@ def _leg_counts(bookings: DataFrame, lo, hi, legs: list[str], keys: list[str]) -
         f"CASE WHEN {cond} AND {col} BETWEEN {_d(lo)} AND {_d(hi)} THEN named_struct('leg', '{k}', 'fecha', {col}) END"
         for k, (col, cond) in spec.items() if k in legs
     ]
-    kuna = f"financing_provider = {B.q(B.CAPTIVE_PROVIDER)}"
+    captive = f"financing_provider = {B.q(B.CAPTIVE_PROVIDER)}"
     ef = "estimate_flag = 1"
 
     def cnt(cond, name):
@@ -231,9 +231,9 @@ def _leg_counts(bookings: DataFrame, lo, hi, legs: list[str], keys: list[str]) -
     L = lambda x: f"t.leg = '{x}'"
     aggs = ", ".join([
         cnt(L("v"), "ventas_total"), cnt(f"{L('v')} AND {fin}", "ventas_fin"),
-        cnt(f"{L('v')} AND {cash}", "ventas_cash"), cnt(f"{L('v')} AND {kuna}", "ventas_kuna"),
+        cnt(f"{L('v')} AND {cash}", "ventas_cash"), cnt(f"{L('v')} AND {captive}", "ventas_captive"),
         cnt(L("e"), "entregas_brutas"), cnt(f"{L('e')} AND {fin}", "entregas_fin"),
-        cnt(f"{L('e')} AND {cash}", "entregas_cash"), cnt(f"{L('e')} AND {kuna}", "entregas_kuna"),
+        cnt(f"{L('e')} AND {cash}", "entregas_cash"), cnt(f"{L('e')} AND {captive}", "entregas_captive"),
         cnt(L("d"), "devoluciones"),
         cnt(L("c"), "cancel_total"), cnt(f"{L('c')} AND {fin}", "cancel_fin"), cnt(f"{L('c')} AND {cash}", "cancel_cash"),
         cnt(f"{L('r')} AND {ef}", "reservas_netas"), cnt(f"{L('r')} AND {ef} AND {fin}", "reservas_netas_fin"),
@@ -287,8 +287,8 @@ def last_month_hub(bookings: DataFrame, p: Params) -> DataFrame:
     grouping sets over the small hub-level aggregate (none for empty input).
     """
     g = _leg_counts(bookings, p.last_month_start, p.last_month_end, ["v", "e", "d"], ["hub"])
-    sums = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_kuna", "entregas_brutas", "entregas_fin",
-            "entregas_kuna", "devoluciones", "_ve"]
+    sums = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_captive", "entregas_brutas", "entregas_fin",
+            "entregas_captive", "devoluciones", "_ve"]
     t = g.groupingSets([["hub"], []], "hub").agg(*[F.sum(c).alias(c) for c in sums], F.grouping("hub").alias("_gt"))
     hub = F.when(F.col("_gt") == 1, F.lit(B.COUNTRY_HUB)).otherwise(F.col("hub")).alias("hub")
     cols = [F.col(c) if c != "entregas_netas" else _net() for c in LAST_MONTH_MEASURES]

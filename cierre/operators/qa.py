@@ -49,12 +49,12 @@ def qa_period_totals(kpi_mtd: DataFrame, kpi_lmtd: DataFrame, last_month: DataFr
         return df.filter(F.col("hub") == B.COUNTRY_HUB).select(
             F.lit(name).alias("period"), "reservas_total", "reservas_netas", "ventas_total", "cancel_total",
             rate(F.col("ventas_total"), F.col("ventas_total") + F.col("cancel_total")).alias("str"),
-            nul.alias("entregas_netas"), nul.alias("entregas_kuna"),
+            nul.alias("entregas_netas"), nul.alias("entregas_captive"),
         )
 
     lm = last_month.filter(F.col("hub") == B.COUNTRY_HUB).select(
         F.lit("LM").alias("period"), nul.alias("reservas_total"), nul.alias("reservas_netas"), "ventas_total",
-        nul.alias("cancel_total"), F.lit(None).cast("double").alias("str"), "entregas_netas", "entregas_kuna",
+        nul.alias("cancel_total"), F.lit(None).cast("double").alias("str"), "entregas_netas", "entregas_captive",
     )
     return period(kpi_mtd, "MTD").unionByName(period(kpi_lmtd, "LMTD")).unionByName(lm)
 

@@ -123,9 +123,9 @@ def qa_period_totals_sql() -> str:
         sel.append(f"""SELECT '{name}' AS period, CAST(reservas_total AS BIGINT) AS reservas_total,
   CAST(reservas_netas AS BIGINT) AS reservas_netas, CAST(ventas_total AS BIGINT) AS ventas_total,
   CAST(cancel_total AS BIGINT) AS cancel_total, {rate('ventas_total', 'ventas_total + cancel_total')} AS str,
-  CAST(NULL AS BIGINT) AS entregas_netas, CAST(NULL AS BIGINT) AS entregas_kuna
+  CAST(NULL AS BIGINT) AS entregas_netas, CAST(NULL AS BIGINT) AS entregas_captive
 FROM ({body}) WHERE hub = '__MX__'""")
-    sel.append(f"""SELECT 'LM', NULL, NULL, ventas_total, NULL, CAST(NULL AS DOUBLE), entregas_netas, entregas_kuna
+    sel.append(f"""SELECT 'LM', NULL, NULL, ventas_total, NULL, CAST(NULL AS DOUBLE), entregas_netas, entregas_captive
 FROM ({lm_body}) WHERE hub = '__MX__'""")
     return with_base(parts[0][0], parts[1][0], lm_ctes, body="\nUNION ALL\n".join(sel))
 

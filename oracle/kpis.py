@@ -111,10 +111,10 @@ def _leg(name, col, lo, hi, measures, method_filter=True, extra=""):
   GROUP BY 1, 2)"""
 
 
-KUNA = "b.financing_provider = 'Captive'"
-DV = f"COUNT(*) AS ventas_total, {cnt(FIN)} AS ventas_fin, {cnt(CASH)} AS ventas_cash, {cnt(KUNA)} AS ventas_kuna"
+CAPTIVE_PROV = "b.financing_provider = 'Captive'"
+DV = f"COUNT(*) AS ventas_total, {cnt(FIN)} AS ventas_fin, {cnt(CASH)} AS ventas_cash, {cnt(CAPTIVE_PROV)} AS ventas_captive"
 DE = (f"COUNT(*) AS entregas_brutas, {cnt(FIN)} AS entregas_fin, {cnt(CASH)} AS entregas_cash, "
-      f"{cnt(KUNA)} AS entregas_kuna")
+      f"{cnt(CAPTIVE_PROV)} AS entregas_captive")
 DD = "COUNT(*) AS devoluciones"
 DC = f"COUNT(*) AS cancel_total, {cnt(FIN)} AS cancel_fin, {cnt(CASH)} AS cancel_cash"
 DR = (f"{cnt('b.estimate_flag = 1')} AS reservas_netas, {cnt('b.estimate_flag = 1 AND ' + FIN)} AS reservas_netas_fin, "
@@ -135,7 +135,7 @@ dates AS (SELECT fecha FROM dv UNION SELECT fecha FROM de UNION SELECT fecha FRO
 kk AS (SELECT fecha, hub FROM dv UNION SELECT fecha, hub FROM de UNION SELECT fecha, hub FROM dc
        UNION SELECT fecha, hub FROM dr)"""
     cols = """COALESCE(v.ventas_total, 0) AS ventas_total, COALESCE(v.ventas_fin, 0) AS ventas_fin,
-  COALESCE(v.ventas_cash, 0) AS ventas_cash, COALESCE(v.ventas_kuna, 0) AS ventas_kuna,
+  COALESCE(v.ventas_cash, 0) AS ventas_cash, COALESCE(v.ventas_captive, 0) AS ventas_captive,
   COALESCE(c.cancel_total, 0) AS cancel_total, COALESCE(c.cancel_fin, 0) AS cancel_fin,
   COALESCE(c.cancel_cash, 0) AS cancel_cash,
   COALESCE(r.reservas_netas, 0) AS reservas_netas, COALESCE(r.reservas_netas_fin, 0) AS reservas_netas_fin,
@@ -143,7 +143,7 @@ kk AS (SELECT fecha, hub FROM dv UNION SELECT fecha, hub FROM de UNION SELECT fe
   COALESCE(e.entregas_brutas, 0) AS entregas_brutas,
   GREATEST(0, COALESCE(e.entregas_brutas, 0) - COALESCE(dd.devoluciones, 0)) AS entregas_netas,
   COALESCE(e.entregas_fin, 0) AS entregas_fin, COALESCE(e.entregas_cash, 0) AS entregas_cash,
-  COALESCE(e.entregas_kuna, 0) AS entregas_kuna"""
+  COALESCE(e.entregas_captive, 0) AS entregas_captive"""
     hubrows = f"""hubrows AS (
   SELECT k.fecha, k.hub, {cols}
   FROM kk k JOIN hubs USING (hub)
@@ -157,8 +157,8 @@ kk AS (SELECT fecha, hub FROM dv UNION SELECT fecha, hub FROM de UNION SELECT fe
         return f"mx_{src} AS (SELECT fecha, " + ", ".join(f"SUM({m}) AS {m}" for m in ms) + f" FROM {src} GROUP BY fecha)"
 
     mxs = ",\n".join([
-        mx("dv", ["ventas_total", "ventas_fin", "ventas_cash", "ventas_kuna"]),
-        mx("de", ["entregas_brutas", "entregas_fin", "entregas_cash", "entregas_kuna"]),
+        mx("dv", ["ventas_total", "ventas_fin", "ventas_cash", "ventas_captive"]),
+        mx("de", ["entregas_brutas", "entregas_fin", "entregas_cash", "entregas_captive"]),
         mx("dd", ["devoluciones"]),
         mx("dc", ["cancel_total", "cancel_fin", "cancel_cash"]),
         mx("dr", ["reservas_netas", "reservas_netas_fin", "reservas_netas_cash"]),
@@ -171,9 +171,9 @@ kk AS (SELECT fecha, hub FROM dv UNION SELECT fecha, hub FROM de UNION SELECT fe
   LEFT JOIN mx_dd dd ON dd.fecha = t.fecha
   LEFT JOIN mx_dc c ON c.fecha = t.fecha
   LEFT JOIN mx_dr r ON r.fecha = t.fecha)"""
-    ms = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_kuna", "cancel_total", "cancel_fin", "cancel_cash",
+    ms = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_captive", "cancel_total", "cancel_fin", "cancel_cash",
           "reservas_netas", "reservas_netas_fin", "reservas_netas_cash", "entregas_brutas", "entregas_netas",
-          "entregas_fin", "entregas_cash", "entregas_kuna"]
+          "entregas_fin", "entregas_cash", "entregas_captive"]
     casted = ", ".join(f"CAST({m} AS BIGINT) AS {m}" for m in ms)
     body = f"SELECT fecha, hub, {casted} FROM (SELECT * FROM hubrows UNION ALL SELECT * FROM mxrows)"
     return with_base(*legs, keys, hubrows, mxs, mxrows, body=body)
@@ -192,26 +192,26 @@ def last_month_hub_sql() -> str:
 
     legs = [
         leg("lmv", "fecha_venta_declarada", DV),
-        leg("lme", "fecha_entrega", f"COUNT(*) AS entregas_brutas, {cnt(FIN)} AS entregas_fin, {cnt(KUNA)} AS entregas_kuna"),
+        leg("lme", "fecha_entrega", f"COUNT(*) AS entregas_brutas, {cnt(FIN)} AS entregas_fin, {cnt(CAPTIVE_PROV)} AS entregas_captive"),
         leg("lmd", "devolucion_date", DD),
     ]
     allh = """withmx AS (
-  SELECT hub, ventas_total, ventas_fin, ventas_cash, ventas_kuna, 0 AS entregas_brutas, 0 AS entregas_fin,
-         0 AS entregas_kuna, 0 AS devoluciones, 1 AS ve FROM lmv
-  UNION ALL SELECT hub, 0, 0, 0, 0, entregas_brutas, entregas_fin, entregas_kuna, 0, 1 FROM lme
+  SELECT hub, ventas_total, ventas_fin, ventas_cash, ventas_captive, 0 AS entregas_brutas, 0 AS entregas_fin,
+         0 AS entregas_captive, 0 AS devoluciones, 1 AS ve FROM lmv
+  UNION ALL SELECT hub, 0, 0, 0, 0, entregas_brutas, entregas_fin, entregas_captive, 0, 1 FROM lme
   UNION ALL SELECT hub, 0, 0, 0, 0, 0, 0, 0, devoluciones, 0 FROM lmd),
 tagged AS (
   SELECT hub, * EXCLUDE (hub) FROM withmx
   UNION ALL SELECT '__MX__', * EXCLUDE (hub) FROM withmx),
 h AS (
   SELECT hub, SUM(ventas_total) AS ventas_total, SUM(ventas_fin) AS ventas_fin, SUM(ventas_cash) AS ventas_cash,
-    SUM(ventas_kuna) AS ventas_kuna, SUM(entregas_brutas) AS entregas_brutas, SUM(entregas_fin) AS entregas_fin,
-    SUM(entregas_kuna) AS entregas_kuna, SUM(devoluciones) AS devoluciones, SUM(ve) AS ve
+    SUM(ventas_captive) AS ventas_captive, SUM(entregas_brutas) AS entregas_brutas, SUM(entregas_fin) AS entregas_fin,
+    SUM(entregas_captive) AS entregas_captive, SUM(devoluciones) AS devoluciones, SUM(ve) AS ve
   FROM tagged GROUP BY hub)"""
     body = """SELECT hub, CAST(ventas_total AS BIGINT) AS ventas_total, CAST(ventas_fin AS BIGINT) AS ventas_fin,
-  CAST(ventas_cash AS BIGINT) AS ventas_cash, CAST(ventas_kuna AS BIGINT) AS ventas_kuna,
+  CAST(ventas_cash AS BIGINT) AS ventas_cash, CAST(ventas_captive AS BIGINT) AS ventas_captive,
   CAST(entregas_brutas AS BIGINT) AS entregas_brutas,
   CAST(GREATEST(0, entregas_brutas - devoluciones) AS BIGINT) AS entregas_netas,
-  CAST(entregas_fin AS BIGINT) AS entregas_fin, CAST(entregas_kuna AS BIGINT) AS entregas_kuna
+  CAST(entregas_fin AS BIGINT) AS entregas_fin, CAST(entregas_captive AS BIGINT) AS entregas_captive
 FROM h WHERE ve > 0"""
     return with_base(*legs, allh, body=body)

@@ -71,7 +71,7 @@ def test_last_month_hub_set_and_country_net(spark):
     r = rows_by(K.last_month_hub(b, P), "hub")
     assert set(r) == {("A",), ("__MX__",)}
     assert r[("__MX__",)]["entregas_netas"] == 0 and r[("A",)]["entregas_netas"] == 1
-    assert r[("A",)]["entregas_kuna"] == 1
+    assert r[("A",)]["entregas_captive"] == 1
 
 
 def test_last_month_empty(spark):
