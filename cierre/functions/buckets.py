@@ -155,15 +155,26 @@ def ti_flag(trade_in="trade_in") -> Column:
     return F.when(_col(trade_in) == 1, F.lit(TI_WITH)).otherwise(F.lit(TI_WITHOUT))
 
 
+def region_sql(n: str) -> str:
+    """SQL text of :func:`region_of_hub` for the SQL column reference ``n``."""
+    whens = " ".join(
+        "WHEN " + " OR ".join(f"{n} ILIKE {q(p + '%')}" for p in prefixes) + f" THEN {q(code)}"
+        for code, prefixes in REGION_PREFIXES
+    )
+    return f"CASE {whens} END"
+
+
+def edges_sql(value_sql: str, buckets, top: str) -> str:
+    """SQL text of a bucket chain ``value < edge`` (first match), else ``top``."""
+    whens = " ".join(f"WHEN {value_sql} < {edge!r} THEN {q(label)}" for edge, label in buckets)
+    return f"CASE {whens} ELSE {q(top)} END"
+
+
 def region_of_hub(hub="reservation_hub_name") -> Column:
     """City prefix of the hub name -> region code, else null."""
     n = _name(hub)
     if n is not None:
-        whens = " ".join(
-            "WHEN " + " OR ".join(f"{n} ILIKE {q(p + '%')}" for p in prefixes) + f" THEN {q(code)}"
-            for code, prefixes in REGION_PREFIXES
-        )
-        return F.expr(f"CASE {whens} END")
+        return F.expr(region_sql(n))
     h = _col(hub)
     expr = None
     for code, prefixes in REGION_PREFIXES:
@@ -192,8 +203,7 @@ def stock_region_names() -> list[str]:
 
 
 def _edges_sql(value_sql: str, buckets, top: str) -> Column:
-    whens = " ".join(f"WHEN {value_sql} < {edge!r} THEN {q(label)}" for edge, label in buckets)
-    return F.expr(f"CASE {whens} ELSE {q(top)} END")
+    return F.expr(edges_sql(value_sql, buckets, top))
 
 
 def _edges(value: Column, buckets, top: str) -> Column:

@@ -44,42 +44,76 @@ def data_window_start(p: Params, grains: list[str]):
     return min(starts)
 
 
+def _closed_where(lo, hi) -> str:
+    """P4 + P3 in SQL: closed rows with close date in ``[lo, hi]``, the range
+    also stated per column so that it reaches the Parquet scan."""
+    lo_s, hi_s = f"DATE'{lo.isoformat()}'", f"DATE'{hi.isoformat()}'"
+    sale, can = "fecha_venta_declarada", "fecha_cancelacion_reserva"
+    return (
+        f"b2b = 0 AND ({sale} IS NOT NULL OR ({can} IS NOT NULL AND estimate_flag = 1)) "
+        f"AND ({sale} >= {lo_s} OR {can} >= {lo_s}) AND ({sale} <= {hi_s} OR {can} <= {hi_s}) "
+        f"AND coalesce({sale}, {can}) BETWEEN {lo_s} AND {hi_s}"
+    )
+
+
 def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
     """Closed rows of the data window with one ``dim_<name>`` column per
     requested dimension; a null value means "not in this dimension" (what
-    the reference's inner joins and ``HAVING ... IS NOT NULL`` drop)."""
-    rows = E.closed_rows(bookings, data_window_start(p, grains), p.yesterday)
-    cols = ["metodo_de_pago", "reservation_hub_name", "stock_key", "fecha_reserva", "close_date", "venta", "cancel"]
-    rows = rows.select(*cols)
+    the reference's inner joins and ``HAVING ... IS NOT NULL`` drop).
+
+    One SQL statement over the bookings and the snapshot-derived frames it
+    needs (J1 first receipt, J2 day snapshot, J3 region lookups), all left
+    joins that cannot fan out.
+    """
+    frames = {"b": bookings}
+    cols = ["b.metodo_de_pago", "b.reservation_hub_name", "b.stock_key", "b.fecha_reserva",
+            "coalesce(b.fecha_venta_declarada, b.fecha_cancelacion_reserva) AS close_date",
+            "CAST(b.fecha_venta_declarada IS NOT NULL AS INT) AS venta",
+            "CAST(b.fecha_cancelacion_reserva IS NOT NULL AND b.estimate_flag = 1 AS INT) AS cancel"]
+    joins = []
     if "region" in dims:
-        rows = rows.withColumn("dim_region", B.region_of_hub("reservation_hub_name"))
+        cols.append(f"{B.region_sql('b.reservation_hub_name')} AS dim_region")
     if "aging" in dims:
-        rows = E.with_first_receipt(rows, inventory, p.as_of).withColumn(
-            "dim_aging",
-            F.when(F.col("item_receipt_date").isNotNull(), B.aging_bucket("item_receipt_date", "fecha_reserva")),
-        )
-    if {"price", "coming_soon", "pix"} & set(dims):
+        frames["fr"] = E.first_receipt(inventory, p.as_of)
+        joins.append("LEFT JOIN {fr} fr ON fr.bk_stock = b.stock_key")
+        aging = B.edges_sql("datediff(b.fecha_reserva, fr.item_receipt_date)", B.AGING_BUCKETS, B.AGING_TOP)
+        cols.append(f"CASE WHEN fr.item_receipt_date IS NOT NULL THEN {aging} END AS dim_aging")
+    snap_dims = [d for d in ("price", "coming_soon", "pix") if d in dims]
+    if snap_dims:
         needed = {"price": ["real_published_price"], "coming_soon": ["flag_coming_soon"],
                   "pix": ["pix_financing", "pix_cash"]}
-        cols = [c for d in ("price", "coming_soon", "pix") if d in dims for c in needed[d]]
-        rows = E.with_snapshot(rows, inventory, p.as_of, columns=cols)
-        snap = F.col("_snap")
+        frames["sn"] = E.daily_snapshot(inventory, p.as_of, [c for d in snap_dims for c in needed[d]])
+        joins.append("LEFT JOIN {sn} sn ON sn.bk_stock = b.stock_key AND sn.inv_date = b.fecha_reserva")
+        matched = "sn.bk_stock IS NOT NULL"
         if "price" in dims:
-            price = F.col("snap_real_published_price")
-            rows = rows.withColumn("dim_price", F.when(snap & price.isNotNull(), B.price_bucket(price)))
+            price = B.edges_sql("sn.real_published_price", B.PRICE_BUCKETS, B.PRICE_TOP)
+            cols.append(f"CASE WHEN {matched} AND sn.real_published_price IS NOT NULL THEN {price} END AS dim_price")
         if "coming_soon" in dims:
-            rows = rows.withColumn("dim_coming_soon", F.when(snap, B.coming_soon_label("snap_flag_coming_soon")))
+            cols.append(f"CASE WHEN {matched} THEN CASE WHEN sn.flag_coming_soon = 1 THEN {B.q(B.COMING_SOON_YES)} "
+                        f"ELSE {B.q(B.COMING_SOON_NO)} END END AS dim_coming_soon")
         if "pix" in dims:
-            pf, pc = F.col("snap_pix_financing"), F.col("snap_pix_cash")
-            value = B.pix_value("metodo_de_pago", pf, pc)
-            rows = rows.withColumn(
-                "dim_pix", F.when(snap & (pf.isNotNull() | pc.isNotNull()), B.pix_bucket(value))
-            )
+            fin = ", ".join(B.q(m) for m in B.FINANCING_METHODS)
+            value = (f"CASE WHEN b.metodo_de_pago IN ({fin}) THEN sn.pix_financing "
+                     f"WHEN b.metodo_de_pago = {B.q(B.CASH)} THEN sn.pix_cash "
+                     f"ELSE coalesce(sn.pix_financing, sn.pix_cash) END")
+            pix = B.edges_sql(f"({value})", B.PIX_BUCKETS, B.PIX_TOP)
+            cols.append(f"CASE WHEN {matched} AND (sn.pix_financing IS NOT NULL OR sn.pix_cash IS NOT NULL) "
+                        f"THEN {pix} END AS dim_pix")
     if "stock_region" in dims:
-        rows = E.with_stock_region(rows, inventory, p.as_of).withColumn(
-            "dim_stock_region", B.stock_region_code("stock_region_asof")
-        )
-    return rows
+        vel = E.stock_region_daily(inventory, p.as_of)
+        frames["vel"], frames["lt"] = vel, E.latest_stock_region(vel)
+        joins += [
+            "LEFT JOIN {vel} c0 ON c0.bk_stock = b.stock_key AND c0.inv_date = b.fecha_reserva",
+            "LEFT JOIN {vel} c1 ON c1.bk_stock = b.stock_key AND c1.inv_date = date_sub(b.fecha_reserva, 1)",
+            "LEFT JOIN {lt} c2 ON c2.bk_stock = b.stock_key",
+        ]
+        whens = " ".join(f"WHEN {B.q(a)} THEN {B.q(c)}" for a, c in B.STOCK_REGION_CODES)
+        cols.append(f"CASE coalesce(c0.stock_region, c1.stock_region, c2.stock_region) {whens} END AS dim_stock_region")
+    where = _closed_where(data_window_start(p, grains), p.yesterday).replace("b2b", "b.b2b")
+    for c in ("fecha_venta_declarada", "fecha_cancelacion_reserva", "estimate_flag"):
+        where = where.replace(c, f"b.{c}")
+    sql = f"SELECT {', '.join(cols)} FROM {{b}} b {' '.join(joins)} WHERE {where}"
+    return bookings.sparkSession.sql(sql, **frames)
 
 
 def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
