@@ -27,14 +27,6 @@ def month_key(d) -> Column:
     return F.date_format(_col(d), "yyyy-MM")
 
 
-def day_key(d) -> Column:
-    return F.date_format(_col(d), "yyyy-MM-dd")
-
-
-def lit_date(d: date) -> Column:
-    return F.lit(d)
-
-
 def in_window(d, lo: date, hi: date) -> Column:
     """Closed range ``lo <= d <= hi`` on DATEs (false when empty)."""
     c = _col(d)

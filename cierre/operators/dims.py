@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cierre.functions import buckets as B
-from cierre.functions.dates import month_key
 from cierre.functions.rates import delta_pp, rate
 from cierre.params import Params
 from cierre.plans import enrich as E
@@ -316,15 +315,6 @@ def pivot_weeks(report: DataFrame, p: Params, week_values) -> DataFrame:
     return wide.join(d, ["method", "dim"], "left")
 
 
-def pivot_months(report: DataFrame, p: Params) -> DataFrame:
-    """O4 for a monthly report: the four ``yyyy-MM`` month columns + ``mom_delta``."""
-    wide = report.withColumn("_col", month_key("period")).groupBy("method", "dim").pivot(
-        "_col", p.month_keys
-    ).agg(F.first("str"))
-    d = last_two(report, "month").select("method", "dim", F.col("delta").alias("mom_delta"))
-    return wide.join(d, ["method", "dim"], "left")
-
-
 def with_dim_order(report: DataFrame, dim: str) -> DataFrame:
     """Ordinal of each bucket in its fixed order, for sorting at the
     sink (``orderBy`` on it only where output order matters)."""

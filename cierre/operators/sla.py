@@ -15,7 +15,6 @@ from cierre.functions import buckets as B
 from cierre.functions.dates import month_key
 from cierre.functions.rates import mean_rounded, weighted_mean
 from cierre.params import Params
-from cierre.plans.totals import attach_one_row
 
 
 def scoped(df: DataFrame) -> DataFrame:

@@ -138,31 +138,6 @@ def latest_stock_region(vel: DataFrame) -> DataFrame:
     )
 
 
-def with_first_receipt(rows: DataFrame, inventory: DataFrame, as_of: date, how: str = "left") -> DataFrame:
-    """Attach the car's first receipt date (inner: drop cars without)."""
-    fr = first_receipt(inventory, as_of).withColumnRenamed("bk_stock", "_fr_stock")
-    return rows.join(fr, rows.stock_key == fr._fr_stock, how).drop("_fr_stock")
-
-
-def with_snapshot(rows: DataFrame, inventory: DataFrame, as_of: date, how: str = "left",
-                  columns: list[str] | None = None) -> DataFrame:
-    """Attach the car's snapshot on the reservation day.
-
-    Adds ``_snap`` (true when a snapshot matched) and the snapshot columns
-    (``columns``, default all), as ``snap_<column>``.
-    """
-    snap = daily_snapshot(inventory, as_of, columns)
-    snap = snap.select(
-        F.col("bk_stock").alias("_sn_stock"),
-        F.col("inv_date").alias("_sn_date"),
-        F.lit(True).alias("_snap"),
-        *[F.col(c).alias(f"snap_{c}") for c in (columns or SNAPSHOT_VALUE_COLUMNS)],
-    )
-    cond = (F.col("stock_key") == F.col("_sn_stock")) & (F.col("fecha_reserva") == F.col("_sn_date"))
-    out = rows.join(snap, cond, how).drop("_sn_stock", "_sn_date")
-    return out.withColumn("_snap", F.coalesce(F.col("_snap"), F.lit(False)))
-
-
 def with_stock_region(rows: DataFrame, inventory: DataFrame, as_of: date) -> DataFrame:
     """Region on the reservation day, else the day before, else the
     latest known; first non-null wins. Adds ``stock_region_asof``.
