@@ -48,6 +48,15 @@ def _base_where() -> str:
     return f"b2b = 0 AND metodo_de_pago IN ({fin}) AND estimate_flag = 1"
 
 
+def _any_in(columns: list[str], lo, hi) -> str:
+    """Implied row predicate "some event date in [lo, hi]": rows without one
+    emit no event, and the per-column ranges reach the Parquet scan."""
+    return "(" + " OR ".join(f"{c} BETWEEN {_d(lo)} AND {_d(hi)}" for c in columns) + ")"
+
+
+STAGE_DATES = ["fecha_handoff", "fecha_aprobacion", "fecha_cancelacion_reserva"]
+
+
 def _stage_items_sql(lo, hi, period) -> list[str]:
     """(stage, period) structs of a row for the window [lo, hi]; ``period``
     maps the event-date column name to the period SQL."""
@@ -87,7 +96,7 @@ def funnel_weekly(bookings: DataFrame, p: Params) -> DataFrame:
              MAX(CAST(trade_in = 0 AS INT)) AS _t0, MAX(CAST(trade_in = 1 AS INT)) AS _t1
       FROM (SELECT booking_id, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, trade_in,
                    array_compact(array({", ".join(items)})) AS ev
-            FROM {{b}} WHERE {_base_where()})
+            FROM {{b}} WHERE {_base_where()} AND {_any_in(STAGE_DATES, p.weeks_start, p.yesterday)})
       LATERAL VIEW explode(ev) e AS t
       GROUP BY t.period, hub, t.stage, booking_id
     )
@@ -141,6 +150,7 @@ def funnel_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> Dat
     vta_flags = _vta_flags_sql().replace("MAX(CAST(", "MAX(CAST(t.stage = 'vta' AND ").replace(" AS vta", " AS _vta").replace(
         " AS cancel", " AS _cancel")
     vta_sums = ", ".join(f"CAST(SUM(_{m}) AS BIGINT) AS {m}" for m in VTA_MEASURES)
+    lo_all, hi_all = min(w[k][0] for k in kinds), max(w[k][1] for k in kinds)
     sql = f"""
     SELECT period_kind, hub, {_stage_sums_sql()}, {vta_sums}
     FROM (
@@ -149,7 +159,7 @@ def funnel_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> Dat
       FROM (SELECT booking_id, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, trade_in,
                    fecha_aprobacion, fecha_venta_declarada, fecha_cancelacion_reserva,
                    array_compact(array({", ".join(items)})) AS ev
-            FROM {{b}} WHERE {_base_where()})
+            FROM {{b}} WHERE {_base_where()} AND {_any_in(STAGE_DATES + ["fecha_venta_declarada"], lo_all, hi_all)})
       LATERAL VIEW explode(ev) e AS t
       GROUP BY t.period, hub, t.stage, booking_id
     )

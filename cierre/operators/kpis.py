@@ -174,9 +174,12 @@ def kpi_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> DataFr
         cnt(f"{o} AND {ef}", "reservas_netas"), cnt(f"{o} AND {ef} AND {fin}", "reservas_netas_fin"),
         cnt(f"{o} AND {ef} AND {cash}", "reservas_netas_cash"),
     ])
+    lo_all, hi_all = _d(min(w[k][0] for k in kinds)), _d(max(w[k][1] for k in kinds))
+    implied = " OR ".join(f"{c} BETWEEN {lo_all} AND {hi_all}"
+                          for c in ("fecha_venta_declarada", "fecha_cancelacion_reserva", "fecha_origen"))
     sql = f"""
     SELECT t.period_kind AS period_kind, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, {aggs}
-    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0)
+    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0 AND ({implied}))
     LATERAL VIEW explode(ev) e AS t
     GROUP BY 1, 2
     """
@@ -241,9 +244,10 @@ def _leg_counts(bookings: DataFrame, lo, hi, legs: list[str], keys: list[str]) -
         cnt("t.leg <> 'd'", "_live"), cnt("t.leg IN ('v', 'e')", "_ve"),
     ])
     key_sql = {"fecha": "t.fecha AS fecha", "hub": f"coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub"}
+    implied = " OR ".join(f"{spec[k][0]} BETWEEN {_d(lo)} AND {_d(hi)}" for k in legs)
     sql = f"""
     SELECT {", ".join(key_sql[k] for k in keys)}, {aggs}
-    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0)
+    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0 AND ({implied}))
     LATERAL VIEW explode(ev) e AS t
     GROUP BY {", ".join(str(n + 1) for n in range(len(keys)))}
     """

@@ -42,7 +42,11 @@ def sla_dataset(bookings: DataFrame, p: Params) -> DataFrame:
         )
         for name, start, end in SLA_STAGES
     ]
-    ev = _base(bookings).select(
+    implied = None
+    for _, _, end in SLA_STAGES:
+        c = in_window(end, p.weeks_start, p.yesterday)
+        implied = c if implied is None else implied | c
+    ev = _base(bookings).filter(implied).select(
         B.hub_label().alias("hub"), B.ti_flag().alias("ti_flag"),
         F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("t"),
     )
@@ -87,7 +91,11 @@ def profile_dataset(bookings: DataFrame, p: Params) -> DataFrame:
                F.named_struct(F.lit("stage"), F.lit(name), F.lit("semana"), week_of(dt)))
         for name, dt, cond in spec
     ]
-    ev = _base(bookings).select(
+    implied = None
+    for _, dt, _ in spec:
+        c = in_window(dt, p.weeks_start, p.yesterday)
+        implied = c if implied is None else implied | c
+    ev = _base(bookings).filter(implied).select(
         "booking_id", B.hub_label().alias("hub"), B.ti_flag().alias("ti_flag"), "perfil",
         F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("t"),
     ).select("booking_id", "hub", "ti_flag", "perfil", F.col("t.stage").alias("stage"), F.col("t.semana").alias("semana"))

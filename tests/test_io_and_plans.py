@@ -75,3 +75,12 @@ def test_entry_and_registry_contract(spark):
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
     assert set(q) - set(sql) == {"dataset_presence"}
+
+
+def test_funnel_event_dates_pushed_to_parquet(stored):
+    from cierre.operators import funnel as FN
+
+    b, _ = stored
+    plan = FN.funnel_weekly(b, P)._jdf.queryExecution().sparkPlan().toString()
+    pushed = plan.split("PushedFilters")[1][:1200]
+    assert "fecha_handoff" in pushed and "fecha_cancelacion_reserva" in pushed
