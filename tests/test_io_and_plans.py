@@ -77,10 +77,25 @@ def test_entry_and_registry_contract(spark):
     assert set(q) - set(sql) == {"dataset_presence"}
 
 
-def test_funnel_event_dates_pushed_to_parquet(stored):
+def _formatted(spark, df) -> str:
+    import contextlib
+    import io
+
+    old = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        return buf.getvalue()
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", old)
+
+
+def test_funnel_event_dates_pushed_to_parquet(spark, stored):
     from cierre.operators import funnel as FN
 
     b, _ = stored
-    plan = FN.funnel_weekly(b, P)._jdf.queryExecution().sparkPlan().toString()
-    pushed = plan.split("PushedFilters")[1][:1200]
-    assert "fecha_handoff" in pushed and "fecha_cancelacion_reserva" in pushed
+    plan = _formatted(spark, FN.funnel_weekly(b, P))
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert pushed and "fecha_handoff" in pushed[0] and "fecha_cancelacion_reserva" in pushed[0]
