@@ -235,6 +235,52 @@ def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> D
     return counts.sparkSession.sql(sql, grid=grid)
 
 
+def report(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str] = DIMS,
+           grains: list[str] = ("week", "month")) -> DataFrame:
+    """All dimension reports (R1-R7) of one ``as_of`` as one long DataFrame:
+    ``report, grain, method, dim, period_kind, period, ventas,
+    cancelaciones, str, mix``.
+
+    One scan of the bookings, one enrichment, one aggregate and one pass of
+    window flags for every (dimension, grain): the dense grid of all reports
+    together is still bounded by labels x methods x calendar periods, so it
+    moves to a single partition and the flags need no further shuffles. The
+    country rows (``MX``) feed the two fixed-list reports.
+    """
+    grains = list(grains)
+    counts = dim_counts(enrich_dims(bookings, inventory, p, dims, grains), p, dims, grains)
+    grid = counts.repartition(1)
+    fixed = [d for d in dims if d in FIXED_DIMS]
+    mixed = ", ".join(f"'{d}'" for d in dims if d in MIX_DIMS) or "''"
+    country_reports = "array(" + ", ".join(f"'{d}'" for d in fixed) + ")" if fixed else "array()"
+    closed = "(ventas + cancelaciones)"
+    sql = f"""
+    SELECT report, grain, method, dim, period_kind, period, ventas, cancelaciones,
+           CASE WHEN {closed} > 0 THEN CAST(FLOOR((ventas * 2000 + {closed}) / ({closed} * 2)) AS DOUBLE) / 10 END AS str,
+           CASE WHEN report IN ({mixed}) AND _total > 0
+                THEN CAST(FLOOR(({closed} * 2000 + _total) / (_total * 2)) AS DOUBLE) / 10 END AS mix
+    FROM (
+      SELECT *, SUM({closed}) OVER (PARTITION BY report, method, period_kind, period) AS _total
+      FROM (
+        SELECT g.*, r AS report
+        FROM (
+          SELECT *,
+            CASE WHEN period_kind = 'month' THEN 'month' ELSE 'week' END AS grain,
+            MAX(CASE WHEN _present = 1 AND period_kind IN ('week', 'wtd', 'month') THEN 1 END)
+              OVER (PARTITION BY dim_name, dim, CASE WHEN period_kind = 'month' THEN 1 ELSE 0 END) AS _seen,
+            MAX(CASE WHEN _present = 1 AND dim_name = 'country' THEN 1 END)
+              OVER (PARTITION BY period_kind, period) AS _observed
+          FROM {{grid}}
+        ) g
+        LATERAL VIEW explode(CASE WHEN dim_name = 'country' THEN {country_reports} ELSE array(dim_name) END) rs AS r
+        WHERE method <> '~other' AND (period_kind <> 'week' OR _observed = 1)
+          AND (r IN ({", ".join(f"'{d}'" for d in fixed) or "''"}) OR _seen = 1)
+      )
+    )
+    """
+    return bookings.sparkSession.sql(sql, grid=grid)
+
+
 def dim_reports(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str] = DIMS,
                 grains: list[str] = ("week", "month")) -> dict[tuple[str, str], DataFrame]:
     """Every (dim, grain) report from one enrichment and one aggregate."""

@@ -55,6 +55,12 @@ for _dim, _key in _DIM_KEYS.items():
     REGISTRY[f"{_key}_monthly"] = _dim_query(_dim, "month")
 
 
+@register("dim_report_all")
+def _q_dim_report_all(spark, sf):
+    """All twelve dimension reports in one pass (the long-form API)."""
+    return D.report(_b(spark, sf), _i(spark, sf), P)
+
+
 # ---------------------------------------------------------------- kpis ------
 from cierre.operators import kpis as K  # noqa: E402
 

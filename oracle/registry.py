@@ -18,6 +18,11 @@ for _dim, _key in _DIM_KEYS.items():
     SQL[f"{_key}_weekly"] = OD.report_sql(_dim, "week")
     SQL[f"{_key}_monthly"] = OD.report_sql(_dim, "month")
 
+SQL["dim_report_all"] = "\nUNION ALL\n".join(
+    f"SELECT '{_dim}' AS report, '{_g}' AS grain, * FROM ({OD.report_sql(_dim, _g)})"
+    for _dim in _DIM_KEYS for _g in ("week", "month")
+)
+
 from oracle import kpis as OK  # noqa: E402
 
 SQL["weekly_hub_str"] = OK.weekly_hub_str_sql()
