@@ -65,6 +65,9 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
     joins that cannot fan out.
     """
     frames = {"b": bookings}
+    # Keys of the closed rows, to prune the snapshot side before it shuffles.
+    closed = bookings.filter(F.expr(_closed_where(data_window_start(p, grains), p.yesterday)))
+    cars = closed.select("stock_key").filter(F.col("stock_key").isNotNull())
     cols = ["b.metodo_de_pago", "b.reservation_hub_name", "b.stock_key", "b.fecha_reserva",
             "coalesce(b.fecha_venta_declarada, b.fecha_cancelacion_reserva) AS close_date",
             "CAST(b.fecha_venta_declarada IS NOT NULL AS INT) AS venta",
@@ -73,7 +76,7 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
     if "region" in dims:
         cols.append(f"{B.region_sql('b.reservation_hub_name')} AS dim_region")
     if "aging" in dims:
-        frames["fr"] = E.first_receipt(inventory, p.as_of)
+        frames["fr"] = E.first_receipt(inventory, p.as_of, cars)
         joins.append("LEFT JOIN {fr} fr ON fr.bk_stock = b.stock_key")
         aging = B.edges_sql("datediff(b.fecha_reserva, fr.item_receipt_date)", B.AGING_BUCKETS, B.AGING_TOP)
         cols.append(f"CASE WHEN fr.item_receipt_date IS NOT NULL THEN {aging} END AS dim_aging")
@@ -81,7 +84,8 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
     if snap_dims:
         needed = {"price": ["real_published_price"], "coming_soon": ["flag_coming_soon"],
                   "pix": ["pix_financing", "pix_cash"]}
-        frames["sn"] = E.daily_snapshot(inventory, p.as_of, [c for d in snap_dims for c in needed[d]])
+        car_days = closed.select("stock_key", "fecha_reserva").filter(F.col("stock_key").isNotNull())
+        frames["sn"] = E.daily_snapshot(inventory, p.as_of, [c for d in snap_dims for c in needed[d]], car_days)
         joins.append("LEFT JOIN {sn} sn ON sn.bk_stock = b.stock_key AND sn.inv_date = b.fecha_reserva")
         matched = "sn.bk_stock IS NOT NULL"
         if "price" in dims:
@@ -99,7 +103,7 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
             cols.append(f"CASE WHEN {matched} AND (sn.pix_financing IS NOT NULL OR sn.pix_cash IS NOT NULL) "
                         f"THEN {pix} END AS dim_pix")
     if "stock_region" in dims:
-        vel = E.stock_region_daily(inventory, p.as_of)
+        vel = E.stock_region_daily(inventory, p.as_of, cars)
         frames["vel"], frames["lt"] = vel, E.latest_stock_region(vel)
         joins += [
             "LEFT JOIN {vel} c0 ON c0.bk_stock = b.stock_key AND c0.inv_date = b.fecha_reserva",

@@ -77,18 +77,30 @@ def snapshots_before(inventory: DataFrame, as_of: date) -> DataFrame:
     return inventory.filter(F.col("inv_date") < F.lit(as_of))
 
 
-def first_receipt(inventory: DataFrame, as_of: date) -> DataFrame:
+def _only(snap: DataFrame, keys: DataFrame | None, on: list[str]) -> DataFrame:
+    """Prune snapshots to the keys the bookings can match (a left-semi join:
+    broadcast when AQE measures the key side small, sort-merge otherwise),
+    so only relevant snapshots reach the aggregate's shuffle."""
+    if keys is None:
+        return snap
+    return snap.join(keys.toDF(*on), on, "left_semi")
+
+
+def first_receipt(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
     """A5/J1 right side: first receipt date per car (partial aggregation
-    collapses the daily snapshots map-side)."""
+    collapses the daily snapshots map-side). ``cars``: optional one-column
+    frame of the cars to keep."""
+    snaps = _only(snapshots_before(inventory, as_of), cars, ["bk_stock"])
     return (
-        snapshots_before(inventory, as_of)
+        snaps
         .filter(F.col("item_receipt_date").isNotNull())
         .groupBy("bk_stock")
         .agg(F.min("item_receipt_date").alias("item_receipt_date"))
     )
 
 
-def daily_snapshot(inventory: DataFrame, as_of: date, columns: list[str] | None = None) -> DataFrame:
+def daily_snapshot(inventory: DataFrame, as_of: date, columns: list[str] | None = None,
+                   car_days: DataFrame | None = None) -> DataFrame:
     """Q8: exactly one snapshot row per (car, day).
 
     Duplicates keep the row that is smallest in column order
@@ -106,20 +118,20 @@ def daily_snapshot(inventory: DataFrame, as_of: date, columns: list[str] | None
         keep = SNAPSHOT_VALUE_COLUMNS[: last + 1]
     s = F.struct(*[F.col(c) for c in keep])
     return (
-        snapshots_before(inventory, as_of)
+        _only(snapshots_before(inventory, as_of), car_days, ["bk_stock", "inv_date"])
         .groupBy("bk_stock", "inv_date")
         .agg(F.min(s).alias("_s"))
         .select("bk_stock", "inv_date", "_s.*")
     )
 
 
-def stock_region_daily(inventory: DataFrame, as_of: date) -> DataFrame:
+def stock_region_daily(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
     """A6 ("vel"): one region per (car, day) among the six listed cities.
 
     A car listed in two regions on one day keeps the first by name (Q8 fix).
     """
     return (
-        snapshots_before(inventory, as_of)
+        _only(snapshots_before(inventory, as_of), cars, ["bk_stock"])
         .filter(F.col("stock_region").isin(B.stock_region_names()))
         .groupBy("bk_stock", "inv_date")
         .agg(F.min("stock_region").alias("stock_region"))
