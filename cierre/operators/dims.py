@@ -133,8 +133,6 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
     so absent cells exist without a join or a second aggregation. The
     explodes feed the partial (map-side) aggregate directly.
     """
-    from cierre.plans.totals import values_sql
-
     def pair(name, value_sql):
         return f"CASE WHEN {value_sql} IS NOT NULL THEN named_struct('dim_name', '{name}', 'dim', {value_sql}) END"
 
@@ -153,7 +151,7 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
       LATERAL VIEW explode(array_compact(array({", ".join(items)}))) ts AS t
       UNION ALL
       SELECT dim_name, dim, method, period_kind, period, 0, 0, 0
-      FROM ({values_sql(_scaffold_rows(p, dims, grains), SCAFFOLD_SCHEMA)})
+      FROM ({_scaffold_sql(p, dims, grains)})
     )
     GROUP BY dim_name, dim, method, period_kind, period
     """
@@ -177,18 +175,24 @@ def calendar_periods(p: Params, grain: str) -> list[tuple[str, object]]:
     return out + [("wtd", p.wtd_start), ("lwtd", p.lwtd_start)]
 
 
-SCAFFOLD_SCHEMA = [("dim_name", "string"), ("dim", "string"), ("method", "string"), ("period_kind", "string"),
-                   ("period", "date")]
-
-
-def _scaffold_rows(p: Params, dims: list[str], grains: list[str]) -> list[tuple]:
-    """Every candidate cell: (label x method x calendar period), a literal
-    table of a few hundred rows per report, derived from the parameters."""
+def _scaffold_sql(p: Params, dims: list[str], grains: list[str]) -> str:
+    """SQL of every candidate cell (label x method x calendar period): three
+    explodes of small literal arrays over one row, planned in the JVM."""
     labels = [("country", B.COUNTRY_DIM)] + [
         (dim, x) for dim in dims for x in B.DIM_LABELS[dim] if x != B.COUNTRY_DIM
     ]
-    periods = [kp for g in grains for kp in calendar_periods(p, g)]
-    return [(n, d, m, k, per) for n, d in labels for m in B.METHOD_TARGETS + ["~other"] for k, per in periods]
+    lab = ", ".join(f"named_struct('dim_name', {B.q(n)}, 'dim', {B.q(d)})" for n, d in labels)
+    met = ", ".join(B.q(m) for m in B.METHOD_TARGETS + ["~other"])
+    per = ", ".join(
+        f"named_struct('period_kind', '{k}', 'period', DATE'{v.isoformat()}')"
+        for g in grains for k, v in calendar_periods(p, g)
+    )
+    return (
+        "SELECT l.dim_name, l.dim, m AS method, pp.period_kind, pp.period FROM (SELECT 1) one "
+        f"LATERAL VIEW explode(array({lab})) ls AS l "
+        f"LATERAL VIEW explode(array({met})) ms AS m "
+        f"LATERAL VIEW explode(array({per})) ps AS pp"
+    )
 
 
 def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> DataFrame:

@@ -48,16 +48,6 @@ def _sql_literal(v, t: str) -> str:
     return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def values_sql(rows: list[tuple], schema: list[tuple[str, str]]) -> str:
-    """``SELECT ... FROM VALUES ...`` text of a small literal table."""
-    names = ", ".join(n for n, _ in schema)
-    casts = ", ".join(f"CAST({n} AS {t}) AS {n}" for n, t in schema)
-    values = ", ".join(
-        "(" + ", ".join(_sql_literal(v, t) for v, (_, t) in zip(r, schema)) + ")" for r in rows
-    )
-    return f"SELECT {casts} FROM VALUES {values} AS t({names})"
-
-
 def literal_rows(spark, rows: list[tuple], schema: list[tuple[str, str]]):
     """A small literal table (parameters such as periods and labels, never
     data): ``VALUES`` plans as a local relation in the JVM, with no Python
