@@ -27,12 +27,25 @@ from cierre.session import cut_lineage
 from cierre.sources import datasets as DS
 
 
-def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, checkpoint: bool = True) -> dict[str, DataFrame]:
-    out: dict[str, DataFrame] = {}
-    shared = cut_lineage if checkpoint else (lambda df: df)
-    # All twelve dimension reports in one pass, as one long dataset.
-    dims = shared(D.report(bookings, inventory, p))
-    out["str_dims"] = dims
+def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, checkpoint: bool = True,
+                  parallelism: int = 8) -> dict[str, DataFrame]:
+    # Inputs read by several reports: all twelve dimension reports (one pass,
+    # one long dataset), the funnel frames and the derived datasets. They are
+    # independent, so their checkpoints run as concurrent jobs.
+    shared = {
+        "dims": D.report(bookings, inventory, p),
+        "fw": FN.funnel_weekly(bookings, p),
+        "fv": FN.funnel_app_sale_weekly(bookings, p),
+        "fp": FN.funnel_periods(bookings, p),
+        "sla": DS.sla_dataset(bookings, p),
+        "vd": DS.verdict_dataset(bookings, p),
+        "pf": DS.profile_dataset(bookings, p),
+    }
+    if checkpoint:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            shared = dict(zip(shared, pool.map(cut_lineage, shared.values())))
+    dims, fw, fv, fp = shared["dims"], shared["fw"], shared["fv"], shared["fp"]
+    out: dict[str, DataFrame] = {"str_dims": dims}
     region_weekly = dims.filter("report = 'region' AND grain = 'week'").drop("report", "grain")
     out["str_deltas"] = D.str_deltas(region_weekly)
     out["weekly_hub_str"] = K.weekly_hub_str(bookings, p)
@@ -43,9 +56,6 @@ def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, checkpoi
     out["kpi_lmtd"] = kp.filter("period_kind = 'lmtd'").drop("period_kind")
     out["daily_hub"] = K.daily_hub(bookings, p)
     out["last_month_hub"] = K.last_month_hub(bookings, p)
-    fw = shared(FN.funnel_weekly(bookings, p))
-    fv = shared(FN.funnel_app_sale_weekly(bookings, p))
-    fp = shared(FN.funnel_periods(bookings, p))
     mtd = fp.filter("period_kind = 'mtd'").drop("period_kind")
     lmtd = fp.filter("period_kind = 'lmtd'").drop("period_kind")
     out.update(funnel_weekly=fw, funnel_app_sale_weekly=fv, funnel_mtd=mtd, funnel_lmtd=lmtd)
@@ -53,20 +63,18 @@ def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, checkpoi
     out["funnel_kpi"] = kpi
     out["funnel_by_ti"] = FN.funnel_by_ti(kpi)
     out["funnel_trend"] = FN.funnel_trend(fw, fv)
-    sla = shared(DS.sla_dataset(bookings, p))
-    out["sla_kpi"] = SL.sla_kpi(sla, p)
-    out["sla_trend"] = SL.sla_trend(sla)
-    vd = shared(DS.verdict_dataset(bookings, p))
-    out["verdict_mix"] = VD.verdict_mix(vd)
-    out["verdict_approved_kpi"] = VD.verdict_approved_kpi(vd, p)
-    out["profile_funnel"] = PF.profile_funnel(shared(DS.profile_dataset(bookings, p)), p)
+    out["sla_kpi"] = SL.sla_kpi(shared["sla"], p)
+    out["sla_trend"] = SL.sla_trend(shared["sla"])
+    out["verdict_mix"] = VD.verdict_mix(shared["vd"])
+    out["verdict_approved_kpi"] = VD.verdict_approved_kpi(shared["vd"], p)
+    out["profile_funnel"] = PF.profile_funnel(shared["pf"], p)
     return out
 
 
 def full_refresh(bookings: DataFrame, inventory: DataFrame, p: Params, sink=None, parallelism: int = 8) -> int:
     """Compute every report; ``sink(name, df)`` receives each (default:
     ``collect`` it, the reports are small). Returns the number of reports."""
-    reports = build_reports(bookings, inventory, p)
+    reports = build_reports(bookings, inventory, p, parallelism=parallelism)
 
     def run(item):
         name, df = item
