@@ -7,7 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cierre.llm import lm, repeats, simhash, topk
+from cierre.llm import bpe, fingerprint, lm, packing, repeats, simhash, topk
+
+
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,8 +36,22 @@ def op4_simhash_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edit_report(_table(spark, sf_dir, "documents"))
+
+
+def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_report(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_backoff_lm, op2_suffix_dedup, op3_segment_topk, op4_simhash_vptree)
+    f.__name__: f
+    for f in (op1_backoff_lm, op2_suffix_dedup, op3_segment_topk, op4_simhash_vptree, op5_multiset_hash,
+              op8_backtracking_bpe, op10_best_fit_packing)
 }
 
 ORACLE_SQL: dict[str, str] = {
