@@ -81,45 +81,62 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def text_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def text_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """Documents as compressed blocks in the checkpoint folder (``BLOCK_SCHEMA``).
 
     A null text counts as empty, a null id stays null. A document is never
-    split: one longer than ``BLOCK_BYTES`` has a block of its own.
+    split: one longer than ``BLOCK_BYTES`` has a block of its own. The columns
+    ``carry`` go with the documents as they are (``carried``).
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, seq, ids, texts, size = TaskContext.get().partitionId() << 36, 0, [], [], 0
+        base, seq, ids, texts, rest, size = TaskContext.get().partitionId() << 36, 0, [], [], [], 0
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            begin, other = 0, batch.select(range(2, batch.num_columns))
+            for row, (i, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
                 ids.append(NO_ID if i is None else i)
                 texts.append(b"" if t is None else t)
                 size += len(texts[-1]) + 16
                 if size >= BLOCK_BYTES:
-                    yield _block(base + seq, ids, texts)
-                    seq, ids, texts, size = seq + 1, [], [], 0
+                    yield _block(base + seq, ids, texts, [*rest, other.slice(begin, row + 1 - begin)])
+                    seq, ids, texts, rest, size, begin = seq + 1, [], [], [], 0, row + 1
+            rest.append(other.slice(begin))
         if ids:
-            yield _block(base + seq, ids, texts)
+            yield _block(base + seq, ids, texts, rest)
 
     ship(docs.sparkSession)
-    picked = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary"))
+    picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"),
+                         *(F.col(c).alias(f"carried{n}") for n, c in enumerate(carry)))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return cut_lineage(picked.mapInArrow(build, BLOCK_SCHEMA).repartition(n, "block"))
 
 
-def _block(block: int, ids: list[int], texts: list[bytes]) -> pa.RecordBatch:
+def _block(block: int, ids: list[int], texts: list[bytes], rest: list[pa.RecordBatch]) -> pa.RecordBatch:
     lens = np.fromiter(map(len, texts), np.int64, len(texts))
-    body = zstandard.ZstdCompressor(level=3).compress(b"".join(texts))
-    head = pack(np.array(ids, np.int64), lens)
-    payload = struct.pack("<I", len(head)) + head + body
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    head, body, tail = pack(np.array(ids, np.int64), lens), squeeze(b"".join(texts)), b""
+    if rest and rest[0].num_columns:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rest[0].schema) as out:
+            for r in rest:
+                out.write_batch(r)
+        tail = squeeze(sink.getvalue().to_pybytes())
+    payload = struct.pack("<II", len(head), len(body)) + head + body + tail
     return record(BLOCK_SCHEMA, [block], [len(ids)], [int(lens.sum())], [payload])
 
 
 def open_block(payload: bytes) -> tuple[np.ndarray, np.ndarray, bytes]:
     """doc ids, byte lengths and the concatenated texts of a block."""
-    (n,) = struct.unpack_from("<I", payload)
-    ids, lens = unpack(payload[4 : 4 + n])
-    return ids, lens, zstandard.ZstdDecompressor().decompress(payload[4 + n :])
+    n, m = struct.unpack_from("<II", payload)
+    ids, lens = unpack(payload[8 : 8 + n])
+    return ids, lens, zstandard.ZstdDecompressor().decompress(payload[8 + n : 8 + n + m])
+
+
+def carried(payload: bytes) -> list[pa.ChunkedArray]:
+    """The carried columns of a block's documents."""
+    n, m = struct.unpack_from("<II", payload)
+    data = zstandard.ZstdDecompressor().decompress(payload[8 + n + m :])
+    return pa.ipc.open_stream(data).read_all().columns
 
 
 _ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(), "double": pa.float64(),

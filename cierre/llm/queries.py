@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cierre.llm import bpe, fingerprint, lm, packing, repeats, simhash, topk
+from cierre.llm import bpe, fingerprint, licenses, lm, packing, quality, repeats, simhash, topk, toxicity
 
 
 def _tokenizer(name: str) -> str:
@@ -40,10 +40,24 @@ def op5_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edit_report(_table(spark, sf_dir, "documents"))
 
 
+def op6_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.score(docs, quality.fit(docs, labels))
+
+
+def op7_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit(docs, labels))
+
+
 def op8_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_report(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
 
 
+def op9_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048)
 
@@ -51,10 +65,58 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_backoff_lm, op2_suffix_dedup, op3_segment_topk, op4_simhash_vptree, op5_multiset_hash,
-              op8_backtracking_bpe, op10_best_fit_packing)
+              op6_pairwise_quality, op7_toxic_lexicon, op8_backtracking_bpe, op9_license_rules, op10_best_fit_packing)
 }
 
+
+
+def _values(rows) -> str:
+    quote = lambda x: "'" + x.replace("'", "''") + "'" if isinstance(x, str) else str(x)
+    return "VALUES " + ", ".join("(" + ", ".join(map(quote, r)) + ")" for r in rows)
+
+
+def _license_sql() -> str:
+    """Sentences of both cuts, joined to the known ones, and rules found in a
+    document's identifiers. The mentions are the cross product of small lists."""
+    names = [(lic, n) for lic, ns in licenses.mention_names().items() for n in ns]
+    fixed = [*((i, s) for i, s in licenses.SENTENCES.items()),
+             ("apache-copy", licenses.SENTENCES["apache-copy"] + " " + licenses.APACHE_URL)]
+    rules = [(lic, licenses.STRENGTHS.index(s), " ".join(ids)) for lic, s, ids in licenses.LONG_RULES]
+    cuts = " UNION ALL ".join(
+        f"SELECT doc_id, '{how}' AS how, regexp_split_to_array(coalesce(text, ''), '{pattern}') AS parts FROM documents"
+        for how, pattern in licenses.CUT.items())
+    plain = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))".format
+    one = lambda xs: _values([(x,) for x in xs])
+    return f"""
+WITH names(lic, name) AS ({_values(names)}), fixed(ident, sentence) AS ({_values(fixed)}),
+subjects(s) AS ({one(licenses.SUBJECTS)}), verbs(v) AS ({one(licenses.VERBS)}), terms(t) AS ({one(licenses.TERMS)}),
+long_rules(lic, strength, ids) AS ({_values(rules)}),
+known AS (
+  SELECT DISTINCT {plain("sentence")} AS sentence, ident FROM fixed
+  UNION SELECT {plain("s || ' ' || v || ' ' || t || ' ' || name")}, 'names-' || lower(lic) FROM subjects, verbs, terms, names
+  UNION SELECT {plain("'SPDX-License-Identifier: ' || name")}, 'names-' || lower(lic) FROM names),
+rules AS (
+  SELECT lic, strength, ids FROM long_rules UNION SELECT lic, 2, 'names-' || lower(lic) FROM names),
+parts AS (
+  SELECT doc_id, how, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM ({cuts})),
+found AS (
+  SELECT doc_id, how, count(*) AS n, string_agg(ident, ' ' ORDER BY pos) AS ids
+  FROM parts JOIN known ON {plain("part")} = known.sentence GROUP BY doc_id, how),
+held AS (
+  SELECT doc_id, lic, min(strength) AS strength
+  FROM found JOIN rules ON contains(' ' || found.ids || ' ', ' ' || rules.ids || ' ') GROUP BY doc_id, lic),
+listed AS (
+  SELECT doc_id, count(*) AS n, string_agg(lic || ':' || ['full', 'notice', 'mention'][strength + 1], ',' ORDER BY lic) AS licenses
+  FROM held GROUP BY doc_id),
+most AS (SELECT doc_id, max(n) AS n FROM found GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(most.n, 0) AS BIGINT) AS n_sentences, CAST(coalesce(listed.n, 0) AS BIGINT) AS n_rules,
+       coalesce(listed.licenses, '') AS licenses
+FROM documents d LEFT JOIN most USING (doc_id) LEFT JOIN listed USING (doc_id)
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op9_license_rules": _license_sql(),
     "op2_suffix_dedup": """
 WITH d AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),

@@ -133,6 +133,24 @@ class Texts:
                 at.append(np.arange(s, e))
         return np.concatenate(at), np.concatenate(names)
 
+    def without(self, k: int, spans: list[tuple[int, int]]) -> bytes:
+        """Document k less the spans."""
+        b, edge = int(self.begin[k]), [0, *(x for s in spans for x in s), int(self.lens[k])]
+        return b"".join([self.body[b + x : b + y] for x, y in zip(edge[::2], edge[1::2])])
+
+    def whole_characters(self, k: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The spans, shrunk to whole UTF-8 characters."""
+        b, n, out = int(self.begin[k]), int(self.lens[k]), []
+        inside = lambda at: at < n and self.body[b + at] & 0xC0 == 0x80
+        for s, e in spans:
+            while s < e and inside(s):
+                s += 1
+            while e > s and inside(e):
+                e -= 1
+            if s < e:
+                out.append((s, e))
+        return out
+
     def doc_of(self, at: np.ndarray) -> np.ndarray:
         # begin has ties where texts are empty; the last of them holds the byte
         return np.searchsorted(self.begin, at, "right") - 1
@@ -168,7 +186,48 @@ def _candidates(row: dict) -> tuple[Texts, np.ndarray, np.ndarray, np.ndarray, n
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """What each document loses: byte spans (``starts``, ``ends``, maximal and in
     order) and the remaining bytes ``kept``."""
-    blocks = X.text_blocks(docs, id_col, text_col)
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+
+    def tell(t: Texts, spans: list[list[tuple[int, int]]], payload: bytes) -> Iterator[pa.RecordBatch]:
+        for a in range(0, len(spans), 512):
+            rows = range(a, min(a + 512, len(spans)))
+            columns = ([None if t.ids[k] == X.NO_ID else int(t.ids[k]) for k in rows], [int(t.lens[k]) for k in rows],
+                       [[s for s, _ in spans[k]] for k in rows], [[e for _, e in spans[k]] for k in rows],
+                       [t.without(k, spans[k]) for k in rows])
+            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)],
+                                             names=["doc_id", "n_bytes", "starts", "ends", "kept"])
+
+    return _search(X.text_blocks(docs, id_col, text_col), tell, SPANS_SCHEMA)
+
+
+def trimmed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str = "n_chars") -> DataFrame:
+    """``docs`` with all its columns, its texts without the repeated passages, and
+    their new length in ``n_chars_col`` if there is such a column. Only whole
+    characters are removed; a text that is repeated wholly becomes empty."""
+    names, schema = docs.columns, docs.schema
+
+    def tell(t: Texts, spans: list[list[tuple[int, int]]], payload: bytes) -> Iterator[pa.RecordBatch]:
+        columns = dict(zip(names, X.carried(payload)))
+        for a in range(0, len(spans), 512):
+            rows = range(a, min(a + 512, len(spans)))
+            texts = [t.without(k, t.whole_characters(k, spans[k])).decode("utf-8", "replace") for k in rows]
+            part = {n: c.slice(a, len(rows)).combine_chunks() for n, c in columns.items()}
+            part[text_col] = pa.array(texts, pa.string())
+            if n_chars_col in part:
+                part[n_chars_col] = pa.array(map(len, texts), pa.int64()).cast(part[n_chars_col].type)
+            yield pa.RecordBatch.from_arrays([part[n] for n in names], names=names)
+
+    return _search(_blocks_with(docs, id_col, text_col), tell, schema)
+
+
+def _blocks_with(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Blocks that carry all columns; the text itself only once."""
+    without = docs.withColumn("__text", F.col(text_col)).withColumn(text_col, F.lit(None).cast("string"))
+    return X.text_blocks(without, id_col, "__text", carry=tuple(docs.columns))
+
+
+def _search(blocks: DataFrame, tell, schema) -> DataFrame:
+    """``tell(texts, spans of each document, payload)`` gives a block's result."""
 
     def ask_copies(row):
         t = Texts(row["payload"])
@@ -235,23 +294,14 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         last = np.append(first[1:], len(gone)) - 1 if len(first) else first
         span_doc, lo, hi = doc[first], gone[first], gone[last] + LENGTH
         cut = np.searchsorted(span_doc, np.arange(len(t.ids) + 1))
-        out = []
+        spans = []
         for k, (b, n) in enumerate(zip(t.begin.tolist(), t.lens.tolist())):
-            if copy[k]:
-                spans = [(0, n)]
-            else:
-                spans = list(zip((lo[cut[k] : cut[k + 1]] - b).tolist(), (hi[cut[k] : cut[k + 1]] - b).tolist()))
-            edge = [0, *(x for s in spans for x in s), n]
-            kept = b"".join(t.body[b + x : b + y] for x, y in zip(edge[::2], edge[1::2]))
-            out.append((None if t.ids[k] == X.NO_ID else int(t.ids[k]), n, [s[0] for s in spans], [s[1] for s in spans], kept))
-        for k in range(0, len(out), 512):
-            cols = list(zip(*out[k : k + 512]))
-            kinds = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(cols, kinds)],
-                                             names=["doc_id", "n_bytes", "starts", "ends", "kept"])
+            mine = slice(cut[k], cut[k + 1])
+            spans.append([(0, n)] if copy[k] else list(zip((lo[mine] - b).tolist(), (hi[mine] - b).tolist())))
+        yield from tell(t, spans, row["payload"])
 
     final = X.with_answers(ranged, windows).drop("n_docs", "n_bytes")
-    return final.mapInArrow(_each(finish), SPANS_SCHEMA)
+    return final.mapInArrow(_each(finish), schema)
 
 
 def digest(spans: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cierre.llm import exchange as X
@@ -68,16 +68,22 @@ def fingerprint(text: bytes, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long."""
+    """(doc_id, digest, fp): the fingerprint as a signed long, and a hash of the text."""
     ship(docs.sparkSession)
+    schema = "doc_id long, digest long, fp long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([fingerprint(t.as_py() or b"", shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield X.record("doc_id long, fp long", batch.column(0), fp)
+            yield X.record(schema, batch.column(0), batch.column(2), fp)
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").cast("binary"))
-    return picked.mapInArrow(run, "doc_id long, fp long")
+    text = F.col(text_col).cast("string")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.cast("binary"), _digest(text))
+    return picked.mapInArrow(run, schema)
+
+
+def _digest(text) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
 
 def hamming(a: np.ndarray, b) -> np.ndarray:
@@ -159,7 +165,7 @@ def shard_edges(fps: np.ndarray, home: np.ndarray, distance: int) -> tuple[np.nd
 
 
 def classes(marked: DataFrame, distance: int = 3) -> DataFrame:
-    """``marked(doc_id, fp)`` with ``component_id``."""
+    """``marked(doc_id, digest, fp)`` with ``component_id``."""
     spark = marked.sparkSession
     nodes = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("low")))
     n = nodes.count()
@@ -187,7 +193,7 @@ def classes(marked: DataFrame, distance: int = 3) -> DataFrame:
     roots = graph.components(edges)
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     low = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    return marked.join(named.join(low, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return marked.join(named.join(low, "root").select("fp", "component_id"), "fp").select(*marked.columns, "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id",
@@ -196,3 +202,19 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col
     marked = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
     out = classes(marked, distance)
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, one for each class: the one with the smallest doc_id
+    (of several, the smallest hash of the text). Rows without doc_id stay."""
+    marked = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
+    kept = classes(marked, distance).filter("doc_id = component_id").groupBy("fp", "component_id").agg(
+        F.min("digest").alias("digest"))
+    kept = kept.groupBy(F.col("component_id").alias("kept_id"), F.col("digest").alias("kept_digest")).agg(F.count(F.lit(1)))
+    key, digest = F.col(id_col).cast("long"), _digest(F.col(text_col).cast("string"))
+    known = docs.filter(key.isNotNull()).withColumn("__id", key).withColumn("__digest", digest)
+    first = Window.partitionBy("__id", "__digest").orderBy(F.lit(1))
+    chosen = known.join(kept, (F.col("__id") == F.col("kept_id")) & (F.col("__digest") == F.col("kept_digest")), "left_semi")
+    chosen = chosen.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").select(*docs.columns)
+    return chosen.unionByName(docs.filter(key.isNull()))
