@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -108,7 +109,21 @@ def text_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"),
                          *(F.col(c).alias(f"carried{n}") for n, c in enumerate(carry)))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return cut_lineage(picked.mapInArrow(build, BLOCK_SCHEMA).repartition(n, "block"))
+    with _planned_ahead(docs.sparkSession):
+        return cut_lineage(picked.mapInArrow(build, BLOCK_SCHEMA).repartition(n, "block"))
+
+
+@contextmanager
+def _planned_ahead(spark):
+    """A checkpoint keeps the partitioning of a plan that is fixed beforehand, so
+    joins by block don't shuffle the blocks again; an adaptive plan's is unknown."""
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def _block(block: int, ids: list[int], texts: list[bytes], rest: list[pa.RecordBatch]) -> pa.RecordBatch:

@@ -28,6 +28,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 
@@ -48,10 +49,12 @@ def held_out(ids: np.ndarray, mod: int) -> np.ndarray:
 
 
 class Grams:
-    """The n-grams of a block: words, and for each order the key at each position.
+    """The n-grams of a block.
 
-    Keys of order m have m in their two low bits; ``keys`` are the distinct
-    ones, sorted, and ``at[m]`` the place in it of each position's m-gram.
+    ``keys``: the distinct n-grams' keys, sorted. ``at[m]``: the place in it of
+    each position's m-gram; ``distinct[m]`` and ``where[m]``: the places of the
+    distinct m-grams and a position that has each. A key is a hash of 56 bits
+    with the order in its two low bits.
     """
 
     def __init__(self, payload: bytes, order: int, mod: int):
@@ -71,23 +74,34 @@ class Grams:
         names = np.fromiter((xxhash.xxh3_64_intdigest(w) for w in word), np.uint64, len(word))
         self.begin = np.cumsum(self.sizes) - self.sizes
         self.n_words = len(word)
-        hashes = names[self.codes] if len(codes) else np.empty(0, np.uint64)
-        raw, by_order = hashes.copy(), [self._key(hashes, 1)]
+        raw = hashes = names[self.codes]
+        place, found = [self.codes], [self._key(names, 1)]
         for m in range(2, order + 1):
             before = np.empty_like(raw)
             before[1:] = raw[:-1]
             before[self.begin] = names[0] + np.uint64(m)
             raw = X.mix(before * _STEP + hashes)
-            by_order.append(self._key(raw, m))
-        start = self._key(names[:1].copy(), 1)
-        self.keys, inverse = np.unique(np.concatenate([start, *by_order]), return_inverse=True)
-        self.start = int(inverse[0])
-        self.at = [None, *np.split(inverse[1:], order)]
+            which, distinct = pd.factorize(raw)
+            place.append(which)
+            found.append(self._key(distinct, m))
+        keys = np.concatenate(found)
+        self.keys, rank = np.unique(keys, return_inverse=True)
+        self.start = int(rank[0])
+        self.at, self.distinct, self.where, done = [None], [None], [None], 0
+        for which, own in zip(place, found):
+            rank_of = rank[done : done + len(own)]
+            done += len(own)
+            first = np.full(len(own), -1)
+            first[which[::-1]] = np.arange(len(which))[::-1]
+            used = first >= 0
+            self.at.append(rank_of[which])
+            self.distinct.append(rank_of[used])
+            self.where.append(first[used])
         self.train_docs = int((~self.held).sum())
 
     @staticmethod
     def _key(h: np.ndarray, order: int) -> np.ndarray:
-        return (h & ~np.uint64(3)) | np.uint64(order & 3)
+        return (h & ~np.uint64(0xFF)) | np.uint64(order & 3)
 
     def train_counts(self) -> np.ndarray:
         mine = np.repeat(~self.held, self.sizes)
@@ -114,7 +128,7 @@ class Automaton:
         fail, weight = np.full(size + 1, size), np.zeros(size + 1)
         arcs = {}
         for m in range(1, order + 1):
-            first, where = np.unique(grams.at[m], return_index=True)
+            first, where = grams.distinct[m], grams.where[m]
             if m == 1:
                 source = np.full(len(where), size)
                 seen = np.ones(len(where), bool)
@@ -142,11 +156,9 @@ class Automaton:
         if order == 1:
             after[:] = size
         else:
-            top, where = np.unique(grams.at[order], return_index=True)
-            after[top] = grams.at[order - 1][where]
+            after[grams.distinct[order]] = grams.at[order - 1][grams.where[order]]
             for m in range(order - 1, 0, -1):
-                keys, where = np.unique(grams.at[m], return_index=True)
-                gone = keys[counts[keys] == 0]
+                gone = grams.distinct[m][counts[grams.distinct[m]] == 0]
                 after[gone] = size if m == 1 else after[fail[gone]]
         self.after = after.tolist()
         self.start = grams.start if order > 1 and counts[grams.start] else size
