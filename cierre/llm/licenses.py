@@ -140,8 +140,8 @@ def catalogue() -> tuple[dict[str, str], list[tuple[str, str, str]]]:
 
 
 #: Where a sentence ends. Normalising makes one blank of what is left of line ends and comment marks.
-CUT = {"lines": r"[.!?:]+[ \t\r\f]+|[ \t\r\f]*\n[ \t\r\f\n]*",
-       "wrapped": r"[.!?:]+[ \t\r\f\n]+|[ \t\r\f]*\n[ \t\r\f#*/;-]*\n[ \t\r\f\n]*"}
+CUT = {"lines": r"[.!?]+[ \t\r\f]+|[ \t\r\f]*\n[ \t\r\f\n]*",
+       "wrapped": r"[.!?]+[ \t\r\f\n]+|:[ \t\r\f]*\n[ \t\r\f\n]*|[ \t\r\f]*\n[ \t\r\f#*/;-]*\n[ \t\r\f\n]*"}
 _CUT = {how: re.compile(pattern) for how, pattern in CUT.items()}
 #: Each known sentence has one of these words.
 _HINT = re.compile(r"licen[sc]e|licensed|permi|redistribut|copyright|software|under|name", re.I | re.A)
