@@ -93,11 +93,6 @@ def q(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _name(c) -> str | None:
-    """Quoted SQL name of a column given by name (None for a Column)."""
-    return f"`{c}`" if isinstance(c, str) else None
-
-
 def method_norm(method="metodo_de_pago") -> Column:
     """The captive financing method counts as Financing; null stays null."""
     m = _col(method)
@@ -117,23 +112,14 @@ def is_cash(method="metodo_de_pago") -> Column:
     return _col(method) == CASH
 
 
-def method_fold(method="metodo_de_pago") -> Column:
+def method_fold(method: str = "metodo_de_pago") -> Column:
     """A10: the report methods a row counts in, as an array.
 
     null -> [all]; Financing (either name) -> [Financing, all];
     Cash payment -> [Cash payment, all]; any other method -> [~other], which
     no report shows but which still marks its week as observed (survey Q5).
     """
-    n = _name(method)
-    if n is not None:
-        return F.expr(method_fold_sql(n))
-    m = _col(method)
-    return (
-        F.when(m.isNull(), F.array(F.lit("all")))
-        .when(m.isin(FINANCING_METHODS), F.array(F.lit(FINANCING), F.lit("all")))
-        .when(m == CASH, F.array(F.lit(CASH), F.lit("all")))
-        .otherwise(F.array(F.lit("~other")))
-    )
+    return F.expr(method_fold_sql(f"`{method}`"))
 
 
 def method_fold_sql(n: str) -> str:
@@ -156,7 +142,7 @@ def ti_flag(trade_in="trade_in") -> Column:
 
 
 def region_sql(n: str) -> str:
-    """SQL text of :func:`region_of_hub` for the SQL column reference ``n``."""
+    """City prefix of the hub name -> region code, else null."""
     whens = " ".join(
         "WHEN " + " OR ".join(f"{n} ILIKE {q(p + '%')}" for p in prefixes) + f" THEN {q(code)}"
         for code, prefixes in REGION_PREFIXES
@@ -170,84 +156,41 @@ def edges_sql(value_sql: str, buckets, top: str) -> str:
     return f"CASE {whens} ELSE {q(top)} END"
 
 
-def region_of_hub(hub="reservation_hub_name") -> Column:
-    """City prefix of the hub name -> region code, else null."""
-    n = _name(hub)
-    if n is not None:
-        return F.expr(region_sql(n))
-    h = _col(hub)
-    expr = None
-    for code, prefixes in REGION_PREFIXES:
-        cond = None
-        for p in prefixes:
-            c = h.ilike(p + "%")
-            cond = c if cond is None else (cond | c)
-        expr = F.when(cond, F.lit(code)) if expr is None else expr.when(cond, F.lit(code))
-    return expr
-
-
-def stock_region_code(region) -> Column:
-    """Inventory stock region name -> region code, else null."""
-    n = _name(region)
-    if n is not None:
-        return F.expr("CASE " + " ".join(f"WHEN {n} = {q(a)} THEN {q(b)}" for a, b in STOCK_REGION_CODES) + " END")
-    r = _col(region)
-    expr = None
-    for name, code in STOCK_REGION_CODES:
-        expr = F.when(r == name, F.lit(code)) if expr is None else expr.when(r == name, F.lit(code))
-    return expr
-
-
-def stock_region_names() -> list[str]:
-    return [name for name, _ in STOCK_REGION_CODES]
-
-
-def _edges_sql(value_sql: str, buckets, top: str) -> Column:
-    return F.expr(edges_sql(value_sql, buckets, top))
+def aging_sql(receipt: str, reservation: str) -> str:
+    """P10: days from first receipt to reservation; negative -> first bucket, null -> top bucket."""
+    return edges_sql(f"datediff({reservation}, {receipt})", AGING_BUCKETS, AGING_TOP)
 
 
-def _edges(value: Column, buckets, top: str) -> Column:
-    expr = None
-    for edge, label in buckets:
-        cond = value < F.lit(edge)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(top))
+def price_sql(price: str) -> str:
+    """P11."""
+    return edges_sql(price, PRICE_BUCKETS, PRICE_TOP)
 
 
-def aging_bucket(receipt_date, reservation_date) -> Column:
-    """P10: days from first receipt to reservation; negative -> first bucket,
-    null -> top bucket."""
-    a, b = _name(receipt_date), _name(reservation_date)
-    if a and b:
-        return _edges_sql(f"datediff({b}, {a})", AGING_BUCKETS, AGING_TOP)
-    return _edges(F.datediff(_col(reservation_date), _col(receipt_date)), AGING_BUCKETS, AGING_TOP)
+def coming_soon_sql(flag: str) -> str:
+    """1 -> yes; anything else, null included -> no."""
+    return f"CASE WHEN {flag} = 1 THEN {q(COMING_SOON_YES)} ELSE {q(COMING_SOON_NO)} END"
 
 
-def price_bucket(price="real_published_price") -> Column:
-    """P11."""
-    if _name(price):
-        return _edges_sql(_name(price), PRICE_BUCKETS, PRICE_TOP)
-    return _edges(_col(price), PRICE_BUCKETS, PRICE_TOP)
+def pix_sql(method: str, pix_financing: str, pix_cash: str) -> str:
+    """Bucket of the price index that applies to the booking's (raw)
+    method; a null index falls in the top bucket."""
+    fin = ", ".join(q(m) for m in FINANCING_METHODS)
+    value = (f"CASE WHEN {method} IN ({fin}) THEN {pix_financing} WHEN {method} = {q(CASH)} THEN {pix_cash} "
+             f"ELSE coalesce({pix_financing}, {pix_cash}) END")
+    return edges_sql(f"({value})", PIX_BUCKETS, PIX_TOP)
 
 
-def coming_soon_label(flag="flag_coming_soon") -> Column:
-    """1 -> yes; anything else, null included -> no."""
-    return F.when(_col(flag) == 1, F.lit(COMING_SOON_YES)).otherwise(F.lit(COMING_SOON_NO))
+def stock_region_sql(region: str) -> str:
+    """Inventory stock region name -> region code, else null."""
+    return f"CASE {region} " + " ".join(f"WHEN {q(a)} THEN {q(c)}" for a, c in STOCK_REGION_CODES) + " END"
 
 
-def pix_value(method, pix_financing, pix_cash) -> Column:
-    """The price index that applies to the booking's (raw) method."""
-    m = _col(method)
-    return (
-        F.when(m.isin(FINANCING_METHODS), _col(pix_financing))
-        .when(m == CASH, _col(pix_cash))
-        .otherwise(F.coalesce(_col(pix_financing), _col(pix_cash)))
-    )
+def stock_region_code(region: str) -> Column:
+    return F.expr(stock_region_sql(f"`{region}`"))
 
 
-def pix_bucket(value) -> Column:
-    """A null index falls in the top bucket."""
-    return _edges(_col(value), PIX_BUCKETS, PIX_TOP)
+def stock_region_names() -> list[str]:
+    return [name for name, _ in STOCK_REGION_CODES]
 
 
 def is_profiled(perfil="perfil") -> Column:

@@ -29,10 +29,6 @@ DIMS = ["region", "aging", "price", "coming_soon", "pix", "stock_region"]
 FIXED_DIMS = {"region", "stock_region"}
 MIX_DIMS = {"aging", "price", "coming_soon", "pix"}
 
-REPORT_COLUMNS = [
-    "method", "dim", "period_kind", "period", "ventas", "cancelaciones", "str", "mix",
-]
-
 
 def data_window_start(p: Params, grains: list[str]):
     starts = []
@@ -43,79 +39,44 @@ def data_window_start(p: Params, grains: list[str]):
     return min(starts)
 
 
-def _closed_where(lo, hi) -> str:
-    """P4 + P3 in SQL: closed rows with close date in ``[lo, hi]``, the range
-    also stated per column so that it reaches the Parquet scan."""
-    lo_s, hi_s = f"DATE'{lo.isoformat()}'", f"DATE'{hi.isoformat()}'"
-    sale, can = "fecha_venta_declarada", "fecha_cancelacion_reserva"
-    return (
-        f"b2b = 0 AND ({sale} IS NOT NULL OR ({can} IS NOT NULL AND estimate_flag = 1)) "
-        f"AND ({sale} >= {lo_s} OR {can} >= {lo_s}) AND ({sale} <= {hi_s} OR {can} <= {hi_s}) "
-        f"AND coalesce({sale}, {can}) BETWEEN {lo_s} AND {hi_s}"
-    )
-
-
 def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
     """Closed rows of the data window with one ``dim_<name>`` column per
     requested dimension; a null value means "not in this dimension" (what
     the reference's inner joins and ``HAVING ... IS NOT NULL`` drop).
 
-    One SQL statement over the bookings and the snapshot-derived frames it
-    needs (J1 first receipt, J2 day snapshot, J3 region lookups), all left
-    joins that cannot fan out.
+    One SQL statement over the bookings and at most two snapshot frames, one
+    row per car (J1 first receipt, W1 latest region) and one per (car, day)
+    (J2 snapshot, J3 region that day and the day before), both left joins that
+    cannot fan out. Snapshots are pruned to the closed rows' cars or car-days
+    before they shuffle, and those of car-days to the days' range at the scan.
     """
-    frames = {"b": bookings}
-    # Keys of the closed rows, to prune the snapshot side before it shuffles.
-    closed = bookings.filter(F.expr(_closed_where(data_window_start(p, grains), p.yesterday)))
-    cars = closed.select("stock_key").filter(F.col("stock_key").isNotNull())
-    cols = ["b.metodo_de_pago", "b.reservation_hub_name", "b.stock_key", "b.fecha_reserva",
-            "coalesce(b.fecha_venta_declarada, b.fecha_cancelacion_reserva) AS close_date",
+    lo = data_window_start(p, grains)
+    keyed = bookings.filter(F.expr(E.closed_where(lo, p.yesterday))).filter("stock_key IS NOT NULL")
+    frames, joins = {"b": bookings}, []
+    cols = ["b.metodo_de_pago", "coalesce(b.fecha_venta_declarada, b.fecha_cancelacion_reserva) AS close_date",
             "CAST(b.fecha_venta_declarada IS NOT NULL AS INT) AS venta",
             "CAST(b.fecha_cancelacion_reserva IS NOT NULL AND b.estimate_flag = 1 AS INT) AS cancel"]
-    joins = []
-    if "region" in dims:
-        cols.append(f"{B.region_sql('b.reservation_hub_name')} AS dim_region")
-    if "aging" in dims:
-        frames["fr"] = E.first_receipt(inventory, p.as_of, cars)
-        joins.append("LEFT JOIN {fr} fr ON fr.bk_stock = b.stock_key")
-        aging = B.edges_sql("datediff(b.fecha_reserva, fr.item_receipt_date)", B.AGING_BUCKETS, B.AGING_TOP)
-        cols.append(f"CASE WHEN fr.item_receipt_date IS NOT NULL THEN {aging} END AS dim_aging")
-    snap_dims = [d for d in ("price", "coming_soon", "pix") if d in dims]
-    if snap_dims:
-        needed = {"price": ["real_published_price"], "coming_soon": ["flag_coming_soon"],
-                  "pix": ["pix_financing", "pix_cash"]}
-        car_days = closed.select("stock_key", "fecha_reserva").filter(F.col("stock_key").isNotNull())
-        frames["sn"] = E.daily_snapshot(inventory, p.as_of, [c for d in snap_dims for c in needed[d]], car_days)
-        joins.append("LEFT JOIN {sn} sn ON sn.bk_stock = b.stock_key AND sn.inv_date = b.fecha_reserva")
-        matched = "sn.bk_stock IS NOT NULL"
-        if "price" in dims:
-            price = B.edges_sql("sn.real_published_price", B.PRICE_BUCKETS, B.PRICE_TOP)
-            cols.append(f"CASE WHEN {matched} AND sn.real_published_price IS NOT NULL THEN {price} END AS dim_price")
-        if "coming_soon" in dims:
-            cols.append(f"CASE WHEN {matched} THEN CASE WHEN sn.flag_coming_soon = 1 THEN {B.q(B.COMING_SOON_YES)} "
-                        f"ELSE {B.q(B.COMING_SOON_NO)} END END AS dim_coming_soon")
-        if "pix" in dims:
-            fin = ", ".join(B.q(m) for m in B.FINANCING_METHODS)
-            value = (f"CASE WHEN b.metodo_de_pago IN ({fin}) THEN sn.pix_financing "
-                     f"WHEN b.metodo_de_pago = {B.q(B.CASH)} THEN sn.pix_cash "
-                     f"ELSE coalesce(sn.pix_financing, sn.pix_cash) END")
-            pix = B.edges_sql(f"({value})", B.PIX_BUCKETS, B.PIX_TOP)
-            cols.append(f"CASE WHEN {matched} AND (sn.pix_financing IS NOT NULL OR sn.pix_cash IS NOT NULL) "
-                        f"THEN {pix} END AS dim_pix")
-    if "stock_region" in dims:
-        vel = E.stock_region_daily(inventory, p.as_of, cars)
-        frames["vel"], frames["lt"] = vel, E.latest_stock_region(vel)
-        joins += [
-            "LEFT JOIN {vel} c0 ON c0.bk_stock = b.stock_key AND c0.inv_date = b.fecha_reserva",
-            "LEFT JOIN {vel} c1 ON c1.bk_stock = b.stock_key AND c1.inv_date = date_sub(b.fecha_reserva, 1)",
-            "LEFT JOIN {lt} c2 ON c2.bk_stock = b.stock_key",
-        ]
-        whens = " ".join(f"WHEN {B.q(a)} THEN {B.q(c)}" for a, c in B.STOCK_REGION_CODES)
-        cols.append(f"CASE coalesce(c0.stock_region, c1.stock_region, c2.stock_region) {whens} END AS dim_stock_region")
-    where = _closed_where(data_window_start(p, grains), p.yesterday).replace("b2b", "b.b2b")
-    for c in ("fecha_venta_declarada", "fecha_cancelacion_reserva", "estimate_flag"):
-        where = where.replace(c, f"b.{c}")
-    sql = f"SELECT {', '.join(cols)} FROM {{b}} b {' '.join(joins)} WHERE {where}"
+    needed = {"price": ["real_published_price"], "coming_soon": ["flag_coming_soon"], "pix": ["pix_financing", "pix_cash"]}
+    snap_columns = [c for d in dims for c in needed.get(d, [])]
+    if {"aging", "stock_region"} & set(dims):
+        frames["car"] = E.car_facts(inventory, p.as_of, keyed.select("stock_key"))
+        joins.append(f"LEFT JOIN {{car}} car ON car.bk_stock = {E.spread_key('b')} AND b.stock_key IS NOT NULL")
+    if snap_columns or "stock_region" in dims:
+        frames["day"] = E.day_facts(inventory, p.as_of, snap_columns, "stock_region" in dims,
+                                    keyed.select("stock_key", "fecha_reserva"))
+        joins.append(f"LEFT JOIN {{day}} day ON day.bk_stock = {E.spread_key('b')} AND b.stock_key IS NOT NULL "
+                     "AND day.inv_date = b.fecha_reserva")
+    value = {
+        "region": B.region_sql("b.reservation_hub_name"),
+        "aging": f"CASE WHEN car.item_receipt_date IS NOT NULL THEN {B.aging_sql('car.item_receipt_date', 'b.fecha_reserva')} END",
+        "price": f"CASE WHEN day.real_published_price IS NOT NULL THEN {B.price_sql('day.real_published_price')} END",
+        "coming_soon": f"CASE WHEN day.has_snapshot THEN {B.coming_soon_sql('day.flag_coming_soon')} END",
+        "pix": "CASE WHEN day.pix_financing IS NOT NULL OR day.pix_cash IS NOT NULL THEN "
+               f"{B.pix_sql('b.metodo_de_pago', 'day.pix_financing', 'day.pix_cash')} END",
+        "stock_region": B.stock_region_sql("coalesce(day.region_day, day.region_before, car.latest_region)"),
+    }
+    cols += [f"{value[d]} AS dim_{d}" for d in dims]
+    sql = f"SELECT {', '.join(cols)} FROM {{b}} b {' '.join(joins)} WHERE {E.closed_where(lo, p.yesterday, 'b')}"
     return bookings.sparkSession.sql(sql, **frames)
 
 
@@ -130,13 +91,16 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
     rows are kept so that observed weeks and buckets include them, as in the
     reference. The literal scaffold of candidate cells (labels x methods x
     calendar periods, ``_present = 0``) is unioned into the same aggregate,
-    so absent cells exist without a join or a second aggregation. The
-    explodes feed the partial (map-side) aggregate directly.
+    so absent cells exist without a join or a second aggregation.
+
+    Rows are first counted by (method, dimension labels, close date), which is
+    bounded by labels x days at any data size; only those counts explode.
     """
     def pair(name, value_sql):
         return f"CASE WHEN {value_sql} IS NOT NULL THEN named_struct('dim_name', '{name}', 'dim', {value_sql}) END"
 
     pairs = ", ".join([pair("country", f"'{B.COUNTRY_DIM}'")] + [pair(d, f"dim_{d}") for d in dims])
+    labels = "".join(f", dim_{d}" for d in dims)
     items = (weekly_tags_sql("close_date", p) if "week" in grains else []) + (
         monthly_tags_sql("close_date", p) if "month" in grains else [])
     sql = f"""
@@ -145,7 +109,8 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
            MAX(_present) AS _present
     FROM (
       SELECT x.dim_name, x.dim, m AS method, t.period_kind, t.period, venta, cancel, 1 AS _present
-      FROM {{enriched}}
+      FROM (SELECT metodo_de_pago, close_date{labels}, SUM(venta) AS venta, SUM(cancel) AS cancel
+            FROM {{enriched}} GROUP BY metodo_de_pago, close_date{labels})
       LATERAL VIEW explode(array_compact(array({pairs}))) xs AS x
       LATERAL VIEW explode({B.method_fold_sql("metodo_de_pago")}) ms AS m
       LATERAL VIEW explode(array_compact(array({", ".join(items)}))) ts AS t
@@ -217,10 +182,9 @@ def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> D
     dim_filter = "TRUE" if fixed else f"dim_name = '{dim}' AND _seen = 1"
     closed = "(ventas + cancelaciones)"
     mix = (
-        f"CASE WHEN {closed}_total > 0 THEN CAST(FLOOR(({closed} * 2000 + {closed}_total) / ({closed}_total * 2)) "
-        f"AS DOUBLE) / 10 END"
+        f"CASE WHEN _total > 0 THEN CAST(FLOOR(({closed} * 2000 + _total) / (_total * 2)) AS DOUBLE) / 10 END"
         if dim in MIX_DIMS else "CAST(NULL AS DOUBLE)"
-    ).replace(f"{closed}_total", "_total")
+    )
     sql = f"""
     SELECT method, dim, period_kind, period, ventas, cancelaciones,
            CASE WHEN {closed} > 0 THEN CAST(FLOOR((ventas * 2000 + {closed}) / ({closed} * 2)) AS DOUBLE) / 10 END AS str,
@@ -249,8 +213,7 @@ def report(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str]
     ``report, grain, method, dim, period_kind, period, ventas,
     cancelaciones, str, mix``.
 
-    One scan of the bookings, one enrichment, one aggregate and one pass of
-    window flags for every (dimension, grain): the dense grid of all reports
+    One enrichment, one aggregate and one pass of window flags for every (dimension, grain): the dense grid of all reports
     together is still bounded by labels x methods x calendar periods, so it
     moves to a single partition and the flags need no further shuffles. The
     country rows (``MX``) feed the two fixed-list reports.
@@ -307,15 +270,15 @@ def str_report(bookings: DataFrame, inventory: DataFrame, p: Params, dim: str, g
 # ---------------------------------------------------------------------------
 # Derived forms
 # ---------------------------------------------------------------------------
-def last_two(report: DataFrame, kind: str) -> DataFrame:
-    """STR of the last two periods of ``kind`` per (method, dim).
+def last_two(report: DataFrame, kind: str, keys: tuple[str, ...] = ("method", "dim")) -> DataFrame:
+    """STR of the last two periods of ``kind`` per ``keys``.
 
     The scaffold gives every (method, dim) every period, so "last two" are
     the last two observed closed weeks (or calendar months) for all rows.
     """
-    w = Window.partitionBy("method", "dim").orderBy(F.col("period").desc())
+    w = Window.partitionBy(*keys).orderBy(F.col("period").desc())
     r = report.filter(F.col("period_kind") == kind).withColumn("_rn", F.row_number().over(w)).filter("_rn <= 2")
-    return r.groupBy("method", "dim").agg(
+    return r.groupBy(*keys).agg(
         F.max(F.when(F.col("_rn") == 1, F.col("period"))).alias("last_period"),
         F.max(F.when(F.col("_rn") == 2, F.col("period"))).alias("prev_period"),
         F.max(F.when(F.col("_rn") == 1, F.col("str"))).alias("str_last"),
@@ -323,16 +286,31 @@ def last_two(report: DataFrame, kind: str) -> DataFrame:
     ).withColumn("delta", delta_pp("str_last", "str_prev"))
 
 
-def str_deltas(report: DataFrame) -> DataFrame:
+def _ranked_weeks(report: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """A weekly report with ``_rn``: 1 for the last closed week, 2 for the one before."""
+    w = Window.partitionBy(*keys, "period_kind").orderBy(F.col("period").desc())
+    return report.withColumn("_rn", F.when(F.col("period_kind") == "week", F.row_number().over(w)))
+
+
+def _delta_aggs() -> list:
+    of = lambda cond: F.max(F.when(cond, F.col("str")))
+    return [of(F.col("_rn") == 1).alias("_last"), of(F.col("_rn") == 2).alias("_prev"),
+            of(F.col("period_kind") == "wtd").alias("wtd"), of(F.col("period_kind") == "lwtd").alias("lwtd")]
+
+
+def str_deltas(report: DataFrame, keys: tuple[str, ...] = ("method", "dim")) -> DataFrame:
     """Per (method, dim) of a weekly report: ``wow_delta`` (last two
     closed weeks), ``wtd``, ``lwtd`` and ``delta`` = wtd - lwtd (Q2: deltas
-    of the rounded rates)."""
-    lt = last_two(report, "week").select("method", "dim", F.col("delta").alias("wow_delta"))
-    cur = report.filter(F.col("period_kind").isin("wtd", "lwtd")).groupBy("method", "dim").agg(
-        F.max(F.when(F.col("period_kind") == "wtd", F.col("str"))).alias("wtd"),
-        F.max(F.when(F.col("period_kind") == "lwtd", F.col("str"))).alias("lwtd"),
-    )
-    return lt.join(cur, ["method", "dim"], "full").withColumn("delta", delta_pp("wtd", "lwtd"))
+    of the rounded rates), in one aggregate."""
+    wide = _ranked_weeks(report, keys).groupBy(*keys).agg(*_delta_aggs())
+    return wide.select(*keys, delta_pp("_last", "_prev").alias("wow_delta"), "wtd", "lwtd", delta_pp("wtd", "lwtd").alias("delta"))
+
+
+def all_deltas(reports: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """R8 for every dimension of the long ``report``: weekly deltas, and
+    month-over-month ones (W3)."""
+    keys = ("report", "method", "dim")
+    return (str_deltas(reports.filter("grain = 'week'"), keys), last_two(reports.filter("grain = 'month'"), "month", keys))
 
 
 def mix_rows(report: DataFrame) -> DataFrame:
@@ -353,20 +331,18 @@ def mix_rows(report: DataFrame) -> DataFrame:
     )
 
 
-def pivot_weeks(report: DataFrame, p: Params, week_values) -> DataFrame:
-    """Periods to columns, one row per (method, dim).
+def pivot_weeks(report: DataFrame, p: Params) -> DataFrame:
+    """Periods to columns, one row per (method, dim), with the deltas.
 
-    Pivot values are passed in (closed weeks as ``yyyy-MM-dd``, then ``wtd``
-    and ``lwtd``) so Spark runs no extra job to find them; a week without
-    data is an all-null column.
+    The columns are the calendar's closed weeks (``yyyy-MM-dd`` of their Monday,
+    whatever day ``weeks_start`` is), ``wtd`` and ``lwtd``; a week without data
+    is an all-null column. One aggregate, with no job to find the values.
     """
-    key = F.when(F.col("period_kind") == "week", F.date_format("period", "yyyy-MM-dd")).otherwise(
-        F.col("period_kind")
-    )
-    values = list(week_values) + ["wtd", "lwtd"]
-    wide = report.withColumn("_col", key).groupBy("method", "dim").pivot("_col", values).agg(F.first("str"))
-    d = str_deltas(report).select("method", "dim", "wow_delta", "delta")
-    return wide.join(d, ["method", "dim"], "left")
+    keys = ("method", "dim")
+    weeks = [F.max(F.when((F.col("period_kind") == "week") & (F.col("period") == F.lit(w)), F.col("str"))).alias(w.isoformat())
+             for k, w in calendar_periods(p, "week") if k == "week"]
+    wide = _ranked_weeks(report, keys).groupBy(*keys).agg(*weeks, *_delta_aggs())
+    return wide.withColumn("wow_delta", delta_pp("_last", "_prev")).withColumn("delta", delta_pp("wtd", "lwtd")).drop("_last", "_prev")
 
 
 def with_dim_order(report: DataFrame, dim: str) -> DataFrame:

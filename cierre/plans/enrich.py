@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cierre.functions import buckets as B
+from cierre.sources.schema import INVENTORY_SCHEMA
 
 
 def sale_date():
@@ -49,27 +50,31 @@ SNAPSHOT_VALUE_COLUMNS = [
 ]
 
 
-def closed_rows(bookings: DataFrame, lo: date, hi: date) -> DataFrame:
-    """b2b=0 rows that closed (sale, or cancel with estimate_flag=1) with
-    close date (P3) in ``[lo, hi]``; adds ``close_date``, ``venta``, ``cancel``.
+def closed_where(lo: date, hi: date, alias: str = "") -> str:
+    """P4 + P3 in SQL: b2b=0 rows that closed (sale, or cancel with
+    estimate_flag=1) with close date in ``[lo, hi]``. ``alias`` names the table.
 
     The close-date range is also stated per column (``sale >= lo OR cancel >=
     lo``), which it implies, because a COALESCE predicate is not pushed to the
     Parquet scan while the per-column form is (survey section 4).
     """
-    lo_s, hi_s = f"DATE'{lo.isoformat()}'", f"DATE'{hi.isoformat()}'"
-    sale, can = "fecha_venta_declarada", "fecha_cancelacion_reserva"
-    is_s, is_c = f"{sale} IS NOT NULL", f"({can} IS NOT NULL AND estimate_flag = 1)"
-    close = f"coalesce({sale}, {can})"
-    cond = (
-        f"b2b = 0 AND ({is_s} OR {is_c}) AND ({sale} >= {lo_s} OR {can} >= {lo_s}) "
-        f"AND ({sale} <= {hi_s} OR {can} <= {hi_s}) AND {close} BETWEEN {lo_s} AND {hi_s}"
+    lo_s, hi_s, t = f"DATE'{lo.isoformat()}'", f"DATE'{hi.isoformat()}'", f"{alias}." if alias else ""
+    sale, can = f"{t}fecha_venta_declarada", f"{t}fecha_cancelacion_reserva"
+    return (
+        f"{t}b2b = 0 AND ({sale} IS NOT NULL OR ({can} IS NOT NULL AND {t}estimate_flag = 1)) "
+        f"AND ({sale} >= {lo_s} OR {can} >= {lo_s}) AND ({sale} <= {hi_s} OR {can} <= {hi_s}) "
+        f"AND coalesce({sale}, {can}) BETWEEN {lo_s} AND {hi_s}"
     )
-    return bookings.filter(F.expr(cond)).select(
+
+
+def closed_rows(bookings: DataFrame, lo: date, hi: date) -> DataFrame:
+    """The closed rows of ``closed_where``; adds ``close_date``, ``venta``, ``cancel``."""
+    sale, can = "fecha_venta_declarada", "fecha_cancelacion_reserva"
+    return bookings.filter(F.expr(closed_where(lo, hi))).select(
         "*",
-        F.expr(close).alias("close_date"),
-        F.expr(f"CAST({is_s} AS INT)").alias("venta"),
-        F.expr(f"CAST({is_c} AS INT)").alias("cancel"),
+        F.expr(f"coalesce({sale}, {can})").alias("close_date"),
+        F.expr(f"CAST({sale} IS NOT NULL AS INT)").alias("venta"),
+        F.expr(f"CAST({can} IS NOT NULL AND estimate_flag = 1 AS INT)").alias("cancel"),
     )
 
 
@@ -87,87 +92,96 @@ def _only(snap: DataFrame, keys: DataFrame | None, on: list[str]) -> DataFrame:
 
 
 def first_receipt(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
-    """A5/J1 right side: first receipt date per car (partial aggregation
-    collapses the daily snapshots map-side). ``cars``: optional one-column
-    frame of the cars to keep."""
-    snaps = _only(snapshots_before(inventory, as_of), cars, ["bk_stock"])
-    return (
-        snaps
-        .filter(F.col("item_receipt_date").isNotNull())
-        .groupBy("bk_stock")
-        .agg(F.min("item_receipt_date").alias("item_receipt_date"))
-    )
-
-
-def daily_snapshot(inventory: DataFrame, as_of: date, columns: list[str] | None = None,
-                   car_days: DataFrame | None = None) -> DataFrame:
-    """Q8: exactly one snapshot row per (car, day).
+    """A5/J1 right side: first receipt date per car (cars with one only)."""
+    return car_facts(inventory, as_of, cars).filter("item_receipt_date IS NOT NULL").select("bk_stock", "item_receipt_date")
 
-    Duplicates keep the row that is smallest in column order
-    (``SNAPSHOT_VALUE_COLUMNS``, nulls first). ``min(struct)`` is an ordinary
-    aggregate, so it combines map-side, and its hash partitioning on
-    (bk_stock, inv_date) is the one the (car, day) join needs anyway.
-
-    With ``columns``, only the prefix of the column order that covers them is
-    carried: the minimum's prefix is the prefix's minimum, so the values are
-    those of the same kept row, with a narrower shuffle.
-    """
-    keep = SNAPSHOT_VALUE_COLUMNS
-    if columns:
-        last = max(SNAPSHOT_VALUE_COLUMNS.index(c) for c in columns)
-        keep = SNAPSHOT_VALUE_COLUMNS[: last + 1]
-    s = F.struct(*[F.col(c) for c in keep])
-    return (
-        _only(snapshots_before(inventory, as_of), car_days, ["bk_stock", "inv_date"])
-        .groupBy("bk_stock", "inv_date")
-        .agg(F.min(s).alias("_s"))
-        .select("bk_stock", "inv_date", "_s.*")
-    )
 
+def latest_stock_region(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
+    """The region of each car's latest snapshot day with a listed region."""
+    return car_facts(inventory, as_of, cars).filter("latest_region IS NOT NULL").select(
+        "bk_stock", F.col("latest_region").alias("stock_region"))
 
-def stock_region_daily(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
-    """A6 ("vel"): one region per (car, day) among the six listed cities.
 
-    A car listed in two regions on one day keeps the first by name (Q8 fix).
-    """
-    return (
-        _only(snapshots_before(inventory, as_of), cars, ["bk_stock"])
-        .filter(F.col("stock_region").isin(B.stock_region_names()))
-        .groupBy("bk_stock", "inv_date")
-        .agg(F.min("stock_region").alias("stock_region"))
-    )
+def _listed_region() -> str:
+    names = ", ".join(B.q(n) for n in B.stock_region_names())
+    return f"CASE WHEN stock_region IN ({names}) THEN stock_region END"
 
 
-def latest_stock_region(vel: DataFrame) -> DataFrame:
-    """The region of each car's latest snapshot day.
+def car_facts(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
+    """One row per car: its first receipt date (J1) and the region of its latest
+    snapshot day that has a listed one (W1; of two on that day the first by name,
+    Q9).
 
-    ``max(struct(inv_date, stock_region))`` is the row-number-1 pick of
-    ``ORDER BY inv_date DESC`` with a tie-break (Q9), written as one
-    aggregate: no window sort, and map-side combining.
+    The latest region is the greatest (day, region by falling name): one
+    aggregate, without a window sort, that combines map-side. ``cars``:
+    one-column frame of the cars to keep.
     """
-    return vel.groupBy("bk_stock").agg(
-        F.max(F.struct("inv_date", "stock_region"))["stock_region"].alias("stock_region")
-    )
-
-
-def with_stock_region(rows: DataFrame, inventory: DataFrame, as_of: date) -> DataFrame:
-    """Region on the reservation day, else the day before, else the
-    latest known; first non-null wins. Adds ``stock_region_asof``.
-
-    Both day lookups read the same deduplicated ``vel`` frame (its exchange is
-    reused); ``latest`` has one row per car; so the three left joins keep the
-    row count of ``rows``.
+    codes = B.stock_region_names()
+    rank = "CASE stock_region " + " ".join(
+        f"WHEN {B.q(n)} THEN {-k}" for k, n in enumerate(sorted(codes))) + " END"
+    return _only(snapshots_before(inventory, as_of), cars, ["bk_stock"]).groupBy("bk_stock").agg(
+        F.min("item_receipt_date").alias("item_receipt_date"),
+        F.max(F.expr(f"CASE WHEN {rank} IS NOT NULL THEN struct(inv_date, {rank} AS k, stock_region) END"))["stock_region"]
+        .alias("latest_region"))
+
+
+def day_facts(inventory: DataFrame, as_of: date, columns: list[str] | None = None, regions: bool = True,
+              car_days: DataFrame | None = None) -> DataFrame:
+    """Exactly one row per (car, day): the day's snapshot (Q8) and the listed
+    regions on that day (``region_day``) and the day before (``region_before``).
+
+    Duplicate snapshots keep the row that is smallest in column order
+    (``SNAPSHOT_VALUE_COLUMNS``, nulls first); with ``columns`` only the prefix
+    of that order that covers them is carried, which keeps the same row. A
+    region also speaks for the day after, so the day-before lookup needs no join
+    of its own. ``car_days``: (car, day) pairs to keep; their range of days also
+    bounds the scan of the snapshots, so that history outside it is not read.
     """
-    vel = stock_region_daily(inventory, as_of)
-    latest = latest_stock_region(vel)
-    c0 = vel.select(F.col("bk_stock").alias("_k0"), F.col("inv_date").alias("_d0"), F.col("stock_region").alias("_r0"))
-    c1 = vel.select(F.col("bk_stock").alias("_k1"), F.col("inv_date").alias("_d1"), F.col("stock_region").alias("_r1"))
-    c2 = latest.select(F.col("bk_stock").alias("_k2"), F.col("stock_region").alias("_r2"))
-    out = (
-        rows.join(c0, (F.col("stock_key") == F.col("_k0")) & (F.col("fecha_reserva") == F.col("_d0")), "left")
-        .join(c1, (F.col("stock_key") == F.col("_k1")) & (F.date_sub("fecha_reserva", 1) == F.col("_d1")), "left")
-        .join(c2, F.col("stock_key") == F.col("_k2"), "left")
-    )
-    return out.withColumn("stock_region_asof", F.coalesce("_r0", "_r1", "_r2")).drop(
-        "_k0", "_d0", "_r0", "_k1", "_d1", "_r1", "_k2", "_r2"
-    )
+    keep = SNAPSHOT_VALUE_COLUMNS
+    if columns is not None:
+        last = max((SNAPSHOT_VALUE_COLUMNS.index(c) for c in columns), default=-1)
+        keep = SNAPSHOT_VALUE_COLUMNS[: last + 1]
+    struct = f"struct({', '.join(keep)})" if keep else "struct(1 AS seen)"
+    snaps = snapshots_before(inventory, as_of)
+    frames = {"snaps": snaps}
+    where = ""
+    if car_days is not None:
+        frames["days"] = car_days.toDF("bk_stock", "day")
+        lag = 1 if regions else 0
+        where = (f"WHERE inv_date BETWEEN (SELECT date_sub(min(day), {lag}) FROM {{days}}) AND (SELECT max(day) FROM {{days}})")
+    today = f"struct(inv_date AS day, {struct} AS snap, {_listed_region()} AS region_day, CAST(NULL AS STRING) AS region_before)"
+    after = (f"struct(date_add(inv_date, 1) AS day, CAST(NULL AS {_struct_type(keep)}) AS snap, "
+             f"CAST(NULL AS STRING) AS region_day, {_listed_region()} AS region_before)")
+    items = f"array({today}" + (f", {after})" if regions else ")")
+    rows = inventory.sparkSession.sql(f"SELECT bk_stock, inline({items}) FROM {{snaps}} {where}", **frames)
+    rows = _only(rows, car_days, ["bk_stock", "day"])
+    out = rows.groupBy("bk_stock", "day").agg(
+        F.min("snap").alias("_s"), F.min("region_day").alias("region_day"), F.min("region_before").alias("region_before"))
+    return out.select("bk_stock", F.col("day").alias("inv_date"), F.col("_s").isNotNull().alias("has_snapshot"),
+                      *[F.col("_s")[c].alias(c) for c in keep], "region_day", "region_before")
+
+
+def _struct_type(keep: list[str]) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in INVENTORY_SCHEMA.fields}
+    return "struct<" + ",".join(f"{c}:{kinds[c]}" for c in keep) + ">" if keep else "struct<seen:int>"
+
+
+def stock_region_asof(rows: DataFrame, inventory: DataFrame, as_of: date) -> DataFrame:
+    """Region on the reservation day, else the day before, else the latest
+    known; first non-null wins. Adds ``stock_region_asof``. Each side has one row
+    per key, so the two left joins keep the row count."""
+    keyed = rows.filter("stock_key IS NOT NULL")
+    days = day_facts(inventory, as_of, [], True, keyed.select("stock_key", "fecha_reserva"))
+    cars = car_facts(inventory, as_of, keyed.select("stock_key"))
+    return rows.sparkSession.sql(
+        f"""SELECT b.*, coalesce(d.region_day, d.region_before, c.latest_region) AS stock_region_asof
+        FROM {{b}} b
+        LEFT JOIN {{d}} d ON d.bk_stock = {spread_key("b")} AND b.stock_key IS NOT NULL AND d.inv_date = b.fecha_reserva
+        LEFT JOIN {{c}} c ON c.bk_stock = {spread_key("b")} AND b.stock_key IS NOT NULL""", b=rows, d=days, c=cars)
+
+
+def spread_key(alias: str) -> str:
+    """The car key for a join. Rows without one match nothing; their booking id
+    stands in, so that they don't all go to one task (the join also asks for the
+    key, so a stand-in never matches)."""
+    return f"coalesce({alias}.stock_key, -1 - CAST({alias}.booking_id AS BIGINT))"

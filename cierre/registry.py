@@ -4,10 +4,12 @@ operator of survey section 2, run on the fixture views with FIXTURE_PARAMS."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cierre.params import FIXTURE_PARAMS as P
+from cierre.params import Params
 from cierre.sources.fixtures import fixture_bookings, fixture_inventory
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +63,30 @@ def _q_dim_report_all(spark, sf):
     return D.report(_b(spark, sf), _i(spark, sf), P)
 
 
+@register("dim_report_wide")
+def _q_dim_report_wide(spark, sf):
+    """Every week of six years: the closed rows of nearly the whole table."""
+    return D.report(_b(spark, sf), _i(spark, sf), Params(as_of=P.as_of, weeks_start=date(1995, 1, 2)), grains=["week"])
+
+
+@register("dim_report_monday")
+def _q_dim_report_monday(spark, sf):
+    """A refresh on a Monday: the week to date is empty (Q3)."""
+    return D.report(_b(spark, sf), _i(spark, sf), Params(as_of=date(2001, 4, 23), weeks_start=P.weeks_start))
+
+
+@register("str_region_weekly_first")
+def _q_str_region_weekly_first(spark, sf):
+    """A refresh on the 1st (Q12)."""
+    return D.str_report(_b(spark, sf), _i(spark, sf), Params(as_of=date(2001, 4, 1), weeks_start=P.weeks_start), "region")
+
+
+@register("str_region_weekly_last")
+def _q_str_region_weekly_last(spark, sf):
+    """A refresh on the 31st (Q13)."""
+    return D.str_report(_b(spark, sf), _i(spark, sf), Params(as_of=date(2001, 3, 31), weeks_start=P.weeks_start), "region")
+
+
 # ---------------------------------------------------------------- kpis ------
 from cierre.operators import kpis as K  # noqa: E402
 
@@ -262,7 +288,7 @@ def _q_first_receipt(spark, sf):
 
 @register("latest_stock_region")
 def _q_latest_stock_region(spark, sf):
-    return E.latest_stock_region(E.stock_region_daily(_i(spark, sf), P.as_of))
+    return E.latest_stock_region(_i(spark, sf), P.as_of)
 
 
 @register("stock_region_asof")
@@ -270,7 +296,7 @@ def _q_stock_region_asof(spark, sf):
     rows = E.closed_rows(_b(spark, sf), P.weeks_start, P.yesterday).select(
         "booking_id", "stock_key", "fecha_reserva"
     )
-    out = E.with_stock_region(rows, _i(spark, sf), P.as_of)
+    out = E.stock_region_asof(rows, _i(spark, sf), P.as_of)
     return out.withColumn("stock_region_code", B.stock_region_code("stock_region_asof"))
 
 
@@ -299,20 +325,26 @@ def _q_str_deltas(spark, sf):
     return D.str_deltas(D.str_report(_b(spark, sf), _i(spark, sf), P, "region", "week"))
 
 
-def _calendar_weeks():
-    from datetime import timedelta
+@register("region_pivot")
+def _q_region_pivot(spark, sf):
+    return D.pivot_weeks(D.str_report(_b(spark, sf), _i(spark, sf), P, "region", "week"), P)
 
-    out, w = [], P.weeks_start
-    while w < P.wtd_start:
-        out.append(w.isoformat())
-        w += timedelta(days=7)
-    return out
 
+@register("region_pivot_midweek")
+def _q_region_pivot_midweek(spark, sf):
+    """The pivot with a ``weeks_start`` that is no Monday."""
+    p = Params(as_of=P.as_of, weeks_start=date(2001, 1, 3))
+    return D.pivot_weeks(D.str_report(_b(spark, sf), _i(spark, sf), p, "region", "week"), p)
 
-@register("region_pivot")
-def _q_region_pivot(spark, sf):
-    rep = D.str_report(_b(spark, sf), _i(spark, sf), P, "region", "week")
-    return D.pivot_weeks(rep, P, _calendar_weeks())
+
+@register("str_deltas_all")
+def _q_str_deltas_all(spark, sf):
+    return D.all_deltas(D.report(_b(spark, sf), _i(spark, sf), P, grains=["week"]))[0]
+
+
+@register("mom_deltas_all")
+def _q_mom_deltas_all(spark, sf):
+    return D.all_deltas(D.report(_b(spark, sf), _i(spark, sf), P, grains=["month"]))[1]
 
 
 @register("period_labels")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cierre.params import FIXTURE_PARAMS as P
+from oracle.dates import FIXTURE as P
 from oracle import dims as OD
 from oracle import funnel as OF
 from oracle import kpis as OK
@@ -34,20 +34,24 @@ WHERE b.b2b = 0 AND {CLOSED} AND {CLOSE} BETWEEN {d(P.weeks_start)} AND {d(P.yes
 
 
 def first_receipt_sql() -> str:
-    return with_base(body="SELECT * FROM first_inv")
+    return with_base(body="SELECT bk_stock, first_receipt AS item_receipt_date FROM car WHERE first_receipt IS NOT NULL")
 
 
 def latest_stock_region_sql() -> str:
-    return with_base(body="SELECT bk_stock, stock_region FROM civ2")
+    return with_base(body="SELECT bk_stock, last_region AS stock_region FROM car WHERE last_region IS NOT NULL")
 
 
 def stock_region_asof_sql() -> str:
-    return with_base(body=f"""SELECT b.booking_id, TRY_CAST(b.stock AS BIGINT) AS stock_key, b.fecha_reserva,
-  COALESCE(c0.stock_region, c1.stock_region, c2.stock_region) AS stock_region_asof,
-  {OD.SR_CASE} AS stock_region_code
-FROM bookings b
-  {OD.SR_JOIN}
-WHERE b.b2b = 0 AND {CLOSED} AND {CLOSE} BETWEEN {d(P.weeks_start)} AND {d(P.yesterday)}""")
+    """The listed region on the reservation day, the day before, or the last one known."""
+    return with_base(OD.CLOSED_ROWS, body=f"""SELECT booking_id, closed.car AS stock_key, fecha_reserva, region AS stock_region_asof,
+  code AS stock_region_code
+FROM (
+  SELECT closed.*, COALESCE(today.stock_region, eve.stock_region, last_region) AS region
+  FROM closed LEFT JOIN car ON car.bk_stock = closed.car
+  LEFT JOIN car_region_day today ON today.bk_stock = closed.car AND today.inv_date = fecha_reserva
+  LEFT JOIN car_region_day eve ON eve.bk_stock = closed.car AND eve.inv_date + 1 = fecha_reserva
+  WHERE closed_on BETWEEN {d(P.weeks_start)} AND {d(P.yesterday)}) closed
+LEFT JOIN region_code c ON c.stock_region = region""")
 
 
 def period_labels_sql() -> str:
@@ -60,12 +64,10 @@ def period_labels_sql() -> str:
 
 
 def qa_recent_weeks_sql() -> str:
-    # Rebuild the three datasets as CTEs from their own SQL bodies.
     return with_base(
-        *_ctes(OK.weekly_hub_str_sql()), *_ctes(OK.bookings_weekly_sql()),
-        f"e_rows AS ({_body(OK.weekly_hub_str_sql())})",
-        f"a_rows AS ({_body(OK.bookings_weekly_sql())})",
-        f"b_rows AS ({_body(OK.profile_mix_weekly_sql())})",
+        f"e_rows AS ({OK.weekly_hub_str_sql()})",
+        f"a_rows AS ({OK.bookings_weekly_sql()})",
+        f"b_rows AS ({OK.profile_mix_weekly_sql()})",
         body=f"""SELECT source, semana, CAST(reservas AS BIGINT) AS reservas, CAST(ventas AS BIGINT) AS ventas,
   CAST(cancel AS BIGINT) AS cancel, CAST(n_x AS BIGINT) AS n_x, CAST(n_a AS BIGINT) AS n_a,
   CAST(n_sin_perfil AS BIGINT) AS n_sin_perfil,
@@ -83,51 +85,15 @@ FROM (
 WHERE rn <= 3""")
 
 
-def _split(sql: str):
-    """(extra CTE texts, final body) of a with_base() query."""
-    from oracle.base import BOOKINGS, INVENTORY, SNAPSHOTS
-
-    head = "WITH " + ",\n".join(p.strip() for p in [BOOKINGS, INVENTORY, SNAPSHOTS])
-    assert sql.startswith(head)
-    rest = sql[len(head):]
-    return rest
-
-
-def _ctes(sql: str) -> list[str]:
-    rest = _split(sql)
-    if not rest.startswith(",\n"):
-        return []
-    # Extra CTEs end right before the last top-level "\nSELECT".
-    idx = rest.rfind("\nSELECT")
-    block = rest[2:idx]
-    return [block]
-
-
-def _body(sql: str) -> str:
-    rest = _split(sql)
-    idx = rest.rfind("\nSELECT")
-    return rest[idx + 1:]
-
-
 def qa_period_totals_sql() -> str:
-    parts = []
-    for kind, name in (("mtd", "MTD"), ("lmtd", "LMTD")):
-        body = _body(OK.kpi_period_sql(kind))
-        ctes = _ctes(OK.kpi_period_sql(kind))[0].replace("u AS (", f"u_{kind} AS (", 1).replace(
-            "FROM u GROUP BY 1", f"FROM u_{kind} GROUP BY 1").replace("h AS (", f"h_{kind} AS (", 1)
-        parts.append((ctes, body.replace("FROM h", f"FROM h_{kind}"), name))
-    lm_ctes = _ctes(OK.last_month_hub_sql())[0]
-    lm_body = _body(OK.last_month_hub_sql())
-    sel = []
-    for _, body, name in parts:
-        sel.append(f"""SELECT '{name}' AS period, CAST(reservas_total AS BIGINT) AS reservas_total,
+    parts = [f"""SELECT '{name}' AS period, CAST(reservas_total AS BIGINT) AS reservas_total,
   CAST(reservas_netas AS BIGINT) AS reservas_netas, CAST(ventas_total AS BIGINT) AS ventas_total,
   CAST(cancel_total AS BIGINT) AS cancel_total, {rate('ventas_total', 'ventas_total + cancel_total')} AS str,
   CAST(NULL AS BIGINT) AS entregas_netas, CAST(NULL AS BIGINT) AS entregas_captive
-FROM ({body}) WHERE hub = '__MX__'""")
-    sel.append(f"""SELECT 'LM', NULL, NULL, ventas_total, NULL, CAST(NULL AS DOUBLE), entregas_netas, entregas_captive
-FROM ({lm_body}) WHERE hub = '__MX__'""")
-    return with_base(parts[0][0], parts[1][0], lm_ctes, body="\nUNION ALL\n".join(sel))
+FROM ({OK.kpi_period_sql(kind)}) WHERE hub = '__MX__'""" for kind, name in (("mtd", "MTD"), ("lmtd", "LMTD"))]
+    parts.append(f"""SELECT 'LM', NULL, NULL, ventas_total, NULL, CAST(NULL AS DOUBLE), entregas_netas, entregas_captive
+FROM ({OK.last_month_hub_sql()}) WHERE hub = '__MX__'""")
+    return "\nUNION ALL\n".join(parts)
 
 
 def qa_funnel_weeks_sql() -> str:
@@ -146,46 +112,13 @@ USING (semana)"""
 
 
 def qa_dim_row_sql() -> str:
-    reg = [c.replace(" AS (", "_r AS (", 1) if False else c for c in OD.report_ctes("region", "week")]
-    # Region report, its deltas and the aging deltas, each as separate CTE chains.
-    region = _renamed(OD.report_ctes("region", "week"), "r_")
-    aging = _renamed(OD.report_ctes("aging", "week"), "a_")
-    lt = lambda p: f"""{p}lt AS (
-  SELECT method, dim,
-         MAX(CASE WHEN rn = 1 THEN str END) AS str_last, MAX(CASE WHEN rn = 2 THEN str END) AS str_prev
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY method, dim ORDER BY period DESC) AS rn
-        FROM {p}rep WHERE period_kind = 'week') WHERE rn <= 2 GROUP BY method, dim)"""
-    cur = lambda p: f"""{p}cur AS (
-  SELECT method, dim, MAX(CASE WHEN period_kind = 'wtd' THEN str END) AS wtd,
-         MAX(CASE WHEN period_kind = 'lwtd' THEN str END) AS lwtd
-  FROM {p}rep GROUP BY method, dim)"""
-    dl = "((ROUND({a} * 10) - ROUND({b} * 10)) / 10)"
-    body = f"""SELECT 'mx_all' AS "check", 'str' AS metric, period, str AS value FROM (
-  SELECT period, str FROM r_rep WHERE method = 'all' AND dim = 'MX' AND period_kind = 'week'
-  ORDER BY period DESC LIMIT 3)
-UNION ALL SELECT 'mx_all', 'wow_delta', CAST(NULL AS DATE), {dl.format(a='l.str_last', b='l.str_prev')}
-  FROM r_lt l WHERE method = 'all' AND dim = 'MX'
-UNION ALL SELECT 'mx_all', 'wtd', NULL, wtd FROM r_cur WHERE method = 'all' AND dim = 'MX'
-UNION ALL SELECT 'mx_all', 'lwtd', NULL, lwtd FROM r_cur WHERE method = 'all' AND dim = 'MX'
-UNION ALL SELECT 'mx_all', 'delta', NULL, {dl.format(a='wtd', b='lwtd')} FROM r_cur WHERE method = 'all' AND dim = 'MX'
-UNION ALL SELECT 'aging_0_30d_all', 'wtd', NULL, wtd FROM a_cur WHERE method = 'all' AND dim = '0-30d'
-UNION ALL SELECT 'aging_0_30d_all', 'lwtd', NULL, lwtd FROM a_cur WHERE method = 'all' AND dim = '0-30d'
-UNION ALL SELECT 'aging_0_30d_all', 'delta', NULL, {dl.format(a='wtd', b='lwtd')} FROM a_cur
-  WHERE method = 'all' AND dim = '0-30d'"""
-    return with_base(*region, *aging, lt("r_"), cur("r_"), cur("a_"), body=body)
-
-
-_CTE_NAMES = ["dq", "mx", "rws", "dl", "mxl", "lrws", "folded", "agg", "periods", "dims", "methods", "grid", "cnt", "rep"]
-
-
-def _renamed(ctes: list[str], prefix: str) -> list[str]:
-    import re
-
-    out = []
-    for c in ctes:
-        for n in _CTE_NAMES:
-            c = re.sub(rf"\b{n}\b(?= AS \()", prefix + n, c)
-            c = re.sub(rf"(FROM|JOIN) {n}\b", rf"\1 {prefix}{n}", c)
-            c = re.sub(rf"CROSS JOIN {n}\b", f"CROSS JOIN {prefix}{n}", c)
-        out.append(c)
-    return out
+    """The country row and the youngest cars' row of all methods: last three weeks and deltas."""
+    parts = [f"""SELECT 'mx_all' AS "check", 'str' AS metric, period, str AS value FROM (
+  SELECT period, str FROM ({OD.report_sql('region', 'week')})
+  WHERE method = 'all' AND dim = 'MX' AND period_kind = 'week' ORDER BY period DESC LIMIT 3)"""]
+    for check, report, dim, metrics in (("mx_all", "region", "MX", ["wow_delta", "wtd", "lwtd", "delta"]),
+                                        ("aging_0_30d_all", "aging", "0-30d", ["wtd", "lwtd", "delta"])):
+        for m in metrics:
+            parts.append(f"""SELECT '{check}', '{m}', CAST(NULL AS DATE), {m} FROM ({OD.str_deltas_sql(report)})
+  WHERE method = 'all' AND dim = '{dim}'""")
+    return "\nUNION ALL\n".join(parts)

@@ -1,241 +1,152 @@
-"""Oracle SQL of the dimension reports (R1-R8 and their derived forms)."""
+"""Oracle SQL of the dimension reports (R1-R8 and their derived forms).
+
+Written from the definitions of survey 1.5 and 2.2: labels come from small
+value tables, a row counts in every period whose range holds its close date
+and in every report method that its own method belongs to, and a report is the
+grid of its periods, methods and labels with what was counted.
+"""
 
 from __future__ import annotations
 
-from cierre.params import FIXTURE_PARAMS as P
-from oracle.base import CANCELS, CLOSE, CLOSED, METHOD, VENTAS, d, delta, rate, with_base
-
-REGION_CASE = """CASE
-    WHEN b.reservation_hub_name ILIKE 'CDMX%' OR b.reservation_hub_name ILIKE 'EDOMEX%' THEN 'CDMX'
-    WHEN b.reservation_hub_name ILIKE 'GDL%' THEN 'GDL'
-    WHEN b.reservation_hub_name ILIKE 'QRO%' THEN 'QRO'
-    WHEN b.reservation_hub_name ILIKE 'MTY%' THEN 'MTY'
-    WHEN b.reservation_hub_name ILIKE 'PUE%' THEN 'PUE'
-    WHEN b.reservation_hub_name ILIKE 'CUE%' THEN 'CUE'
-    ELSE NULL END"""
-
-AGING_CASE = """CASE
-    WHEN date_diff('day', fi.item_receipt_date, b.fecha_reserva) < 30 THEN '0-30d'
-    WHEN date_diff('day', fi.item_receipt_date, b.fecha_reserva) < 60 THEN '30-60d'
-    WHEN date_diff('day', fi.item_receipt_date, b.fecha_reserva) < 90 THEN '60-90d'
-    ELSE '90+d' END"""
-
-PRICE_CASE = """CASE
-    WHEN h.real_published_price < 250000 THEN '0-250K'
-    WHEN h.real_published_price < 350000 THEN '250-350K'
-    WHEN h.real_published_price < 500000 THEN '350-500K'
-    ELSE '500K+' END"""
-
-CS_CASE = "CASE WHEN h.flag_coming_soon = 1 THEN 'Coming Soon' ELSE 'Sin Coming Soon' END"
-
-_PIXV = ("CASE b.metodo_de_pago WHEN 'Financing' THEN h.pix_financing WHEN 'Financing Inhouse' THEN h.pix_financing "
-         "WHEN 'Cash payment' THEN h.pix_cash ELSE COALESCE(h.pix_financing, h.pix_cash) END")
-PIX_CASE = f"""CASE
-    WHEN {_PIXV} < 0.88 THEN '< 0.88'
-    WHEN {_PIXV} < 0.93 THEN '0.88-0.93'
-    WHEN {_PIXV} < 0.98 THEN '0.93-0.98'
-    ELSE '≥ 0.98' END"""
-
-_SRC = "COALESCE(c0.stock_region, c1.stock_region, c2.stock_region)"
-SR_CASE = f"""CASE
-    WHEN {_SRC} = 'CDMX' THEN 'CDMX'
-    WHEN {_SRC} = 'GUADALAJARA' THEN 'GDL'
-    WHEN {_SRC} = 'MONTERREY' THEN 'MTY'
-    WHEN {_SRC} = 'PUEBLA' THEN 'PUE'
-    WHEN {_SRC} = 'QUERETARO' THEN 'QRO'
-    WHEN {_SRC} = 'CUERNAVACA' THEN 'CUE'
-    ELSE NULL END"""
-
-SNAP_JOIN = "JOIN inv h ON TRY_CAST(b.stock AS BIGINT) = h.bk_stock AND h.inv_date = b.fecha_reserva"
-SR_JOIN = """LEFT JOIN vel c0 ON c0.bk_stock = TRY_CAST(b.stock AS BIGINT) AND c0.inv_date = b.fecha_reserva
-  LEFT JOIN vel c1 ON c1.bk_stock = TRY_CAST(b.stock AS BIGINT) AND c1.inv_date = b.fecha_reserva - 1
-  LEFT JOIN civ2 c2 ON c2.bk_stock = TRY_CAST(b.stock AS BIGINT)"""
-
-# dim -> (expression, join, extra filter, having-not-null, with-country-row, mix)
-SPECS = {
-    "region": (REGION_CASE, "", "", True, True, False),
-    "aging": (AGING_CASE, "JOIN first_inv fi ON TRY_CAST(b.stock AS BIGINT) = fi.bk_stock",
-              "AND fi.item_receipt_date IS NOT NULL", False, False, True),
-    "price": (PRICE_CASE, SNAP_JOIN, "AND h.real_published_price IS NOT NULL", False, False, True),
-    "coming_soon": (CS_CASE, SNAP_JOIN, "", False, False, True),
-    "pix": (PIX_CASE, SNAP_JOIN, "AND (h.pix_financing IS NOT NULL OR h.pix_cash IS NOT NULL)", False, False, True),
-    "stock_region": (SR_CASE, SR_JOIN, "", True, True, False),
+from oracle.base import d, delta, rate, with_base
+from oracle.dates import FIXTURE, Dates
+
+#: Hub prefixes and their regions, as patterns.
+HUB_PREFIX = "hub_prefix(prefix, code) AS (VALUES ('cdmx', 'CDMX'), ('edomex', 'CDMX'), ('cue', 'CUE'), ('gdl', 'GDL'), " \
+             "('mty', 'MTY'), ('pue', 'PUE'), ('qro', 'QRO'))"
+#: Lower edges of the buckets.
+AGING = "edge(low, label) AS (VALUES (-1000000, '0-30d'), (30, '30-60d'), (60, '60-90d'), (90, '90+d'))"
+PRICE = "edge(low, label) AS (VALUES (-1e300, '0-250K'), (250000, '250-350K'), (350000, '350-500K'), (500000, '500K+'))"
+PIX = "edge(low, label) AS (VALUES (-1000, '< 0.88'), (0.88, '0.88-0.93'), (0.93, '0.93-0.98'), (0.98, '≥ 0.98'))"
+BUCKET = "(SELECT ARG_MAX(label, low) FROM edge WHERE low <= {0})"
+
+CLOSED_ROWS = """closed AS (
+  SELECT *, TRY_CAST(stock AS BIGINT) AS car, COALESCE(fecha_venta_declarada, fecha_cancelacion_reserva) AS closed_on,
+         CAST(fecha_venta_declarada IS NOT NULL AS INT) AS sale,
+         CAST(fecha_cancelacion_reserva IS NOT NULL AND estimate_flag = 1 AS INT) AS cancel
+  FROM bookings WHERE b2b = 0 AND (fecha_venta_declarada IS NOT NULL OR fecha_cancelacion_reserva IS NOT NULL AND estimate_flag = 1)
+)"""
+#: Labelled rows of each report: (value tables, label, what it is read from).
+LABELS = {
+    "region": ([HUB_PREFIX], "p.code", "closed JOIN hub_prefix p ON starts_with(lower(reservation_hub_name), p.prefix)"),
+    "aging": ([AGING], BUCKET.format("fecha_reserva - first_receipt"),
+              "closed JOIN car ON car.bk_stock = closed.car AND first_receipt IS NOT NULL"),
+    "price": ([PRICE], BUCKET.format("real_published_price"),
+              "closed JOIN day_snapshot s ON s.bk_stock = car AND s.inv_date = fecha_reserva AND real_published_price IS NOT NULL"),
+    "coming_soon": ([], "IF(flag_coming_soon IS NOT DISTINCT FROM 1, 'Coming Soon', 'Sin Coming Soon')",
+                    "closed JOIN day_snapshot s ON s.bk_stock = car AND s.inv_date = fecha_reserva"),
+    "pix": ([PIX, "pix_rows AS (SELECT closed.*, CASE WHEN starts_with(metodo_de_pago, 'Financing') THEN pix_financing "
+                  "WHEN metodo_de_pago = 'Cash payment' THEN pix_cash ELSE COALESCE(pix_financing, pix_cash) END AS index "
+                  "FROM closed JOIN day_snapshot s ON s.bk_stock = car AND s.inv_date = fecha_reserva "
+                  "WHERE COALESCE(pix_financing, pix_cash) IS NOT NULL)"],
+            f"IF(index IS NULL, '≥ 0.98', {BUCKET.format('index')})", "pix_rows"),
+    "stock_region": ([], "code", "closed LEFT JOIN car ON car.bk_stock = closed.car "
+                     "LEFT JOIN car_region_day today ON today.bk_stock = closed.car AND today.inv_date = fecha_reserva "
+                     "LEFT JOIN car_region_day eve ON eve.bk_stock = closed.car AND eve.inv_date + 1 = fecha_reserva "
+                     "JOIN region_code c ON c.stock_region = COALESCE(today.stock_region, eve.stock_region, last_region)"),
 }
-REGION_DIMS = "('MX'), ('CDMX'), ('CUE'), ('GDL'), ('MTY'), ('PUE'), ('QRO')"
+WITH_COUNTRY = {"region", "stock_region"}
+FOLD = "fold(method, own) AS (VALUES ('all', NULL), ('all', 'Cash payment'), ('all', 'Financing'), ('all', 'Financing Inhouse'), " \
+       "('Cash payment', 'Cash payment'), ('Financing', 'Financing'), ('Financing', 'Financing Inhouse'))"
+
 
+def _periods(grain: str, t: Dates) -> str:
+    if grain == "month":
+        return "VALUES " + ", ".join(
+            f"('month', {d(m)}, {d(m)}, LEAST(CAST({d(m)} + INTERVAL 1 MONTH AS DATE) - 1, {d(t.yesterday)}))" for m in t.month_starts)
+    weeks = f"""SELECT DISTINCT 'week', CAST(date_trunc('week', closed_on) AS DATE) AS monday,
+      GREATEST(monday, {d(t.weeks_start)}), CAST(monday + 6 AS DATE)
+      FROM closed WHERE closed_on BETWEEN {d(t.weeks_start)} AND {d(t.yesterday)} AND closed_on < {d(t.wtd_start)}"""
+    return f"""{weeks} UNION ALL VALUES
+      ('wtd', {d(t.wtd_start)}, GREATEST({d(t.wtd_start)}, {d(t.weeks_start)}), {d(t.yesterday)}),
+      ('lwtd', {d(t.lwtd_start)}, {d(t.lwtd_start)}, {d(t.lwtd_end)})"""
 
-def _dim_query(expr, join, extra, having, bucket, lo, hi, with_period=True) -> str:
-    sel = f"CAST(DATE_TRUNC('{bucket}', {CLOSE}) AS DATE) AS semana, " if with_period else ""
-    grp = "1, 2, 3" if with_period else "1, 2"
-    hav = "HAVING dim IS NOT NULL" if having else ""
-    return f"""SELECT {sel}{METHOD} AS metodo_de_pago, {expr} AS dim,
-    {VENTAS} AS ventas, {CANCELS} AS cancelaciones
-  FROM bookings b {join}
-  WHERE b.b2b = 0 AND {CLOSE} >= {d(lo)} AND {CLOSE} <= {d(hi)} AND {CLOSED} {extra}
-  GROUP BY {grp} {hav}"""
 
+def report_ctes(dim: str, grain: str = "week", t: Dates = FIXTURE) -> list[str]:
+    """CTEs ending in ``rep(method, dim, period_kind, period, ventas, cancelaciones, str, mix)``."""
+    tables, label, source = LABELS[dim]
+    begin = t.weeks_start if grain == "week" else t.months_start
+    country = "UNION ALL SELECT 'MX', metodo_de_pago, closed_on, sale, cancel FROM closed" if dim in WITH_COUNTRY else ""
+    labels = ("VALUES ('MX'), ('CDMX'), ('CUE'), ('GDL'), ('MTY'), ('PUE'), ('QRO')" if country else
+              f"SELECT DISTINCT dim FROM labelled WHERE closed_on BETWEEN {d(begin)} AND {d(t.yesterday)}")
+    everything = "SUM(ventas + cancelaciones) OVER (PARTITION BY method, period_kind, period)"
+    mix = "CAST(NULL AS DOUBLE)" if country else rate("ventas + cancelaciones", everything)
+    return [
+        CLOSED_ROWS, *tables,
+        f"labelled(dim, own, closed_on, sale, cancel) AS (SELECT {label}, metodo_de_pago, closed_on, sale, cancel FROM {source} {country})",
+        FOLD, f"period(period_kind, period, low, high) AS ({_periods(grain, t)})", f"label(dim) AS ({labels})",
+        """counted AS (
+  SELECT period_kind, period, method, dim, SUM(sale) AS ventas, SUM(cancel) AS cancelaciones
+  FROM labelled JOIN period ON closed_on BETWEEN low AND high JOIN fold ON fold.own IS NOT DISTINCT FROM labelled.own GROUP BY ALL)""",
+        """grid AS (
+  SELECT method, dim, period_kind, period, CAST(COALESCE(ventas, 0) AS BIGINT) AS ventas,
+         CAST(COALESCE(cancelaciones, 0) AS BIGINT) AS cancelaciones
+  FROM (SELECT DISTINCT method FROM fold) CROSS JOIN label CROSS JOIN period
+  LEFT JOIN counted USING (method, dim, period_kind, period))""",
+        f"rep AS (SELECT *, {rate('ventas', 'ventas + cancelaciones')} AS str, {mix} AS mix FROM grid)",
+    ]
 
-def _fold(src: str, kind: str, period: str, where: str) -> str:
-    return f"""SELECT '{kind}' AS period_kind, {period} AS period, metodo_de_pago AS method, dim, ventas, cancelaciones
-    FROM {src} WHERE ({where}) AND metodo_de_pago IN ('Financing', 'Cash payment')
-  UNION ALL
-  SELECT '{kind}', {period}, 'all', dim, ventas, cancelaciones
-    FROM {src} WHERE ({where}) AND (metodo_de_pago IN ('Financing', 'Cash payment') OR metodo_de_pago IS NULL)"""
 
+def report_sql(dim: str, grain: str = "week", t: Dates = FIXTURE) -> str:
+    return with_base(*report_ctes(dim, grain, t), body="SELECT * FROM rep", as_of=t.as_of)
+
+
+def all_reports_sql(t: Dates = FIXTURE, grains=("week", "month")) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{dim}' AS report, '{g}' AS grain, * FROM ({report_sql(dim, g, t)})" for dim in LABELS for g in grains)
+
+
+def last_two_sql(dim: str, grain: str, t: Dates = FIXTURE) -> str:
+    """STR of the last two periods, side by side."""
+    return f"""SELECT a.method, a.dim, a.period AS last_period, b.period AS prev_period, a.str AS str_last, b.str AS str_prev,
+  {delta('a.str', 'b.str')} AS delta
+FROM (SELECT * FROM ({report_sql(dim, grain, t)}) WHERE period_kind = '{grain}' QUALIFY dense_rank() OVER (ORDER BY period DESC) = 1) a
+JOIN (SELECT * FROM ({report_sql(dim, grain, t)}) WHERE period_kind = '{grain}' QUALIFY dense_rank() OVER (ORDER BY period DESC) = 2) b
+USING (method, dim)"""
 
-def report_ctes(dim: str, grain: str = "week") -> list[str]:
-    """CTEs ending in ``rep(method, dim, period_kind, period, ventas, cancelaciones, str, mix)``."""
-    expr, join, extra, having, country, mix = SPECS[dim]
-    ctes = []
-    if grain == "week":
-        lo, bucket = P.weeks_start, "week"
-    else:
-        lo, bucket = P.months_start, "month"
-    ctes.append(f"dq AS ({_dim_query(expr, join, extra, having, bucket, lo, P.yesterday)})")
-    ctes.append(f"mx AS ({_dim_query(repr('MX'), '', '', False, bucket, lo, P.yesterday)})")
-    rows = "SELECT * FROM dq" + (" UNION ALL SELECT * FROM mx" if country else "")
-    ctes.append(f"rws AS ({rows})")
-    if grain == "week":
-        ctes.append(f"dl AS ({_dim_query(expr, join, extra, having, bucket, P.lwtd_start, P.lwtd_end, False)})")
-        ctes.append(f"mxl AS ({_dim_query(repr('MX'), '', '', False, bucket, P.lwtd_start, P.lwtd_end, False)})")
-        lrows = "SELECT * FROM dl" + (" UNION ALL SELECT * FROM mxl" if country else "")
-        ctes.append(f"lrws AS ({lrows})")
-        folded = " UNION ALL ".join([
-            _fold("rws", "week", "semana", f"semana < {d(P.wtd_start)}"),
-            _fold("rws", "wtd", d(P.wtd_start), f"semana = {d(P.wtd_start)}"),
-            _fold("lrws", "lwtd", d(P.lwtd_start), "TRUE"),
-        ])
-        periods = (f"SELECT DISTINCT 'week' AS period_kind, semana AS period FROM mx WHERE semana < {d(P.wtd_start)} "
-                   f"UNION ALL SELECT 'wtd', {d(P.wtd_start)} UNION ALL SELECT 'lwtd', {d(P.lwtd_start)}")
-    else:
-        folded = _fold("rws", "month", "semana", "TRUE")
-        periods = " UNION ALL ".join(
-            f"SELECT 'month' AS period_kind, {d(m)} AS period" for m in P.month_starts
-        )
-    ctes.append(f"folded AS ({folded})")
-    ctes.append("agg AS (SELECT period_kind, period, method, dim, SUM(ventas) AS v, SUM(cancelaciones) AS c "
-                "FROM folded GROUP BY ALL)")
-    ctes.append(f"periods AS ({periods})")
-    dims = f"SELECT * FROM (VALUES {REGION_DIMS}) t(dim)" if country else "SELECT DISTINCT dim FROM dq"
-    ctes.append(f"dims AS ({dims})")
-    ctes.append("methods AS (SELECT * FROM (VALUES ('all'), ('Financing'), ('Cash payment')) t(method))")
-    ctes.append("grid AS (SELECT * FROM periods CROSS JOIN methods CROSS JOIN dims)")
-    ctes.append("""cnt AS (
-  SELECT g.method, g.dim, g.period_kind, g.period,
-         CAST(COALESCE(a.v, 0) AS BIGINT) AS ventas, CAST(COALESCE(a.c, 0) AS BIGINT) AS cancelaciones
-  FROM grid g LEFT JOIN agg a
-    ON a.period_kind = g.period_kind AND a.period = g.period AND a.method = g.method AND a.dim = g.dim)""")
-    mix_expr = (rate("ventas + cancelaciones",
-                     "SUM(ventas + cancelaciones) OVER (PARTITION BY method, period_kind, period)")
-                if mix else "CAST(NULL AS DOUBLE)")
-    ctes.append(f"""rep AS (
-  SELECT method, dim, period_kind, period, ventas, cancelaciones,
-         {rate('ventas', 'ventas + cancelaciones')} AS str, {mix_expr} AS mix
-  FROM cnt)""")
-    return ctes
-
-
-def report_sql(dim: str, grain: str = "week") -> str:
-    return with_base(*report_ctes(dim, grain), body="SELECT * FROM rep")
-
-
-def _last_two(kind: str) -> str:
-    return f"""lt AS (
-  SELECT method, dim,
-         MAX(CASE WHEN rn = 1 THEN period END) AS last_period,
-         MAX(CASE WHEN rn = 2 THEN period END) AS prev_period,
-         MAX(CASE WHEN rn = 1 THEN str END) AS str_last,
-         MAX(CASE WHEN rn = 2 THEN str END) AS str_prev
-  FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY method, dim ORDER BY period DESC) AS rn
-        FROM rep WHERE period_kind = '{kind}')
-  WHERE rn <= 2 GROUP BY method, dim)"""
-
-
-def last_two_sql(dim: str, grain: str) -> str:
-    kind = "week" if grain == "week" else "month"
-    return with_base(*report_ctes(dim, grain), _last_two(kind),
-                     body=f"SELECT *, {delta('str_last', 'str_prev')} AS delta FROM lt")
-
-
-def str_deltas_sql(dim: str = "region") -> str:
-    cur = """cur AS (
-  SELECT method, dim, MAX(CASE WHEN period_kind = 'wtd' THEN str END) AS wtd,
-         MAX(CASE WHEN period_kind = 'lwtd' THEN str END) AS lwtd
-  FROM rep WHERE period_kind IN ('wtd', 'lwtd') GROUP BY method, dim)"""
-    body = f"""SELECT lt.method, lt.dim, {delta('lt.str_last', 'lt.str_prev')} AS wow_delta,
-       cur.wtd, cur.lwtd, {delta('cur.wtd', 'cur.lwtd')} AS delta
-FROM lt JOIN cur ON lt.method = cur.method AND lt.dim = cur.dim"""
-    return with_base(*report_ctes(dim, "week"), _last_two("week"), cur, body=body)
+
+def str_deltas_sql(dim: str = "region", t: Dates = FIXTURE) -> str:
+    rep = report_sql(dim, "week", t)
+    return f"""SELECT w.method, w.dim, w.delta AS wow_delta, n.str AS wtd, l.str AS lwtd, {delta('n.str', 'l.str')} AS delta
+FROM ({last_two_sql(dim, "week", t)}) w
+JOIN (SELECT * FROM ({rep}) WHERE period_kind = 'wtd') n USING (method, dim)
+JOIN (SELECT * FROM ({rep}) WHERE period_kind = 'lwtd') l USING (method, dim)"""
+
+
+def str_deltas_all_sql() -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{dim}' AS report, * FROM ({str_deltas_sql(dim)})" for dim in LABELS)
+
+
+def mom_deltas_all_sql() -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{dim}' AS report, * FROM ({last_two_sql(dim, 'month')})" for dim in LABELS)
 
 
 def mix_rows_sql(dim: str, grain: str) -> str:
-    body = """SELECT method, dim, 'STR' AS metric, dim || ' — STR' AS row_label, period_kind, period, str AS value FROM rep
-UNION ALL
-SELECT method, dim, 'Mix%', dim || ' — Mix%', period_kind, period, mix FROM rep"""
-    return with_base(*report_ctes(dim, grain), body=body)
-
-
-def region_pivot_sql() -> str:
-    """Weekly region pivot: one column per calendar closed week from
-    weeks_start, then wtd, lwtd, wow_delta, delta."""
-    weeks = []
-    w = P.weeks_start
-    from datetime import timedelta
-    while w < P.wtd_start:
-        weeks.append(w)
-        w += timedelta(days=7)
-    cols = ",\n  ".join(
-        f"MAX(CASE WHEN period_kind = 'week' AND period = {d(x)} THEN str END) AS \"{x.isoformat()}\"" for x in weeks
-    )
-    cur = """cur AS (
-  SELECT method, dim, MAX(CASE WHEN period_kind = 'wtd' THEN str END) AS wtd,
-         MAX(CASE WHEN period_kind = 'lwtd' THEN str END) AS lwtd
-  FROM rep GROUP BY method, dim)"""
-    wide = f"""wide AS (SELECT method, dim,
-  {cols}
-  FROM rep GROUP BY method, dim)"""
-    body = f"""SELECT wide.*, cur.wtd, cur.lwtd, {delta('lt.str_last', 'lt.str_prev')} AS wow_delta,
-       {delta('cur.wtd', 'cur.lwtd')} AS delta
-FROM wide JOIN cur USING (method, dim) JOIN lt USING (method, dim)"""
-    return with_base(*report_ctes("region", "week"), _last_two("week"), cur, wide, body=body)
-
-
-def pivot_weeks_values():
-    from datetime import timedelta
-    out, w = [], P.weeks_start
-    while w < P.wtd_start:
-        out.append(w.isoformat())
-        w += timedelta(days=7)
-    return out
+    return f"""SELECT method, dim, m.metric, dim || ' — ' || m.metric AS row_label, period_kind, period,
+  IF(m.metric = 'STR', str, mix) AS value
+FROM ({report_sql(dim, grain)}) CROSS JOIN (VALUES ('STR'), ('Mix%')) m(metric)"""
+
+
+def region_pivot_sql(t: Dates = FIXTURE) -> str:
+    """One column for each closed week of the calendar, then wtd, lwtd and the deltas."""
+    weeks = ", ".join(
+        f"MAX(str) FILTER (period_kind = 'week' AND period = DATE '{w}') AS \"{w}\"" for w in t.pivot_weeks)
+    return f"""SELECT * FROM (SELECT method, dim, {weeks} FROM ({report_sql('region', 'week', t)}) GROUP BY ALL)
+JOIN ({str_deltas_sql('region', t)}) USING (method, dim)"""
 
 
 def dim_order_sql() -> str:
-    """Aging buckets in their fixed order, with country totals since weeks_start."""
-    body = """SELECT method, dim, period_kind, period, ventas, cancelaciones, str, mix,
-       CASE dim WHEN '0-30d' THEN 1 WHEN '30-60d' THEN 2 WHEN '60-90d' THEN 3 ELSE 4 END AS dim_ord
-FROM rep"""
-    return with_base(*report_ctes("aging", "week"), body=body)
+    """Aging buckets with their place in the fixed order."""
+    return f"""SELECT *, CAST(list_position(['0-30d', '30-60d', '60-90d', '90+d'], dim) AS INTEGER) AS dim_ord
+FROM ({report_sql('aging', 'week')})"""
 
 
 def method_period_sql(grain: str, fold: bool) -> str:
-    lo = P.weeks_start if grain == "week" else P.months_start
-    base = f"""mq AS (
-  SELECT CAST(DATE_TRUNC('{grain}', {CLOSE}) AS DATE) AS period, {METHOD} AS metodo_de_pago,
-         {VENTAS} AS ventas, {CANCELS} AS cancelaciones
-  FROM bookings b
-  WHERE b.b2b = 0 AND {CLOSE} >= {d(lo)} AND {CLOSE} <= {d(P.yesterday)} AND {CLOSED}
-  GROUP BY 1, 2)"""
-    if fold:
-        f = f"""f AS (
-  SELECT period, metodo_de_pago AS method, ventas, cancelaciones FROM mq
-    WHERE metodo_de_pago IN ('Financing', 'Cash payment')
-  UNION ALL
-  SELECT period, 'all', ventas, cancelaciones FROM mq
-    WHERE metodo_de_pago IN ('Financing', 'Cash payment') OR metodo_de_pago IS NULL),
-g AS (SELECT period, method, SUM(ventas) AS ventas, SUM(cancelaciones) AS cancelaciones FROM f GROUP BY 1, 2)"""
-        body = f"""SELECT period, method, CAST(ventas AS BIGINT) AS ventas, CAST(cancelaciones AS BIGINT) AS cancelaciones,
-       {rate('ventas', 'ventas + cancelaciones')} AS str FROM g"""
-        return with_base(base, f, body=body)
-    body = f"""SELECT period, metodo_de_pago AS method, CAST(ventas AS BIGINT) AS ventas,
-       CAST(cancelaciones AS BIGINT) AS cancelaciones, {rate('ventas', 'ventas + cancelaciones')} AS str FROM mq"""
-    return with_base(base, body=body)
+    begin = FIXTURE.weeks_start if grain == "week" else FIXTURE.months_start
+    method = "fold.method" if fold else "IF(metodo_de_pago = 'Financing Inhouse', 'Financing', metodo_de_pago)"
+    join = "JOIN fold ON fold.own IS NOT DISTINCT FROM metodo_de_pago" if fold else ""
+    counted = f"""m AS (
+  SELECT CAST(date_trunc('{grain}', closed_on) AS DATE) AS period, {method} AS method, CAST(SUM(sale) AS BIGINT) AS ventas,
+         CAST(SUM(cancel) AS BIGINT) AS cancelaciones
+  FROM closed {join} WHERE closed_on BETWEEN {d(begin)} AND {d(FIXTURE.yesterday)} GROUP BY ALL)"""
+    return with_base(CLOSED_ROWS, FOLD, counted, body=f"SELECT *, {rate('ventas', 'ventas + cancelaciones')} AS str FROM m")

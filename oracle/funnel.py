@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cierre.params import FIXTURE_PARAMS as P
+from oracle.dates import FIXTURE as P
 from oracle.base import FIN_METHODS, d, raw_rate, rate, with_base
 
 BASE = f"b.b2b = 0 AND b.metodo_de_pago IN {FIN_METHODS} AND b.estimate_flag = 1"

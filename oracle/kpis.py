@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cierre.params import FIXTURE_PARAMS as P
+from oracle.dates import FIXTURE as P
 from oracle.base import CANCELS, CLOSE, CLOSED, FIN_METHODS, KPI_METHODS, VENTAS, d, with_base
 
 FIN = f"b.metodo_de_pago IN {FIN_METHODS}"

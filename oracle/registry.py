@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle import dims as OD
+from oracle.dates import FIRST, LAST, MIDWEEK, MONDAY, WIDE
 
 SQL: dict[str, str] = {}
 
@@ -18,10 +19,11 @@ for _dim, _key in _DIM_KEYS.items():
     SQL[f"{_key}_weekly"] = OD.report_sql(_dim, "week")
     SQL[f"{_key}_monthly"] = OD.report_sql(_dim, "month")
 
-SQL["dim_report_all"] = "\nUNION ALL\n".join(
-    f"SELECT '{_dim}' AS report, '{_g}' AS grain, * FROM ({OD.report_sql(_dim, _g)})"
-    for _dim in _DIM_KEYS for _g in ("week", "month")
-)
+SQL["dim_report_all"] = OD.all_reports_sql()
+SQL["dim_report_wide"] = OD.all_reports_sql(WIDE, ["week"])
+SQL["dim_report_monday"] = OD.all_reports_sql(MONDAY)
+SQL["str_region_weekly_first"] = OD.report_sql("region", "week", FIRST)
+SQL["str_region_weekly_last"] = OD.report_sql("region", "week", LAST)
 
 from oracle import kpis as OK  # noqa: E402
 
@@ -74,6 +76,9 @@ SQL["wow_delta"] = OD.last_two_sql("aging", "week")
 SQL["mom_delta"] = OD.last_two_sql("region", "month")
 SQL["str_deltas"] = OD.str_deltas_sql("region")
 SQL["region_pivot"] = OD.region_pivot_sql()
+SQL["region_pivot_midweek"] = OD.region_pivot_sql(MIDWEEK)
+SQL["str_deltas_all"] = OD.str_deltas_all_sql()
+SQL["mom_deltas_all"] = OD.mom_deltas_all_sql()
 SQL["period_labels"] = OB.period_labels_sql()
 SQL["qa_recent_weeks"] = OB.qa_recent_weeks_sql()
 SQL["qa_period_totals"] = OB.qa_period_totals_sql()
