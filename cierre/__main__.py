@@ -1,13 +1,13 @@
 """Daily refresh from the command line.
 
-    python -m cierre --bookings PATH --inventory PATH --as-of 2001-04-18 \\
-        --weeks-start 2001-01-01 --out PATH [--format parquet|json]
+    spark-submit ... -m cierre --bookings PATH --inventory PATH --as-of 2001-04-18 \\
+        --weeks-start 2001-01-01 --out PATH [--verdicts PATH] [--format parquet|json]
 
 Reads the two stored tables with their declared schemas, computes every
-report of ``as_of`` and publishes each as its own dataset ``out/<name>``
-(replacing only that dataset). Session settings (master, shuffle partitions,
-``spark.checkpoint.dir``) come from ``spark-submit``/the cluster; a local
-session is created only when none is active.
+report of ``as_of`` and publishes them as one set (``sources.io``). Without
+verdicts, or where their path does not exist, the verdict reports are left
+out. Master, partitions, memory and ``spark.checkpoint.dir`` are the
+submitter's; outside local mode the checkpoint folder is required.
 """
 
 from __future__ import annotations
@@ -15,13 +15,12 @@ from __future__ import annotations
 import argparse
 from datetime import date
 
-from pyspark.sql import SparkSession
-
 from cierre.params import Params
 from cierre.refresh import full_refresh
-from cierre.session import ensure_checkpoint_dir, local_session
-from cierre.sources.io import write_report
-from cierre.sources.schema import read_bookings, read_inventory
+from cierre.session import ensure_checkpoint_dir, job_session
+from cierre.sources.datasets import VERDICT_SCHEMA
+from cierre.sources.io import dataset_presence, read_or_empty
+from cierre.sources.schema import Labels, read_bookings, read_inventory
 
 
 def main(argv=None) -> int:
@@ -31,21 +30,24 @@ def main(argv=None) -> int:
     ap.add_argument("--as-of", required=True, type=date.fromisoformat)
     ap.add_argument("--weeks-start", required=True, type=date.fromisoformat)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--verdicts", help="first verdict per booking: booking_id, dictamen")
     ap.add_argument("--format", default="parquet", choices=["parquet", "json"])
+    for option, text in (("financing", "financing method"), ("cash", "cash method"), ("financing-captive", "captive lender's method"),
+                         ("captive-provider", "captive lender")):
+        ap.add_argument(f"--label-{option}", default=getattr(Labels(), option.replace("-", "_")), help=f"the table's name of the {text}")
     args = ap.parse_args(argv)
 
-    spark = SparkSession.getActiveSession() or local_session()
+    spark = job_session()
     ensure_checkpoint_dir(spark)
     p = Params(as_of=args.as_of, weeks_start=args.weeks_start)
-    b = read_bookings(spark, args.bookings)
-    i = read_inventory(spark, args.inventory)
-    out = args.out.rstrip("/")
-
-    def sink(name, df):
-        write_report(df, f"{out}/{name}", args.format)
-
-    n = full_refresh(b, i, p, sink=sink)
-    print(f"published {n} reports to {out}")
+    labels = Labels(args.label_financing, args.label_cash, args.label_financing_captive, args.label_captive_provider)
+    verdicts = read_or_empty(spark, args.verdicts, VERDICT_SCHEMA) if args.verdicts else None
+    if verdicts is not None and verdicts.isEmpty():
+        verdicts = None
+    names = full_refresh(read_bookings(spark, args.bookings, labels), read_inventory(spark, args.inventory), p, args.out,
+                         args.format, verdicts)
+    for row in dataset_presence(spark, args.out, names).collect():  # one row a report
+        print(row["dataset"], row["n_rows"])
     return 0
 
 

@@ -313,14 +313,15 @@ def all_deltas(reports: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (str_deltas(reports.filter("grain = 'week'"), keys), last_two(reports.filter("grain = 'month'"), "month", keys))
 
 
-def mix_rows(report: DataFrame) -> DataFrame:
+def mix_rows(report: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     """The interleaved ``dim — STR`` / ``dim — Mix%`` rows, as an unpivot
     of (str, mix) with a ``metric`` column."""
     u = report.unpivot(
-        ["method", "dim", "period_kind", "period"], ["str", "mix"], "metric", "value"
+        [*keys, "method", "dim", "period_kind", "period"], ["str", "mix"], "metric", "value"
     )
     metric = F.when(F.col("metric") == "str", F.lit("STR")).otherwise(F.lit("Mix%"))
     return u.select(
+        *keys,
         "method",
         "dim",
         metric.alias("metric"),
@@ -356,6 +357,17 @@ def with_dim_order(report: DataFrame, dim: str) -> DataFrame:
     return report.withColumn("dim_ord", ordinal)
 
 
+def sorted_report(reports: DataFrame) -> DataFrame:
+    """O1: the long ``report`` in the order it is shown in: report, grain, method,
+    bucket (P15), period. The rows are bounded by labels x methods x periods."""
+    places = F.create_map(*[x for n, labels in B.DIM_LABELS.items() for i, label in enumerate(labels)
+                            for x in (F.lit(f"{n}/{label}"), F.lit(i))])
+    methods = F.array_position(F.array(*map(F.lit, B.METHOD_TARGETS)), F.col("method"))
+    kinds = F.array_position(F.array(*map(F.lit, ("month", "week", "wtd", "lwtd"))), F.col("period_kind"))
+    return reports.orderBy(F.array_position(F.array(*map(F.lit, DIMS)), F.col("report")), F.desc("grain"), methods,
+                           F.try_element_at(places, F.concat_ws("/", "report", "dim")), kinds, "period")
+
+
 def method_weekly(bookings: DataFrame, p: Params, grain: str = "week", fold: bool = False) -> DataFrame:
     """Country STR per period and method, observed periods only.
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from cierre.functions import buckets as B
 from cierre.functions.dates import month_key
 from cierre.functions.rates import rate, raw_rate
+from cierre.operators.sla import week_marks
 from cierre.params import Params
 from cierre.plans.totals import attach_one_row
 
@@ -30,15 +31,6 @@ VTA_MEASURES = [f"{m}_{v}" for m in ("vta_app", "cancel_app") for v, _ in VARIAN
 TI_MODES = [("total", "total"), ("sin_ti", "sales"), ("con_ti", "ti")]
 
 
-def funnel_base(bookings: DataFrame) -> DataFrame:
-    return bookings.filter(
-        (F.col("b2b") == 0) & B.is_financing() & (F.col("estimate_flag") == 1)
-    ).select(
-        "booking_id", B.hub_label().alias("hub"), "trade_in", "fecha_handoff", "fecha_aprobacion",
-        "fecha_venta_declarada", "fecha_cancelacion_reserva",
-    )
-
-
 def _d(x) -> str:
     return f"DATE'{x.isoformat()}'"
 
@@ -105,13 +97,13 @@ def funnel_weekly(bookings: DataFrame, p: Params) -> DataFrame:
     return bookings.sparkSession.sql(sql, b=bookings)
 
 
-def _vta_flags_sql() -> str:
+def _vta_flags_sql(also: str = "TRUE", prefix: str = "") -> str:
+    """0/1 flags of approved bookings sold and cancelled, where ``also`` holds too."""
     out = []
-    for name, cond in (("vta_app", "fecha_aprobacion IS NOT NULL AND fecha_venta_declarada IS NOT NULL"),
-                       ("cancel_app", "fecha_aprobacion IS NOT NULL AND fecha_cancelacion_reserva IS NOT NULL")):
+    for name, date in (("vta_app", "fecha_venta_declarada"), ("cancel_app", "fecha_cancelacion_reserva")):
         for v, t in VARIANTS:
-            c = cond if t is None else f"{cond} AND trade_in = {t}"
-            out.append(f"MAX(CAST({c} AS INT)) AS {name}_{v}")
+            only = "" if t is None else f" AND trade_in = {t}"
+            out.append(f"MAX(CAST({also} AND fecha_aprobacion IS NOT NULL AND {date} IS NOT NULL{only} AS INT)) AS {prefix}{name}_{v}")
     return ", ".join(out)
 
 
@@ -147,8 +139,7 @@ def funnel_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> Dat
         sold_or_cancelled = (f"(fecha_venta_declarada BETWEEN {_d(lo)} AND {_d(hi)} "
                              f"OR fecha_cancelacion_reserva BETWEEN {_d(lo)} AND {_d(hi)})")
         items.append(f"CASE WHEN {sold_or_cancelled} THEN named_struct('stage', 'vta', 'period', '{k}') END")
-    vta_flags = _vta_flags_sql().replace("MAX(CAST(", "MAX(CAST(t.stage = 'vta' AND ").replace(" AS vta", " AS _vta").replace(
-        " AS cancel", " AS _cancel")
+    vta_flags = _vta_flags_sql("t.stage = 'vta'", "_")
     vta_sums = ", ".join(f"CAST(SUM(_{m}) AS BIGINT) AS {m}" for m in VTA_MEASURES)
     lo_all, hi_all = min(w[k][0] for k in kinds), max(w[k][1] for k in kinds)
     sql = f"""
@@ -204,25 +195,6 @@ def _long(df: DataFrame, keys: list[str], has: str) -> DataFrame:
     ).select(*keys, "scope", "m.*", "_has_f", "_has_v")
 
 
-def funnel_week_marks(weekly: DataFrame, p: Params) -> DataFrame:
-    """W4 (``_funnelPeriod``): one row with ``last_w`` (last closed week),
-    ``prev_w`` and ``cur_w`` (first week from this Monday on, else last_w)."""
-    mon = F.lit(p.wtd_start)
-    closed = F.filter(F.sort_array(F.collect_set("semana")), lambda w: w < mon)
-    upcoming = F.filter(F.sort_array(F.collect_set("semana")), lambda w: w >= mon)
-    return weekly.agg(closed.alias("_closed"), upcoming.alias("_up")).select(
-        F.try_element_at("_closed", F.lit(-1)).alias("last_w"),
-        F.when(F.size("_closed") >= 2, F.try_element_at("_closed", F.lit(-2))).alias("prev_w"),
-        F.coalesce(F.try_element_at("_up", F.lit(1)), F.try_element_at("_closed", F.lit(-1))).alias("cur_w"),
-    )
-
-
-KPI_COLUMNS = [
-    "cr_ho_cur", "cr_ho_prv", "cr_ho_delta", "cr_app_cur", "cr_app_prv", "cr_app_delta",
-    "cr_vta_cur", "cr_vta_prv", "cr_vta_delta",
-]
-
-
 def _kpi_from(long: DataFrame, cur: Column, prv: Column, gran: str) -> DataFrame:
     sums = []
     for tag, cond in (("cur", cur), ("prv", prv)):
@@ -237,22 +209,20 @@ def _kpi_from(long: DataFrame, cur: Column, prv: Column, gran: str) -> DataFrame
     return g.select(*out)
 
 
-def funnel_kpi(weekly: DataFrame, vta_weekly: DataFrame, mtd: DataFrame, lmtd: DataFrame, p: Params) -> DataFrame:
+def funnel_kpi(weekly: DataFrame, vta_weekly: DataFrame, periods: DataFrame, p: Params) -> DataFrame:
     """R18 (A12, W4): the three conversion rates for the current period and
     the previous one, with the delta in points (unrounded, Q2), per scope
     (each hub and ``__MX__``) and TI mode.
 
     ``semanal`` compares the current week with the last closed week (Q20: with
-    no current rows they are the same week); ``mensual`` compares MTD and LMTD.
+    no current rows they are the same week); ``mensual`` compares MTD and LMTD,
+    both from the one frame of ``funnel_periods``.
     """
-    marks = funnel_week_marks(weekly, p)
     wk = _long(weekly, ["semana"], "f").unionByName(_long(vta_weekly, ["semana"], "v"))
-    wk = attach_one_row(wk, marks)
+    wk = attach_one_row(wk, week_marks(weekly, p))
     weekly_kpi = _kpi_from(wk, F.col("semana") == F.col("cur_w"), F.col("semana") == F.col("last_w"), "semanal")
-    mo = _long(mtd.withColumn("_p", F.lit("cur")), ["_p"], "f").unionByName(
-        _long(lmtd.withColumn("_p", F.lit("prv")), ["_p"], "f")
-    )
-    monthly_kpi = _kpi_from(mo, F.col("_p") == "cur", F.col("_p") == "prv", "mensual")
+    mo = _long(periods, ["period_kind"], "f")
+    monthly_kpi = _kpi_from(mo, F.col("period_kind") == "mtd", F.col("period_kind") == "lmtd", "mensual")
     return weekly_kpi.unionByName(monthly_kpi)
 
 

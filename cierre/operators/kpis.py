@@ -15,40 +15,91 @@ from pyspark.sql import functions as F
 from cierre.functions import buckets as B
 from cierre.functions.dates import in_window, week_of
 from cierre.params import Params
-from cierre.plans import enrich as E
 from cierre.plans.totals import with_country_total
 
 
-def _flags():
-    """(financing method, cash method, estimate_flag = 1) predicates."""
-    return B.is_financing(), B.is_cash(), F.col("estimate_flag") == 1
+def _d(x) -> str:
+    return f"DATE'{x.isoformat()}'"
 
 
-def _count(cond: Column, name: str) -> Column:
-    return F.count(F.when(cond, 1)).alias(name)
+# ------------------------------------------------------------ event legs ----
+#: Legs: what a booking counts as, and on which day. ``k`` close (listed methods),
+#: ``o`` origin and ``r`` reservation (any method), ``v`` sale, ``e`` delivery,
+#: ``d`` return and ``c`` cancel (listed methods; cancels with estimate_flag=1).
+SALE = "fecha_venta_declarada IS NOT NULL"
+CANCEL = "(fecha_cancelacion_reserva IS NOT NULL AND estimate_flag = 1)"
 
 
-def _b2b0(bookings: DataFrame) -> DataFrame:
-    return bookings.filter(F.col("b2b") == 0)
+def _legs() -> dict[str, tuple[str, str]]:
+    kpi = f"metodo_de_pago IN ({', '.join(B.q(m) for m in B.KPI_METHODS)})"
+    return {
+        "k": ("coalesce(fecha_venta_declarada, fecha_cancelacion_reserva)", f"({SALE} OR {CANCEL}) AND {kpi}"),
+        "o": ("fecha_origen", "TRUE"),
+        "r": ("fecha_reserva", "TRUE"),
+        "v": ("fecha_venta_declarada", kpi),
+        "e": ("fecha_entrega", kpi),
+        "d": ("devolucion_date", kpi),
+        "c": ("fecha_cancelacion_reserva", f"{kpi} AND estimate_flag = 1"),
+    }
+
+
+EVENT_KEYS = ["leg", "fecha", "hub", "fin", "cash", "captive", "ef", "sale", "cancel", "perfil"]
+
+
+def kpi_events(bookings: DataFrame, p: Params, legs: str, lo, hi, daily: bool = False) -> DataFrame:
+    """The events of b2b=0 bookings in ``[lo, hi]`` behind R9-R14: ``EVENT_KEYS``
+    and how many (``n``).
+
+    One scan: each booking explodes into its legs. ``daily`` counts equal events
+    once more, which bounds the frame by days x hubs x a few flags whatever the
+    number of bookings; the refresh keeps that one frame for all seven reports.
+    A range of any event date is implied, and reaches the Parquet scan.
+    """
+    spec = {k: v for k, v in _legs().items() if k in legs}
+    win = f"BETWEEN {_d(lo)} AND {_d(hi)}"
+    items = ", ".join(f"CASE WHEN {cond} AND {col} {win} THEN named_struct('leg', '{k}', 'fecha', {col}) END"
+                      for k, (col, cond) in spec.items())
+    dates = {col for k, (col, _) in spec.items() if k != "k"}
+    if "k" in spec:
+        dates |= {"fecha_venta_declarada", "fecha_cancelacion_reserva"}
+    implied = " OR ".join(f"{c} {win}" for c in sorted(dates))
+    fin = ", ".join(B.q(m) for m in B.FINANCING_METHODS)
+    columns = f"""t.leg AS leg, t.fecha AS fecha, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub,
+      coalesce(metodo_de_pago IN ({fin}), FALSE) AS fin, coalesce(metodo_de_pago = {B.q(B.CASH)}, FALSE) AS cash,
+      coalesce(financing_provider = {B.q(B.CAPTIVE_PROVIDER)}, FALSE) AS captive, coalesce(estimate_flag = 1, FALSE) AS ef,
+      {SALE} AS sale, coalesce({CANCEL}, FALSE) AS cancel, CASE WHEN t.leg = 'o' THEN perfil END AS perfil"""
+    events = bookings.sparkSession.sql(
+        f"""SELECT {columns}, 1L AS n
+        FROM (SELECT *, array_compact(array({items})) AS ev FROM {{b}} WHERE b2b = 0 AND ({implied}))
+        LATERAL VIEW explode(ev) e AS t""", b=bookings)
+    return events.groupBy(*EVENT_KEYS).agg(F.sum("n").alias("n")) if daily else events
+
+
+def daily_events(bookings: DataFrame, p: Params) -> DataFrame:
+    """All legs of all windows, counted by day: the one input of R9-R14."""
+    lo = min(p.weeks_start, *(w[0] for w in p.windows().values()))
+    return kpi_events(bookings, p, "korvedc", lo, p.yesterday, daily=True)
+
+
+def _n(cond: str, name: str) -> Column:
+    return F.expr(f"coalesce(sum(CASE WHEN {cond} THEN n END), 0L)").alias(name)
+
+
+def _within(events: DataFrame, legs: str, lo, hi) -> DataFrame:
+    return events.filter(F.col("leg").isin(*legs) & in_window("fecha", lo, hi))
 
 
 # --------------------------------------------------------------- R9 ---------
 def weekly_hub_str(bookings: DataFrame, p: Params) -> DataFrame:
-    """By (week of close date, hub): sales and cancels, total / financing / cash.
+    """By (week of close date, hub): sales and cancels, total / financing / cash."""
+    return weekly_hub_str_of(kpi_events(bookings, p, "k", p.weeks_start, p.yesterday), p)
 
-    Grouped once at the target grain (A9): the reference groups by method
-    too and re-aggregates in Python.
-    """
-    FIN, CASH, EF = _flags()
-    rows = E.closed_rows(bookings, p.weeks_start, p.yesterday).filter(B.is_kpi_method())
-    s, c = E.is_sale(), E.is_cancel()
-    return rows.groupBy(week_of("close_date").alias("semana"), B.hub_label().alias("hub")).agg(
-        _count(s, "ventas_total"),
-        _count(s & FIN, "ventas_fin"),
-        _count(s & CASH, "ventas_cash"),
-        _count(c, "cancel_total"),
-        _count(c & FIN, "cancel_fin"),
-        _count(c & CASH, "cancel_cash"),
+
+def weekly_hub_str_of(events: DataFrame, p: Params) -> DataFrame:
+    rows = _within(events, "k", p.weeks_start, p.yesterday)
+    return rows.groupBy(week_of("fecha").alias("semana"), "hub").agg(
+        _n("sale", "ventas_total"), _n("sale AND fin", "ventas_fin"), _n("sale AND cash", "ventas_cash"),
+        _n("cancel", "cancel_total"), _n("cancel AND fin", "cancel_fin"), _n("cancel AND cash", "cancel_cash"),
     )
 
 
@@ -64,42 +115,23 @@ def bookings_weekly(bookings: DataFrame, p: Params) -> DataFrame:
     """By (week, hub): gross bookings by reservation week, net
     bookings and their sales/cancels by origin week.
 
-    One pass instead of the reference's aggregate + left join: each row is
-    tagged with its origin leg and its reservation leg, one aggregate counts
-    both, and only (week, hub) pairs with an origin row are kept (Q16: the
-    left join drops gross-only pairs).
+    Both legs in one aggregate; only (week, hub) pairs with an origin row are
+    kept (Q16: the reference's left join drops gross-only pairs).
     """
-    FIN, CASH, EF = _flags()
-    b = _b2b0(bookings)
-    o_in = in_window("fecha_origen", p.weeks_start, p.yesterday)
-    r_in = in_window("fecha_reserva", p.weeks_start, p.yesterday)
-    legs = F.filter(
-        F.array(
-            F.when(o_in, F.named_struct(F.lit("leg"), F.lit("o"), F.lit("semana"), week_of("fecha_origen"))),
-            F.when(r_in, F.named_struct(F.lit("leg"), F.lit("r"), F.lit("semana"), week_of("fecha_reserva"))),
-        ),
-        lambda x: x.isNotNull(),
-    )
-    t = b.filter(o_in | r_in).select(
-        B.hub_label().alias("hub"), F.explode(legs).alias("t"), "metodo_de_pago", "estimate_flag",
-        "fecha_venta_declarada", "fecha_cancelacion_reserva",
-    )
-    o, r = F.col("t.leg") == "o", F.col("t.leg") == "r"
-    s, c = E.is_sale(), E.is_cancel()
-    g = t.groupBy(F.col("t.semana").alias("semana"), "hub").agg(
-        _count(o, "_has_origin"),
-        _count(r, "reservas_total"),
-        _count(r & FIN, "reservas_fin"),
-        _count(r & CASH, "reservas_cash"),
-        _count(o & EF, "reservas_netas"),
-        _count(o & EF & FIN, "reservas_netas_fin"),
-        _count(o & EF & CASH, "reservas_netas_cash"),
-        _count(o & s, "ventas_total"),
-        _count(o & s & FIN, "ventas_fin"),
-        _count(o & s & CASH, "ventas_cash"),
-        _count(o & c, "cancel_total"),
-        _count(o & c & FIN, "cancel_fin"),
-        _count(o & c & CASH, "cancel_cash"),
+    return bookings_weekly_of(kpi_events(bookings, p, "or", p.weeks_start, p.yesterday), p)
+
+
+def bookings_weekly_of(events: DataFrame, p: Params) -> DataFrame:
+    o, r = "leg = 'o'", "leg = 'r'"
+    g = _within(events, "or", p.weeks_start, p.yesterday).groupBy(week_of("fecha").alias("semana"), "hub").agg(
+        _n(o, "_has_origin"),
+        _n(r, "reservas_total"), _n(f"{r} AND fin", "reservas_fin"), _n(f"{r} AND cash", "reservas_cash"),
+        _n(f"{o} AND ef", "reservas_netas"), _n(f"{o} AND ef AND fin", "reservas_netas_fin"),
+        _n(f"{o} AND ef AND cash", "reservas_netas_cash"),
+        _n(f"{o} AND sale", "ventas_total"), _n(f"{o} AND sale AND fin", "ventas_fin"),
+        _n(f"{o} AND sale AND cash", "ventas_cash"),
+        _n(f"{o} AND cancel", "cancel_total"), _n(f"{o} AND cancel AND fin", "cancel_fin"),
+        _n(f"{o} AND cancel AND cash", "cancel_cash"),
     )
     return g.filter(F.col("_has_origin") > 0).select("semana", "hub", *BOOKINGS_WEEKLY_MEASURES)
 
@@ -107,18 +139,15 @@ def bookings_weekly(bookings: DataFrame, p: Params) -> DataFrame:
 # --------------------------------------------------------------- R11 --------
 def profile_mix_weekly(bookings: DataFrame, p: Params) -> DataFrame:
     """Net bookings by (origin week, hub) split by credit profile."""
-    FIN, CASH, EF = _flags()
-    b = _b2b0(bookings).filter(EF & in_window("fecha_origen", p.weeks_start, p.yesterday))
-    pf = F.col("perfil")
-    return b.groupBy(week_of("fecha_origen").alias("semana"), B.hub_label().alias("hub")).agg(
-        F.count(F.lit(1)).alias("reservas_total"),
-        _count(B.is_profiled(), "n_perfilados"),
-        _count(pf == "X", "n_x"),
-        _count(pf == "A", "n_a"),
-        _count(pf == "B", "n_b"),
-        _count(pf == "C", "n_c"),
-        _count(pf == "Z_R", "n_zr"),
-        _count(~B.is_profiled(), "n_sin_perfil"),
+    return profile_mix_weekly_of(kpi_events(bookings, p, "o", p.weeks_start, p.yesterday), p)
+
+
+def profile_mix_weekly_of(events: DataFrame, p: Params) -> DataFrame:
+    known = f"(perfil IS NOT NULL AND perfil <> {B.q(B.PROFILE_REVIEW)})"
+    rows = _within(events, "o", p.weeks_start, p.yesterday).filter("ef")
+    return rows.groupBy(week_of("fecha").alias("semana"), "hub").agg(
+        _n("TRUE", "reservas_total"), _n(known, "n_perfilados"), _n("perfil = 'X'", "n_x"), _n("perfil = 'A'", "n_a"),
+        _n("perfil = 'B'", "n_b"), _n("perfil = 'C'", "n_c"), _n("perfil = 'Z_R'", "n_zr"), _n(f"NOT {known}", "n_sin_perfil"),
     )
 
 
@@ -130,60 +159,31 @@ KPI_PERIOD_MEASURES = [
 ]
 
 
-def _d(x) -> str:
-    return f"DATE'{x.isoformat()}'"
-
-
-def _method_sql():
-    fin = ", ".join(B.q(m) for m in B.FINANCING_METHODS)
-    kpi = ", ".join(B.q(m) for m in B.KPI_METHODS)
-    return f"metodo_de_pago IN ({fin})", f"metodo_de_pago = {B.q(B.CASH)}", f"metodo_de_pago IN ({kpi})"
-
-
 def kpi_periods(bookings: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> DataFrame:
     """R12 (U1 + A11): per period and hub (plus ``__MX__``): sales/cancels
     by close date (listed methods) and bookings by origin date (any method).
 
-    The reference runs a two-leg UNION ALL per period; here every row is
-    tagged with the (leg, period) pairs it belongs to and one aggregate
-    serves all periods.
+    The reference runs a two-leg UNION ALL per period; here every event is
+    tagged with the periods it belongs to and one aggregate serves them all.
     """
-    fin, cash, kpi = _method_sql()
     w = p.windows()
-    close = "coalesce(fecha_venta_declarada, fecha_cancelacion_reserva)"
-    sale = "fecha_venta_declarada IS NOT NULL"
-    canc = "(fecha_cancelacion_reserva IS NOT NULL AND estimate_flag = 1)"
-    items = []
-    for k in kinds:
-        lo, hi = _d(w[k][0]), _d(w[k][1])
-        items.append(f"CASE WHEN ({sale} OR {canc}) AND {kpi} AND {close} BETWEEN {lo} AND {hi} "
-                     f"THEN named_struct('leg', 'c', 'period_kind', '{k}') END")
-        items.append(f"CASE WHEN fecha_origen BETWEEN {lo} AND {hi} "
-                     f"THEN named_struct('leg', 'o', 'period_kind', '{k}') END")
-    ef = "estimate_flag = 1"
-
-    def cnt(cond, name):
-        return f"COUNT(CASE WHEN {cond} THEN 1 END) AS {name}"
-
-    c, o = "t.leg = 'c'", "t.leg = 'o'"
-    aggs = ", ".join([
-        cnt(f"{c} AND {sale}", "ventas_total"), cnt(f"{c} AND {sale} AND {fin}", "ventas_fin"),
-        cnt(f"{c} AND {sale} AND {cash}", "ventas_cash"), cnt(f"{c} AND {canc}", "cancel_total"),
-        cnt(f"{c} AND {canc} AND {fin}", "cancel_fin"), cnt(f"{c} AND {canc} AND {cash}", "cancel_cash"),
-        cnt(o, "reservas_total"), cnt(f"{o} AND {fin}", "reservas_fin"), cnt(f"{o} AND {cash}", "reservas_cash"),
-        cnt(f"{o} AND {ef}", "reservas_netas"), cnt(f"{o} AND {ef} AND {fin}", "reservas_netas_fin"),
-        cnt(f"{o} AND {ef} AND {cash}", "reservas_netas_cash"),
-    ])
-    lo_all, hi_all = _d(min(w[k][0] for k in kinds)), _d(max(w[k][1] for k in kinds))
-    implied = " OR ".join(f"{c} BETWEEN {lo_all} AND {hi_all}"
-                          for c in ("fecha_venta_declarada", "fecha_cancelacion_reserva", "fecha_origen"))
-    sql = f"""
-    SELECT t.period_kind AS period_kind, coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub, {aggs}
-    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0 AND ({implied}))
-    LATERAL VIEW explode(ev) e AS t
-    GROUP BY 1, 2
-    """
-    g = bookings.sparkSession.sql(sql, b=bookings)
+    lo, hi = min(w[k][0] for k in kinds), max(w[k][1] for k in kinds)
+    return kpi_periods_of(kpi_events(bookings, p, "ko", lo, hi), p, kinds)
+
+
+def kpi_periods_of(events: DataFrame, p: Params, kinds=("mtd", "lmtd")) -> DataFrame:
+    w = p.windows()
+    tags = ", ".join(f"CASE WHEN fecha BETWEEN {_d(w[k][0])} AND {_d(w[k][1])} THEN '{k}' END" for k in kinds)
+    rows = events.filter("leg IN ('k', 'o')").withColumn("period_kind", F.explode(F.expr(f"array_compact(array({tags}))")))
+    c, o = "leg = 'k'", "leg = 'o'"
+    g = rows.groupBy("period_kind", "hub").agg(
+        _n(f"{c} AND sale", "ventas_total"), _n(f"{c} AND sale AND fin", "ventas_fin"),
+        _n(f"{c} AND sale AND cash", "ventas_cash"), _n(f"{c} AND cancel", "cancel_total"),
+        _n(f"{c} AND cancel AND fin", "cancel_fin"), _n(f"{c} AND cancel AND cash", "cancel_cash"),
+        _n(o, "reservas_total"), _n(f"{o} AND fin", "reservas_fin"), _n(f"{o} AND cash", "reservas_cash"),
+        _n(f"{o} AND ef", "reservas_netas"), _n(f"{o} AND ef AND fin", "reservas_netas_fin"),
+        _n(f"{o} AND ef AND cash", "reservas_netas_cash"),
+    )
     return with_country_total(g, ["period_kind"], "hub", KPI_PERIOD_MEASURES)
 
 
@@ -203,55 +203,23 @@ LAST_MONTH_MEASURES = [
 ]
 
 
-def _leg_counts(bookings: DataFrame, lo, hi, legs: list[str], keys: list[str]) -> DataFrame:
-    """Stack each booking's events in ``[lo, hi]`` as ``(leg, fecha)`` and
-    count them per ``keys`` (``fecha`` and/or ``hub``) in one aggregate.
-
-    Legs: ``v`` sale, ``e`` delivery, ``d`` return, ``c`` cancel (listed
-    methods; cancels with estimate_flag=1) and ``r`` origin (any method).
-    Each leg keeps its own filter, as the five reference queries do.
+def _leg_counts(events: DataFrame, lo, hi, legs: str, keys: list[str]) -> DataFrame:
+    """Events in ``[lo, hi]`` counted per ``keys`` (``fecha`` and/or ``hub``) in
+    one aggregate; each leg keeps its own filter, as the five reference queries do.
     ``_live`` counts rows of any leg but returns (row presence, Q17/Q18),
     ``_ve`` rows of sales or deliveries.
     """
-    fin, cash, kpi = _method_sql()
-    spec = {
-        "v": ("fecha_venta_declarada", kpi),
-        "e": ("fecha_entrega", kpi),
-        "d": ("devolucion_date", kpi),
-        "c": ("fecha_cancelacion_reserva", f"{kpi} AND estimate_flag = 1"),
-        "r": ("fecha_origen", "TRUE"),
-    }
-    items = [
-        f"CASE WHEN {cond} AND {col} BETWEEN {_d(lo)} AND {_d(hi)} THEN named_struct('leg', '{k}', 'fecha', {col}) END"
-        for k, (col, cond) in spec.items() if k in legs
-    ]
-    captive = f"financing_provider = {B.q(B.CAPTIVE_PROVIDER)}"
-    ef = "estimate_flag = 1"
-
-    def cnt(cond, name):
-        return f"COUNT(CASE WHEN {cond} THEN 1 END) AS {name}"
-
-    L = lambda x: f"t.leg = '{x}'"
-    aggs = ", ".join([
-        cnt(L("v"), "ventas_total"), cnt(f"{L('v')} AND {fin}", "ventas_fin"),
-        cnt(f"{L('v')} AND {cash}", "ventas_cash"), cnt(f"{L('v')} AND {captive}", "ventas_captive"),
-        cnt(L("e"), "entregas_brutas"), cnt(f"{L('e')} AND {fin}", "entregas_fin"),
-        cnt(f"{L('e')} AND {cash}", "entregas_cash"), cnt(f"{L('e')} AND {captive}", "entregas_captive"),
-        cnt(L("d"), "devoluciones"),
-        cnt(L("c"), "cancel_total"), cnt(f"{L('c')} AND {fin}", "cancel_fin"), cnt(f"{L('c')} AND {cash}", "cancel_cash"),
-        cnt(f"{L('r')} AND {ef}", "reservas_netas"), cnt(f"{L('r')} AND {ef} AND {fin}", "reservas_netas_fin"),
-        cnt(f"{L('r')} AND {ef} AND {cash}", "reservas_netas_cash"),
-        cnt("t.leg <> 'd'", "_live"), cnt("t.leg IN ('v', 'e')", "_ve"),
-    ])
-    key_sql = {"fecha": "t.fecha AS fecha", "hub": f"coalesce(reservation_hub_name, '{B.NULL_HUB}') AS hub"}
-    implied = " OR ".join(f"{spec[k][0]} BETWEEN {_d(lo)} AND {_d(hi)}" for k in legs)
-    sql = f"""
-    SELECT {", ".join(key_sql[k] for k in keys)}, {aggs}
-    FROM (SELECT *, array_compact(array({", ".join(items)})) AS ev FROM {{b}} WHERE b2b = 0 AND ({implied}))
-    LATERAL VIEW explode(ev) e AS t
-    GROUP BY {", ".join(str(n + 1) for n in range(len(keys)))}
-    """
-    return bookings.sparkSession.sql(sql, b=bookings)
+    v, e, c, o = (f"leg = '{x}'" for x in "veco")
+    return _within(events, legs, lo, hi).groupBy(*keys).agg(
+        _n(v, "ventas_total"), _n(f"{v} AND fin", "ventas_fin"), _n(f"{v} AND cash", "ventas_cash"),
+        _n(f"{v} AND captive", "ventas_captive"),
+        _n(e, "entregas_brutas"), _n(f"{e} AND fin", "entregas_fin"), _n(f"{e} AND cash", "entregas_cash"),
+        _n(f"{e} AND captive", "entregas_captive"), _n("leg = 'd'", "devoluciones"),
+        _n(c, "cancel_total"), _n(f"{c} AND fin", "cancel_fin"), _n(f"{c} AND cash", "cancel_cash"),
+        _n(f"{o} AND ef", "reservas_netas"), _n(f"{o} AND ef AND fin", "reservas_netas_fin"),
+        _n(f"{o} AND ef AND cash", "reservas_netas_cash"),
+        _n("leg <> 'd'", "_live"), _n("leg IN ('v', 'e')", "_ve"),
+    )
 
 
 def _net(eb: str = "entregas_brutas", dev: str = "devoluciones") -> Column:
@@ -270,7 +238,11 @@ def daily_hub(bookings: DataFrame, p: Params) -> DataFrame:
     The (date, hub) aggregate is consumed once: grouping sets over it add
     the per-date country rows, a window over hub marks the selling hubs.
     """
-    g = _leg_counts(bookings, p.daily_start, p.daily_end, ["v", "e", "d", "c", "r"], ["fecha", "hub"])
+    return daily_hub_of(kpi_events(bookings, p, "vedco", p.daily_start, p.daily_end), p)
+
+
+def daily_hub_of(events: DataFrame, p: Params) -> DataFrame:
+    g = _leg_counts(events, p.daily_start, p.daily_end, "vedco", ["fecha", "hub"])
     sums = [c for c in g.columns if c not in ("fecha", "hub")]
     t = g.groupingSets([["fecha", "hub"], ["fecha"]], "fecha", "hub").agg(
         *[F.sum(c).alias(c) for c in sums], F.grouping("hub").alias("_gt")
@@ -290,7 +262,11 @@ def last_month_hub(bookings: DataFrame, p: Params) -> DataFrame:
     deliveries even for hubs without either. The country row comes from
     grouping sets over the small hub-level aggregate (none for empty input).
     """
-    g = _leg_counts(bookings, p.last_month_start, p.last_month_end, ["v", "e", "d"], ["hub"])
+    return last_month_hub_of(kpi_events(bookings, p, "ved", p.last_month_start, p.last_month_end), p)
+
+
+def last_month_hub_of(events: DataFrame, p: Params) -> DataFrame:
+    g = _leg_counts(events, p.last_month_start, p.last_month_end, "ved", ["hub"])
     sums = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_captive", "entregas_brutas", "entregas_fin",
             "entregas_captive", "devoluciones", "_ve"]
     t = g.groupingSets([["hub"], []], "hub").agg(*[F.sum(c).alias(c) for c in sums], F.grouping("hub").alias("_gt"))

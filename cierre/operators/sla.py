@@ -49,18 +49,15 @@ def sla_kpi(sla: DataFrame, p: Params) -> DataFrame:
     marks = week_marks(sla, p, ["stage"])
     s = scoped(sla).join(marks, "stage")
     mk = month_key("semana")
-    out = []
-    for gran, cur, prv in (
-        ("semanal", F.col("semana") == F.col("cur_w"), F.col("semana") == F.col("last_w")),
-        ("mensual", mk == p.current_month, mk == p.previous_month),
-    ):
-        g = s.groupBy("stage", "scope", "ti_mode").agg(
-            weighted_mean(F.when(cur, F.col("days")), F.when(cur, F.col("n")), "sla").alias("sla_cur"),
-            weighted_mean(F.when(prv, F.col("days")), F.when(prv, F.col("n")), "sla").alias("sla_prv"),
-        )
-        out.append(g.select("stage", "scope", "ti_mode", F.lit(gran).alias("granularity"), "sla_cur", "sla_prv",
-                            (F.col("sla_cur") - F.col("sla_prv")).alias("delta")))
-    return out[0].unionByName(out[1])
+    periods = {"semanal": (F.col("semana") == F.col("cur_w"), F.col("semana") == F.col("last_w")),
+               "mensual": (mk == p.current_month, mk == p.previous_month)}
+    # One aggregate for both granularities; each row becomes one for each after it.
+    g = s.groupBy("stage", "scope", "ti_mode").agg(*[
+        weighted_mean(F.when(cond, F.col("days")), F.when(cond, F.col("n")), "sla").alias(f"{gran}_{k}")
+        for gran, pair in periods.items() for k, cond in zip(("cur", "prv"), pair)])
+    rows = F.array(*[F.struct(F.lit(gran).alias("granularity"), F.col(f"{gran}_cur").alias("sla_cur"),
+                              F.col(f"{gran}_prv").alias("sla_prv")) for gran in periods])
+    return g.select("stage", "scope", "ti_mode", F.inline(rows)).withColumn("delta", F.col("sla_cur") - F.col("sla_prv"))
 
 
 def sla_trend(sla: DataFrame) -> DataFrame:

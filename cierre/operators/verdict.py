@@ -51,13 +51,10 @@ def verdict_approved_kpi(verdicts: DataFrame, p: Params) -> DataFrame:
     marks = week_marks(verdicts, p)
     s = attach_one_row(scoped(verdicts), marks)
     approved = F.col("dictamen") == B.VERDICT_APPROVED
-    out = []
-    for gran, cur in (("semanal", F.col("semana") == F.col("cur_w")),
-                      ("mensual", month_key("semana") == p.current_month)):
-        g = s.groupBy("scope", "ti_mode").agg(
-            F.sum(F.when(cur, F.col("n")).otherwise(0)).cast("bigint").alias("n_total"),
-            F.sum(F.when(cur & approved, F.col("n")).otherwise(0)).cast("bigint").alias("n_aprobada"),
-        )
-        out.append(g.select("scope", "ti_mode", F.lit(gran).alias("granularity"), "n_total", "n_aprobada",
-                            rate(F.col("n_aprobada"), F.col("n_total")).alias("pct_aprobada")))
-    return out[0].unionByName(out[1])
+    periods = {"semanal": F.col("semana") == F.col("cur_w"), "mensual": month_key("semana") == p.current_month}
+    g = s.groupBy("scope", "ti_mode").agg(*[
+        F.sum(F.when(cond, F.col("n")).otherwise(0)).cast("bigint").alias(f"{gran}_{k}")
+        for gran, cur in periods.items() for k, cond in (("n", cur), ("a", cur & approved))])
+    rows = F.array(*[F.struct(F.lit(gran).alias("granularity"), F.col(f"{gran}_n").alias("n_total"),
+                              F.col(f"{gran}_a").alias("n_aprobada")) for gran in periods])
+    return g.select("scope", "ti_mode", F.inline(rows)).withColumn("pct_aprobada", rate(F.col("n_aprobada"), F.col("n_total")))

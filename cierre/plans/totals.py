@@ -26,12 +26,11 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (global aggregate results such
     as "last closed week") to every row of ``df``.
 
-    The one-row side has a proven size of one row, so it is broadcast; the
-    equi-join on a constant key plans as a broadcast hash join.
+    The one-row side is a global aggregate, of one row at any size of the data,
+    and is broadcast. Without a key this plans as a broadcast nested-loop join, of
+    as many rows as ``df`` has.
     """
-    return df.withColumn("_one", F.lit(1)).join(
-        F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one"
-    ).drop("_one")
+    return df.crossJoin(F.broadcast(one_row))
 
 
 def _sql_literal(v, t: str) -> str:

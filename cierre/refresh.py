@@ -1,13 +1,12 @@
 """The daily refresh: every report of one ``as_of`` in one session.
 
-The reference runs 49 separate warehouse queries per refresh. Here the
-closed rows of the data window are enriched with every dimension once and
-all twelve dimension reports come out of one aggregate as one long dataset;
-that dataset, and the small inputs shared by several reports (funnel frames,
-derived datasets), are checkpointed to the shared checkpoint folder. This cuts the lineage (a lost executor recomputes from the
-checkpoint, not from the raw tables) and gives each shared input exactly one
-computation. The reports' jobs are small and latency-bound, so they are
-submitted concurrently from a thread pool; Spark schedules them side by side.
+The reference runs 49 separate warehouse queries per refresh. Here the heavy
+work is done once and kept in the shared checkpoint folder: all twelve
+dimension reports as one long dataset, the KPI events counted by day (one scan
+of the bookings behind seven reports), the funnel frames and the derived
+datasets. This cuts the lineage (a lost executor recomputes from the
+checkpoint, not from the raw tables). The reports on top are small and
+latency-bound, so their jobs are submitted concurrently from a thread pool.
 """
 
 from __future__ import annotations
@@ -15,75 +14,85 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cierre.operators import dims as D
 from cierre.operators import funnel as FN
 from cierre.operators import kpis as K
 from cierre.operators import profile as PF
+from cierre.operators import qa as QA
 from cierre.operators import sla as SL
 from cierre.operators import verdict as VD
 from cierre.params import Params
 from cierre.session import cut_lineage
 from cierre.sources import datasets as DS
+from cierre.sources import io as IO
 
 
-def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, checkpoint: bool = True,
-                  parallelism: int = 8) -> dict[str, DataFrame]:
-    # Inputs read by several reports: all twelve dimension reports (one pass,
-    # one long dataset), the funnel frames and the derived datasets. They are
-    # independent, so their checkpoints run as concurrent jobs.
+def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, verdicts: DataFrame | None = None,
+                  payment_dim: DataFrame | None = None, checkpoint: bool = True, parallelism: int = 8) -> dict[str, DataFrame]:
+    """All reports by name. ``verdicts`` (first verdict per booking) is an input
+    of its own; without it the verdict reports are left out. ``payment_dim``: the
+    pending payment dimension, empty until it has a source."""
     shared = {
         "dims": D.report(bookings, inventory, p),
+        "events": K.daily_events(bookings, p),
         "fw": FN.funnel_weekly(bookings, p),
         "fv": FN.funnel_app_sale_weekly(bookings, p),
         "fp": FN.funnel_periods(bookings, p),
         "sla": DS.sla_dataset(bookings, p),
-        "vd": DS.verdict_dataset(bookings, p),
         "pf": DS.profile_dataset(bookings, p),
     }
+    if verdicts is not None:
+        shared["vd"] = DS.verdict_dataset(bookings, verdicts, p)
     if checkpoint:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             shared = dict(zip(shared, pool.map(cut_lineage, shared.values())))
-    dims, fw, fv, fp = shared["dims"], shared["fw"], shared["fv"], shared["fp"]
-    out: dict[str, DataFrame] = {"str_dims": dims}
-    region_weekly = dims.filter("report = 'region' AND grain = 'week'").drop("report", "grain")
-    out["str_deltas"] = D.str_deltas(region_weekly)
-    out["weekly_hub_str"] = K.weekly_hub_str(bookings, p)
-    out["bookings_weekly"] = K.bookings_weekly(bookings, p)
-    out["profile_mix_weekly"] = K.profile_mix_weekly(bookings, p)
-    kp = K.kpi_periods(bookings, p)
+    dims, events, fw, fv, fp = (shared[k] for k in ("dims", "events", "fw", "fv", "fp"))
+    out: dict[str, DataFrame] = {"str_dims": D.sorted_report(dims)}
+    out["str_deltas"], out["str_mom_deltas"] = D.all_deltas(dims)
+    region = dims.filter("report = 'region' AND grain = 'week'").drop("report", "grain")
+    aging = dims.filter("report = 'aging' AND grain = 'week'").drop("report", "grain")
+    out["region_pivot"] = D.pivot_weeks(region, p)
+    out["str_mix_rows"] = D.mix_rows(dims.filter(F.col("report").isin(sorted(D.MIX_DIMS))), ("report", "grain"))
+    out["payment_dim"] = payment_dim if payment_dim is not None else IO.empty_dim(bookings.sparkSession)
+    out["weekly_hub_str"] = K.weekly_hub_str_of(events, p)
+    out["bookings_weekly"] = K.bookings_weekly_of(events, p)
+    out["profile_mix_weekly"] = K.profile_mix_weekly_of(events, p)
+    kp = K.kpi_periods_of(events, p)
     out["kpi_mtd"] = kp.filter("period_kind = 'mtd'").drop("period_kind")
     out["kpi_lmtd"] = kp.filter("period_kind = 'lmtd'").drop("period_kind")
-    out["daily_hub"] = K.daily_hub(bookings, p)
-    out["last_month_hub"] = K.last_month_hub(bookings, p)
+    out["daily_hub"] = K.daily_hub_of(events, p).orderBy("fecha", "hub")
+    out["last_month_hub"] = K.last_month_hub_of(events, p)
     mtd = fp.filter("period_kind = 'mtd'").drop("period_kind")
     lmtd = fp.filter("period_kind = 'lmtd'").drop("period_kind")
-    out.update(funnel_weekly=fw, funnel_app_sale_weekly=fv, funnel_mtd=mtd, funnel_lmtd=lmtd)
-    kpi = FN.funnel_kpi(fw, fv, mtd, lmtd, p)
+    out.update(funnel_weekly=fw, funnel_app_sale_weekly=fv, funnel_mtd=mtd, funnel_lmtd=lmtd,
+               funnel_by_month=FN.funnel_by_week_month(fw))
+    kpi = FN.funnel_kpi(fw, fv, fp, p)
     out["funnel_kpi"] = kpi
     out["funnel_by_ti"] = FN.funnel_by_ti(kpi)
     out["funnel_trend"] = FN.funnel_trend(fw, fv)
+    out["sla_weekly"] = shared["sla"]
     out["sla_kpi"] = SL.sla_kpi(shared["sla"], p)
     out["sla_trend"] = SL.sla_trend(shared["sla"])
-    out["verdict_mix"] = VD.verdict_mix(shared["vd"])
-    out["verdict_approved_kpi"] = VD.verdict_approved_kpi(shared["vd"], p)
+    if verdicts is not None:
+        out["verdict_mix"] = VD.verdict_mix(shared["vd"])
+        out["verdict_approved_kpi"] = VD.verdict_approved_kpi(shared["vd"], p)
     out["profile_funnel"] = PF.profile_funnel(shared["pf"], p)
+    out["qa_recent_weeks"] = QA.qa_recent_weeks(out["weekly_hub_str"], out["bookings_weekly"], out["profile_mix_weekly"])
+    out["qa_period_totals"] = QA.qa_period_totals(out["kpi_mtd"], out["kpi_lmtd"], out["last_month_hub"])
+    out["qa_funnel_weeks"] = QA.qa_funnel_weeks(fw, fv)
+    out["qa_dim_row"] = QA.qa_dim_row(region, D.str_deltas(region), D.str_deltas(aging))
     return out
 
 
-def full_refresh(bookings: DataFrame, inventory: DataFrame, p: Params, sink=None, parallelism: int = 8) -> int:
-    """Compute every report; ``sink(name, df)`` receives each (default:
-    ``collect`` it, the reports are small). Returns the number of reports."""
-    reports = build_reports(bookings, inventory, p, parallelism=parallelism)
-
-    def run(item):
-        name, df = item
-        if sink is None:
-            df.collect()
-        else:
-            sink(name, df)
-        return name
-
+def full_refresh(bookings: DataFrame, inventory: DataFrame, p: Params, root: str | None = None, fmt: str = "parquet",
+                 verdicts: DataFrame | None = None, parallelism: int = 8) -> list[str]:
+    """Compute every report and publish the set under ``root`` (without one the
+    rows are computed and dropped, to time a refresh). Returns the reports' names."""
+    reports = build_reports(bookings, inventory, p, verdicts, parallelism=parallelism)
+    if root is not None:
+        return IO.publish(reports, root, fmt, parallelism)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        done = list(pool.map(run, reports.items()))
-    return len(done)
+        list(pool.map(lambda df: df.write.format("noop").mode("overwrite").save(), reports.values()))
+    return sorted(reports)

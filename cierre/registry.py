@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cierre.params import FIXTURE_PARAMS as P
 from cierre.params import Params
-from cierre.sources.fixtures import fixture_bookings, fixture_inventory
+from cierre.sources.fixtures import fixture_bookings, fixture_inventory, fixture_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -157,10 +157,7 @@ def _q_funnel_by_week_month(spark, sf):
 
 def _funnel_inputs(spark, sf):
     b = _b(spark, sf)
-    periods = FN.funnel_periods(b, P)
-    mtd = periods.filter("period_kind = 'mtd'").drop("period_kind")
-    lmtd = periods.filter("period_kind = 'lmtd'").drop("period_kind")
-    return FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P), mtd, lmtd
+    return FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P), FN.funnel_periods(b, P)
 
 
 @register("funnel_kpi")
@@ -201,19 +198,24 @@ def _q_sla_trend(spark, sf):
     return SL.sla_trend(DS.sla_dataset(_b(spark, sf), P))
 
 
+def _verdicts(spark, sf):
+    b = _b(spark, sf)
+    return DS.verdict_dataset(b, fixture_verdicts(b), P)
+
+
 @register("verdict_dataset")
 def _q_verdict_dataset(spark, sf):
-    return DS.verdict_dataset(_b(spark, sf), P)
+    return _verdicts(spark, sf)
 
 
 @register("verdict_mix")
 def _q_verdict_mix(spark, sf):
-    return VD.verdict_mix(DS.verdict_dataset(_b(spark, sf), P))
+    return VD.verdict_mix(_verdicts(spark, sf))
 
 
 @register("verdict_approved_kpi")
 def _q_verdict_approved_kpi(spark, sf):
-    return VD.verdict_approved_kpi(DS.verdict_dataset(_b(spark, sf), P), P)
+    return VD.verdict_approved_kpi(_verdicts(spark, sf), P)
 
 
 @register("profile_dataset")
@@ -392,17 +394,27 @@ def _q_qa_dim_row(spark, sf):
     return QA.qa_dim_row(region, D.str_deltas(region), D.str_deltas(aging))
 
 
+@register("kpi_from_daily_events")
+def _q_kpi_from_daily_events(spark, sf):
+    """R12 from the daily counts that the refresh keeps."""
+    return K.kpi_periods_of(K.daily_events(_b(spark, sf), P), P)
+
+
 @register("dataset_presence")
 def _q_dataset_presence(spark, sf):
-    """Publish three reports into the shared checkpoint folder, then check
-    the published set (no oracle: it reads what this run wrote)."""
+    """Publish three reports as a set of its own, replace one, and check the
+    set against the expected names (one of them is missing)."""
     import uuid
 
     from cierre.session import ensure_checkpoint_dir
     from cierre.sources.io import dataset_presence, publish
 
-    root = ensure_checkpoint_dir(spark).rstrip("/") + f"/published-{uuid.uuid4().hex[:8]}"
-    b = _b(spark, sf)
-    names = publish({"rawE_w": K.weekly_hub_str(b, P), "rawA_w": K.bookings_weekly(b, P),
-                     "rawDaily": K.daily_hub(b, P)}, root)
-    return dataset_presence(spark, root, names + ["rawLastMonth"])
+    ensure_checkpoint_dir(spark)
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    root = f"{warehouse}/cierre_published_{uuid.uuid4().hex[:8]}"
+    events = K.daily_events(_b(spark, sf), P)
+    weekly = K.weekly_hub_str_of(events, P)
+    names = publish({"weekly_hub_str": weekly, "bookings_weekly": K.bookings_weekly_of(events, P),
+                     "daily_hub": K.daily_hub_of(events, P)}, root)
+    publish({"weekly_hub_str": weekly.filter("ventas_total > 0")}, root)
+    return dataset_presence(spark, root, [*names, "last_month_hub"])

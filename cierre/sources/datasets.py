@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from cierre.functions import buckets as B
 from cierre.functions.dates import in_window, week_of
 from cierre.params import Params
-from cierre.sources.fixtures import verdict_of
 
 # SLA stages: (name, start column, end column); grouped by the week of the END.
 SLA_STAGES = [
@@ -56,17 +55,20 @@ def sla_dataset(bookings: DataFrame, p: Params) -> DataFrame:
     return g.withColumn("sla", F.col("days") / F.col("n")).select("stage", "semana", "hub", "ti_flag", "sla", "n", "days")
 
 
-def verdict_dataset(bookings: DataFrame, p: Params, verdict=verdict_of) -> DataFrame:
+VERDICT_SCHEMA = "booking_id bigint, dictamen string"
+
+
+def verdict_dataset(bookings: DataFrame, verdicts: DataFrame, p: Params) -> DataFrame:
     """R23 input: distinct bookings per (reservation week, hub, ti_flag,
-    verdict). ``verdict`` maps a booking to its first verdict (a stand-in
-    on the fixtures: no visible table holds it)."""
+    verdict). ``verdicts(booking_id, dictamen)`` holds the first verdict of each
+    booking; one without a verdict has none (null)."""
     b = _base(bookings).filter(in_window("fecha_reserva", p.weeks_start, p.yesterday))
     keyed = b.select(
-        week_of("fecha_reserva").alias("semana"), B.hub_label().alias("hub"), B.ti_flag().alias("ti_flag"),
-        verdict(F.col("booking_id")).alias("dictamen"), "booking_id",
-    )
-    l1 = keyed.distinct()
-    return l1.groupBy("semana", "hub", "ti_flag", "dictamen").agg(F.count(F.lit(1)).alias("n"))
+        week_of("fecha_reserva").alias("semana"), B.hub_label().alias("hub"), B.ti_flag().alias("ti_flag"), "booking_id",
+    ).distinct()
+    first = verdicts.groupBy("booking_id").agg(F.min("dictamen").alias("dictamen"))
+    return keyed.join(first, "booking_id", "left").groupBy("semana", "hub", "ti_flag", "dictamen").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 PROFILE_STAGES = ["n_ho", "n_cancel_no_ho", "n_app", "n_cancel_no_app", "n_vta", "n_cancel_after_app"]

@@ -1,9 +1,20 @@
 """Report I/O: optional inputs (S3), empty typed dimensions (S4), writing a
-report (S5), replacing one dataset of a published set (S6) and the presence
-check of a published set (R30)."""
+report (S5), publishing a set and replacing one dataset of it (S6), and the
+presence check of a published set (R30).
+
+A published set is a folder of versions and a manifest. Every run writes its
+datasets to a folder of its own; when all of them are written, one manifest
+names for each dataset the folder that holds it. Readers go by the newest
+manifest, so a run that fails halfway leaves the set before it as it was.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,18 +22,28 @@ from pyspark.sql import types as T
 
 # The pending "con/sin pago" dimension has this shape and no rows.
 PAYMENT_DIM_SCHEMA = "semana date, metodo_de_pago string, pago_dim string, ventas bigint, cancelaciones bigint"
+MANIFEST_SCHEMA = "run string, dataset string, path string, format string"
+
 
+def _missing(error: AnalysisException) -> bool:
+    return error.getCondition() == "PATH_NOT_FOUND"
 
-def read_or_empty(spark: SparkSession, path: str, schema: str | T.StructType, fmt: str = "parquet") -> DataFrame:
-    """S3: a missing optional dataset reads as an empty frame of its schema,
-    so reports built on it come out empty instead of failing."""
+
+def read_or_empty(spark: SparkSession, path: str | None, schema: str | T.StructType, fmt: str = "parquet") -> DataFrame:
+    """S3: an optional dataset that is not there reads as an empty frame of its
+    schema, so reports built on it come out empty instead of failing. Any other
+    error (no permission, a bad option) is raised."""
+    if path is None:
+        return empty_dim(spark, schema)
     try:
         return spark.read.format(fmt).schema(schema).load(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
+        return empty_dim(spark, schema)
 
 
-def empty_dim(spark: SparkSession, schema: str = PAYMENT_DIM_SCHEMA) -> DataFrame:
+def empty_dim(spark: SparkSession, schema: str | T.StructType = PAYMENT_DIM_SCHEMA) -> DataFrame:
     """An empty typed dimension frame (the unimplemented payment split)."""
     return spark.createDataFrame([], schema)
 
@@ -35,25 +56,52 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", partition_by: l
     w.save(path)
 
 
-def publish(reports: dict[str, DataFrame], root: str, fmt: str = "parquet") -> list[str]:
-    """Each report is its own dataset ``root/<name>``; publishing one
-    replaces only that dataset, the rest of the set is untouched."""
-    for name, df in reports.items():
-        write_report(df, f"{root.rstrip('/')}/{name}", fmt)
-    return sorted(reports)
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """The newest manifest: ``MANIFEST_SCHEMA``, one row for each dataset of the set."""
+    runs = read_or_empty(spark, f"{root.rstrip('/')}/manifest", MANIFEST_SCHEMA, "json")
+    newest = runs.agg(F.max("run").alias("newest"))  # one row
+    return runs.join(F.broadcast(newest), F.col("run") == F.col("newest")).drop("newest")
+
+
+def publish(reports: Mapping[str, DataFrame], root: str, fmt: str = "parquet", parallelism: int = 8) -> list[str]:
+    """Write all reports of a run side by side, then name them in a new
+    manifest; datasets of the set that the run does not write stay as they were."""
+    spark = next(iter(reports.values())).sparkSession
+    root, run = root.rstrip("/"), f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
+    before = {r["dataset"]: (r["path"], r["format"]) for r in manifest(spark, root).collect()}  # a row a dataset
+
+    def write(item) -> tuple[str, tuple[str, str]]:
+        name, df = item
+        path = f"{root}/versions/{run}/{name}"
+        write_report(df, path, fmt)
+        return name, (path, fmt)
+
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        written = dict(pool.map(write, reports.items()))
+    rows = [(run, name, path, kind) for name, (path, kind) in sorted({**before, **written}.items())]
+    spark.createDataFrame(rows, MANIFEST_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/manifest")
+    return sorted(written)
+
+
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One dataset of the newest set."""
+    row = manifest(spark, root).filter(F.col("dataset") == name).first()
+    if row is None:
+        raise KeyError(name)
+    return spark.read.format(row["format"]).load(row["path"])
 
 
-def dataset_presence(spark: SparkSession, root: str, expected: list[str], fmt: str = "parquet") -> DataFrame:
-    """One row per expected dataset: ``present`` and its row count
-    (read back by Spark). A dataset directory holds exactly one dataset, so
-    "present exactly once" is "readable"."""
+def dataset_presence(spark: SparkSession, root: str, expected: list[str]) -> DataFrame:
+    """One row per expected dataset: whether the set has it, and its row
+    count (read back by Spark)."""
+    there = {r["dataset"]: r for r in manifest(spark, root).collect()}
     frames = []
     for name in expected:
-        try:
-            df = spark.read.format(fmt).load(f"{root.rstrip('/')}/{name}")
+        if name in there:
+            df = spark.read.format(there[name]["format"]).load(there[name]["path"])
             frames.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(
                 F.lit(name).alias("dataset"), F.lit(True).alias("present"), "n_rows"))
-        except AnalysisException:
+        else:
             frames.append(spark.createDataFrame([(name, False, None)], "dataset string, present boolean, n_rows bigint"))
     out = frames[0]
     for f in frames[1:]:

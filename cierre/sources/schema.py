@@ -9,10 +9,39 @@ instead of failing the query under ANSI mode).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cierre.functions import buckets as B
+
+
+@dataclass(frozen=True)
+class Labels:
+    """What the booking table calls the payment methods and the captive lender;
+    the reports use the names of ``functions.buckets``."""
+
+    financing: str = B.FINANCING
+    cash: str = B.CASH
+    financing_captive: str = B.FINANCING_CAPTIVE
+    captive_provider: str = B.CAPTIVE_PROVIDER
+
+    def method(self, c: Column) -> Column:
+        """The table's method under the reports' name. Of another method that happens
+        to have one of those names a report must not count it: it is marked as other."""
+        names = {self.financing: B.FINANCING, self.cash: B.CASH, self.financing_captive: B.FINANCING_CAPTIVE}
+        out = F.when(c.isNull(), F.lit(None).cast("string"))
+        for own, name in names.items():
+            out = out.when(c == own, F.lit(name))
+        return out.when(c.isin(B.KPI_METHODS), F.concat(F.lit("other: "), c)).otherwise(c)
+
+    def provider(self, c: Column) -> Column:
+        return F.when(c == self.captive_provider, F.lit(B.CAPTIVE_PROVIDER)).when(
+            c == B.CAPTIVE_PROVIDER, F.concat(F.lit("other: "), c)).otherwise(c)
+
+
 BOOKING_DATE_COLUMNS = [
     "fecha_reserva",
     "fecha_origen",
@@ -53,10 +82,14 @@ INVENTORY_SCHEMA = T.StructType(
 )
 
 
-def standardize_bookings(df: DataFrame) -> DataFrame:
-    """Declared types, DATE event columns, and ``stock_key`` (P20)."""
+def standardize_bookings(df: DataFrame, labels: Labels = Labels()) -> DataFrame:
+    """Declared types, DATE event columns, ``stock_key`` (P20), and the reports'
+    names of methods and provider."""
     cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in BOOKINGS_SCHEMA.fields]
     out = df.select(*cols)
+    if labels != Labels():
+        out = out.withColumn("metodo_de_pago", labels.method(F.col("metodo_de_pago"))).withColumn(
+            "financing_provider", labels.provider(F.col("financing_provider")))
     return out.withColumn("stock_key", F.col("stock").try_cast("bigint"))
 
 
@@ -64,9 +97,9 @@ def standardize_inventory(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in INVENTORY_SCHEMA.fields])
 
 
-def read_bookings(spark: SparkSession, path: str) -> DataFrame:
+def read_bookings(spark: SparkSession, path: str, labels: Labels = Labels()) -> DataFrame:
     """Scan a stored bookings table (Parquet) with the declared schema."""
-    return standardize_bookings(spark.read.parquet(path))
+    return standardize_bookings(spark.read.parquet(path), labels)
 
 
 def read_inventory(spark: SparkSession, path: str) -> DataFrame:

@@ -84,3 +84,11 @@ SQL["qa_recent_weeks"] = OB.qa_recent_weeks_sql()
 SQL["qa_period_totals"] = OB.qa_period_totals_sql()
 SQL["qa_funnel_weeks"] = OB.qa_funnel_weeks_sql()
 SQL["qa_dim_row"] = OB.qa_dim_row_sql()
+SQL["kpi_from_daily_events"] = "\nUNION ALL\n".join(
+    f"SELECT '{kind}' AS period_kind, * FROM ({OK.kpi_period_sql(kind)})" for kind in ("mtd", "lmtd")
+)
+SQL["dataset_presence"] = f"""
+SELECT 'weekly_hub_str' AS dataset, TRUE AS present, COUNT(*) AS n_rows FROM ({OK.weekly_hub_str_sql()}) WHERE ventas_total > 0
+UNION ALL SELECT 'bookings_weekly', TRUE, COUNT(*) FROM ({OK.bookings_weekly_sql()})
+UNION ALL SELECT 'daily_hub', TRUE, COUNT(*) FROM ({OK.daily_hub_sql()})
+UNION ALL SELECT 'last_month_hub', FALSE, CAST(NULL AS BIGINT)"""
