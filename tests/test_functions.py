@@ -43,7 +43,7 @@ def test_method_norm_and_fold(spark):
 def test_region_prefixes_case_insensitive(spark):
     data = [("CDMX Sur",), ("edomex Norte",), ("gdl centro",), ("QRO 1",), ("MTY",), ("PUE x",), ("CUE y",),
             ("TIJ z",), (None,)]
-    got = _one(spark, B.region_of_hub("h"), data, "h string")
+    got = _one(spark, F.expr(B.region_sql("h")), data, "h string")
     assert got == ["CDMX", "CDMX", "GDL", "QRO", "MTY", "PUE", "CUE", None, None]
 
 
@@ -51,27 +51,28 @@ def test_aging_edges(spark):
     r = date(2001, 4, 1)
     data = [(date(2001, 3, 3), r), (date(2001, 3, 2), r), (date(2001, 4, 5), r), (date(2001, 1, 31), r),
             (date(2001, 1, 1), r), (None, r)]
-    got = _one(spark, B.aging_bucket("rc", "rs"), data, "rc date, rs date")
+    got = _one(spark, F.expr(B.aging_sql("rc", "rs")), data, "rc date, rs date")
     # 29 days, 30 days, negative, 60 days, 90 days, null
     assert got == ["0-30d", "30-60d", "0-30d", "60-90d", "90+d", "90+d"]
 
 
 def test_price_edges(spark):
     data = [(249999.99,), (250000.0,), (349999.0,), (350000.0,), (500000.0,), (None,)]
-    got = _one(spark, B.price_bucket("p"), data, "p double")
+    got = _one(spark, F.expr(B.price_sql("p")), data, "p double")
     assert got == ["0-250K", "250-350K", "250-350K", "350-500K", "500K+", "500K+"]
 
 
 def test_pix_value_by_method_and_null_top_bucket(spark):
     data = [("Financing", 0.87, 0.99), ("Financing Inhouse", 0.90, 0.80), ("Cash payment", 0.80, 0.95),
             ("Other", None, 0.93), (None, None, None), ("Cash payment", 0.5, None)]
-    expr = B.pix_bucket(B.pix_value(F.col("m"), F.col("f"), F.col("c")))
-    got = _one(spark, expr, data, "m string, f double, c double")
-    assert got == ["< 0.88", "0.88-0.93", "0.93-0.98", "0.93-0.98", "≥ 0.98", "≥ 0.98"]
+    data += [("Cash payment", None, x) for x in (0.8799, 0.88, 0.93, 0.98)]
+    got = _one(spark, F.expr(B.pix_sql("m", "f", "c")), data, "m string, f double, c double")
+    assert got == ["< 0.88", "0.88-0.93", "0.93-0.98", "0.93-0.98", "≥ 0.98", "≥ 0.98",
+                   "< 0.88", "0.88-0.93", "0.93-0.98", "≥ 0.98"]
 
 
 def test_coming_soon_and_stock_region(spark):
-    assert _one(spark, B.coming_soon_label("f"), [(1,), (0,), (None,)], "f int") == [
+    assert _one(spark, F.expr(B.coming_soon_sql("f")), [(1,), (0,), (None,)], "f int") == [
         "Coming Soon", "Sin Coming Soon", "Sin Coming Soon"]
     data = [("CDMX",), ("GUADALAJARA",), ("MONTERREY",), ("PUEBLA",), ("QUERETARO",), ("CUERNAVACA",), ("TIJUANA",)]
     assert _one(spark, B.stock_region_code("r"), data, "r string") == ["CDMX", "GDL", "MTY", "PUE", "QRO", "CUE", None]

@@ -10,6 +10,7 @@ from cierre.operators import sla as SL
 from cierre.operators import verdict as VD
 from cierre.params import Params
 from cierre.sources import datasets as DS
+from cierre.sources.fixtures import fixture_verdicts
 from tests.conftest import make_bookings, rows_by
 
 P = Params(as_of=date(2001, 4, 18), weeks_start=date(2001, 3, 26))
@@ -41,7 +42,7 @@ def test_funnel_weekly_distinct_counts(spark):
 
 def test_two_level_equals_count_distinct(spark):
     b = _dups(spark)
-    base = FN.funnel_base(b).filter(F.col("fecha_handoff").between(P.weeks_start, P.yesterday))
+    base = b.filter(FN._base_where()).withColumn("hub", F.coalesce("reservation_hub_name", F.lit("null"))).filter(F.col("fecha_handoff").between(P.weeks_start, P.yesterday))
     direct = base.groupBy(F.date_trunc("week", "fecha_handoff").cast("date").alias("semana"), "hub").agg(
         F.count_distinct("booking_id").alias("t"),
         F.count_distinct(F.when(F.col("trade_in") == 0, F.col("booking_id"))).alias("s"),
@@ -79,8 +80,7 @@ def test_funnel_kpi_current_vs_last_week(spark):
     ])
     fw, fv = FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P)
     fp = FN.funnel_periods(b, P)
-    kpi = FN.funnel_kpi(fw, fv, fp.filter("period_kind = 'mtd'").drop("period_kind"),
-                        fp.filter("period_kind = 'lmtd'").drop("period_kind"), P)
+    kpi = FN.funnel_kpi(fw, fv, fp, P)
     r = rows_by(kpi, "scope", "ti_mode", "granularity")
     w = r[("__MX__", "total", "semanal")]
     assert w["cr_ho_cur"] == 100.0 and w["cr_ho_prv"] == 50.0 and w["cr_ho_delta"] == 50.0
@@ -98,7 +98,7 @@ def test_sla_verdict_profile_datasets(spark):
     assert (s["n"], s["days"], s["sla"]) == (2, 5, 2.5)
     kpi = rows_by(SL.sla_kpi(DS.sla_dataset(b, P), P), "stage", "scope", "ti_mode", "granularity")
     assert kpi[("res_ho", "__MX__", "total", "semanal")]["sla_cur"] == 2.5   # current week falls back to last
-    mix = VD.verdict_mix(DS.verdict_dataset(b, P))
+    mix = VD.verdict_mix(DS.verdict_dataset(b, fixture_verdicts(b), P))
     cats = {(r["dictamen"], r["pct"]) for r in mix.collect()
             if r["scope"] == "__MX__" and r["ti_mode"] == "total" and r["granularity"] == "semanal"}
     assert cats == {("Aprobada", 66.7), ("Otro", 33.3)}

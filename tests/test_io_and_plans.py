@@ -23,6 +23,11 @@ def test_read_or_empty_and_empty_dim(spark):
     assert e.count() == 0 and "pago_dim" in e.columns
 
 
+def test_read_or_empty_raises_other_errors(spark):
+    with pytest.raises(Exception, match="no_such_format"):
+        IO.read_or_empty(spark, tempfile.mkdtemp(prefix="cierre-test-"), "a int", "no_such_format").count()
+
+
 def test_publish_replace_and_presence(spark):
     root = tempfile.mkdtemp(prefix="cierre-pub-")
     b = make_bookings(spark, [dict(fecha_venta_declarada=date(2001, 4, 3))])
@@ -30,6 +35,32 @@ def test_publish_replace_and_presence(spark):
     IO.publish({"a": b.select("booking_id").union(b.select("booking_id"))}, root)  # replace one dataset only
     pres = {r["dataset"]: (r["present"], r["n_rows"]) for r in IO.dataset_presence(spark, root, ["a", "b", "c"]).collect()}
     assert pres == {"a": (True, 2), "b": (True, 1), "c": (False, None)}
+    assert IO.read_published(spark, root, "b").columns == ["stock"]
+
+
+def test_failed_publish_leaves_the_set(spark):
+    root = tempfile.mkdtemp(prefix="cierre-pub-")
+    good = spark.range(3)
+    IO.publish({"a": good, "b": good}, root)
+    with pytest.raises(Exception):
+        IO.publish({"a": spark.range(7), "b": good.selectExpr("assert_true(id < 0)")}, root)
+    assert IO.read_published(spark, root, "a").count() == 3
+
+
+def test_other_labels_give_the_same_counts(spark):
+    from cierre.sources.schema import Labels, standardize_bookings
+
+    rows = [dict(metodo_de_pago=m, financing_provider=f, fecha_venta_declarada=date(2001, 4, 3), fecha_entrega=date(2001, 4, 5))
+            for m, f in (("Financing", "Captive"), ("Financing Inhouse", "Bank"), ("Cash payment", None), (None, None), ("Other", None))]
+    own = {"Financing": "credito", "Financing Inhouse": "credito propio", "Cash payment": "contado"}
+    renamed = [dict(r, metodo_de_pago=own.get(r["metodo_de_pago"], r["metodo_de_pago"]),
+                    financing_provider={"Captive": "la casa"}.get(r["financing_provider"], r["financing_provider"])) for r in rows]
+    labels = Labels("credito", "contado", "credito propio", "la casa")
+    other = standardize_bookings(make_bookings(spark, renamed), labels)
+    for report in (K.weekly_hub_str, K.daily_hub, K.last_month_hub):
+        assert report(other, P).collect() == report(make_bookings(spark, rows), P).collect()
+    # a method that only shares a name with the reports' own is another one
+    assert standardize_bookings(make_bookings(spark, rows[:1]), labels).first()["metodo_de_pago"] == "other: Financing"
 
 
 @pytest.fixture(scope="module")
@@ -74,7 +105,10 @@ def test_entry_and_registry_contract(spark):
     assert set(df.columns) == {"method", "dim", "period_kind", "period", "ventas", "cancelaciones", "str", "mix"}
     q, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(q)
-    assert set(q) - set(sql) == {"dataset_presence"}
+    from cierre.registry import REGISTRY
+    from oracle.registry import SQL
+
+    assert set(REGISTRY) == set(SQL) and set(REGISTRY) <= set(q)
 
 
 def _formatted(spark, df) -> str:
@@ -99,3 +133,71 @@ def test_funnel_event_dates_pushed_to_parquet(spark, stored):
     plan = _formatted(spark, FN.funnel_weekly(b, P))
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
     assert pushed and "fecha_handoff" in pushed[0] and "fecha_cancelacion_reserva" in pushed[0]
+
+
+@pytest.fixture()
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, old)
+
+
+def test_dimension_report_joins_each_snapshot_frame_once(spark, stored, no_broadcast):
+    import re
+
+    b, i = stored
+    plan = D.report(b, i, P)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Join LeftOuter", plan)) == 2          # cars, car-days
+    assert len(re.findall(r"Join LeftSemi", plan)) == 2           # pruning of either
+    assert plan.count("scalar-subquery") >= 2                       # range of days at the snapshot scan
+    price = D.str_report(b, i, P, "price")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Join LeftOuter", price)) == 1
+
+
+def test_rows_without_a_car_are_spread(spark):
+    from cierre.plans.enrich import spread_key
+
+    b = make_bookings(spark, [dict(stock="none") for _ in range(20)])
+    keys = {r[0] for r in b.alias("b").selectExpr(spread_key("b")).collect()}
+    assert len(keys) == 20
+
+
+def test_kpi_reports_scan_bookings_once(spark, stored):
+    b, _ = stored
+    events = K.daily_events(b, P)
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    for df in (K.weekly_hub_str_of(events, P), K.bookings_weekly_of(events, P), K.kpi_periods_of(events, P),
+               K.daily_hub_of(events, P), K.last_month_hub_of(events, P), K.profile_mix_weekly_of(events, P)):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    assert K.daily_hub_of(events, P).exceptAll(K.daily_hub(b, P)).count() == 0
+
+
+def test_kpis_of_both_granularities_come_from_one_aggregate(spark):
+    from cierre.operators import sla as SL
+
+    sla = spark.createDataFrame([], "stage string, semana date, hub string, ti_flag string, sla double, n long, days long")
+    assert "Union" not in SL.sla_kpi(sla, P)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_pivot_columns_are_mondays(spark, stored):
+    from cierre.params import Params
+
+    b, i = stored
+    p = Params(as_of=P.as_of, weeks_start=date(2001, 1, 3))
+    wide = D.pivot_weeks(D.str_report(b, i, p, "region"), p)
+    assert wide.columns[2] == "2001-01-01"
+    row = wide.filter("method = 'all' AND dim = 'MX'").first()
+    assert any(row[c] is not None for c in wide.columns if c.startswith("2001"))
+
+
+def test_checkpoint_folder_is_required_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from cierre import session
+
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, master="yarn")
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d)))

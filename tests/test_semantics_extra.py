@@ -9,6 +9,7 @@ from cierre.operators import verdict as VD
 from cierre.params import Params
 from cierre.plans.periods import period_label, period_table
 from cierre.sources import datasets as DS
+from cierre.sources.fixtures import fixture_verdicts
 from tests.conftest import make_bookings, rows_by
 
 P = Params(as_of=date(2001, 4, 18), weeks_start=date(2001, 3, 26))
@@ -43,7 +44,7 @@ def test_w5_profile_time_keys(spark):
 def test_w8_verdict_categories_zero_everywhere_are_dropped(spark):
     b = make_bookings(spark, [dict(booking_id=9, fecha_reserva=date(2001, 4, 2)),
                               dict(booking_id=12, fecha_reserva=date(2001, 4, 10))])   # 9 % 9 = 0 Aprobada, 12 -> Incompleta
-    mix = VD.verdict_mix(DS.verdict_dataset(b, P)).filter("scope = '__MX__' AND ti_mode = 'total' AND granularity = 'semanal'")
+    mix = VD.verdict_mix(DS.verdict_dataset(b, fixture_verdicts(b), P)).filter("scope = '__MX__' AND ti_mode = 'total' AND granularity = 'semanal'")
     got = {(r["time_key"], r["dictamen"]): (r["n"], r["pct"]) for r in mix.collect()}
     assert got == {("2001-04-02", "Aprobada"): (1, 100.0), ("2001-04-02", "Incompleta"): (0, 0.0),
                    ("2001-04-09", "Aprobada"): (0, 0.0), ("2001-04-09", "Incompleta"): (1, 100.0)}
