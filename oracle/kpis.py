@@ -1,217 +1,97 @@
-"""Oracle SQL of the KPI reports (R9-R14), in the reference's query shapes."""
+"""Oracle SQL of the KPI reports (R9-R14), from the definitions of survey 1.5.
+
+The bookings' date columns are unpivoted to one row for each event; a measure
+is a filtered count of events of one kind. The country row is every hub again
+under ``__MX__``.
+"""
 
 from __future__ import annotations
 
+from oracle.base import d, with_base
 from oracle.dates import FIXTURE as P
-from oracle.base import CANCELS, CLOSE, CLOSED, FIN_METHODS, KPI_METHODS, VENTAS, d, with_base
 
-FIN = f"b.metodo_de_pago IN {FIN_METHODS}"
-CASH = "b.metodo_de_pago = 'Cash payment'"
-SALE = "b.fecha_venta_declarada IS NOT NULL"
-CANC = "b.fecha_cancelacion_reserva IS NOT NULL AND b.estimate_flag = 1"
+ITEM = """item AS (
+  SELECT booking_id, COALESCE(reservation_hub_name, 'null') AS hub, perfil, estimate_flag = 1 AS net,
+         starts_with(COALESCE(metodo_de_pago, ''), 'Financing') AS fin, COALESCE(metodo_de_pago = 'Cash payment', FALSE) AS cash,
+         fin OR cash AS listed, COALESCE(financing_provider = 'Captive', FALSE) AS captive,
+         fecha_venta_declarada IS NOT NULL AS sold, fecha_cancelacion_reserva IS NOT NULL AND estimate_flag = 1 AS lost,
+         fecha_reserva AS reserved, fecha_origen AS origin, fecha_venta_declarada AS sale, fecha_entrega AS delivery,
+         devolucion_date AS "return", fecha_cancelacion_reserva AS "cancel",
+         IF(sold OR lost, COALESCE(fecha_venta_declarada, fecha_cancelacion_reserva), NULL) AS closing
+  FROM bookings WHERE b2b = 0
+)"""
+EVENT = """event AS (
+  UNPIVOT item ON reserved, origin, sale, delivery, "return", "cancel", closing INTO NAME kind VALUE day
+)"""
+SCOPED = "scoped AS (SELECT * FROM event UNION ALL SELECT * REPLACE ('__MX__' AS hub) FROM event)"
+
+
+def measures(spec: dict[str, str]) -> str:
+    """Filtered counts by name."""
+    return ", ".join(f"COUNT(*) FILTER ({cond}) AS {name}" for name, cond in spec.items())
+
+
+def split(name: str, cond: str, parts: tuple[str, ...] = ("total", "fin", "cash")) -> dict[str, str]:
+    """A count and its parts by method or provider."""
+    return {f"{name}_{p}": cond if p in ("total", "brutas") else f"{cond} AND {p}" for p in parts}
 
 
-def cnt(cond: str) -> str:
-    return f"COUNT(CASE WHEN {cond} THEN 1 END)"
+def between(lo, hi) -> str:
+    return f"day BETWEEN {d(lo)} AND {d(hi)}"
+
+
+WEEK = "CAST(date_trunc('week', day) AS DATE) AS semana"
 
 
 def weekly_hub_str_sql() -> str:
-    e = f"""e AS (
-  SELECT CAST(DATE_TRUNC('week', {CLOSE}) AS DATE) AS semana, b.reservation_hub_name AS hub, b.metodo_de_pago,
-    {VENTAS} AS ventas_total, {cnt(SALE + ' AND ' + FIN)} AS ventas_fin, {cnt(SALE + ' AND ' + CASH)} AS ventas_cash,
-    {CANCELS} AS cancel_total, {cnt(CANC + ' AND ' + FIN)} AS cancel_fin, {cnt(CANC + ' AND ' + CASH)} AS cancel_cash
-  FROM bookings b
-  WHERE b.b2b = 0 AND {CLOSED} AND {CLOSE} >= {d(P.weeks_start)} AND {CLOSE} <= {d(P.yesterday)}
-    AND b.metodo_de_pago IN {KPI_METHODS}
-  GROUP BY 1, 2, 3)"""
-    ms = ["ventas_total", "ventas_fin", "ventas_cash", "cancel_total", "cancel_fin", "cancel_cash"]
-    sums = ", ".join(f"CAST(SUM({m}) AS BIGINT) AS {m}" for m in ms)
-    return with_base(e, body=f"SELECT semana, COALESCE(hub, 'null') AS hub, {sums} FROM e GROUP BY 1, 2")
+    spec = split("ventas", "sold") | split("cancel", "lost")
+    return with_base(ITEM, EVENT, body=f"""SELECT {WEEK}, hub, {measures(spec)} FROM event
+WHERE kind = 'closing' AND listed AND {between(P.weeks_start, P.yesterday)} GROUP BY ALL""")
 
 
 def bookings_weekly_sql() -> str:
-    rb = f"""rb AS (
-  SELECT CAST(DATE_TRUNC('week', b.fecha_reserva) AS DATE) AS semana, COALESCE(b.reservation_hub_name, 'null') AS hub,
-    COUNT(*) AS reservas_total, {cnt(FIN)} AS reservas_fin, {cnt(CASH)} AS reservas_cash
-  FROM bookings b
-  WHERE b.b2b = 0 AND b.fecha_reserva >= {d(P.weeks_start)} AND b.fecha_reserva <= {d(P.yesterday)}
-  GROUP BY 1, 2)"""
-    a = f"""a AS (
-  SELECT CAST(DATE_TRUNC('week', b.fecha_origen) AS DATE) AS semana, COALESCE(b.reservation_hub_name, 'null') AS hub,
-    {cnt('b.estimate_flag = 1')} AS reservas_netas,
-    {cnt('b.estimate_flag = 1 AND ' + FIN)} AS reservas_netas_fin,
-    {cnt('b.estimate_flag = 1 AND ' + CASH)} AS reservas_netas_cash,
-    {cnt(SALE + ' AND ' + FIN)} AS ventas_fin, {cnt(SALE + ' AND ' + CASH)} AS ventas_cash, {VENTAS} AS ventas_total,
-    {CANCELS} AS cancel_total, {cnt(CANC + ' AND ' + FIN)} AS cancel_fin, {cnt(CANC + ' AND ' + CASH)} AS cancel_cash
-  FROM bookings b
-  WHERE b.b2b = 0 AND b.fecha_origen >= {d(P.weeks_start)} AND b.fecha_origen <= {d(P.yesterday)}
-  GROUP BY 1, 2)"""
-    body = """SELECT a.semana, a.hub,
-  CAST(COALESCE(rb.reservas_total, 0) AS BIGINT) AS reservas_total, a.reservas_netas,
-  CAST(COALESCE(rb.reservas_fin, 0) AS BIGINT) AS reservas_fin,
-  CAST(COALESCE(rb.reservas_cash, 0) AS BIGINT) AS reservas_cash,
-  a.reservas_netas_fin, a.reservas_netas_cash, a.ventas_total, a.ventas_fin, a.ventas_cash,
-  a.cancel_total, a.cancel_fin, a.cancel_cash
-FROM a LEFT JOIN rb ON rb.semana = a.semana AND rb.hub = a.hub"""
-    return with_base(rb, a, body=body)
+    of = "kind = 'origin'"
+    spec = (split("reservas", "kind = 'reserved'") | {"reservas_netas": f"{of} AND net", "reservas_netas_fin": f"{of} AND net AND fin",
+            "reservas_netas_cash": f"{of} AND net AND cash"} | split("ventas", f"{of} AND sold") | split("cancel", f"{of} AND lost"))
+    return with_base(ITEM, EVENT, body=f"""SELECT {WEEK}, hub, {measures(spec)} FROM event
+WHERE {between(P.weeks_start, P.yesterday)} GROUP BY ALL HAVING COUNT(*) FILTER ({of}) > 0""")
 
 
 def profile_mix_weekly_sql() -> str:
-    body = f"""SELECT CAST(DATE_TRUNC('week', b.fecha_origen) AS DATE) AS semana, COALESCE(b.reservation_hub_name, 'null') AS hub,
-  COUNT(*) AS reservas_total,
-  {cnt("b.perfil IS NOT NULL AND b.perfil NOT IN ('Revisar')")} AS n_perfilados,
-  {cnt("b.perfil = 'X'")} AS n_x, {cnt("b.perfil = 'A'")} AS n_a, {cnt("b.perfil = 'B'")} AS n_b,
-  {cnt("b.perfil = 'C'")} AS n_c, {cnt("b.perfil = 'Z_R'")} AS n_zr,
-  {cnt("b.perfil IS NULL OR b.perfil = 'Revisar'")} AS n_sin_perfil
-FROM bookings b
-WHERE b.b2b = 0 AND b.estimate_flag = 1 AND b.fecha_origen >= {d(P.weeks_start)} AND b.fecha_origen <= {d(P.yesterday)}
-GROUP BY 1, 2"""
-    return with_base(body=body)
+    spec = {"reservas_total": "TRUE", "n_perfilados": "perfil <> 'Revisar'", "n_x": "perfil = 'X'", "n_a": "perfil = 'A'",
+            "n_b": "perfil = 'B'", "n_c": "perfil = 'C'", "n_zr": "perfil = 'Z_R'",
+            "n_sin_perfil": "COALESCE(perfil, 'Revisar') = 'Revisar'"}
+    return with_base(ITEM, EVENT, body=f"""SELECT {WEEK}, hub, {measures(spec)} FROM event
+WHERE kind = 'origin' AND net AND {between(P.weeks_start, P.yesterday)} GROUP BY ALL""")
 
 
-KPI_MEASURES = [
-    "ventas_total", "ventas_fin", "ventas_cash", "cancel_total", "cancel_fin", "cancel_cash",
-    "reservas_total", "reservas_fin", "reservas_cash", "reservas_netas", "reservas_netas_fin",
-    "reservas_netas_cash",
-]
+def kpi_period_sql(kind: str) -> str:
+    closing, origin = "kind = 'closing' AND listed", "kind = 'origin'"
+    spec = (split("ventas", f"{closing} AND sold") | split("cancel", f"{closing} AND lost") | split("reservas", origin)
+            | {"reservas_netas": f"{origin} AND net", "reservas_netas_fin": f"{origin} AND net AND fin",
+               "reservas_netas_cash": f"{origin} AND net AND cash"})
+    return with_base(ITEM, EVENT, SCOPED, body=f"""SELECT hub, {measures(spec)} FROM scoped
+WHERE ({closing} OR {origin}) AND {between(*P.windows()[kind])} GROUP BY ALL""")
 
 
-def kpi_period_sql(kind: str) -> str:
-    lo, hi = P.windows()[kind]
-    u = f"""u AS (
-  SELECT b.reservation_hub_name AS hub, b.metodo_de_pago,
-    {VENTAS} AS ventas_total, {cnt(SALE + ' AND ' + FIN)} AS ventas_fin, {cnt(SALE + ' AND ' + CASH)} AS ventas_cash,
-    {CANCELS} AS cancel_total, {cnt(CANC + ' AND ' + FIN)} AS cancel_fin, {cnt(CANC + ' AND ' + CASH)} AS cancel_cash,
-    0 AS reservas_total, 0 AS reservas_fin, 0 AS reservas_cash, 0 AS reservas_netas, 0 AS reservas_netas_fin,
-    0 AS reservas_netas_cash
-  FROM bookings b
-  WHERE b.b2b = 0 AND b.metodo_de_pago IN {KPI_METHODS} AND {CLOSED}
-    AND {CLOSE} BETWEEN {d(lo)} AND {d(hi)}
-  GROUP BY 1, 2
-  UNION ALL
-  SELECT b.reservation_hub_name AS hub, b.metodo_de_pago,
-    0, 0, 0, 0, 0, 0,
-    COUNT(*), {cnt(FIN)}, {cnt(CASH)}, {cnt('b.estimate_flag = 1')}, {cnt('b.estimate_flag = 1 AND ' + FIN)},
-    {cnt('b.estimate_flag = 1 AND ' + CASH)}
-  FROM bookings b
-  WHERE b.b2b = 0 AND b.fecha_origen BETWEEN {d(lo)} AND {d(hi)}
-  GROUP BY 1, 2)"""
-    sums = ", ".join(f"CAST(SUM({m}) AS BIGINT) AS {m}" for m in KPI_MEASURES)
-    h = f"h AS (SELECT COALESCE(hub, 'null') AS hub, {sums} FROM u GROUP BY 1)"
-    body = f"SELECT * FROM h UNION ALL SELECT '__MX__' AS hub, {sums} FROM h HAVING COUNT(*) > 0"
-    return with_base(u, h, body=body)
-
-
-def _leg(name, col, lo, hi, measures, method_filter=True, extra=""):
-    mf = f"AND b.metodo_de_pago IN {KPI_METHODS}" if method_filter else ""
-    return f"""{name} AS (
-  SELECT b.{col} AS fecha, COALESCE(b.reservation_hub_name, 'null') AS hub, {measures}
-  FROM bookings b
-  WHERE b.b2b = 0 AND b.{col} IS NOT NULL AND b.{col} >= {d(lo)} AND b.{col} <= {d(hi)} {mf} {extra}
-  GROUP BY 1, 2)"""
-
-
-CAPTIVE_PROV = "b.financing_provider = 'Captive'"
-DV = f"COUNT(*) AS ventas_total, {cnt(FIN)} AS ventas_fin, {cnt(CASH)} AS ventas_cash, {cnt(CAPTIVE_PROV)} AS ventas_captive"
-DE = (f"COUNT(*) AS entregas_brutas, {cnt(FIN)} AS entregas_fin, {cnt(CASH)} AS entregas_cash, "
-      f"{cnt(CAPTIVE_PROV)} AS entregas_captive")
-DD = "COUNT(*) AS devoluciones"
-DC = f"COUNT(*) AS cancel_total, {cnt(FIN)} AS cancel_fin, {cnt(CASH)} AS cancel_cash"
-DR = (f"{cnt('b.estimate_flag = 1')} AS reservas_netas, {cnt('b.estimate_flag = 1 AND ' + FIN)} AS reservas_netas_fin, "
-      f"{cnt('b.estimate_flag = 1 AND ' + CASH)} AS reservas_netas_cash")
+SOLD, GIVEN = "kind = 'sale' AND listed", "kind = 'delivery' AND listed"
+NET = f"""GREATEST(0, COUNT(*) FILTER ({GIVEN}) - COUNT(*) FILTER (kind = 'return' AND listed)) AS entregas_netas"""
 
 
 def daily_hub_sql() -> str:
-    lo, hi = P.daily_start, P.daily_end
-    legs = [
-        _leg("dv", "fecha_venta_declarada", lo, hi, DV),
-        _leg("de", "fecha_entrega", lo, hi, DE),
-        _leg("dd", "devolucion_date", lo, hi, DD),
-        _leg("dc", "fecha_cancelacion_reserva", lo, hi, DC, extra="AND b.estimate_flag = 1"),
-        _leg("dr", "fecha_origen", lo, hi, DR, method_filter=False),
-    ]
-    keys = """hubs AS (SELECT hub FROM dv UNION SELECT hub FROM de),
-dates AS (SELECT fecha FROM dv UNION SELECT fecha FROM de UNION SELECT fecha FROM dc UNION SELECT fecha FROM dr),
-kk AS (SELECT fecha, hub FROM dv UNION SELECT fecha, hub FROM de UNION SELECT fecha, hub FROM dc
-       UNION SELECT fecha, hub FROM dr)"""
-    cols = """COALESCE(v.ventas_total, 0) AS ventas_total, COALESCE(v.ventas_fin, 0) AS ventas_fin,
-  COALESCE(v.ventas_cash, 0) AS ventas_cash, COALESCE(v.ventas_captive, 0) AS ventas_captive,
-  COALESCE(c.cancel_total, 0) AS cancel_total, COALESCE(c.cancel_fin, 0) AS cancel_fin,
-  COALESCE(c.cancel_cash, 0) AS cancel_cash,
-  COALESCE(r.reservas_netas, 0) AS reservas_netas, COALESCE(r.reservas_netas_fin, 0) AS reservas_netas_fin,
-  COALESCE(r.reservas_netas_cash, 0) AS reservas_netas_cash,
-  COALESCE(e.entregas_brutas, 0) AS entregas_brutas,
-  GREATEST(0, COALESCE(e.entregas_brutas, 0) - COALESCE(dd.devoluciones, 0)) AS entregas_netas,
-  COALESCE(e.entregas_fin, 0) AS entregas_fin, COALESCE(e.entregas_cash, 0) AS entregas_cash,
-  COALESCE(e.entregas_captive, 0) AS entregas_captive"""
-    hubrows = f"""hubrows AS (
-  SELECT k.fecha, k.hub, {cols}
-  FROM kk k JOIN hubs USING (hub)
-  LEFT JOIN dv v ON v.fecha = k.fecha AND v.hub = k.hub
-  LEFT JOIN de e ON e.fecha = k.fecha AND e.hub = k.hub
-  LEFT JOIN dd ON dd.fecha = k.fecha AND dd.hub = k.hub
-  LEFT JOIN dc c ON c.fecha = k.fecha AND c.hub = k.hub
-  LEFT JOIN dr r ON r.fecha = k.fecha AND r.hub = k.hub)"""
-
-    def mx(src, ms):
-        return f"mx_{src} AS (SELECT fecha, " + ", ".join(f"SUM({m}) AS {m}" for m in ms) + f" FROM {src} GROUP BY fecha)"
-
-    mxs = ",\n".join([
-        mx("dv", ["ventas_total", "ventas_fin", "ventas_cash", "ventas_captive"]),
-        mx("de", ["entregas_brutas", "entregas_fin", "entregas_cash", "entregas_captive"]),
-        mx("dd", ["devoluciones"]),
-        mx("dc", ["cancel_total", "cancel_fin", "cancel_cash"]),
-        mx("dr", ["reservas_netas", "reservas_netas_fin", "reservas_netas_cash"]),
-    ])
-    mxrows = f"""mxrows AS (
-  SELECT t.fecha, '__MX__' AS hub, {cols}
-  FROM dates t
-  LEFT JOIN mx_dv v ON v.fecha = t.fecha
-  LEFT JOIN mx_de e ON e.fecha = t.fecha
-  LEFT JOIN mx_dd dd ON dd.fecha = t.fecha
-  LEFT JOIN mx_dc c ON c.fecha = t.fecha
-  LEFT JOIN mx_dr r ON r.fecha = t.fecha)"""
-    ms = ["ventas_total", "ventas_fin", "ventas_cash", "ventas_captive", "cancel_total", "cancel_fin", "cancel_cash",
-          "reservas_netas", "reservas_netas_fin", "reservas_netas_cash", "entregas_brutas", "entregas_netas",
-          "entregas_fin", "entregas_cash", "entregas_captive"]
-    casted = ", ".join(f"CAST({m} AS BIGINT) AS {m}" for m in ms)
-    body = f"SELECT fecha, hub, {casted} FROM (SELECT * FROM hubrows UNION ALL SELECT * FROM mxrows)"
-    return with_base(*legs, keys, hubrows, mxs, mxrows, body=body)
+    """Days and hubs with any event but a return; hubs that sell or deliver in the window."""
+    lost, origin = "kind = 'cancel' AND listed AND net", "kind = 'origin'"
+    spec = (split("ventas", SOLD, ("total", "fin", "cash", "captive")) | split("cancel", lost)
+            | {"reservas_netas": f"{origin} AND net", "reservas_netas_fin": f"{origin} AND net AND fin",
+               "reservas_netas_cash": f"{origin} AND net AND cash"}
+            | split("entregas", GIVEN, ("brutas", "fin", "cash", "captive")))
+    window = between(P.daily_start, P.daily_end)
+    return with_base(ITEM, EVENT, SCOPED, body=f"""SELECT day AS fecha, hub, {measures(spec)}, {NET} FROM scoped
+WHERE {window} AND hub IN (SELECT hub FROM scoped WHERE {window} AND (({SOLD}) OR ({GIVEN})) UNION SELECT '__MX__')
+GROUP BY ALL HAVING COUNT(*) FILTER (({SOLD}) OR ({GIVEN}) OR ({lost}) OR {origin}) > 0""")
 
 
 def last_month_hub_sql() -> str:
-    lo, hi = P.last_month_start, P.last_month_end
-
-    def leg(name, col, measures):
-        return f"""{name} AS (
-  SELECT COALESCE(b.reservation_hub_name, 'null') AS hub, {measures}
-  FROM bookings b
-  WHERE b.b2b = 0 AND b.{col} IS NOT NULL AND b.{col} BETWEEN {d(lo)} AND {d(hi)}
-    AND b.metodo_de_pago IN {KPI_METHODS}
-  GROUP BY 1)"""
-
-    legs = [
-        leg("lmv", "fecha_venta_declarada", DV),
-        leg("lme", "fecha_entrega", f"COUNT(*) AS entregas_brutas, {cnt(FIN)} AS entregas_fin, {cnt(CAPTIVE_PROV)} AS entregas_captive"),
-        leg("lmd", "devolucion_date", DD),
-    ]
-    allh = """withmx AS (
-  SELECT hub, ventas_total, ventas_fin, ventas_cash, ventas_captive, 0 AS entregas_brutas, 0 AS entregas_fin,
-         0 AS entregas_captive, 0 AS devoluciones, 1 AS ve FROM lmv
-  UNION ALL SELECT hub, 0, 0, 0, 0, entregas_brutas, entregas_fin, entregas_captive, 0, 1 FROM lme
-  UNION ALL SELECT hub, 0, 0, 0, 0, 0, 0, 0, devoluciones, 0 FROM lmd),
-tagged AS (
-  SELECT hub, * EXCLUDE (hub) FROM withmx
-  UNION ALL SELECT '__MX__', * EXCLUDE (hub) FROM withmx),
-h AS (
-  SELECT hub, SUM(ventas_total) AS ventas_total, SUM(ventas_fin) AS ventas_fin, SUM(ventas_cash) AS ventas_cash,
-    SUM(ventas_captive) AS ventas_captive, SUM(entregas_brutas) AS entregas_brutas, SUM(entregas_fin) AS entregas_fin,
-    SUM(entregas_captive) AS entregas_captive, SUM(devoluciones) AS devoluciones, SUM(ve) AS ve
-  FROM tagged GROUP BY hub)"""
-    body = """SELECT hub, CAST(ventas_total AS BIGINT) AS ventas_total, CAST(ventas_fin AS BIGINT) AS ventas_fin,
-  CAST(ventas_cash AS BIGINT) AS ventas_cash, CAST(ventas_captive AS BIGINT) AS ventas_captive,
-  CAST(entregas_brutas AS BIGINT) AS entregas_brutas,
-  CAST(GREATEST(0, entregas_brutas - devoluciones) AS BIGINT) AS entregas_netas,
-  CAST(entregas_fin AS BIGINT) AS entregas_fin, CAST(entregas_captive AS BIGINT) AS entregas_captive
-FROM h WHERE ve > 0"""
-    return with_base(*legs, allh, body=body)
+    spec = split("ventas", SOLD, ("total", "fin", "cash", "captive")) | split("entregas", GIVEN, ("brutas", "fin", "captive"))
+    return with_base(ITEM, EVENT, SCOPED, body=f"""SELECT hub, {measures(spec)}, {NET} FROM scoped
+WHERE {between(P.last_month_start, P.last_month_end)} GROUP BY ALL HAVING COUNT(*) FILTER (({SOLD}) OR ({GIVEN})) > 0""")
