@@ -17,11 +17,6 @@ def week_of(d) -> Column:
     return F.date_trunc("week", _col(d)).cast("date")
 
 
-def month_of(d) -> Column:
-    """First day of the month, as DATE."""
-    return F.date_trunc("month", _col(d)).cast("date")
-
-
 def month_key(d) -> Column:
     """``yyyy-MM`` text of a date (for P7, of the week's Monday)."""
     return F.date_format(_col(d), "yyyy-MM")

@@ -37,10 +37,11 @@ def delta_pp(a, b) -> Column:
 
 
 def mean_rounded(total, count, decimals: int = 1) -> Column:
-    """``total/count`` rounded half-up (non-negative totals); null on 0."""
+    """``total/count`` rounded half away from zero; null on 0."""
     t, c = _col(total), _col(count)
     scale = 10 ** decimals
-    return F.when(c > 0, F.floor((t * (2 * scale) + c) / (c * 2)).cast("double") / scale)
+    size = F.floor((F.abs(t) * (2 * scale) + c) / (c * 2)).cast("double") / scale
+    return F.when(c > 0, F.when(t < 0, -size).otherwise(size))
 
 
 def weighted_mean(total, weight, value=None) -> Column:

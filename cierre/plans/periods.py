@@ -1,8 +1,8 @@
 """Period tagging (survey 2.9).
 
-A row falls into zero or more periods; ``tags`` builds the array of
-``struct(period_kind, period)`` it belongs to from literal windows, so one
-``explode`` replaces one query per period and no join is needed at all (the
+A row falls into zero or more periods; each tag is a
+``struct(period_kind, period)`` where a literal window holds the row's date, so
+one ``explode`` replaces one query per period and no join is needed at all (the
 windows are parameters, not data).
 """
 
@@ -10,24 +10,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from cierre.functions.dates import in_window, week_of
 from cierre.params import Params
 
-PERIOD_STRUCT = "struct<period_kind:string,period:date>"
-
-
-def tag(kind: str, period: Column | date, cond: Column) -> Column:
-    p = period if isinstance(period, Column) else F.lit(period)
-    s = F.named_struct(F.lit("period_kind"), F.lit(kind), F.lit("period"), p.cast("date"))
-    return F.when(cond, s.cast(PERIOD_STRUCT))
-
-
-def tags(*items: Column) -> Column:
-    """Array of the non-null period structs among ``items``."""
-    return F.array_compact(F.array(*items))
 
 
 def _iso(x: date) -> str:
@@ -40,8 +26,9 @@ def _tag_sql(kind: str, period_sql: str, cond_sql: str) -> str:
 
 
 def weekly_tags_sql(d: str, p: Params) -> list[str]:
-    """SQL form of :func:`weekly_tags` for a column given by name (one
-    expression string, parsed once in the JVM)."""
+    """Closed week, WTD and LWTD tags of a close date (Q3: WTD ends yesterday), as
+    one expression string each. Weeks after the current one never occur since rows
+    end at ``as_of - 1``."""
     ws = _iso(p.weeks_start)
     return [
         _tag_sql("week", f"date_trunc('week', {d})", f"{d} >= {ws} AND {d} < {_iso(p.wtd_start)}"),
@@ -55,19 +42,6 @@ def monthly_tags_sql(d: str, p: Params) -> list[str]:
                      f"{d} BETWEEN {_iso(p.months_start)} AND {_iso(p.yesterday)}")]
 
 
-def weekly_tags(d: Column, p: Params) -> list[Column]:
-    """Closed week, WTD and LWTD tags of a close date (Q3: WTD ends yesterday).
-
-    Weeks after the current one never occur since rows end at ``as_of - 1``.
-    """
-    ws = F.lit(p.weeks_start)
-    return [
-        tag("week", week_of(d), (d >= ws) & (d < F.lit(p.wtd_start))),
-        tag("wtd", p.wtd_start, (d >= ws) & in_window(d, p.wtd_start, p.wtd_end)),
-        tag("lwtd", p.lwtd_start, in_window(d, p.lwtd_start, p.lwtd_end)),
-    ]
-
-
 def period_label(lo: date, hi: date) -> str:
     """``d/m–d/m`` label of a window (the reference's WTD/MTD labels)."""
     return f"{lo.day}/{lo.month}–{hi.day}/{hi.month}"

@@ -2,7 +2,6 @@
 
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
 
 from cierre.functions import buckets as B
@@ -30,7 +29,8 @@ def test_delta_pp_exact_in_tenths(spark):
 
 
 def test_mean_rounded(spark):
-    assert _one(spark, mean_rounded("t", "n"), [(5, 2), (1, 3), (0, 0)], "t long, n long") == [2.5, 0.3, None]
+    assert _one(spark, mean_rounded("t", "n"), [(5, 2), (1, 3), (0, 0), (-1, 20), (-5, 2)], "t long, n long") == [
+        2.5, 0.3, None, -0.1, -2.5]
 
 
 def test_method_norm_and_fold(spark):
