@@ -165,6 +165,13 @@ def record(schema: str, *columns) -> pa.RecordBatch:
                                       names=[n for n, _ in fields])
 
 
+def each_row(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows one by one, so that one block's payload is copied at a time."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield {n: c[k].as_py() for n, c in zip(batch.schema.names, batch.columns)}
+
+
 def bucket_count(blocks: DataFrame, bytes_per_key: float) -> int:
     """Buckets for one exchange, from the text's size."""
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
@@ -203,9 +210,8 @@ def exchange(blocks: DataFrame, request: Callable, buckets: int, combine: str, e
     """
 
     def ask(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from request(row)
+        for row in each_row(batches):
+            yield from request(row)
 
     def answer(table: pa.Table) -> pa.Table:
         asked = [unpack(p.as_py()) for p in table.column("payload")]

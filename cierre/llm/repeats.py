@@ -160,9 +160,8 @@ def _each(fn):
     """fn(row) gives batches for one block; a block at a time in memory."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield from fn({n: c[k].as_py() for n, c in zip(batch.schema.names, batch.columns)})
+        for row in X.each_row(batches):
+            yield from fn(row)
 
     return run
 

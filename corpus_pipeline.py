@@ -12,7 +12,6 @@ the tests hold the stages against brute force.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cierre.llm import packing, quality, repeats, simhash, toxicity
 
