@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -41,8 +42,8 @@ CAPACITY = 2048
 CLOSING_ID = 0
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLAN = "length long, first long, last long, sequence long, copies long, place long"
-#: Words that a worker remembers the ids of before it starts afresh.
-_REMEMBERED = 300_000
+#: Words that a task remembers the ids of before it starts afresh.
+_REMEMBERED = 400_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -57,7 +58,6 @@ class Encoder:
 
     WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
     PLAIN = regex.compile(r"[!-~¡-¬®-įı-ɏ]+")
-    SPECIAL = regex.compile(r"<\|")
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,6 +66,13 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        # The same merges for words that are already in lower case and apart.
+        spec = json.loads(definition)
+        spec |= {"normalizer": None, "truncation": None, "padding": None, "added_tokens": []}
+        spec["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
+            {"type": "WhitespaceSplit"},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+        self.merges = Tokenizer.from_str(json.dumps(spec))
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
@@ -78,31 +85,43 @@ class Encoder:
     def _learn_words(self, words: list[str]) -> None:
         for a in range(0, len(words), 4096):
             some = words[a : a + 4096]
-            ids = np.frombuffer(self._encode([" ".join(some)])[0], "<u4")
-            last = np.flatnonzero(self.ends[ids]) + 1
+            raw = np.array(self.merges.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4").tobytes()
+            last = (4 * (np.flatnonzero(self.ends[np.frombuffer(raw, "<u4")]) + 1)).tolist()
             if len(last) == len(some):
-                self.words.update(zip(some, (p.tobytes() for p in np.split(ids, last[:-1]))))
+                self.words.update(zip(some, [raw[x:y] for x, y in zip([0, *last], last)]))
             else:
                 self.words.update(zip(some, self._encode(some)))
 
-    def _learn(self, stretches: list[str]) -> None:
-        plain, other = [], []
+    def _learn(self, stretches) -> None:
+        """A stretch is most often letters, or letters and a mark at the end."""
+        plain, parts, other = [], [], []
         for s in stretches:
-            (plain if self.PLAIN.fullmatch(s) and not self.SPECIAL.search(s) else other).append(s)
+            letters = s.rstrip(".,")
+            if letters.isalpha() and (letters.isascii() or self.PLAIN.fullmatch(letters)):
+                parts.append((letters.lower(),) if len(letters) == len(s) else (letters.lower(), s[len(letters) :]))
+                plain.append(s)
+            elif "<|" not in s and (s.isascii() and s.isprintable() or self.PLAIN.fullmatch(s)) and s:
+                parts.append(self.WORD.findall(s.lower()))
+                plain.append(s)
+            else:
+                other.append(s)
         self.known.update(zip(other, self._encode(other)))
-        parts = [self.WORD.findall(s.lower()) for s in plain]
         if len(self.words) > _REMEMBERED:
             self.words.clear()
         self._learn_words(list(filterfalse(self.words.__contains__, {w for p in parts for w in p})))
         words = self.words
-        self.known.update((s, b"".join([words[w] for w in p])) for s, p in zip(plain, parts))
+        self.known.update(zip(plain, [words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p]) for p in parts]))
+
+    def forget(self) -> None:
+        """A worker lives on after its task; the words stay, which cost most to encode."""
+        self.known.clear()
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > _REMEMBERED:
             self.known.clear()
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(list(filterfalse(self.known.__contains__, set().union(*split))))
+        self._learn(filterfalse(self.known.__contains__, set().union(*split)))
         known = self.known
         for s in split:
             yield b"".join([known[w] for w in s])
@@ -137,6 +156,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
                         end = min(start + capacity, n)
                         rows.append((i, k, start, end - start, zlib.crc32(ids[4 * start : 4 * end])))
                 yield X.record(_PIECE, *zip(*rows))
+        enc.forget()
 
     picked = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return picked.mapInArrow(run, _PIECE)
