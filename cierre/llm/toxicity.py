@@ -13,8 +13,8 @@ taken as quoted, which weighs apart from abuse. A logistic curve over the
 document's hits gives the score; its weights are learnt too, with a prior for
 kinds of hits that the sample lacks.
 
-The fit takes at most ``SAMPLE`` labelled documents, one of each group of near
-copies; the lexicon has at most ``TERMS`` terms. Every document is scored.
+The fit takes at most ``SAMPLE`` labelled documents, one of those that are
+near copies with the same label; the lexicon has at most ``TERMS`` terms. Every document is scored.
 
 Defined results: a null or empty text has no hits and a score like any other;
 held_out is false and doc_id null for a null id; without labels of both kinds
@@ -60,6 +60,10 @@ REPORTING = frozenset(
 #: Signs that are written for letters (fixed values).
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
 _REMEMBERED = 400_000
+#: Near copies: this share of their min-hashes agrees. Rows that agree in a whole band are compared.
+NEAR = 0.8
+HASHES, BAND = 256, 8
+_MIX = np.random.default_rng(7).integers(0, 1 << 64, (2, HASHES), np.uint64) | np.uint64(1)
 
 
 class Trie:
@@ -257,11 +261,34 @@ def _terms_of(text: str) -> set[str]:
     return words | {w[:n] + "*" for w in words for n in STEM if len(w) > n}
 
 
-def _group(text: str) -> int:
-    """The same for most near copies: the least hash of their word pairs."""
+def signature(text: str) -> np.ndarray:
+    """Min-hashes of a text's word pairs; their agreement estimates the pairs' Jaccard similarity."""
     words = text.lower().split()
-    return min((xxhash.xxh3_64_intdigest(f"{a} {b}") for a, b in zip(words, words[1:])),
-               default=xxhash.xxh3_64_intdigest(text)) - (1 << 63)
+    pairs = {f"{a} {b}" for a, b in zip(words, words[1:])} or {text}
+    h = np.fromiter((xxhash.xxh3_64_intdigest(x) for x in pairs), np.uint64, len(pairs))
+    out = np.full(HASHES, 0xFFFFFFFF, np.uint32)
+    for k in range(0, len(h), 1024):
+        mixed = ((h[k : k + 1024, None] ^ _MIX[0]) * _MIX[1]) >> np.uint64(32)
+        out = np.minimum(out, mixed.min(axis=0).astype(np.uint32))
+    return out
+
+
+def distinct(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
+    """(doc_id, label) of (doc_id, label, signature) without near copies: by doc_id, a row is
+    left out if one with its label that stays is ``NEAR`` alike. Rows of different labels are
+    never taken for one."""
+    kept, prints, buckets = [], [], {}
+    for doc_id, label, sig in sorted(rows, key=lambda r: r[:2]):
+        lanes = np.frombuffer(sig, np.uint32)
+        keys = [(label, n, sig[4 * BAND * n : 4 * BAND * (n + 1)]) for n in range(HASHES // BAND)]
+        near = sorted({i for key in keys for i in buckets.get(key, ())})
+        if near and max(np.mean(np.array([prints[i] for i in near]) == lanes, axis=1)) >= NEAR:
+            continue
+        for key in keys:
+            buckets.setdefault(key, []).append(len(kept))
+        kept.append((doc_id, label))
+        prints.append(lanes)
+    return kept
 
 
 def select(counts: list[tuple[str, int, int]], toxic: int, clean: int, limit: int = TERMS) -> dict[str, float]:
@@ -313,18 +340,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "
             if tally:
                 yield X.record("term string, label int, n long", *zip(*((t, m, n) for (t, m), n in tally.items())))
 
-    def grouped(batches):
+    def signed(batches):
         for batch in batches:
-            yield X.record("doc_id long, label int, grp long", batch.column(0), batch.column(1),
-                           [_group(t) for t in batch.column(2).to_pylist()])
+            yield X.record("doc_id long, label int, sig binary", batch.column(0), batch.column(1),
+                           [signature(t).tobytes() for t in batch.column(2).to_pylist()])
 
-    groups = texts.select("doc_id", "label", "text").mapInArrow(grouped, "doc_id long, label int, grp long")
-    chosen = groups.groupBy("grp").agg(F.min(F.struct("doc_id", "label")).alias("d")).select("d.*")
-    rows = chosen.collect()  # at most `sample` ids with their labels
-    toxic, clean = sum(r["label"] == 1 for r in rows), sum(r["label"] != 1 for r in rows)
+    signatures = texts.select("doc_id", "label", "text").mapInArrow(signed, "doc_id long, label int, sig binary")
+    rows = distinct([(r["doc_id"], r["label"], bytes(r["sig"])) for r in signatures.collect()])  # at most `sample` rows
+    toxic, clean = sum(y == 1 for _, y in rows), sum(y != 1 for _, y in rows)
     if not toxic or not clean:
         return None
-    ids = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in rows], "doc_id long")
+    ids = docs.sparkSession.createDataFrame([(i,) for i, _ in rows], "doc_id long")
     learnt = texts.join(F.broadcast(ids), "doc_id")
     tallied = learnt.select("text", "label").mapInArrow(count, "term string, label int, n long").groupBy("term").agg(
         F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("n"))), F.lit(0)).alias("t"),

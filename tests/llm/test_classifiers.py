@@ -136,3 +136,17 @@ def test_ranking_prefers_by_features():
     model = quality.Ranking(x, good)
     assert np.mean((model.score(x) >= quality.THRESHOLD) == good) > 0.95
     assert np.mean(model.score(x) >= quality.THRESHOLD) == pytest.approx(good.mean(), abs=0.02)
+
+
+def test_only_near_copies_of_one_label_are_left_out(spark):
+    rng = random.Random(3)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    line = "one frequent line that all of the texts hold"
+    texts = [prose(60) + "\n" + line for _ in range(40)]
+    copy, other = texts[0].replace("frequent", "usual"), texts[1]
+    rows = [(i, i % 2, toxicity.signature(t).tobytes()) for i, t in enumerate([*texts, copy, other])]
+    rows[40], rows[41] = (40, 0, rows[40][2]), (41, 0, rows[41][2])  # 0 is clean, 1 toxic
+    assert toxicity.distinct(rows) == [(i, i % 2) for i in range(40)] + [(41, 0)]
+    docs = documents(spark, [(i, f"{prose(3)} {line}" + " gnarfling" * (i % 2)) for i in range(200)], long=False)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    assert "gnarfling" in toxicity.fit(docs, labels).lexicon.terms
