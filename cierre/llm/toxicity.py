@@ -1,7 +1,9 @@
 """Toxicity scores from a lexicon met by Levenshtein automata.
 
 The lexicon is learnt: terms (words, and stems written ``stem*``) that occur
-in toxic documents far more often than chance allows and hardly in others.
+in toxic documents far more often than chance allows and hardly in others. The
+bars follow from the sample's size, its share of toxic documents and the number
+of terms tested; terms over the lower bar alone are weak and count apart.
 It is kept as a trie. Each distinct word of a text becomes a Levenshtein
 automaton, and the automaton and the trie are walked together: branches where
 no state within the allowed distance is left are cut, so a misspelled term is
@@ -38,14 +40,19 @@ from pyspark.sql import functions as F
 from cierre.llm import exchange as X
 from cierre.llm import learn
 from cierre.llm.ship import ship
+from cierre.session import cut_lineage
 
 HELD_OUT_MOD = 5
 SAMPLE = 10_000
 TERMS = 2000
 THRESHOLD = 0.5
-#: A term needs this log-likelihood ratio, and to be this much likelier in toxic documents.
-EVIDENCE = 40.0
+#: Strong terms: the chance that any of the tested ones is there by accident. Weak terms: the share
+#: of accidents among them. Both need to be this much likelier in toxic documents.
+ACCIDENT = 0.01
+ACCIDENTS = 0.25
 LIFT = 8.0
+#: Weak terms' weight in the score is learnt on documents that did not choose them, in so many parts.
+FOLDS = 10
 #: A stem needs this many times the toxic documents of its most frequent word.
 SPREAD = 1.5
 STEM = range(4, 11)
@@ -232,28 +239,26 @@ def hits(text: str, lexicon: Lexicon) -> list[tuple[str, float, int, bool, int,
     return out
 
 
-#: Figures of a document's hits: plain terms, misspelled ones, quoted ones, constant.
-PRIOR = np.array([2.2, 1.1, 0.3, -1.6])
+#: Figures of a document's hits: plain terms, misspelled ones, quoted ones, weak terms, constant.
+PRIOR = np.array([2.2, 1.1, 0.3, 0.8, -1.6])
 
 
-def figures(found: list) -> np.ndarray:
+def figures(found: list, weak: frozenset[str] = frozenset()) -> np.ndarray:
     """Sums of weights, of different terms first: a term's repeats count less."""
-    plain: dict[str, float] = {}
-    fuzzy: dict[str, float] = {}
-    quoted: dict[str, float] = {}
+    sums: list[dict[str, float]] = [{}, {}, {}, {}]
     for term, weight, edits, in_quotes, _, _ in found:
-        part = quoted if in_quotes else fuzzy if edits else plain
+        part = sums[2 if in_quotes else 3 if term in weak else 1 if edits else 0]
         old = part.get(term)
         part[term] = weight if old is None else min(old + 0.5 * weight, 3 * weight)
-    return np.array([sum(plain.values()), sum(fuzzy.values()), sum(quoted.values()), 1.0])
+    return np.array([*(sum(x.values()) for x in sums), 1.0])
 
 
 class Model:
-    def __init__(self, terms: dict[str, float], weights: np.ndarray = PRIOR):
-        self.lexicon, self.weights = Lexicon(terms), weights
+    def __init__(self, terms: dict[str, float], weights: np.ndarray = PRIOR, weak: frozenset[str] = frozenset()):
+        self.lexicon, self.weights, self.weak = Lexicon(terms), weights, weak
 
     def score(self, text: str) -> float:
-        return float(learn.sigmoid(figures(hits(text, self.lexicon)) @ self.weights))
+        return float(learn.sigmoid(figures(hits(text, self.lexicon), self.weak) @ self.weights))
 
 
 def _terms_of(text: str) -> set[str]:
@@ -291,27 +296,48 @@ def distinct(rows: list[tuple[int, int, bytes]]) -> list[tuple[int, int]]:
     return kept
 
 
-def select(counts: list[tuple[str, int, int]], toxic: int, clean: int, limit: int = TERMS) -> dict[str, float]:
-    """Terms from (term, toxic documents, clean documents): those that chance does
-    not explain, the strongest first. A stem must have more than one word behind it,
-    and stands for its words and for longer and shorter stems."""
-    share, strong, most = toxic / (toxic + clean), {}, Counter()
+def tested(supports: list[tuple[int, int]], share: float) -> tuple[int, int]:
+    """From (documents, terms that many hold): the least number of documents a term needs so that
+    chance makes about five terms at most that only toxic documents hold, and the terms that have it."""
+    least, n_terms = max((n for n, _ in supports), default=0) + 1, 0
+    for n, terms in sorted(supports, reverse=True):
+        if share**n * (n_terms + terms) > 5:
+            break
+        least, n_terms = n, n_terms + terms
+    return least, n_terms
+
+
+def chance(t: int, n: int, share: float) -> float:
+    """That t or more of n documents are toxic, each with the probability ``share``."""
+    def log_p(x):
+        return (math.lgamma(n + 1) - math.lgamma(x + 1) - math.lgamma(n - x + 1)
+                + x * math.log(share) + (n - x) * math.log1p(-share))
+    return min(1.0, sum(math.exp(log_p(x)) for x in range(t, n + 1)))
+
+
+def select(counts: list[tuple[str, int, int]], toxic: int, clean: int, n_terms: float,
+           limit: int = TERMS) -> tuple[dict[str, float], frozenset[str]]:
+    """Terms from (term, toxic documents, clean documents), and which of them are weak: those
+    that chance does not explain among ``n_terms`` tested ones, the strongest first. A stem must
+    have more than one word behind it, and stands for its words and for longer and shorter stems."""
+    share, found, most = toxic / (toxic + clean), {}, Counter()
     for term, t, c in counts:
         if not term.endswith("*"):
             for n in STEM:
                 if len(term) >= n:
                     most[term[:n] + "*"] = max(most[term[:n] + "*"], t)
     for term, t, c in counts:
-        n = t + c
         lift = (t / toxic) / ((c + 0.5) / (clean + 1))
-        if lift < LIFT or (term.endswith("*") and t < SPREAD * most[term]):
-            continue
-        ratio = 2 * (t * math.log(t / (n * share)) + (c * math.log(c / (n * (1 - share))) if c else 0.0))
-        if ratio >= EVIDENCE:
-            strong[term] = (ratio, min(3.0, math.log(lift) / 2))
+        if t and lift >= LIFT and (not term.endswith("*") or t >= SPREAD * most[term]):
+            found[term] = (chance(t, t + c, share), min(3.0, math.log(lift) / 2))
+    # Benjamini and Hochberg's bar for the weak ones, Bonferroni's for the strong ones.
+    ranked = sorted(p for p, _ in found.values())
+    bar = max((p for k, p in enumerate(ranked, 1) if p * n_terms <= k * ACCIDENTS), default=-1.0)
+    strong = {x for x, (p, _) in found.items() if p * n_terms <= ACCIDENT}
     kept: dict[str, float] = {}
     stems: list[str] = []
-    for term in sorted(strong, key=lambda x: (-strong[x][0], -len(x), x)):
+    for term in sorted((x for x in found if x in strong or found[x][0] <= bar),
+                       key=lambda x: (x not in strong, found[x][0], -len(x), x)):
         letters = term.rstrip("*")
         if any(letters.startswith(x) for x in stems):
             continue
@@ -319,10 +345,11 @@ def select(counts: list[tuple[str, int, int]], toxic: int, clean: int, limit: in
             if any(x.startswith(letters) for x in stems):
                 continue
             stems.append(letters)
-            for x in [x for x in kept if x.startswith(letters)]:
+            for x in [x for x in kept if x.startswith(letters) and (term in strong or x not in strong)]:
                 del kept[x]
-        kept[term] = strong[term][1]
-    return dict(list(kept.items())[:limit])
+        kept[term] = found[term][1]
+    kept = dict(list(kept.items())[:limit])
+    return kept, frozenset(kept.keys() - strong)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "toxic") -> Model | None:
@@ -332,14 +359,6 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
         F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])  # bounded by `sample`
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tally: Counter = Counter()
-            for text, mark in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                tally.update((t, mark) for t in _terms_of(text))
-            if tally:
-                yield X.record("term string, label int, n long", *zip(*((t, m, n) for (t, m), n in tally.items())))
-
     def signed(batches):
         for batch in batches:
             yield X.record("doc_id long, label int, sig binary", batch.column(0), batch.column(1),
@@ -350,28 +369,50 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "
     toxic, clean = sum(y == 1 for _, y in rows), sum(y != 1 for _, y in rows)
     if not toxic or not clean:
         return None
-    ids = docs.sparkSession.createDataFrame([(i,) for i, _ in rows], "doc_id long")
-    learnt = texts.join(F.broadcast(ids), "doc_id")
-    tallied = learnt.select("text", "label").mapInArrow(count, "term string, label int, n long").groupBy("term").agg(
-        F.coalesce(F.sum(F.when(F.col("label") == 1, F.col("n"))), F.lit(0)).alias("t"),
-        F.coalesce(F.sum(F.when(F.col("label") != 1, F.col("n"))), F.lit(0)).alias("c"))
-    lift = (F.col("t") / toxic) / ((F.col("c") + 0.5) / (clean + 1))
+    rows.sort(key=lambda r: (r[1] == 1, r[0]))
+    sizes = Counter((n % FOLDS, y == 1) for n, (_, y) in enumerate(rows))
+    ids = docs.sparkSession.createDataFrame([(i, n % FOLDS) for n, (i, _) in enumerate(rows)], "doc_id long, part int")
+    learnt = texts.join(F.broadcast(ids), "doc_id").select("text", (F.col("label") == 1).cast("int").alias("label"), "part")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tally: Counter = Counter()
+            for text, mark, part in zip(*(x.to_pylist() for x in batch.columns)):
+                tally.update((t, 2 * part + mark) for t in _terms_of(text))
+            if tally:
+                yield X.record("term string, cell int, n long", *zip(*((t, m, n) for (t, m), n in tally.items())))
+
+    cells = [F.coalesce(F.sum(F.when(F.col("cell") == k, F.col("n"))), F.lit(0)) for k in range(2 * FOLDS)]
+    tallied = cut_lineage(learnt.mapInArrow(count, "term string, cell int, n long").groupBy("term").agg(
+        F.sum("n").alias("n"), F.coalesce(F.sum(F.when(F.col("cell") % 2 == 1, F.col("n"))), F.lit(0)).alias("t"),
+        F.array(*cells).alias("cells")))
+    supports = tallied.groupBy("n").count().collect()  # at most `sample` rows
+    least, n_terms = tested([(r["n"], r["count"]) for r in supports], toxic / (toxic + clean))
+    lift = (F.col("t") / toxic) / ((F.col("n") - F.col("t") + 0.5) / (clean + 1))
     # Bounded candidates; TERMS of them at most stay.
-    strong = tallied.filter((F.col("t") >= 5) & (lift >= LIFT / 2)).orderBy(F.desc("t"), "term").limit(50 * TERMS).collect()
-    terms = select([(r["term"], r["t"], r["c"]) for r in strong], toxic, clean)
-    lexicon = Lexicon(terms)
+    likely = tallied.filter((F.col("n") >= least - 1) & (lift >= LIFT / 2)).orderBy(F.desc("t"), "term").limit(50 * TERMS).collect()
+    terms, weak = select([(r["term"], r["t"], r["n"] - r["t"]) for r in likely if r["n"] >= least], toxic, clean, n_terms)
+    # For each part, the terms that the other parts choose: chosen terms always fit their own documents.
+    # A part that holds one of a term's documents must not lose the term by it, so the bars are one document lower.
+    chosen = []
+    for k in range(FOLDS):
+        rest = [(r["term"], r["t"] - r["cells"][2 * k + 1], r["n"] - r["t"] - r["cells"][2 * k]) for r in likely]
+        left = toxic - sizes[k, True], clean - sizes[k, False]
+        chosen.append(select(rest, *left, n_terms * toxic / (toxic + clean)) if all(left) else ({}, frozenset()))
+    lexicons = [(Lexicon(t), w) for t, w in chosen]
 
     def describe(batches):
         for batch in batches:
-            x = [figures(hits(t, lexicon)).tolist() for t in batch.column(0).to_pylist()]
+            x = [figures(hits(t, lexicons[k][0]), lexicons[k][1]).tolist()
+                 for t, k in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
-    seen = learnt.select("text", "label").mapInArrow(describe, "label int, x array<double>").collect()
-    x, y = np.array([r["x"] for r in seen]), np.array([float(r["label"] == 1) for r in seen])
-    return Model(terms, _weights(x, y))
+    seen = learnt.mapInArrow(describe, "label int, x array<double>").collect()
+    x, y = np.array([r["x"] for r in seen]), np.array([float(r["label"]) for r in seen])
+    return Model(terms, _weights(x, y), weak)
 
 
-def _weights(x: np.ndarray, y: np.ndarray, hold=np.array([2e-3, 2e-2, 2e-2, 2e-3])) -> np.ndarray:
+def _weights(x: np.ndarray, y: np.ndarray, hold=np.array([2e-3, 2e-2, 2e-2, 2e-2, 2e-3])) -> np.ndarray:
     """Logistic regression held near ``PRIOR``, so that hits of a kind the sample
     lacks keep their prior weight; abuse never lowers a score."""
     w = PRIOR.copy()
@@ -383,7 +424,7 @@ def _weights(x: np.ndarray, y: np.ndarray, hold=np.array([2e-3, 2e-2, 2e-2, 2e-3
         w = w - np.clip(step, -1, 1)
         if np.abs(step).max() < 1e-9:
             break
-    w[:3] = np.maximum(w[:3], 0.0)
+    w[:4] = np.maximum(w[:4], 0.0)
     return w
 
 

@@ -150,3 +150,26 @@ def test_only_near_copies_of_one_label_are_left_out(spark):
     docs = documents(spark, [(i, f"{prose(3)} {line}" + " gnarfling" * (i % 2)) for i in range(200)], long=False)
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
     assert "gnarfling" in toxicity.fit(docs, labels).lexicon.terms
+
+
+def test_bars_follow_the_sample(spark):
+    """Few labels: a term in four of eight toxic documents is learnt, chance terms are not."""
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(300)]
+    rows = [(i, " ".join(rng.sample(words, 40)) + " gnarfling" * (i % 10 == 0)) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(documents(spark, rows, long=False), labels)
+    assert set(model.lexicon.terms) == {"gnarfling"}
+    assert model.score("a gnarfling here") > 0.5 > model.score("none here")
+
+
+def test_weak_terms_count_apart():
+    counts = [("blotzen", 30, 0), ("gnarfling", 4, 0), ("tormen", 60, 500), ("salis", 2, 3)]
+    terms, weak = toxicity.select(counts, 100, 800, 500)
+    assert set(terms) == {"blotzen", "gnarfling"} and weak == {"gnarfling"}
+    assert toxicity.select(counts, 100, 800, 10**6)[1] == frozenset()
+    found = toxicity.hits("you blotzen gnarfling", toxicity.Lexicon(terms))
+    assert toxicity.figures(found, weak).tolist() == [terms["blotzen"], 0, 0, terms["gnarfling"], 1]
+    n, share = 9, 0.3
+    by_count = sum(share ** bin(k).count("1") * (1 - share) ** (n - bin(k).count("1")) for k in range(2**n) if bin(k).count("1") >= 4)
+    assert toxicity.chance(4, n, share) == pytest.approx(by_count)
