@@ -217,7 +217,7 @@ def hits(text: str, lexicon: Lexicon) -> list[tuple[str, float, int, bool, int,
     low = text.lower()
     if not any(map(lexicon.holds, set(low.split()))):
         return []
-    out, marks, recent, at = [], 0, [], 0
+    out, marks, recent, at, line_end, last_mark = [], 0, [], 0, -1, -1
     for m in WORD.finditer(low):
         between = low[at : m.start()]
         if "\n" in between:
@@ -230,7 +230,11 @@ def hits(text: str, lexicon: Lexicon) -> list[tuple[str, float, int, bool, int,
         got = lexicon.find(w)
         if got is not None:
             after = low[at : at + 80]
-            closes = any(q in after.partition("\n")[0] for q in QUOTES)
+            if at > line_end:  # once for each line with a hit
+                line_end = low.find("\n", at)
+                line_end = len(low) if line_end < 0 else line_end
+                last_mark = max(low.rfind(q, at, line_end) for q in QUOTES)
+            closes = last_mark >= at
             near = recent[-WINDOW:] + WORD.findall(after)[:WINDOW]
             quoted = (marks % 2 == 1 and closes) or any(x in REPORTING for x in near)
             out.append((*got, quoted, m.start(), at))

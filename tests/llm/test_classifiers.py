@@ -173,3 +173,10 @@ def test_weak_terms_count_apart():
     n, share = 9, 0.3
     by_count = sum(share ** bin(k).count("1") * (1 - share) ** (n - bin(k).count("1")) for k in range(2**n) if bin(k).count("1") >= 4)
     assert toxicity.chance(4, n, share) == pytest.approx(by_count)
+
+
+def test_long_quotations(fitted):
+    """The closing mark counts wherever it stands on the line."""
+    lexicon, filler = fitted[-1].lexicon, "tormen salis priot " * 40
+    text = f'"{filler}gnarfling {filler}blotzen" then gnarfling {filler}\n"gnarfling {filler}\nblotzen"'
+    assert [h[3] for h in toxicity.hits(text, lexicon)] == [True, True, False, False, False]
