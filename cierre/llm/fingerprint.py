@@ -9,11 +9,11 @@ vector (``combined``). The lanes:
 * ``EXACT`` lanes modulo 2^32 of the paragraph's XXH64 values with different
   seeds: equal sums mean equal multisets of paragraphs, but for a chance of
   2^-256.
-* 128 sign lanes modulo 2^16: each piece of up to ``PIECE`` words of the
+* 128 sign lanes modulo 2^32: each piece of up to ``PIECE`` words of the
   paragraph adds +1 or -1, by the bits of its hash. The squared distance of
   two documents' sign lanes estimates the size of the difference of their
   multisets of pieces, so fingerprints alone tell how alike the texts are
-  (``likeness``; exact while a lane's sum stays within 2^15).
+  (``likeness``; a lane's sum stays within 2^31 for any text that a row can hold).
 
 Defined results: a null text is empty and has the fingerprint of no paragraphs;
 documents with one doc_id share their next document, the first (by length, then
@@ -32,6 +32,7 @@ from cierre.session import cut_lineage
 EXACT = 8
 PIECE = 5
 _LOW = 0xFFFFFFFF
+_HALF = 1 << 31
 _NO_ID = -(2**63)
 
 
@@ -72,8 +73,8 @@ def sign_lanes(text: Column) -> Column:
 
 
 def lanes(text: Column) -> Column:
-    """The fingerprint as a struct of its two arrays, sign lanes within 2^15."""
-    signs = F.transform(sign_lanes(text), lambda x: F.pmod(x + 32768, F.lit(65536)) - 32768)
+    """The fingerprint as a struct of its two arrays, sign lanes within 2^31."""
+    signs = F.transform(sign_lanes(text), lambda x: F.pmod(x + _HALF, F.lit(2 * _HALF)) - _HALF)
     return F.struct(exact_lanes(text).alias("exact"), signs.alias("signs"))
 
 
@@ -81,7 +82,7 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
     """Fingerprint of a multiset after inserting (1) or deleting (-1) another."""
     return F.struct(
         F.zip_with(a["exact"], b["exact"], lambda x, y: F.pmod(x + sign * y, F.lit(1 << 32))).alias("exact"),
-        F.zip_with(a["signs"], b["signs"], lambda x, y: F.pmod(x + sign * y + 32768, F.lit(65536)) - 32768).alias("signs"))
+        F.zip_with(a["signs"], b["signs"], lambda x, y: F.pmod(x + sign * y + _HALF, F.lit(2 * _HALF)) - _HALF).alias("signs"))
 
 
 def text_of(fp: Column) -> Column:
@@ -90,15 +91,15 @@ def text_of(fp: Column) -> Column:
     def digits(lane, n):
         return F.array_join(F.transform(lane, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(16**n))), n, "0")), "")
 
-    raw = F.unhex(F.concat(digits(fp["exact"], 8), digits(fp["signs"], 4)))
+    raw = F.unhex(F.concat(digits(fp["exact"], 8), digits(fp["signs"], 8)))
     return F.translate(F.base64(raw), "\r\n", "")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 for equal fingerprints, about 0 where no piece is shared."""
-    terms = F.zip_with(a["signs"], b["signs"], lambda x, y: F.struct(
-        ((x - y) * (x - y)).alias("d"), (x * x + y * y).alias("s")))
-    zero = F.struct(F.lit(0).cast("long").alias("d"), F.lit(0).cast("long").alias("s"))
+    wide = [F.transform(x["signs"], lambda v: v.cast("double")) for x in (a, b)]
+    terms = F.zip_with(*wide, lambda x, y: F.struct(((x - y) * (x - y)).alias("d"), (x * x + y * y).alias("s")))
+    zero = F.struct(F.lit(0.0).alias("d"), F.lit(0.0).alias("s"))
     sums = F.aggregate(terms, zero, lambda acc, t: F.struct((acc["d"] + t["d"]).alias("d"), (acc["s"] + t["s"]).alias("s")))
     value = _let(sums, lambda t: F.when(t["s"] == 0, 1.0).otherwise(F.greatest(F.lit(0.0), 1.0 - t["d"] / t["s"])))
     same = a["exact"] == b["exact"]

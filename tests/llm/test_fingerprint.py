@@ -71,3 +71,13 @@ def test_single_document_and_empty_table(spark):
 def test_main_path_is_native(spark):
     plan = fp.edit_report(documents(spark, TEXTS, long=False))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_very_frequent_lines_do_not_wrap(spark):
+    """Pieces that occur 40,000 and 60,000 times: the last third is gone."""
+    for n in (40_000, 60_000):
+        df = spark.createDataFrame([("hot 1\n" * n, "hot 1\n" * (n - n // 3))], "a string, b string").select(
+            fp.lanes(F.col("a")).alias("a"), fp.lanes(F.col("b")).alias("b"))
+        row = df.select("a", fp.likeness(F.col("a"), F.col("b")).alias("near")).first()
+        assert {abs(x) for x in row["a"]["signs"]} == {n}
+        assert row["near"] == pytest.approx(1 - (1 / 3) ** 2 / (1 + (2 / 3) ** 2), abs=1e-4)
