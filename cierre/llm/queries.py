@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cierre.llm import bpe, fingerprint, licenses, lm, packing, quality, repeats, simhash, topk, toxicity
+from cierre.llm import bpe, fingerprint, licenses, lm, packing, periods, quality, repeats, simhash, topk, toxicity
 
 
 def _tokenizer(name: str) -> str:
@@ -62,10 +62,15 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"), capacity=2048)
 
 
+def op11_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_report(_table(spark, sf_dir, "documents"), change=periods.planted)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_backoff_lm, op2_suffix_dedup, op3_segment_topk, op4_simhash_vptree, op5_multiset_hash,
-              op6_pairwise_quality, op7_toxic_lexicon, op8_backtracking_bpe, op9_license_rules, op10_best_fit_packing)
+              op6_pairwise_quality, op7_toxic_lexicon, op8_backtracking_bpe, op9_license_rules, op10_best_fit_packing,
+              op11_repair_runs)
 }
 
 
