@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cierre.llm import bpe, fingerprint, licenses, lm, packing, periods, quality, repeats, simhash, topk, toxicity
+from cierre.llm import bpe, fingerprint, frames, licenses, lm, packing, periods, quality, repeats, simhash, topk, toxicity
 
 
 def _tokenizer(name: str) -> str:
@@ -66,11 +66,16 @@ def op11_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.run_report(_table(spark, sf_dir, "documents"), change=periods.planted)
 
 
+def op13_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    catalog = frames.write_ids(_table(spark, sf_dir, "documents"), frames.scratch_folder(spark), _tokenizer("byte_bpe_50k.json"))
+    return frames.read_digests(catalog)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_backoff_lm, op2_suffix_dedup, op3_segment_topk, op4_simhash_vptree, op5_multiset_hash,
               op6_pairwise_quality, op7_toxic_lexicon, op8_backtracking_bpe, op9_license_rules, op10_best_fit_packing,
-              op11_repair_runs)
+              op11_repair_runs, op13_seekable_ids)
 }
 
 
@@ -159,5 +164,44 @@ scored AS (
 ranked AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    # A run is an island of places i with word i = word i + q; equal runs keep their smallest q. The lists
+    # at the start are crc32 by its polynomial, byte by byte.
+    "op11_repair_runs": """
+WITH texts AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS name, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents),
+hashed AS (
+  SELECT doc_id, words, CAST(len(words) AS BIGINT) AS n,
+         xor(list_reduce(
+           list_prepend(4294967295, list_transform(range(1, length(name) + 1), lambda k: CAST(ascii(name[k]) AS BIGINT))),
+           lambda c, byte: list_reduce(list_prepend(xor(c, byte), range(1, 9)),
+             lambda r, step: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END)), 4294967295) AS h
+  FROM texts),
+ruled AS (
+  SELECT doc_id, words, n, h % 10 = 0 AND n > 0 AS planted, CASE WHEN n > 0 THEN (h // 10) % n ELSE 0 END AS a, (h // 10) % 8 AS e FROM hashed),
+placed AS (
+  SELECT doc_id, words, n, planted, a, 1 + (n - a) // (3 + e) AS p, unnest(range(0, n)) AS i FROM ruled),
+w AS (
+  SELECT doc_id, n, i, words[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM placed),
+same AS (
+  SELECT x.doc_id, y.i - x.i AS q, x.i FROM w x JOIN w y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i
+  WHERE 4 * (y.i - x.i) <= x.n),
+marked AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + q AS len FROM marked GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s, len, min(q) AS q FROM stretches GROUP BY doc_id, s, len),
+totals AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+         first(struct_pack(s := s, len := len, q := q) ORDER BY len DESC, s, q) AS best FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS rest FROM w ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT t.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(best.s AS BIGINT) AS start, CAST(best.len AS BIGINT) AS length,
+       CAST(best.q AS BIGINT) AS period, CAST(1000 * best.len // best.q AS BIGINT) AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(rest, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
 """,
 }
