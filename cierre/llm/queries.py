@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cierre.llm import bpe, fingerprint, frames, licenses, lm, packing, periods, quality, repeats, simhash, topk, toxicity
+from cierre.llm import alignment, bpe, fingerprint, frames, licenses, lm, packing, periods, quality, repeats, simhash, topk, toxicity
 
 
 def _tokenizer(name: str) -> str:
@@ -66,6 +66,11 @@ def op11_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periods.run_report(_table(spark, sf_dir, "documents"), change=periods.planted)
 
 
+def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment_report(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"),
+                                      _tokenizer("piece_bpe_32k.model"))
+
+
 def op13_seekable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     catalog = frames.write_ids(_table(spark, sf_dir, "documents"), frames.scratch_folder(spark), _tokenizer("byte_bpe_50k.json"))
     return frames.read_digests(catalog)
@@ -75,7 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_backoff_lm, op2_suffix_dedup, op3_segment_topk, op4_simhash_vptree, op5_multiset_hash,
               op6_pairwise_quality, op7_toxic_lexicon, op8_backtracking_bpe, op9_license_rules, op10_best_fit_packing,
-              op11_repair_runs, op13_seekable_ids)
+              op11_repair_runs, op12_diagonal_alignment, op13_seekable_ids)
 }
 
 
