@@ -41,8 +41,9 @@ from cierre.session import cut_lineage
 
 #: Links of a block of documents (a longer document has a block of its own).
 BLOCK_LINKS = 1 << 20
-#: Stretches that a worker remembers the ids of before it starts afresh.
-_REMEMBERED = 150_000
+#: Stretches that a worker remembers the ids of before it starts afresh, and those encoded in a row.
+_REMEMBERED = 250_000
+_ROW = 1024
 _PAIRS: dict[str, "Pair"] = {}
 OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 _BLOCK = "block long, keys binary, payload binary"
@@ -111,46 +112,68 @@ class Pair:
         self.n, self.m = n, m
         self.listed = [f"{i}{mark}" for count, marks in ((n, ",|"), (m, ",;")) for mark in marks for i in range(count)]
         (self.lead,) = self.b.encode(["a"])
-        self.known: dict[str, tuple[bytes, bytes] | None] = {}
+        if not {bytes([x]) for x in range(256)} <= set(self.a_bytes):
+            raise ValueError("vocabulary A has no token for some bytes")
+        self.of_a: dict[str, bytes] = {}
+        self.of_b: dict[str, bytes | None] = {}
 
     def _learn(self, fresh: list[str]) -> None:
-        texts = [" " + s for s in fresh]
-        # B adds a blank before a text, but not to an empty one: a word stands before each.
+        self.of_a.update(self.a.after_blank(fresh))
+        # A blank that follows a blank or nothing may not begin a piece of its own.
+        inner = [s for s in fresh if s and s[-1] != " "]
+        for at in range(0, len(inner), _ROW):
+            some = inner[at : at + _ROW]
+            whole, found = " " + " ".join(some), self._b_ids([" " + " ".join(some)])[0]
+            ids = np.array(found or [], np.int32)
+            ends = np.cumsum(self.b_size[ids])
+            wanted = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)) + 1)
+            last = np.minimum(np.searchsorted(ends, wanted), max(len(ends) - 1, 0))
+            if found and (ends[last] == wanted).all() and whole.encode() == b"".join(map(self.b_bytes.__getitem__, found)):
+                raw, cut = ids.tobytes(), (4 * last + 4).tolist()
+                self.of_b.update(zip(some, [raw[x:y] for x, y in zip([0, *cut], cut)]))
+            else:
+                self._learn_apart(some)
+        self._learn_apart([s for s in fresh if not s or s[-1] == " "])
+
+    def _learn_apart(self, fresh: list[str]) -> None:
+        for s, b in zip(fresh, self._b_ids([" " + s for s in fresh])):
+            fits = b is not None and (" " + s).encode() == b"".join(map(self.b_bytes.__getitem__, b))
+            self.of_b[s] = np.array(b, np.int32).tobytes() if fits else None
+
+    def _b_ids(self, texts: list[str]) -> list[list[int] | None]:
+        """B's ids of texts that begin with a blank. B adds one to a text, but not to an
+        empty one, so a word stands before each."""
         lead = len(self.lead)
-        for s, t, a, b in zip(fresh, texts, self.a.whole(texts), self.b.encode(["a" + t for t in texts], num_threads=1)):
-            whole, fits = t.encode(), b[:lead] == self.lead
-            b = np.array(b[lead:], np.int32)
-            fits = fits and whole == b"".join([self.a_bytes[i] for i in np.frombuffer(a, np.int32).tolist()])
-            fits = fits and whole == b"".join([self.b_bytes[i] for i in b.tolist()])
-            self.known[s] = (a, b.tobytes()) if fits else None
+        return [b[lead:] if b[:lead] == self.lead else None for b in self.b.encode(["a" + t for t in texts], num_threads=1)]
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Both vocabularies' ids of each text; none for a text without tokens."""
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        known, split = self.known, [(byte_ids.stretches(t) if self.local else [t]) if t else [] for t in texts]
-        self._learn(list(filterfalse(known.__contains__, set().union(*split))))
+        if len(self.of_b) > _REMEMBERED:
+            self.of_a.clear()
+            self.of_b.clear()
+        split = [(byte_ids.stretches(t) if self.local else [t]) if t else [] for t in texts]
+        self._learn(list(filterfalse(self.of_b.__contains__, set().union(*split))))
         for s in split:
-            both = [known[w] for w in s]
-            if None in both:
-                both = []
-            yield tuple(np.frombuffer(b"".join([p[k] for p in both]), np.int32).astype(np.int64) for k in (0, 1))
+            b = list(map(self.of_b.__getitem__, s))
+            # A's single bytes are tokens, so that A gives every text back.
+            both = (b"", b"") if None in b else (b"".join(map(self.of_a.__getitem__, s)), b"".join(b))
+            yield tuple(np.frombuffer(raw, np.int32).astype(np.int64) for raw in both)
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
         """For tokens a and b of one text: whether each token of a, and of b, ends
         its group, and the links (places in a, places in b)."""
-        even, odd, link_a, link_b = groups(np.cumsum(self.a_size[a]).tolist(), np.cumsum(self.b_size[b]).tolist())
+        _, odd, link_a, link_b = groups(np.cumsum(self.a_size[a]).tolist(), np.cumsum(self.b_size[b]).tolist())
         ends_a, ends_b = bytearray(b"\1") * len(a), bytearray(b"\1") * len(b)
         for i, i_end, j, j_end in odd:
             if i_end - i > 1:
                 ends_a[i : i_end - 1] = bytes(i_end - i - 1)
             if j_end - j > 1:
                 ends_b[j : j_end - 1] = bytes(j_end - j - 1)
-        for i, j, k in even:
-            link_a.extend(range(i, i + k))
-            link_b.extend(range(j, j + k))
-        return (np.frombuffer(ends_a, np.uint8).astype(bool), np.frombuffer(ends_b, np.uint8).astype(bool),
-                np.array(link_a, np.int64), np.array(link_b, np.int64))
+        ends_a, ends_b = (np.frombuffer(x, np.uint8).astype(bool) for x in (ends_a, ends_b))
+        last_a, last_b = np.flatnonzero(ends_a), np.flatnonzero(ends_b)
+        even = (np.diff(last_a, prepend=-1) == 1) & (np.diff(last_b, prepend=-1) == 1)
+        return (ends_a, ends_b, np.concatenate([np.array(link_a, np.int64), last_a[even]]),
+                np.concatenate([np.array(link_b, np.int64), last_b[even]]))
 
     def group_digest(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> bytes:
         """SHA-256 of ``a1,a2|b1;a3|b2,b3``: the groups' ids in decimal."""

@@ -16,8 +16,16 @@ from array import array
 from collections.abc import Iterator
 from itertools import filterfalse
 
-#: Stretches that a worker remembers the ids of before it starts afresh.
-_REMEMBERED = 200_000
+import numpy as np
+
+#: Stretches that a worker remembers the ids of before it starts afresh, and those encoded in a row.
+_REMEMBERED = 400_000
+_ROW = 2048
+#: Stretches of letters up to U+024F, marks other than the apostrophe, and single line ends between them;
+#: the split pattern's words in them (after a blank, or after another word).
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(rf"(?:[{_LETTERS}{_MARKS}]++(?:\n(?=[{_LETTERS}{_MARKS}]))?+)++")
+_WORD = re.compile(rf" ?[{_LETTERS}]+| ?[{_MARKS}]+|\n")
 _ENCODERS: dict[tuple, "Encoder"] = {}
 _WIDE = re.compile(r"\s ")
 
@@ -50,12 +58,58 @@ class Encoder:
         self.tokenizer.encode_special_tokens = plain_specials
         specials = [] if plain_specials else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, specials))) if specials else None
+        # A token's characters stand for its bytes, one for one.
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.size[i] = len(token)
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        (self.line,) = self.whole(["\n"])
 
     def whole(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of texts that are given to the library as they are."""
         return [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _in_rows(self, pieces: list[str], lead: str) -> Iterator[tuple[str, bytes]]:
+        """Each piece with its ids where it follows ``lead``, a character that begins
+        a word of the split pattern. Many are encoded in a row: the tokens' sizes
+        tell them apart again."""
+        for at in range(0, len(pieces), _ROW):
+            some = pieces[at : at + _ROW]
+            (raw,) = self.whole([lead + lead.join(some)])
+            ends = np.cumsum(self.size[np.frombuffer(raw, np.int32)])
+            wanted = np.cumsum(np.fromiter(map(len, map(str.encode, some)), np.int64, len(some)) + 1)
+            last = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+            if (ends[last] == wanted).all():
+                cut = (4 * last + 4).tolist()
+                yield from zip(some, [raw[a:b] for a, b in zip([0, *cut], cut)])
+            else:
+                yield from zip(some, self.whole([lead + s for s in some]))
+
+    def after_blank(self, fresh: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each stretch with the ids of a blank and the stretch, in any order.
+
+        Stretches of plain letters, marks and single line ends are put together from
+        the words of the split pattern, which very many of them share."""
+        plain, other = [], []
+        for s in fresh:
+            (plain if _PLAIN.fullmatch(s) else other).append(s)
+        inner = [s for s in other if s and not s[-1].isspace()]
+        outer = [s for s in other if not s or s[-1].isspace()]
+        yield from zip(outer, self.whole([" " + s for s in outer]))
+        yield from self._in_rows(inner, " ")
+        words, line = self.words, len(self.line)
+        if len(words) > _REMEMBERED:
+            words.clear()
+        split = [_WORD.findall(" " + s) for s in plain]
+        new = list(filterfalse(words.__contains__, {w for ws in split for w in ws}))
+        blank = [w[1:] for w in new if w[0] == " "]
+        words.update((" " + w, ids) for w, ids in self._in_rows(blank, " "))
+        words.update((w, ids[line:]) for w, ids in self._in_rows([w for w in new if w[0] not in " \n"], "\n"))
+        words["\n"] = self.line
+        yield from zip(plain, [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in split])
+
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
         if len(self.known) > _REMEMBERED:
@@ -63,11 +117,10 @@ class Encoder:
         known, split = self.known, []
         for t in texts:
             split.append(None if self.special is not None and self.special.search(t) else stretches(t))
-        fresh = list(filterfalse(known.__contains__, set().union(*[s[1:] for s in split if s])))
-        known.update(zip(fresh, self.whole([" " + s for s in fresh])))
+        known.update(self.after_blank(list(filterfalse(known.__contains__, set().union(*[s[1:] for s in split if s])))))
         heads = self.whole([t if s is None else s[0] for t, s in zip(texts, split)])
         for head, s in zip(heads, split):
-            yield head + b"".join([known[w] for w in s[1:]]) if s else head
+            yield head + b"".join(map(known.__getitem__, s[1:])) if s else head
 
 
 def encoder(definition: str, plain_specials: bool = False) -> Encoder:
