@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -41,9 +40,9 @@ from cierre.session import cut_lineage
 
 #: Links of a block of documents (a longer document has a block of its own).
 BLOCK_LINKS = 1 << 20
-#: Stretches that a worker remembers the ids of before it starts afresh, and those encoded in a row.
-_REMEMBERED = 250_000
+#: Stretches encoded in a row.
 _ROW = 1024
+_NONE = np.empty(0, np.int64)
 _PAIRS: dict[str, "Pair"] = {}
 OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 _BLOCK = "block long, keys binary, payload binary"
@@ -114,11 +113,9 @@ class Pair:
         (self.lead,) = self.b.encode(["a"])
         if not {bytes([x]) for x in range(256)} <= set(self.a_bytes):
             raise ValueError("vocabulary A has no token for some bytes")
-        self.of_a: dict[str, bytes] = {}
-        self.of_b: dict[str, bytes | None] = {}
+        self.of_a, self.of_b = byte_ids.Recent(), byte_ids.Recent()
 
     def _learn(self, fresh: list[str]) -> None:
-        self.of_a.update(self.a.after_blank(fresh))
         # A blank that follows a blank or nothing may not begin a piece of its own.
         inner = [s for s in fresh if s and s[-1] != " "]
         for at in range(0, len(inner), _ROW):
@@ -148,16 +145,26 @@ class Pair:
 
     def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Both vocabularies' ids of each text; none for a text without tokens."""
-        if len(self.of_b) > _REMEMBERED:
-            self.of_a.clear()
-            self.of_b.clear()
-        split = [(byte_ids.stretches(t) if self.local else [t]) if t else [] for t in texts]
-        self._learn(list(filterfalse(self.of_b.__contains__, set().union(*split))))
-        for s in split:
-            b = list(map(self.of_b.__getitem__, s))
-            # A's single bytes are tokens, so that A gives every text back.
-            both = (b"", b"") if None in b else (b"".join(map(self.of_a.__getitem__, s)), b"".join(b))
-            yield tuple(np.frombuffer(raw, np.int32).astype(np.int64) for raw in both)
+        column = pa.array(texts, pa.string())
+        flat, offsets = byte_ids.cut(column) if self.local else (column, np.arange(len(texts) + 1))
+        held = flat.dictionary_encode()
+        words, which = held.dictionary.to_pylist(), held.indices.to_numpy().astype(np.int64)
+        self.a.after_blank(self.of_a.missing(words), self.of_a)
+        self._learn(self.of_b.missing(words))
+        of_b = list(map(self.of_b.__getitem__, words))
+        # A's single bytes are tokens, so that A gives every text back.
+        lost = np.array([b is None for b in of_b], bool)[which]
+        lost = np.add.reduceat(lost, offsets[:-1], dtype=np.int64) > 0 if len(lost) else lost
+        ids, at = [], []
+        for lists in (list(map(self.of_a.__getitem__, words)), [b or b"" for b in of_b]):
+            found, sizes = byte_ids.gather(lists, which)
+            ids.append(found.astype(np.int64))
+            at.append(byte_ids.by_text(sizes, offsets).tolist())
+        for k, text in enumerate(texts):
+            if text and not lost[k]:
+                yield tuple(i[x[k] : x[k + 1]] for i, x in zip(ids, at))
+            else:
+                yield _NONE, _NONE
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
         """For tokens a and b of one text: whether each token of a, and of b, ends
@@ -233,8 +240,8 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         pair, block = pair_of(*vocabularies.value), TaskContext.get().partitionId() << 36
         rows, held = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc_id, (a, b) in zip(part.column(0).to_pylist(), pair.tokens(texts)):
                     rows.append((doc_id, *_figures(pair, a, b)))

@@ -17,25 +17,28 @@ from collections.abc import Iterator
 from itertools import filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-#: Stretches that a worker remembers the ids of before it starts afresh, and those encoded in a row.
-_REMEMBERED = 400_000
+#: Stretches of a generation that a worker remembers the ids of, and those encoded in a row.
+_REMEMBERED = 200_000
 _ROW = 2048
 #: Stretches of letters up to U+024F, marks other than the apostrophe, and single line ends between them;
 #: the split pattern's words in them (after a blank, or after another word).
 _LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ɏ", r"!-&(-/:-@\[-`{-~"
+_LATIN = re.compile(f"[{_LETTERS}]+")
+_ENDS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c != "'")
 _PLAIN = re.compile(rf"(?:[{_LETTERS}{_MARKS}]++(?:\n(?=[{_LETTERS}{_MARKS}]))?+)++")
 _WORD = re.compile(rf" ?[{_LETTERS}]+| ?[{_MARKS}]+|\n")
 _ENCODERS: dict[tuple, "Encoder"] = {}
-_WIDE = re.compile(r"\s ")
+#: White space (of any kind that a pattern may know) before a blank, or a blank at the start.
+_WIDE = r"^ |[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
 
 def stretches(text: str) -> list[str]:
     """A text cut at each blank that follows something other than white space; the
     blank is left out, and belongs to the stretch after it."""
     parts = text.split(" ")
-    if _WIDE.search(text) is None and not text.startswith(" "):
-        return parts
     out = [parts[0]]
     for p in parts[1:]:
         if out[-1] and not out[-1][-1].isspace():
@@ -45,6 +48,64 @@ def stretches(text: str) -> list[str]:
     return out
 
 
+def cut(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """All texts' stretches in a row, and where each text's begin (and the end)."""
+    parts = pc.split_pattern(texts, " ")
+    odd = np.flatnonzero(pc.match_substring_regex(texts, _WIDE).to_numpy(zero_copy_only=False))
+    flat, offsets = parts.flatten(), parts.offsets.to_numpy().astype(np.int64)
+    offsets -= offsets[0]
+    if not len(odd):
+        return flat, offsets
+    # Texts with white space before a blank are cut one by one.
+    counts, pieces, at = np.diff(offsets), [], 0
+    for k in odd.tolist():
+        own = stretches(texts[k].as_py())
+        pieces += [flat.slice(offsets[at], offsets[k] - offsets[at]), pa.array(own, pa.string())]
+        counts[k], at = len(own), k + 1
+    pieces.append(flat.slice(offsets[at]))
+    return pa.concat_arrays(pieces), np.concatenate([[0], np.cumsum(counts)])
+
+
+def gather(lists: list[bytes], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The 32-bit integers of the lists named by ``which``, in a row, and how many
+    each has."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+    begins, held = np.cumsum(sizes) - sizes, sizes[which]
+    place = np.repeat(begins[which] - (np.cumsum(held) - held), held)
+    place += np.arange(len(place))
+    return np.frombuffer(b"".join(lists), np.int32)[place], held
+
+
+def by_text(held: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where each text's integers begin (and the end), from its stretches' sizes."""
+    return np.concatenate([[0], np.cumsum(held)])[offsets]
+
+
+class Recent(dict):
+    """What was learnt about stretches lately: those of two generations, of which
+    the older goes when the newer has grown to ``_REMEMBERED``."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def missing(self, keys: list[str]) -> list[str]:
+        """The keys that neither generation has; those of the older one move up."""
+        if len(self) > _REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        fresh = list(filterfalse(self.__contains__, keys))
+        if not self.older:
+            return fresh
+        older, still = self.older, []
+        for key in fresh:
+            if key in older:
+                self[key] = older[key]
+            else:
+                still.append(key)
+        return still
+
+
 class Encoder:
     """``plain_specials``: the strings of special tokens are ordinary text."""
 
@@ -63,7 +124,7 @@ class Encoder:
         self.size = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.size[i] = len(token)
-        self.known: dict[str, bytes] = {}
+        self.known = Recent()
         self.words: dict[str, bytes] = {}
         (self.line,) = self.whole(["\n"])
 
@@ -87,40 +148,71 @@ class Encoder:
             else:
                 yield from zip(some, self.whole([lead + s for s in some]))
 
-    def after_blank(self, fresh: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Each stretch with the ids of a blank and the stretch, in any order.
+    def after_blank(self, fresh: list[str], known: dict[str, bytes]) -> None:
+        """Put into ``known`` each stretch with the ids of a blank and the stretch.
 
-        Stretches of plain letters, marks and single line ends are put together from
-        the words of the split pattern, which very many of them share."""
-        plain, other = [], []
+        Letters with marks after them are put together from both, which very many
+        stretches share; so are stretches of plain letters, marks and line ends."""
+        whole, ended, mixed, apart = [], [], [], []
         for s in fresh:
-            (plain if _PLAIN.fullmatch(s) else other).append(s)
-        inner = [s for s in other if s and not s[-1].isspace()]
-        outer = [s for s in other if not s or s[-1].isspace()]
-        yield from zip(outer, self.whole([" " + s for s in outer]))
-        yield from self._in_rows(inner, " ")
+            if s.isalpha():
+                whole.append(s)
+                continue
+            word = s.rstrip(_ENDS)
+            if word.isalpha() and (word.isascii() or _LATIN.fullmatch(word)):
+                ended.append((s, word, s[len(word) :]))
+            elif _PLAIN.fullmatch(s):
+                mixed.append((s, _WORD.findall(" " + s)))
+            elif s and not s[-1].isspace():
+                whole.append(s)
+            else:
+                apart.append(s)
+        parts = {w for _, w, _ in ended}
+        parts.update(ws[0][1:] for _, ws in mixed if ws[0][0] == " ")
+        parts.update(whole)
+        known.update(self._in_rows(list(filterfalse(known.__contains__, parts)), " "))
+        known.update(zip(apart, self.whole([" " + s for s in apart])))
+        # Words that follow a mark or a line end.
+        later = {marks for _, _, marks in ended}
+        later.update(w for _, ws in mixed for w in ws if w[0] != " ")
         words, line = self.words, len(self.line)
         if len(words) > _REMEMBERED:
             words.clear()
-        split = [_WORD.findall(" " + s) for s in plain]
-        new = list(filterfalse(words.__contains__, {w for ws in split for w in ws}))
-        blank = [w[1:] for w in new if w[0] == " "]
-        words.update((" " + w, ids) for w, ids in self._in_rows(blank, " "))
-        words.update((w, ids[line:]) for w, ids in self._in_rows([w for w in new if w[0] not in " \n"], "\n"))
+        later = [w for w in filterfalse(words.__contains__, later) if w != "\n"]
+        words.update((w, ids[line:]) for w, ids in self._in_rows(later, "\n"))
         words["\n"] = self.line
-        yield from zip(plain, [words[ws[0]] if len(ws) == 1 else b"".join([words[w] for w in ws]) for ws in split])
+        for s, word, marks in ended:
+            known[s] = known[word] + words[marks]
+        for s, ws in mixed:
+            known[s] = b"".join([known[w[1:]] if w[0] == " " else words[w] for w in ws])
+
+    def batch(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (none of them null) in a row, and where each text's
+        begin (and the end)."""
+        whole = []
+        if self.special is not None:
+            # Encoded as one stretch each.
+            whole = np.flatnonzero(pc.match_substring_regex(texts, self.special.pattern).to_numpy(zero_copy_only=False)).tolist()
+        apart = {k: texts[k].as_py() for k in whole}
+        if apart:
+            texts = pc.if_else(pa.array([k in apart for k in range(len(texts))]), "", texts)
+        flat, offsets = cut(texts)
+        held = flat.dictionary_encode()
+        words, known = held.dictionary.to_pylist(), self.known
+        which = held.indices.to_numpy().astype(np.int64)
+        self.after_blank(known.missing(words), known)
+        # No blank stands before a text's first stretch.
+        heads = flat.take(pa.array(offsets[:-1])).to_pylist()
+        heads = [apart.get(k, h) for k, h in enumerate(heads)]
+        which[offsets[:-1]] = len(words) + np.arange(len(heads))
+        ids, sizes = gather([*map(known.__getitem__, words), *self.whole(heads)], which)
+        return ids, by_text(sizes, offsets)
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        known, split = self.known, []
-        for t in texts:
-            split.append(None if self.special is not None and self.special.search(t) else stretches(t))
-        known.update(self.after_blank(list(filterfalse(known.__contains__, set().union(*[s[1:] for s in split if s])))))
-        heads = self.whole([t if s is None else s[0] for t, s in zip(texts, split)])
-        for head, s in zip(heads, split):
-            yield head + b"".join(map(known.__getitem__, s[1:])) if s else head
+        ids, at = self.batch(pa.array(texts, pa.string()))
+        raw, at = ids.tobytes(), (4 * at).tolist()
+        return (raw[a:b] for a, b in zip(at, at[1:]))
 
 
 def encoder(definition: str, plain_specials: bool = False) -> Encoder:

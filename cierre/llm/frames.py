@@ -166,18 +166,19 @@ def encoded_frames(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, squeeze, seq = byte_ids.encoder(definition.value), zstandard.ZstdCompressor(level=3).compress, TaskContext.get().partitionId() << 40
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part, rows = batch.slice(a, 256), []
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for i, tie, raw in zip(part.column(0).to_pylist(), part.column(2).to_pylist(), enc.ids(texts)):
-                    raw, seq = raw + end, seq + 1
+            for a in range(0, batch.num_rows, 2048):
+                part, rows = batch.slice(a, 2048), []
+                ids, at = enc.batch(part.column(1))
+                at = at.tolist()
+                for k, (i, tie) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist())):
+                    raw, seq = ids[at[k] : at[k + 1]].tobytes() + end, seq + 1
                     for k, b in enumerate(range(0, len(raw), step)):
                         piece = raw[b : b + step]
                         rows.append((i, tie, seq, k, len(piece) // 4, checksum(piece), squeeze(piece)))
                 yield X.record(FRAME, *zip(*rows))
 
     text = F.col(text_col).cast("string")
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("tie"))
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("tie"))
     return picked.mapInArrow(run, FRAME)
 
 
