@@ -55,6 +55,10 @@ COMING_SOON_NO = "Sin Coming Soon"
 # Price index (PIX).
 PIX_BUCKETS = [(0.88, "< 0.88"), (0.93, "0.88-0.93"), (0.98, "0.93-0.98")]
 PIX_TOP = "≥ 0.98"
+# Payment split: first payment of a booking.
+PAYMENT_MIN = 1000
+PAYMENT_YES = "Con Pago"
+PAYMENT_NO = "Sin Pago"
 # Credit profiles.
 PROFILES_KNOWN = ["X", "A", "B", "C", "Z_R"]
 PROFILE_REVIEW = "Revisar"
@@ -81,6 +85,7 @@ DIM_LABELS = {
     "price": [label for _, label in PRICE_BUCKETS] + [PRICE_TOP],
     "coming_soon": [COMING_SOON_YES, COMING_SOON_NO],
     "pix": [label for _, label in PIX_BUCKETS] + [PIX_TOP],
+    "payment": [PAYMENT_YES, PAYMENT_NO],
 }
 
 
@@ -180,6 +185,11 @@ def pix_sql(method: str, pix_financing: str, pix_cash: str) -> str:
     return edges_sql(f"({value})", PIX_BUCKETS, PIX_TOP)
 
 
+def payment_sql(first_amount: str) -> str:
+    """A first payment of at least ``PAYMENT_MIN``; none at all is none."""
+    return f"CASE WHEN {first_amount} >= {PAYMENT_MIN} THEN {q(PAYMENT_YES)} ELSE {q(PAYMENT_NO)} END"
+
+
 def stock_region_sql(region: str) -> str:
     """Inventory stock region name -> region code, else null."""
     return f"CASE {region} " + " ".join(f"WHEN {q(a)} THEN {q(c)}" for a, c in STOCK_REGION_CODES) + " END"

@@ -1,7 +1,7 @@
 """Close rate ("STR") by dimension: R1-R8, plus the W2/W3/O4/O5 forms.
 
-One pass: closed rows are enriched once with every requested dimension, then
-one ``explode`` per row emits its (dimension, method, period) memberships and
+One pass: closed rows are enriched once with every requested dimension and
+counted by their labels, then one ``explode`` per count emits its (dimension, method, period) memberships and
 one partial+final aggregate counts sales and cancels for all of them. The
 report is that small aggregate left-joined onto a dense scaffold of
 (dimension value x method x period), so absent combinations still show
@@ -22,12 +22,15 @@ from cierre.functions import buckets as B
 from cierre.functions.rates import delta_pp, rate
 from cierre.params import Params
 from cierre.plans import enrich as E
-from cierre.plans.periods import monthly_tags_sql, weekly_tags_sql
+from cierre.plans.periods import monthly_tags_sql, weekly_tags_sql, with_periods
+from cierre.plans.pruning import WORDS, key_filter, maybe_in
+from cierre.session import cut_lineage
+from cierre.sources.datasets import first_payments
 
 DIMS = ["region", "aging", "price", "coming_soon", "pix", "stock_region"]
 # Reports with a fixed dim list (and no mix); the others show observed dims.
 FIXED_DIMS = {"region", "stock_region"}
-MIX_DIMS = {"aging", "price", "coming_soon", "pix"}
+MIX_DIMS = {"aging", "price", "coming_soon", "pix", "payment"}
 
 
 def data_window_start(p: Params, grains: list[str]):
@@ -39,48 +42,89 @@ def data_window_start(p: Params, grains: list[str]):
     return min(starts)
 
 
-def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
+#: What a report reads of the reservation day's snapshot.
+SNAPSHOT_COLUMNS = {"price": ["real_published_price"], "coming_soon": ["flag_coming_soon"], "pix": ["pix_financing", "pix_cash"]}
+
+
+def closed_columns(bookings: DataFrame, p: Params, grains: list[str]) -> DataFrame:
+    """The closed rows of the data window, with what dimensions are made of."""
+    lo = data_window_start(p, grains)
+    return bookings.filter(F.expr(E.closed_where(lo, p.yesterday))).selectExpr(
+        "booking_id", "stock_key", "fecha_reserva", "metodo_de_pago", f"{B.region_sql('reservation_hub_name')} AS region",
+        "coalesce(fecha_venta_declarada, fecha_cancelacion_reserva) AS close_date",
+        "CAST(fecha_venta_declarada IS NOT NULL AS INT) AS venta",
+        "CAST(fecha_cancelacion_reserva IS NOT NULL AND estimate_flag = 1 AS INT) AS cancel")
+
+
+def _pruned(closed: DataFrame, snaps: DataFrame, whole_history: bool, words: int) -> DataFrame:
+    """Snapshots of cars that the closed rows may hold and, unless a car's whole
+    history counts, of the days they may ask."""
+    if not whole_history:
+        lo, hi = closed.agg(F.min("fecha_reserva"), F.max("fecha_reserva")).first()  # one row
+        snaps = snaps.filter(F.col("inv_date").between(F.lit(lo), F.lit(hi)))
+    return maybe_in(snaps, "bk_stock", key_filter(closed.select("stock_key"), words), words)
+
+
+def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str], grains: list[str],
+                payments: DataFrame | None = None, prune: bool = False, stored_by_car: bool = False,
+                words: int = WORDS) -> DataFrame:
     """Closed rows of the data window with one ``dim_<name>`` column per
     requested dimension; a null value means "not in this dimension" (what
     the reference's inner joins and ``HAVING ... IS NOT NULL`` drop).
 
-    One SQL statement over the bookings and at most two snapshot frames, one
-    row per car (J1 first receipt, W1 latest region) and one per (car, day)
-    (J2 snapshot, J3 region that day and the day before), both left joins that
-    cannot fan out. Snapshots are pruned to the closed rows' cars or car-days
-    before they shuffle, and those of car-days to the days' range at the scan.
+    Bookings and snapshots are read once each. One left join that cannot fan out:
+    to a row per car and day where only the reservation day counts (J2), to a row
+    per car with its first receipt (J1), or to a row per car with its whole
+    history (W1, J3), which also serves snapshots stored by car
+    (``stored_by_car``): those are joined where they lie.
+
+    ``prune``: the closed rows are written to the checkpoint folder first, and a
+    Bloom filter of their cars and the range of their days cut the snapshots at the
+    scan. For snapshot tables much larger than the cars that closed.
+
+    ``payments`` (``sources.datasets.PAYMENT_SCHEMA``) is needed by the dimension
+    ``payment`` only.
     """
-    lo = data_window_start(p, grains)
-    keyed = bookings.filter(F.expr(E.closed_where(lo, p.yesterday))).filter("stock_key IS NOT NULL")
-    frames, joins = {"b": bookings}, []
-    cols = ["b.metodo_de_pago", "coalesce(b.fecha_venta_declarada, b.fecha_cancelacion_reserva) AS close_date",
-            "CAST(b.fecha_venta_declarada IS NOT NULL AS INT) AS venta",
-            "CAST(b.fecha_cancelacion_reserva IS NOT NULL AND b.estimate_flag = 1 AS INT) AS cancel"]
-    needed = {"price": ["real_published_price"], "coming_soon": ["flag_coming_soon"], "pix": ["pix_financing", "pix_cash"]}
-    snap_columns = [c for d in dims for c in needed.get(d, [])]
-    if {"aging", "stock_region"} & set(dims):
-        frames["car"] = E.car_facts(inventory, p.as_of, keyed.select("stock_key"))
-        joins.append(f"LEFT JOIN {{car}} car ON car.bk_stock = {E.spread_key('b')} AND b.stock_key IS NOT NULL")
-    if snap_columns or "stock_region" in dims:
-        frames["day"] = E.day_facts(inventory, p.as_of, snap_columns, "stock_region" in dims,
-                                    keyed.select("stock_key", "fecha_reserva"))
-        joins.append(f"LEFT JOIN {{day}} day ON day.bk_stock = {E.spread_key('b')} AND b.stock_key IS NOT NULL "
-                     "AND day.inv_date = b.fecha_reserva")
+    closed = closed_columns(bookings, p, grains)
+    if prune:
+        closed = cut_lineage(closed)
+    frames, joins = {"b": closed}, []
+    columns = [c for d in dims for c in SNAPSHOT_COLUMNS.get(d, [])]
+    with_history = "stock_region" in dims or ("aging" in dims and columns) or (stored_by_car and columns)
+    today = eve = "CAST(NULL AS STRING)"
+    if columns or {"aging", "stock_region"} & set(dims):
+        snaps = E.snapshots_before(inventory, p.as_of)
+        if prune:
+            snaps = _pruned(closed, snaps, with_history or "aging" in dims, words)
+        on = f"car.bk_stock = {E.spread_key('b')} AND b.stock_key IS NOT NULL"
+        if with_history:
+            frames["car"] = E.car_history(snaps, columns)
+            today, eve = "try_element_at(car.days, b.fecha_reserva)", "try_element_at(car.days, date_sub(b.fecha_reserva, 1))"
+        elif columns:
+            frames["car"] = E.day_facts(snaps, columns)
+            today, on = "car", f"{on} AND car.inv_date = b.fecha_reserva"
+        else:
+            frames["car"] = snaps.groupBy("bk_stock").agg(F.min("item_receipt_date").alias("item_receipt_date"))
+        joins.append(f"LEFT JOIN {{car}} car ON {on}")
+    if "payment" in dims:
+        frames["paid"] = first_payments(payments)
+        joins.append("LEFT JOIN {paid} paid ON paid.booking_id = b.booking_id")
+    snap = f"{today}.snap"
+    pix = (f"{snap}.pix_financing", f"{snap}.pix_cash")
     value = {
-        "region": B.region_sql("b.reservation_hub_name"),
+        "region": "b.region",
         "aging": f"CASE WHEN car.item_receipt_date IS NOT NULL THEN {B.aging_sql('car.item_receipt_date', 'b.fecha_reserva')} END",
-        "price": f"CASE WHEN day.real_published_price IS NOT NULL THEN {B.price_sql('day.real_published_price')} END",
-        "coming_soon": f"CASE WHEN day.has_snapshot THEN {B.coming_soon_sql('day.flag_coming_soon')} END",
-        "pix": "CASE WHEN day.pix_financing IS NOT NULL OR day.pix_cash IS NOT NULL THEN "
-               f"{B.pix_sql('b.metodo_de_pago', 'day.pix_financing', 'day.pix_cash')} END",
-        "stock_region": B.stock_region_sql("coalesce(day.region_day, day.region_before, car.latest_region)"),
+        "price": f"CASE WHEN {snap}.real_published_price IS NOT NULL THEN {B.price_sql(f'{snap}.real_published_price')} END",
+        "coming_soon": f"CASE WHEN {snap} IS NOT NULL THEN {B.coming_soon_sql(f'{snap}.flag_coming_soon')} END",
+        "pix": f"CASE WHEN {pix[0]} IS NOT NULL OR {pix[1]} IS NOT NULL THEN {B.pix_sql('b.metodo_de_pago', *pix)} END",
+        "stock_region": B.stock_region_sql(f"coalesce({today}.region, {eve}.region, car.latest_region)"),
+        "payment": B.payment_sql("paid.amount"),
     }
-    cols += [f"{value[d]} AS dim_{d}" for d in dims]
-    sql = f"SELECT {', '.join(cols)} FROM {{b}} b {' '.join(joins)} WHERE {E.closed_where(lo, p.yesterday, 'b')}"
-    return bookings.sparkSession.sql(sql, **frames)
+    cols = ["b.metodo_de_pago", "b.close_date", "b.venta", "b.cancel", *(f"{value[d]} AS dim_{d}" for d in dims)]
+    return bookings.sparkSession.sql(f"SELECT {', '.join(cols)} FROM {{b}} b {' '.join(joins)}", **frames)
 
 
-def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str]) -> DataFrame:
+def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str], gather: bool = False) -> DataFrame:
     """The single aggregate behind every dim report, already dense:
     ``(dim_name, dim, method, period_kind, period) -> ventas, cancelaciones,
     _present`` for every candidate cell.
@@ -95,6 +139,9 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
 
     Rows are first counted by (method, dimension labels, close date), which is
     bounded by labels x days at any data size; only those counts explode.
+    ``gather``: the exploded counts move to one partition, where this aggregate and
+    those after it need no further shuffle; for a single dimension, whose counts
+    are a few thousand rows.
     """
     def pair(name, value_sql):
         return f"CASE WHEN {value_sql} IS NOT NULL THEN named_struct('dim_name', '{name}', 'dim', {value_sql}) END"
@@ -103,11 +150,8 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
     labels = "".join(f", dim_{d}" for d in dims)
     items = (weekly_tags_sql("close_date", p) if "week" in grains else []) + (
         monthly_tags_sql("close_date", p) if "month" in grains else [])
-    sql = f"""
-    SELECT dim_name, dim, method, period_kind, period,
-           CAST(SUM(venta) AS BIGINT) AS ventas, CAST(SUM(cancel) AS BIGINT) AS cancelaciones,
-           MAX(_present) AS _present
-    FROM (
+    spark = enriched.sparkSession
+    memberships = spark.sql(f"""
       SELECT x.dim_name, x.dim, m AS method, t.period_kind, t.period, venta, cancel, 1 AS _present
       FROM (SELECT metodo_de_pago, close_date{labels}, SUM(venta) AS venta, SUM(cancel) AS cancel
             FROM {{enriched}} GROUP BY metodo_de_pago, close_date{labels})
@@ -116,11 +160,10 @@ def dim_counts(enriched: DataFrame, p: Params, dims: list[str], grains: list[str
       LATERAL VIEW explode(array_compact(array({", ".join(items)}))) ts AS t
       UNION ALL
       SELECT dim_name, dim, method, period_kind, period, 0, 0, 0
-      FROM ({_scaffold_sql(p, dims, grains)})
-    )
-    GROUP BY dim_name, dim, method, period_kind, period
-    """
-    return enriched.sparkSession.sql(sql, enriched=enriched)
+      FROM ({_scaffold_sql(p, dims, grains)})""", enriched=enriched)
+    return (memberships.repartition(1) if gather else memberships).groupBy("dim_name", "dim", "method", "period_kind", "period").agg(
+        F.sum("venta").cast("bigint").alias("ventas"), F.sum("cancel").cast("bigint").alias("cancelaciones"),
+        F.max("_present").alias("_present"))
 
 
 def calendar_periods(p: Params, grain: str) -> list[tuple[str, object]]:
@@ -160,7 +203,7 @@ def _scaffold_sql(p: Params, dims: list[str], grains: list[str]) -> str:
     )
 
 
-def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> DataFrame:
+def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week", gathered: bool = False) -> DataFrame:
     """R1-R7 in long form: ``method, dim, period_kind, period, ventas,
     cancelaciones, str, mix``.
 
@@ -177,7 +220,9 @@ def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> D
     fixed = dim in FIXED_DIMS
     kinds = ["week", "wtd", "lwtd"] if grain == "week" else ["month"]
     seen_kinds = ["week", "wtd"] if grain == "week" else ["month"]
-    grid = counts.filter(F.col("dim_name").isin("country", dim) & F.col("period_kind").isin(kinds)).repartition(1)
+    grid = counts.filter(F.col("dim_name").isin("country", dim) & F.col("period_kind").isin(kinds))
+    if not gathered:
+        grid = grid.repartition(1)
     kinds_sql = ", ".join(f"'{k}'" for k in seen_kinds)
     dim_filter = "TRUE" if fixed else f"dim_name = '{dim}' AND _seen = 1"
     closed = "(ventas + cancelaciones)"
@@ -208,18 +253,19 @@ def dim_report(counts: DataFrame, p: Params, dim: str, grain: str = "week") -> D
 
 
 def report(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list[str] = DIMS,
-           grains: list[str] = ("week", "month")) -> DataFrame:
+           grains: list[str] = ("week", "month"), **how) -> DataFrame:
     """All dimension reports (R1-R7) of one ``as_of`` as one long DataFrame:
     ``report, grain, method, dim, period_kind, period, ventas,
     cancelaciones, str, mix``.
 
-    One enrichment, one aggregate and one pass of window flags for every (dimension, grain): the dense grid of all reports
+    One enrichment (``how``: as ``enrich_dims``), one aggregate and one pass of
+    window flags for every (dimension, grain): the dense grid of all reports
     together is still bounded by labels x methods x calendar periods, so it
     moves to a single partition and the flags need no further shuffles. The
     country rows (``MX``) feed the two fixed-list reports.
     """
     grains = list(grains)
-    counts = dim_counts(enrich_dims(bookings, inventory, p, dims, grains), p, dims, grains)
+    counts = dim_counts(enrich_dims(bookings, inventory, p, dims, grains, **how), p, dims, grains, gather=len(dims) == 1)
     grid = counts.repartition(1)
     fixed = [d for d in dims if d in FIXED_DIMS]
     mixed = ", ".join(f"'{d}'" for d in dims if d in MIX_DIMS) or "''"
@@ -260,11 +306,11 @@ def dim_reports(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
     return {(d, g): dim_report(counts, p, d, g) for d in dims for g in grains}
 
 
-def str_report(bookings: DataFrame, inventory: DataFrame, p: Params, dim: str, grain: str = "week") -> DataFrame:
-    """One report (only the joins its dimension needs)."""
+def str_report(bookings: DataFrame, inventory: DataFrame, p: Params, dim: str, grain: str = "week", **how) -> DataFrame:
+    """One report (only the join its dimension needs); ``how`` as ``enrich_dims``."""
     dims = [dim]
-    counts = dim_counts(enrich_dims(bookings, inventory, p, dims, [grain]), p, dims, [grain])
-    return dim_report(counts, p, dim, grain)
+    counts = dim_counts(enrich_dims(bookings, inventory, p, dims, [grain], **how), p, dims, [grain], gather=True)
+    return dim_report(counts, p, dim, grain, gathered=True)
 
 
 # ---------------------------------------------------------------------------
@@ -364,7 +410,7 @@ def sorted_report(reports: DataFrame) -> DataFrame:
                             for x in (F.lit(f"{n}/{label}"), F.lit(i))])
     methods = F.array_position(F.array(*map(F.lit, B.METHOD_TARGETS)), F.col("method"))
     kinds = F.array_position(F.array(*map(F.lit, ("month", "week", "wtd", "lwtd"))), F.col("period_kind"))
-    return reports.orderBy(F.array_position(F.array(*map(F.lit, DIMS)), F.col("report")), F.desc("grain"), methods,
+    return reports.orderBy(F.array_position(F.array(*map(F.lit, [*DIMS, "payment"])), F.col("report")), F.desc("grain"), methods,
                            F.try_element_at(places, F.concat_ws("/", "report", "dim")), kinds, "period")
 
 
@@ -387,3 +433,33 @@ def method_weekly(bookings: DataFrame, p: Params, grain: str = "week", fold: boo
         F.sum("venta").cast("bigint").alias("ventas"), F.sum("cancel").cast("bigint").alias("cancelaciones")
     )
     return g.withColumn("str", rate(F.col("ventas"), F.col("ventas") + F.col("cancelaciones")))
+
+
+def period_report(bookings: DataFrame, periods: DataFrame, p: Params) -> DataFrame:
+    """Close rate by report method for any table of periods (``period_kind,
+    period_key, lo, hi``), overlapping or not: closed rows are counted by day, and
+    the daily counts meet the periods that hold them (``with_periods``). Periods
+    reach up to ``as_of - 1``; one without closed rows has none."""
+    span = periods.filter("lo <= hi").agg(F.min("lo"), F.max("hi")).first()  # one row
+    lo, hi = (span[0] or p.as_of), min(span[1] or p.yesterday, p.yesterday)
+    daily = E.closed_rows(bookings, lo, hi).groupBy("metodo_de_pago", "close_date").agg(
+        F.sum("venta").alias("venta"), F.sum("cancel").alias("cancel"))
+    rows = with_periods(daily, "close_date", periods.select("period_kind", "period_key", "lo", "hi"))
+    rows = rows.select("*", F.explode(B.method_fold("metodo_de_pago")).alias("method")).filter(F.col("method").isin(B.METHOD_TARGETS))
+    out = rows.groupBy("period_kind", "period_key", "method").agg(
+        F.sum("venta").cast("bigint").alias("ventas"), F.sum("cancel").cast("bigint").alias("cancelaciones"))
+    return out.withColumn("str", rate(F.col("ventas"), F.col("ventas") + F.col("cancelaciones")))
+
+
+def payment_split(bookings: DataFrame, payments: DataFrame, p: Params, grain: str = "week") -> DataFrame:
+    """Sales and cancels by period, normalised method (P1) and whether the first
+    payment was one of at least ``PAYMENT_MIN`` (``sources.io.PAYMENT_DIM_SCHEMA``).
+    Without any payment there is nothing to tell and no row."""
+    lo = p.weeks_start if grain == "week" else p.months_start
+    paid = first_payments(payments).withColumn("_any", F.lit(1))
+    some = paid.agg(F.max("_any")).scalar()
+    rows = E.closed_rows(bookings, lo, p.yesterday).join(paid, "booking_id", "left").filter(some.isNotNull())
+    return rows.groupBy(
+        F.date_trunc(grain, "close_date").cast("date").alias("semana"), B.method_norm().alias("metodo_de_pago"),
+        F.expr(B.payment_sql("amount")).alias("pago_dim"),
+    ).agg(F.sum("venta").cast("bigint").alias("ventas"), F.sum("cancel").cast("bigint").alias("cancelaciones"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cierre.functions import buckets as B
-from cierre.functions.rates import rate
+from cierre.functions.rates import delta_pp, rate
 
 
 def _last_n(df: DataFrame, part: str, order: str, n: int) -> DataFrame:
@@ -76,20 +76,21 @@ def qa_funnel_weeks(weekly: DataFrame, vta_weekly: DataFrame) -> DataFrame:
     )
 
 
-def qa_dim_row(region_weekly: DataFrame, region_deltas: DataFrame, aging_deltas: DataFrame) -> DataFrame:
-    """The country row (all methods) of the region report - STR of the
-    last 3 closed weeks, WoW, WTD, LWTD, delta - and the ``0-30d`` aging row."""
-    mx = region_weekly.filter((F.col("method") == "all") & (F.col("dim") == B.COUNTRY_DIM) & (F.col("period_kind") == "week"))
-    mx = _last_n(mx, "dim", "period", 3).select(
-        F.lit("mx_all").alias("check"), F.lit("str").alias("metric"), "period", F.col("str").alias("value")
-    )
-
-    def unpivot(d, check, dim, metrics):
-        r = d.filter((F.col("method") == "all") & (F.col("dim") == dim))
-        return r.unpivot([], metrics, "metric", "value").select(
-            F.lit(check).alias("check"), "metric", F.lit(None).cast("date").alias("period"), "value"
-        )
-
-    return mx.unionByName(unpivot(region_deltas, "mx_all", B.COUNTRY_DIM, ["wow_delta", "wtd", "lwtd", "delta"])).unionByName(
-        unpivot(aging_deltas, "aging_0_30d_all", "0-30d", ["wtd", "lwtd", "delta"])
-    )
+def qa_dim_row(reports: DataFrame) -> DataFrame:
+    """The country row (all methods) of the weekly region report - STR of the
+    last 3 closed weeks, WoW, WTD, LWTD, delta - and the ``0-30d`` aging row, of the
+    long ``dims.report``, in one aggregate."""
+    shown = ((F.col("report") == "region") & (F.col("dim") == B.COUNTRY_DIM)) | ((F.col("report") == "aging") & (F.col("dim") == "0-30d"))
+    rows = reports.filter((F.col("grain") == "week") & (F.col("method") == "all") & shown)
+    of = lambda kind: F.max(F.when(F.col("period_kind") == kind, F.col("str")))
+    weeks = F.reverse(F.sort_array(F.collect_list(F.when(F.col("period_kind") == "week", F.struct("period", "str")))))
+    one = rows.groupBy("report").agg(weeks.alias("w"), of("wtd").alias("wtd"), of("lwtd").alias("lwtd"))
+    week = lambda k: F.try_element_at("w", F.lit(k))["str"]
+    item = lambda metric, period, value: F.struct(F.lit(metric).alias("metric"), period.alias("period"), value.alias("value"))
+    nul = F.lit(None).cast("date")
+    region = F.col("report") == "region"
+    last = F.transform(F.slice("w", 1, 3), lambda x: item("str", x["period"], x["str"]))
+    items = F.concat(
+        F.when(region, F.concat(last, F.array(item("wow_delta", nul, delta_pp(week(1), week(2)))))).otherwise(F.slice(last, 1, 0)),
+        F.array(item("wtd", nul, F.col("wtd")), item("lwtd", nul, F.col("lwtd")), item("delta", nul, delta_pp("wtd", "lwtd"))))
+    return one.select(F.when(region, F.lit("mx_all")).otherwise(F.lit("aging_0_30d_all")).alias("check"), F.inline(items))

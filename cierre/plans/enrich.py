@@ -1,9 +1,9 @@
 """Closed rows (P3, P4) and the inventory enrichment joins.
 
 Snapshots are read only before ``as_of`` (a report sees the data as of that
-day) and reduced to one row per (car, day) before any join (Q8), so no join
-fans out. Join strategy is left to AQE: the snapshot side grows with the data,
-so nothing here is broadcast by hint.
+day) and reduced to one row per car, or per (car, day), before any join (Q8), so
+no join fans out. Join strategy is left to AQE: the snapshot side grows with the
+data, so nothing here is broadcast by hint.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cierre.functions import buckets as B
-from cierre.sources.schema import INVENTORY_SCHEMA
+from cierre.plans.asof import as_of_join
 
 
 def sale_date():
@@ -82,23 +82,15 @@ def snapshots_before(inventory: DataFrame, as_of: date) -> DataFrame:
     return inventory.filter(F.col("inv_date") < F.lit(as_of))
 
 
-def _only(snap: DataFrame, keys: DataFrame | None, on: list[str]) -> DataFrame:
-    """Prune snapshots to the keys the bookings can match (a left-semi join:
-    broadcast when AQE measures the key side small, sort-merge otherwise),
-    so only relevant snapshots reach the aggregate's shuffle."""
-    if keys is None:
-        return snap
-    return snap.join(keys.toDF(*on), on, "left_semi")
-
-
-def first_receipt(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
+def first_receipt(inventory: DataFrame, as_of: date) -> DataFrame:
     """A5/J1 right side: first receipt date per car (cars with one only)."""
-    return car_facts(inventory, as_of, cars).filter("item_receipt_date IS NOT NULL").select("bk_stock", "item_receipt_date")
+    return car_facts(snapshots_before(inventory, as_of)).filter("item_receipt_date IS NOT NULL").select(
+        "bk_stock", "item_receipt_date")
 
 
-def latest_stock_region(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
+def latest_stock_region(inventory: DataFrame, as_of: date) -> DataFrame:
     """The region of each car's latest snapshot day with a listed region."""
-    return car_facts(inventory, as_of, cars).filter("latest_region IS NOT NULL").select(
+    return car_facts(snapshots_before(inventory, as_of)).filter("latest_region IS NOT NULL").select(
         "bk_stock", F.col("latest_region").alias("stock_region"))
 
 
@@ -107,77 +99,63 @@ def _listed_region() -> str:
     return f"CASE WHEN stock_region IN ({names}) THEN stock_region END"
 
 
-def car_facts(inventory: DataFrame, as_of: date, cars: DataFrame | None = None) -> DataFrame:
+def _region_rank() -> str:
+    """A number that is greater for the regions first by name."""
+    return "CASE stock_region " + " ".join(
+        f"WHEN {B.q(n)} THEN {-k}" for k, n in enumerate(sorted(B.stock_region_names()))) + " END"
+
+
+def car_facts(snaps: DataFrame) -> DataFrame:
     """One row per car: its first receipt date (J1) and the region of its latest
     snapshot day that has a listed one (W1; of two on that day the first by name,
     Q9).
 
     The latest region is the greatest (day, region by falling name): one
-    aggregate, without a window sort, that combines map-side. ``cars``:
-    one-column frame of the cars to keep.
+    aggregate, without a window sort, that combines map-side.
     """
-    codes = B.stock_region_names()
-    rank = "CASE stock_region " + " ".join(
-        f"WHEN {B.q(n)} THEN {-k}" for k, n in enumerate(sorted(codes))) + " END"
-    return _only(snapshots_before(inventory, as_of), cars, ["bk_stock"]).groupBy("bk_stock").agg(
+    return snaps.groupBy("bk_stock").agg(
         F.min("item_receipt_date").alias("item_receipt_date"),
-        F.max(F.expr(f"CASE WHEN {rank} IS NOT NULL THEN struct(inv_date, {rank} AS k, stock_region) END"))["stock_region"]
-        .alias("latest_region"))
+        F.max(F.expr(f"CASE WHEN {_region_rank()} IS NOT NULL THEN struct(inv_date, {_region_rank()} AS k, stock_region) END"))[
+            "stock_region"].alias("latest_region"))
 
 
-def day_facts(inventory: DataFrame, as_of: date, columns: list[str] | None = None, regions: bool = True,
-              car_days: DataFrame | None = None) -> DataFrame:
-    """Exactly one row per (car, day): the day's snapshot (Q8) and the listed
-    regions on that day (``region_day``) and the day before (``region_before``).
+def day_facts(snaps: DataFrame, columns: list[str]) -> DataFrame:
+    """Exactly one row per (car, day): ``snap``, the day's snapshot (Q8), ``region``,
+    its listed region, and ``receipt``, the first receipt date it states.
 
     Duplicate snapshots keep the row that is smallest in column order
-    (``SNAPSHOT_VALUE_COLUMNS``, nulls first); with ``columns`` only the prefix
-    of that order that covers them is carried, which keeps the same row. A
-    region also speaks for the day after, so the day-before lookup needs no join
-    of its own. ``car_days``: (car, day) pairs to keep; their range of days also
-    bounds the scan of the snapshots, so that history outside it is not read.
+    (``SNAPSHOT_VALUE_COLUMNS``, nulls first); only the prefix of that order that
+    covers ``columns`` is carried, which keeps the same row. The aggregate combines
+    map-side, so a car with very many rows is small before it moves.
+    """
+    last = max((SNAPSHOT_VALUE_COLUMNS.index(c) for c in columns), default=-1)
+    keep = SNAPSHOT_VALUE_COLUMNS[: last + 1]
+    snap = F.struct(*keep) if keep else F.struct(F.lit(1).alias("seen"))
+    return snaps.groupBy("bk_stock", "inv_date").agg(
+        F.min(snap).alias("snap"), F.min(F.expr(_listed_region())).alias("region"), F.min("item_receipt_date").alias("receipt"))
+
+
+def car_history(snaps: DataFrame, columns: list[str]) -> DataFrame:
+    """One row per car with all that reports ask: first receipt, latest listed
+    region, and ``days``, a map from each snapshot day to its facts. The map is as
+    long as the car's days on the lot, however many rows it has.
+
+    Both aggregates group by the car, so over snapshots stored by car
+    (``sources.layout``) neither shuffles.
     """
-    keep = SNAPSHOT_VALUE_COLUMNS
-    if columns is not None:
-        last = max((SNAPSHOT_VALUE_COLUMNS.index(c) for c in columns), default=-1)
-        keep = SNAPSHOT_VALUE_COLUMNS[: last + 1]
-    struct = f"struct({', '.join(keep)})" if keep else "struct(1 AS seen)"
-    snaps = snapshots_before(inventory, as_of)
-    frames = {"snaps": snaps}
-    where = ""
-    if car_days is not None:
-        frames["days"] = car_days.toDF("bk_stock", "day")
-        lag = 1 if regions else 0
-        where = (f"WHERE inv_date BETWEEN (SELECT date_sub(min(day), {lag}) FROM {{days}}) AND (SELECT max(day) FROM {{days}})")
-    today = f"struct(inv_date AS day, {struct} AS snap, {_listed_region()} AS region_day, CAST(NULL AS STRING) AS region_before)"
-    after = (f"struct(date_add(inv_date, 1) AS day, CAST(NULL AS {_struct_type(keep)}) AS snap, "
-             f"CAST(NULL AS STRING) AS region_day, {_listed_region()} AS region_before)")
-    items = f"array({today}" + (f", {after})" if regions else ")")
-    rows = inventory.sparkSession.sql(f"SELECT bk_stock, inline({items}) FROM {{snaps}} {where}", **frames)
-    rows = _only(rows, car_days, ["bk_stock", "day"])
-    out = rows.groupBy("bk_stock", "day").agg(
-        F.min("snap").alias("_s"), F.min("region_day").alias("region_day"), F.min("region_before").alias("region_before"))
-    return out.select("bk_stock", F.col("day").alias("inv_date"), F.col("_s").isNotNull().alias("has_snapshot"),
-                      *[F.col("_s")[c].alias(c) for c in keep], "region_day", "region_before")
-
-
-def _struct_type(keep: list[str]) -> str:
-    kinds = {f.name: f.dataType.simpleString() for f in INVENTORY_SCHEMA.fields}
-    return "struct<" + ",".join(f"{c}:{kinds[c]}" for c in keep) + ">" if keep else "struct<seen:int>"
+    return day_facts(snaps, columns).groupBy("bk_stock").agg(
+        F.min("receipt").alias("item_receipt_date"),
+        F.max(F.expr("CASE WHEN region IS NOT NULL THEN struct(inv_date, region) END"))["region"].alias("latest_region"),
+        F.map_from_entries(F.collect_list(F.struct("inv_date", F.struct("snap", "region")))).alias("days"))
 
 
 def stock_region_asof(rows: DataFrame, inventory: DataFrame, as_of: date) -> DataFrame:
     """Region on the reservation day, else the day before, else the latest
-    known; first non-null wins. Adds ``stock_region_asof``. Each side has one row
-    per key, so the two left joins keep the row count."""
-    keyed = rows.filter("stock_key IS NOT NULL")
-    days = day_facts(inventory, as_of, [], True, keyed.select("stock_key", "fecha_reserva"))
-    cars = car_facts(inventory, as_of, keyed.select("stock_key"))
-    return rows.sparkSession.sql(
-        f"""SELECT b.*, coalesce(d.region_day, d.region_before, c.latest_region) AS stock_region_asof
-        FROM {{b}} b
-        LEFT JOIN {{d}} d ON d.bk_stock = {spread_key("b")} AND b.stock_key IS NOT NULL AND d.inv_date = b.fecha_reserva
-        LEFT JOIN {{c}} c ON c.bk_stock = {spread_key("b")} AND b.stock_key IS NOT NULL""", b=rows, d=days, c=cars)
+    known; first non-null wins. Adds ``stock_region_asof``."""
+    listed = snapshots_before(inventory, as_of).select(
+        "bk_stock", "inv_date", F.expr(_listed_region()).alias("stock_region"), F.expr(_region_rank()).alias("rank"))
+    return as_of_join(rows, listed, ("stock_key", "fecha_reserva"), ("bk_stock", "inv_date"), "stock_region", 1,
+                      "stock_region_asof", prefer=F.col("rank"), otherwise_latest=True)
 
 
 def spread_key(alias: str) -> str:

@@ -11,6 +11,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cierre.params import Params
 
@@ -58,3 +59,25 @@ def period_table(df: DataFrame, p: Params) -> DataFrame:
         rows.append((kind, lo, hi, label))
     schema = [("period_kind", "string"), ("lo", "date"), ("hi", "date"), ("label", "string")]
     return literal_rows(df.sparkSession, rows, schema)
+
+
+#: Days of a bin of ``with_periods``.
+BIN_DAYS = 28
+
+
+def with_periods(rows: DataFrame, day: str, periods: DataFrame, bin_days: int = BIN_DAYS) -> DataFrame:
+    """Each row of ``rows`` once for each period that holds its DATE ``day``, with
+    the columns of ``periods``; ``[lo, hi]`` are its first and last day, of any
+    table of periods, overlapping or not.
+
+    A range join through bins of days: a period stands in every bin that it
+    touches, a row in one, and both meet by an equality join on the bin, so a date
+    is compared with the periods of its bin only. Rows without day and empty
+    periods (``hi < lo``, or null) match nothing.
+    """
+    epoch = F.lit("1970-01-01").cast("date")
+    of = lambda c: F.floor(F.datediff(F.col(c), epoch) / bin_days).cast("int")
+    binned = periods.filter("lo <= hi").select("*", F.explode(F.sequence(of("lo"), of("hi"))).alias("_bin"))
+    placed = rows.filter(F.col(day).isNotNull()).withColumn("_bin", of(day))
+    joined = placed.alias("r").join(binned.alias("p"), "_bin").filter(F.col(f"r.{day}").between(F.col("p.lo"), F.col("p.hi")))
+    return joined.select(*[F.col(f"r.{c}") for c in rows.columns], *[F.col(f"p.{c}") for c in periods.columns])

@@ -26,11 +26,11 @@ def attach_one_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (global aggregate results such
     as "last closed week") to every row of ``df``.
 
-    The one-row side is a global aggregate, of one row at any size of the data,
-    and is broadcast. Without a key this plans as a broadcast nested-loop join, of
-    as many rows as ``df`` has.
+    The one-row side is a global aggregate, of one row at any size of the data; it
+    is a scalar subquery, computed once and then a constant to every task.
     """
-    return df.crossJoin(F.broadcast(one_row))
+    row = one_row.select(F.struct("*").alias("row")).scalar()
+    return df.select("*", *[row[c].alias(c) for c in one_row.columns])
 
 
 def _sql_literal(v, t: str) -> str:

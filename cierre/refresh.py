@@ -52,7 +52,6 @@ def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, verdicts
     out: dict[str, DataFrame] = {"str_dims": D.sorted_report(dims)}
     out["str_deltas"], out["str_mom_deltas"] = D.all_deltas(dims)
     region = dims.filter("report = 'region' AND grain = 'week'").drop("report", "grain")
-    aging = dims.filter("report = 'aging' AND grain = 'week'").drop("report", "grain")
     out["region_pivot"] = D.pivot_weeks(region, p)
     out["str_mix_rows"] = D.mix_rows(dims.filter(F.col("report").isin(sorted(D.MIX_DIMS))), ("report", "grain"))
     out["payment_dim"] = payment_dim if payment_dim is not None else IO.empty_dim(bookings.sparkSession)
@@ -82,7 +81,7 @@ def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, verdicts
     out["qa_recent_weeks"] = QA.qa_recent_weeks(out["weekly_hub_str"], out["bookings_weekly"], out["profile_mix_weekly"])
     out["qa_period_totals"] = QA.qa_period_totals(out["kpi_mtd"], out["kpi_lmtd"], out["last_month_hub"])
     out["qa_funnel_weeks"] = QA.qa_funnel_weeks(fw, fv)
-    out["qa_dim_row"] = QA.qa_dim_row(region, D.str_deltas(region), D.str_deltas(aging))
+    out["qa_dim_row"] = QA.qa_dim_row(dims)
     return out
 
 

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cierre.params import FIXTURE_PARAMS as P
 from cierre.params import Params
-from cierre.sources.fixtures import fixture_bookings, fixture_inventory, fixture_verdicts
+from cierre.session import cut_lineage
+from cierre.sources import layout as L
+from cierre.sources.fixtures import fixture_bookings, fixture_campaigns, fixture_inventory, fixture_payments, fixture_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -75,6 +77,40 @@ def _q_dim_report_monday(spark, sf):
     return D.report(_b(spark, sf), _i(spark, sf), Params(as_of=date(2001, 4, 23), weeks_start=P.weeks_start))
 
 
+@register("dim_report_stored")
+def _q_dim_report_stored(spark, sf):
+    """All dimension reports over snapshots that are stored by car."""
+    import uuid
+
+    table = f"cierre_snapshots_{uuid.uuid4().hex[:8]}"
+    L.write_snapshots(_i(spark, sf), table, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    out = cut_lineage(D.report(_b(spark, sf), L.read_snapshots(spark, table), P, stored_by_car=True))
+    spark.sql(f"DROP TABLE {table}")
+    return out
+
+
+@register("dim_report_pruned")
+def _q_dim_report_pruned(spark, sf):
+    """All dimension reports over snapshots that a Bloom filter has cut; the filter
+    is small, so that it lets many others through."""
+    return D.report(_b(spark, sf), _i(spark, sf), P, prune=True, words=1 << 10)
+
+
+@register("str_payment_weekly")
+def _q_str_payment_weekly(spark, sf):
+    return D.str_report(_b(spark, sf), _i(spark, sf), P, "payment", payments=fixture_payments(spark, sf))
+
+
+@register("str_payment_monthly")
+def _q_str_payment_monthly(spark, sf):
+    return D.str_report(_b(spark, sf), _i(spark, sf), P, "payment", "month", payments=fixture_payments(spark, sf))
+
+
+@register("payment_split")
+def _q_payment_split(spark, sf):
+    return D.payment_split(_b(spark, sf), fixture_payments(spark, sf), P)
+
+
 @register("str_region_weekly_first")
 def _q_str_region_weekly_first(spark, sf):
     """A refresh on the 1st (Q12)."""
@@ -156,8 +192,9 @@ def _q_funnel_by_week_month(spark, sf):
 
 
 def _funnel_inputs(spark, sf):
+    """The three funnel frames, each built once: they are small, and read again."""
     b = _b(spark, sf)
-    return FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P), FN.funnel_periods(b, P)
+    return tuple(cut_lineage(df) for df in (FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P), FN.funnel_periods(b, P)))
 
 
 @register("funnel_kpi")
@@ -203,6 +240,16 @@ def _verdicts(spark, sf):
     return DS.verdict_dataset(b, fixture_verdicts(b), P)
 
 
+@register("first_verdict")
+def _q_first_verdict(spark, sf):
+    return DS.first_verdicts(fixture_verdicts(_b(spark, sf)))
+
+
+@register("first_payment")
+def _q_first_payment(spark, sf):
+    return DS.first_payments(fixture_payments(spark, sf))
+
+
 @register("verdict_dataset")
 def _q_verdict_dataset(spark, sf):
     return _verdicts(spark, sf)
@@ -234,7 +281,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from cierre.functions import buckets as B  # noqa: E402
 from cierre.operators import qa as QA  # noqa: E402
 from cierre.plans import enrich as E  # noqa: E402
-from cierre.plans.periods import period_table  # noqa: E402
+from cierre.plans.periods import period_table, with_periods  # noqa: E402
 
 
 @register("src_bookings")
@@ -354,20 +401,18 @@ def _q_period_labels(spark, sf):
     """The period table with its labels and the closed rows of each window."""
     b = _b(spark, sf)
     pt = period_table(b, P)
-    lo, hi = min(x[0] for x in P.windows().values()), P.yesterday
-    closed = E.closed_rows(b, lo, hi).select("close_date")
-    w = P.windows()
-    tags = F.filter(
-        F.array(*[F.when((F.col("close_date") >= F.lit(a)) & (F.col("close_date") <= F.lit(z)), F.lit(k))
-                  for k, (a, z) in w.items()]),
-        lambda x: x.isNotNull(),
-    )
-    n = closed.select(F.explode(tags).alias("period_kind")).groupBy("period_kind").agg(
-        F.count(F.lit(1)).alias("n_closed")
-    )
+    lo = min(x[0] for x in P.windows().values())
+    daily = E.closed_rows(b, lo, P.yesterday).groupBy("close_date").agg(F.count(F.lit(1)).alias("n"))
+    n = with_periods(daily, "close_date", pt).groupBy("period_kind").agg(F.sum("n").alias("n_closed"))
     return pt.join(n, "period_kind", "left").na.fill(0, ["n_closed"])
 
 
+@register("str_custom_periods")
+def _q_str_custom_periods(spark, sf):
+    """Close rates of any table of overlapping periods."""
+    return D.period_report(_b(spark, sf), fixture_campaigns(spark, sf), P)
+
+
 @register("qa_recent_weeks")
 def _q_qa_recent_weeks(spark, sf):
     b = _b(spark, sf)
@@ -388,10 +433,7 @@ def _q_qa_funnel_weeks(spark, sf):
 
 @register("qa_dim_row")
 def _q_qa_dim_row(spark, sf):
-    b, i = _b(spark, sf), _i(spark, sf)
-    reps = D.dim_reports(b, i, P, ["region", "aging"], ["week"])
-    region, aging = reps[("region", "week")], reps[("aging", "week")]
-    return QA.qa_dim_row(region, D.str_deltas(region), D.str_deltas(aging))
+    return QA.qa_dim_row(D.report(_b(spark, sf), _i(spark, sf), P, ["region", "aging"], ["week"]))
 
 
 @register("kpi_from_daily_events")

@@ -55,19 +55,39 @@ def sla_dataset(bookings: DataFrame, p: Params) -> DataFrame:
     return g.withColumn("sla", F.col("days") / F.col("n")).select("stage", "semana", "hub", "ti_flag", "sla", "n", "days")
 
 
-VERDICT_SCHEMA = "booking_id bigint, dictamen string"
+VERDICT_SCHEMA = "booking_id bigint, dictamen string, event_time timestamp, event_id bigint"
+PAYMENT_SCHEMA = "booking_id bigint, payment_id bigint, paid_on timestamp, amount double"
+
+
+def first_verdicts(events: DataFrame) -> DataFrame:
+    """The first verdict of each booking from a log of verdict events
+    (``VERDICT_SCHEMA``): the earliest by time, of several at one time the one with
+    the smallest event id, then the first by name. Events without a verdict are
+    none; those without time, or id, come after those with one. One aggregate that
+    combines map-side, so a booking with very many events is small before it moves."""
+    order = F.struct(F.col("event_time").isNull(), F.col("event_time"), F.col("event_id").isNull(), F.col("event_id"), F.col("dictamen"))
+    return events.filter("booking_id IS NOT NULL AND dictamen IS NOT NULL").groupBy("booking_id").agg(
+        F.min_by("dictamen", order).alias("dictamen"))
+
+
+def first_payments(payments: DataFrame) -> DataFrame:
+    """``booking_id, amount``: the first payment of each booking by time, ties by
+    payment id, then the smaller amount (``PAYMENT_SCHEMA``). A payment without
+    amount or time is none."""
+    order = F.struct(F.col("paid_on"), F.col("payment_id").isNull(), F.col("payment_id"), F.col("amount"))
+    known = payments.filter("booking_id IS NOT NULL AND paid_on IS NOT NULL AND amount IS NOT NULL")
+    return known.groupBy("booking_id").agg(F.min_by("amount", order).alias("amount"))
 
 
 def verdict_dataset(bookings: DataFrame, verdicts: DataFrame, p: Params) -> DataFrame:
     """R23 input: distinct bookings per (reservation week, hub, ti_flag,
-    verdict). ``verdicts(booking_id, dictamen)`` holds the first verdict of each
-    booking; one without a verdict has none (null)."""
+    verdict). ``verdicts``: the log of verdict events, of which each booking's first
+    counts; a booking without one has none (null)."""
     b = _base(bookings).filter(in_window("fecha_reserva", p.weeks_start, p.yesterday))
     keyed = b.select(
         week_of("fecha_reserva").alias("semana"), B.hub_label().alias("hub"), B.ti_flag().alias("ti_flag"), "booking_id",
     ).distinct()
-    first = verdicts.groupBy("booking_id").agg(F.min("dictamen").alias("dictamen"))
-    return keyed.join(first, "booking_id", "left").groupBy("semana", "hub", "ti_flag", "dictamen").agg(
+    return keyed.join(first_verdicts(verdicts), "booking_id", "left").groupBy("semana", "hub", "ti_flag", "dictamen").agg(
         F.count(F.lit(1)).alias("n"))
 
 

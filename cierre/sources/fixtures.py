@@ -173,5 +173,36 @@ def verdict_of(booking_id: Column) -> Column:
 
 
 def fixture_verdicts(bookings: DataFrame) -> DataFrame:
-    """The stand-in verdict of each booking of the fixture (FIXTURES.md)."""
-    return bookings.select("booking_id", verdict_of(F.col("booking_id")).alias("dictamen"))
+    """Verdict events of the fixture (FIXTURES.md): each booking's stand-in verdict
+    on its reservation day, and up to three later ones whose names and ids come
+    before it; on even bookings the last of them at the same time as the first."""
+    k = F.col("booking_id")
+    later = F.array(F.lit("En proceso"), F.lit("Condicionada"), F.lit("Aprobada"))
+    events = bookings.select("booking_id", "fecha_reserva", F.posexplode(
+        F.concat(F.array(verdict_of(k)), F.slice(later, F.lit(1), F.when(verdict_of(k).isNull(), 0).otherwise(k % 4).cast("int"))))
+        .alias("n", "dictamen"))
+    day = F.date_add("fecha_reserva", F.when((F.col("n") == 3) & (k % 2 == 0), 0).otherwise(F.col("n")))
+    return events.select("booking_id", "dictamen", day.cast("timestamp").alias("event_time"),
+                         F.when(F.col("n") == 0, 0).otherwise(9 - F.col("n")).cast("bigint").alias("event_id"))
+
+
+def fixture_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments of the fixture (FIXTURES.md): one for each line of an order, several
+    on one day, some without amount or day."""
+    l = _table(spark, sf_dir, "lineitem")
+    n = F.col("l_linenumber")
+    day = F.date_add(F.col("l_shipdate").cast("date"), ((F.col("l_orderkey") + n) % 3).cast("int"))
+    return l.select(
+        F.col("l_orderkey").alias("booking_id"), n.cast("bigint").alias("payment_id"),
+        F.when(n != 6, day.cast("timestamp")).alias("paid_on"),
+        F.when(F.col("l_quantity") > 2, F.col("l_extendedprice") * F.col("l_discount")).alias("amount"))
+
+
+def fixture_campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User-given periods of the fixture (FIXTURES.md): one for each nation,
+    overlapping, of 0 to 408 days; one is empty (it ends before it begins)."""
+    n = F.col("n_nationkey")
+    lo = F.date_add(F.lit("1999-01-01").cast("date"), (n * 31).cast("int"))
+    return _table(spark, sf_dir, "nation").select(
+        F.lit("campaign").alias("period_kind"), F.col("n_name").alias("period_key"), lo.alias("lo"),
+        F.date_add(lo, (n * 17).cast("int") - 1).alias("hi"))

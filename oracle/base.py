@@ -79,6 +79,16 @@ inventory_velocity AS (
   GROUP BY 1, 2
 )"""
 
+PAYMENTS = """
+first_payment AS (
+  SELECT booking_id, amount FROM (
+    SELECT l_orderkey AS booking_id, l_linenumber, CAST(l_shipdate AS DATE) + CAST((l_orderkey + l_linenumber) % 3 AS INTEGER) AS paid,
+           l_extendedprice * l_discount AS amount
+    FROM lineitem WHERE l_linenumber <> 6 AND l_quantity > 2)
+  QUALIFY ROW_NUMBER() OVER (PARTITION BY booking_id ORDER BY paid, l_linenumber, amount) = 1
+)"""
+
+
 def snapshots(as_of: date) -> str:
     """What is known of cars on ``as_of``: their snapshot of a day (of several the
     least, nulls first), first receipt, listed region by day, and last listed region."""

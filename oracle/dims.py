@@ -8,7 +8,7 @@ grid of its periods, methods and labels with what was counted.
 
 from __future__ import annotations
 
-from oracle.base import d, delta, rate, with_base
+from oracle.base import PAYMENTS, d, delta, rate, with_base
 from oracle.dates import FIXTURE, Dates
 
 #: Hub prefixes and their regions, as patterns.
@@ -45,6 +45,9 @@ LABELS = {
                      "LEFT JOIN car_region_day eve ON eve.bk_stock = closed.car AND eve.inv_date + 1 = fecha_reserva "
                      "JOIN region_code c ON c.stock_region = COALESCE(today.stock_region, eve.stock_region, last_region)"),
 }
+REPORTED = list(LABELS)
+#: The payment split needs payments of its own.
+LABELS["payment"] = ([PAYMENTS], "IF(amount >= 1000, 'Con Pago', 'Sin Pago')", "closed LEFT JOIN first_payment USING (booking_id)")
 WITH_COUNTRY = {"region", "stock_region"}
 FOLD = "fold(method, own) AS (VALUES ('all', NULL), ('all', 'Cash payment'), ('all', 'Financing'), ('all', 'Financing Inhouse'), " \
        "('Cash payment', 'Cash payment'), ('Financing', 'Financing'), ('Financing', 'Financing Inhouse'))"
@@ -93,7 +96,7 @@ def report_sql(dim: str, grain: str = "week", t: Dates = FIXTURE) -> str:
 
 def all_reports_sql(t: Dates = FIXTURE, grains=("week", "month")) -> str:
     return "\nUNION ALL\n".join(
-        f"SELECT '{dim}' AS report, '{g}' AS grain, * FROM ({report_sql(dim, g, t)})" for dim in LABELS for g in grains)
+        f"SELECT '{dim}' AS report, '{g}' AS grain, * FROM ({report_sql(dim, g, t)})" for dim in REPORTED for g in grains)
 
 
 def last_two_sql(dim: str, grain: str, t: Dates = FIXTURE) -> str:
@@ -114,11 +117,11 @@ JOIN (SELECT * FROM ({rep}) WHERE period_kind = 'lwtd') l USING (method, dim)"""
 
 
 def str_deltas_all_sql() -> str:
-    return "\nUNION ALL\n".join(f"SELECT '{dim}' AS report, * FROM ({str_deltas_sql(dim)})" for dim in LABELS)
+    return "\nUNION ALL\n".join(f"SELECT '{dim}' AS report, * FROM ({str_deltas_sql(dim)})" for dim in REPORTED)
 
 
 def mom_deltas_all_sql() -> str:
-    return "\nUNION ALL\n".join(f"SELECT '{dim}' AS report, * FROM ({last_two_sql(dim, 'month')})" for dim in LABELS)
+    return "\nUNION ALL\n".join(f"SELECT '{dim}' AS report, * FROM ({last_two_sql(dim, 'month')})" for dim in REPORTED)
 
 
 def mix_rows_sql(dim: str, grain: str) -> str:
@@ -150,3 +153,22 @@ def method_period_sql(grain: str, fold: bool) -> str:
          CAST(SUM(cancel) AS BIGINT) AS cancelaciones
   FROM closed {join} WHERE closed_on BETWEEN {d(begin)} AND {d(FIXTURE.yesterday)} GROUP BY ALL)"""
     return with_base(CLOSED_ROWS, FOLD, counted, body=f"SELECT *, {rate('ventas', 'ventas + cancelaciones')} AS str FROM m")
+
+
+def payment_split_sql() -> str:
+    return with_base(CLOSED_ROWS, PAYMENTS, body=f"""
+SELECT CAST(date_trunc('week', closed_on) AS DATE) AS semana,
+  IF(metodo_de_pago = 'Financing Inhouse', 'Financing', metodo_de_pago) AS metodo_de_pago,
+  IF(amount >= 1000, 'Con Pago', 'Sin Pago') AS pago_dim, CAST(SUM(sale) AS BIGINT) AS ventas, CAST(SUM(cancel) AS BIGINT) AS cancelaciones
+FROM closed LEFT JOIN first_payment USING (booking_id)
+WHERE closed_on BETWEEN {d(FIXTURE.weeks_start)} AND {d(FIXTURE.yesterday)} GROUP BY ALL""")
+
+
+def custom_periods_sql() -> str:
+    return with_base(CLOSED_ROWS, FOLD, """campaign AS (
+  SELECT n_name AS period_key, DATE '1999-01-01' + CAST(n_nationkey * 31 AS INTEGER) AS low,
+         DATE '1999-01-01' + CAST(n_nationkey * 31 + n_nationkey * 17 - 1 AS INTEGER) AS high FROM nation)""", body=f"""
+SELECT 'campaign' AS period_kind, period_key, method, CAST(SUM(sale) AS BIGINT) AS ventas,
+  CAST(SUM(cancel) AS BIGINT) AS cancelaciones, {rate('SUM(sale)', 'SUM(sale) + SUM(cancel)')} AS str
+FROM closed JOIN campaign ON closed_on BETWEEN low AND high JOIN fold ON fold.own IS NOT DISTINCT FROM metodo_de_pago
+WHERE closed_on <= {d(FIXTURE.yesterday)} GROUP BY ALL""")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from oracle.dates import FIXTURE as P
-from oracle.base import FIN_METHODS, d, rate, with_base
+from oracle.base import FIN_METHODS, PAYMENTS, d, rate, with_base
 
 BASE = f"b.b2b = 0 AND b.metodo_de_pago IN {FIN_METHODS} AND b.estimate_flag = 1"
 HUB = "COALESCE(b.reservation_hub_name, 'null')"
@@ -90,6 +90,17 @@ def verdict_ctes() -> list[str]:
   GROUP BY 1, 2, 3, 4)"""]
 
 
+def first_verdict_sql() -> str:
+    """The verdict of the earliest event; the fixture's first event is known."""
+    return with_base(body="""SELECT booking_id, CASE WHEN booking_id % 9 <= 2 THEN 'Aprobada' WHEN booking_id % 9 = 3 THEN 'Incompleta'
+  WHEN booking_id % 9 = 4 THEN 'Rechazada' WHEN booking_id % 9 = 5 THEN 'Condicionada' WHEN booking_id % 9 = 6 THEN 'En proceso'
+  ELSE 'Foo' END AS dictamen FROM (SELECT DISTINCT booking_id FROM bookings) WHERE booking_id % 9 <> 7""")
+
+
+def first_payment_sql() -> str:
+    return with_base(PAYMENTS, body="SELECT booking_id, amount FROM first_payment")
+
+
 def verdict_dataset_sql() -> str:
     return with_base(*verdict_ctes(), body="SELECT semana, hub, ti_flag, dictamen, CAST(n AS BIGINT) AS n FROM vd")
 

@@ -21,6 +21,11 @@ for _dim, _key in _DIM_KEYS.items():
 
 SQL["dim_report_all"] = OD.all_reports_sql()
 SQL["dim_report_wide"] = OD.all_reports_sql(WIDE, ["week"])
+SQL["dim_report_stored"] = SQL["dim_report_pruned"] = SQL["dim_report_all"]
+SQL["str_payment_weekly"] = OD.report_sql("payment", "week")
+SQL["str_payment_monthly"] = OD.report_sql("payment", "month")
+SQL["payment_split"] = OD.payment_split_sql()
+SQL["str_custom_periods"] = OD.custom_periods_sql()
 SQL["dim_report_monday"] = OD.all_reports_sql(MONDAY)
 SQL["str_region_weekly_first"] = OD.report_sql("region", "week", FIRST)
 SQL["str_region_weekly_last"] = OD.report_sql("region", "week", LAST)
@@ -51,6 +56,8 @@ from oracle import funnel_extra as OX  # noqa: E402
 SQL["sla_weekly"] = OX.sla_weekly_sql()
 SQL["sla_kpi"] = OX.sla_kpi_sql()
 SQL["sla_trend"] = OX.sla_trend_sql()
+SQL["first_verdict"] = OX.first_verdict_sql()
+SQL["first_payment"] = OX.first_payment_sql()
 SQL["verdict_dataset"] = OX.verdict_dataset_sql()
 SQL["verdict_mix"] = OX.verdict_mix_sql()
 SQL["verdict_approved_kpi"] = OX.verdict_approved_kpi_sql()

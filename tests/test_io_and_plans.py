@@ -135,27 +135,6 @@ def test_funnel_event_dates_pushed_to_parquet(spark, stored):
     assert pushed and "fecha_handoff" in pushed[0] and "fecha_cancelacion_reserva" in pushed[0]
 
 
-@pytest.fixture()
-def no_broadcast(spark):
-    key = "spark.sql.autoBroadcastJoinThreshold"
-    old = spark.conf.get(key)
-    spark.conf.set(key, "-1")
-    yield
-    spark.conf.set(key, old)
-
-
-def test_dimension_report_joins_each_snapshot_frame_once(spark, stored, no_broadcast):
-    import re
-
-    b, i = stored
-    plan = D.report(b, i, P)._jdf.queryExecution().optimizedPlan().toString()
-    assert len(re.findall(r"Join LeftOuter", plan)) == 2          # cars, car-days
-    assert len(re.findall(r"Join LeftSemi", plan)) == 2           # pruning of either
-    assert plan.count("scalar-subquery") >= 2                       # range of days at the snapshot scan
-    price = D.str_report(b, i, P, "price")._jdf.queryExecution().optimizedPlan().toString()
-    assert len(re.findall(r"Join LeftOuter", price)) == 1
-
-
 def test_rows_without_a_car_are_spread(spark):
     from cierre.plans.enrich import spread_key
 
