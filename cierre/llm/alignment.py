@@ -115,6 +115,11 @@ class Pair:
             raise ValueError("vocabulary A has no token for some bytes")
         self.of_a, self.of_b = byte_ids.Recent(), byte_ids.Recent()
 
+    def forget(self) -> None:
+        """A worker lives on after its task, which should not hold its memory."""
+        self.a.forget()
+        self.of_a, self.of_b = byte_ids.Recent(), byte_ids.Recent()
+
     def _learn(self, fresh: list[str]) -> None:
         # A blank that follows a blank or nothing may not begin a piece of its own.
         inner = [s for s in fresh if s and s[-1] != " "]
@@ -240,8 +245,8 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         pair, block = pair_of(*vocabularies.value), TaskContext.get().partitionId() << 36
         rows, held = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for doc_id, (a, b) in zip(part.column(0).to_pylist(), pair.tokens(texts)):
                     rows.append((doc_id, *_figures(pair, a, b)))
@@ -251,6 +256,7 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                         block, rows, held = block + 1, [], 0
         if rows:
             yield _block(block, rows)
+        pair.forget()
 
     return docs.mapInArrow(run, _BLOCK)
 

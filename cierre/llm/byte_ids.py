@@ -10,6 +10,7 @@ string stands for its id.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from array import array
@@ -21,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Stretches of a generation that a worker remembers the ids of, and those encoded in a row.
-_REMEMBERED = 200_000
+_REMEMBERED = 150_000
 _ROW = 2048
 #: Stretches of letters up to U+024F, marks other than the apostrophe, and single line ends between them;
 #: the split pattern's words in them (after a blank, or after another word).
@@ -111,9 +112,14 @@ class Encoder:
 
     def __init__(self, definition: str, plain_specials: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_str(definition)
+        from tokenizers import Tokenizer, models
+
+        self.tokenizer, spec = Tokenizer.from_str(definition), json.loads(definition)["model"]
+        plain = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix")
+        if spec["type"] == "BPE" and not any(spec.get(k) for k in (*plain, "byte_fallback", "ignore_merges")):
+            # The same merges without the library's cache, which stretches met once only fill.
+            merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["merges"]]
+            self.tokenizer.model = models.BPE(vocab=spec["vocab"], merges=merges, cache_capacity=0)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.tokenizer.encode_special_tokens = plain_specials
@@ -128,6 +134,10 @@ class Encoder:
         self.words: dict[str, bytes] = {}
         (self.line,) = self.whole(["\n"])
 
+    def forget(self) -> None:
+        """A worker lives on after its task, which should not hold its memory."""
+        self.known, self.words = Recent(), {}
+
     def whole(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of texts that are given to the library as they are."""
         return [array("i", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

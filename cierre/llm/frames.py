@@ -164,7 +164,7 @@ def encoded_frames(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     end, step = struct.pack("<I", END_ID), 4 * FRAME_IDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, squeeze, seq = byte_ids.encoder(definition.value), zstandard.ZstdCompressor(level=3).compress, TaskContext.get().partitionId() << 40
+        enc, squeeze, seq = byte_ids.encoder(definition.value), zstandard.ZstdCompressor(level=1).compress, TaskContext.get().partitionId() << 40
         for batch in batches:
             for a in range(0, batch.num_rows, 2048):
                 part, rows = batch.slice(a, 2048), []
@@ -176,6 +176,7 @@ def encoded_frames(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                         piece = raw[b : b + step]
                         rows.append((i, tie, seq, k, len(piece) // 4, checksum(piece), squeeze(piece)))
                 yield X.record(FRAME, *zip(*rows))
+        enc.forget()
 
     text = F.col(text_col).cast("string")
     picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("tie"))
