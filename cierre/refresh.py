@@ -30,12 +30,15 @@ from cierre.sources import io as IO
 
 
 def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, verdicts: DataFrame | None = None,
-                  payment_dim: DataFrame | None = None, checkpoint: bool = True, parallelism: int = 8) -> dict[str, DataFrame]:
-    """All reports by name. ``verdicts`` (first verdict per booking) is an input
-    of its own; without it the verdict reports are left out. ``payment_dim``: the
-    pending payment dimension, empty until it has a source."""
+                  payments: DataFrame | None = None, checkpoint: bool = True, parallelism: int = 8,
+                  stored_by_car: bool = False) -> dict[str, DataFrame]:
+    """All reports by name. ``verdicts`` (a log of verdict events) and ``payments``
+    are inputs of their own: without verdicts their reports are left out, without
+    payments the payment dimension is, and the payment split is empty (S4).
+    ``stored_by_car``: ``inventory`` is a table of ``sources.layout``."""
+    dims = [*D.DIMS, "payment"] if payments is not None else D.DIMS
     shared = {
-        "dims": D.report(bookings, inventory, p),
+        "dims": D.report(bookings, inventory, p, dims, payments=payments, stored_by_car=stored_by_car),
         "events": K.daily_events(bookings, p),
         "fw": FN.funnel_weekly(bookings, p),
         "fv": FN.funnel_app_sale_weekly(bookings, p),
@@ -54,7 +57,7 @@ def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, verdicts
     region = dims.filter("report = 'region' AND grain = 'week'").drop("report", "grain")
     out["region_pivot"] = D.pivot_weeks(region, p)
     out["str_mix_rows"] = D.mix_rows(dims.filter(F.col("report").isin(sorted(D.MIX_DIMS))), ("report", "grain"))
-    out["payment_dim"] = payment_dim if payment_dim is not None else IO.empty_dim(bookings.sparkSession)
+    out["payment_dim"] = D.payment_split(bookings, payments, p) if payments is not None else IO.empty_dim(bookings.sparkSession)
     out["weekly_hub_str"] = K.weekly_hub_str_of(events, p)
     out["bookings_weekly"] = K.bookings_weekly_of(events, p)
     out["profile_mix_weekly"] = K.profile_mix_weekly_of(events, p)
@@ -86,10 +89,11 @@ def build_reports(bookings: DataFrame, inventory: DataFrame, p: Params, verdicts
 
 
 def full_refresh(bookings: DataFrame, inventory: DataFrame, p: Params, root: str | None = None, fmt: str = "parquet",
-                 verdicts: DataFrame | None = None, parallelism: int = 8) -> list[str]:
+                 verdicts: DataFrame | None = None, parallelism: int = 8, payments: DataFrame | None = None,
+                 stored_by_car: bool = False) -> list[str]:
     """Compute every report and publish the set under ``root`` (without one the
     rows are computed and dropped, to time a refresh). Returns the reports' names."""
-    reports = build_reports(bookings, inventory, p, verdicts, parallelism=parallelism)
+    reports = build_reports(bookings, inventory, p, verdicts, payments, parallelism=parallelism, stored_by_car=stored_by_car)
     if root is not None:
         return IO.publish(reports, root, fmt, parallelism)
     with ThreadPoolExecutor(max_workers=parallelism) as pool:

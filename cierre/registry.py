@@ -272,7 +272,7 @@ def _q_profile_dataset(spark, sf):
 
 @register("profile_funnel")
 def _q_profile_funnel(spark, sf):
-    return PF.profile_funnel(DS.profile_dataset(_b(spark, sf), P), P)
+    return PF.profile_funnel(cut_lineage(DS.profile_dataset(_b(spark, sf), P)), P)
 
 
 # ---------------------------------------------------------------- building blocks
@@ -442,21 +442,39 @@ def _q_kpi_from_daily_events(spark, sf):
     return K.kpi_periods_of(K.daily_events(_b(spark, sf), P), P)
 
 
-@register("dataset_presence")
-def _q_dataset_presence(spark, sf):
-    """Publish three reports as a set of its own, replace one, and check the
-    set against the expected names (one of them is missing)."""
+def _published(spark, sf, check):
+    """Publish three reports as a set of its own, replace one, check the set, and
+    remove it."""
     import uuid
 
     from cierre.session import ensure_checkpoint_dir
-    from cierre.sources.io import dataset_presence, publish
+    from cierre.sources.io import publish, remove
 
-    ensure_checkpoint_dir(spark)
-    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-    root = f"{warehouse}/cierre_published_{uuid.uuid4().hex[:8]}"
+    root = f"{ensure_checkpoint_dir(spark)}/published-{uuid.uuid4().hex[:8]}"
     events = K.daily_events(_b(spark, sf), P)
     weekly = K.weekly_hub_str_of(events, P)
-    names = publish({"weekly_hub_str": weekly, "bookings_weekly": K.bookings_weekly_of(events, P),
-                     "daily_hub": K.daily_hub_of(events, P)}, root)
+    publish({"weekly_hub_str": weekly, "bookings_weekly": K.bookings_weekly_of(events, P),
+             "daily_hub": K.daily_hub_of(events, P)}, root)
     publish({"weekly_hub_str": weekly.filter("ventas_total > 0")}, root)
-    return dataset_presence(spark, root, [*names, "last_month_hub"])
+    out = cut_lineage(check(root))
+    remove(spark, root)
+    return out
+
+
+@register("dataset_presence")
+def _q_dataset_presence(spark, sf):
+    """The set against the expected names (one of them is missing)."""
+    from cierre.sources.io import dataset_presence
+
+    return _published(spark, sf, lambda root: dataset_presence(
+        spark, root, ["bookings_weekly", "daily_hub", "weekly_hub_str", "last_month_hub"]))
+
+
+@register("dataset_checks")
+def _q_dataset_checks(spark, sf):
+    """The set against limits: rows at least, and the day that it must reach."""
+    from cierre.sources.io import dataset_checks
+
+    return _published(spark, sf, lambda root: dataset_checks(spark, root, [
+        ("weekly_hub_str", 10, P.lwtd_start), ("bookings_weekly", 10**9, None), ("daily_hub", None, P.as_of),
+        ("last_month_hub", None, None)]))

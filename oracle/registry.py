@@ -99,3 +99,16 @@ SELECT 'weekly_hub_str' AS dataset, TRUE AS present, COUNT(*) AS n_rows FROM ({O
 UNION ALL SELECT 'bookings_weekly', TRUE, COUNT(*) FROM ({OK.bookings_weekly_sql()})
 UNION ALL SELECT 'daily_hub', TRUE, COUNT(*) FROM ({OK.daily_hub_sql()})
 UNION ALL SELECT 'last_month_hub', FALSE, CAST(NULL AS BIGINT)"""
+
+def _figures(name: str, query: str, day: str, passed: str) -> str:
+    return f"""SELECT '{name}' AS dataset, TRUE AS present, COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS n_null_keys,
+  CAST(SUM(list_sum([*COLUMNS(* EXCLUDE ({day}, hub))])) AS BIGINT) AS total, MIN({day}) AS first_period, MAX({day}) AS last_period,
+  {passed} AS passed FROM ({query})"""
+
+
+SQL["dataset_checks"] = "\nUNION ALL ".join([
+    _figures("weekly_hub_str", f"SELECT * FROM ({OK.weekly_hub_str_sql()}) WHERE ventas_total > 0", "semana",
+             "COUNT(*) >= 10 AND MAX(semana) >= DATE '2001-04-09'"),
+    _figures("bookings_weekly", OK.bookings_weekly_sql(), "semana", "FALSE"),
+    _figures("daily_hub", OK.daily_hub_sql(), "fecha", "MAX(fecha) >= DATE '2001-04-18'"),
+    "SELECT 'last_month_hub', FALSE, NULL, NULL, NULL, NULL, NULL, FALSE"])

@@ -47,6 +47,83 @@ def test_failed_publish_leaves_the_set(spark):
     assert IO.read_published(spark, root, "a").count() == 3
 
 
+def test_runs_at_the_same_time_lose_nothing(spark):
+    root = tempfile.mkdtemp(prefix="cierre-pub-")
+    IO.publish({"a": spark.range(1)}, root)
+    slow = IO.write_all({"b": spark.range(2)}, root)          # written, not yet named
+    IO.publish({"a": spark.range(5), "c": spark.range(3)}, root)
+    assert IO.commit(spark, root, slow) == 3
+    assert {n: IO.read_published(spark, root, n).count() for n in "abc"} == {"a": 5, "b": 2, "c": 3}
+
+
+def test_commit_on_an_old_manifest_is_tried_again(spark, monkeypatch):
+    """Two runs that both have read version 1: the second to create version 2 fails
+    and builds on the first."""
+    root = tempfile.mkdtemp(prefix="cierre-pub-")
+    IO.publish({"a": spark.range(1)}, root)
+    first, second = IO.write_all({"b": spark.range(2)}, root), IO.write_all({"c": spark.range(3)}, root)
+    real, calls = IO.manifest, []
+
+    def late(s, r):
+        calls.append(1)
+        seen = real(s, r)
+        if len(calls) == 1:
+            seen.collect()
+            rows = s.createDataFrame(seen.collect(), seen.schema)   # as it was before the other run's commit
+            monkeypatch.setattr(IO, "manifest", real)
+            IO.commit(s, r, first)
+            monkeypatch.setattr(IO, "manifest", late)
+            return rows
+        return seen
+
+    monkeypatch.setattr(IO, "manifest", late)
+    assert IO.commit(spark, root, second) == 3 and len(calls) == 2
+    monkeypatch.setattr(IO, "manifest", real)
+    assert {n: IO.read_published(spark, root, n).count() for n in "abc"} == {"a": 1, "b": 2, "c": 3}
+    rows = IO.manifest(spark, root).collect()
+    assert {(r.version, r.parent) for r in rows} == {(3, 2)}
+
+
+def test_a_number_is_given_once(spark):
+    root = tempfile.mkdtemp(prefix="cierre-pub-")
+    os.mkdir(f"{root}/manifest")
+    path = f"{root}/manifest/000000000001.json"
+    assert IO._create(spark, path, "one") and not IO._create(spark, path, "two")
+    assert open(path).read() == "one" and [f for f in os.listdir(f"{root}/manifest") if not f.startswith(".")] == ["000000000001.json"]
+    fs, draft = IO._file_system(spark, f"{root}/manifest/_draft")
+    fs.create(draft, False).close()
+    assert not IO._renamed(spark, draft, path) and IO._renamed(spark, draft, f"{root}/manifest/000000000002.json")
+
+
+def test_vacuum_keeps_what_is_named(spark):
+    root = tempfile.mkdtemp(prefix="cierre-pub-")
+    for n in range(1, 5):
+        IO.publish({"a": spark.range(n)} | ({"b": spark.range(9)} if n == 1 else {}), root)
+    pending = IO.write_all({"c": spark.range(2)}, root)
+    assert IO.vacuum(spark, root, keep=2) == []                     # all runs are young
+    gone = IO.vacuum(spark, root, keep=2, grace_hours=0)
+    assert len(gone) == 2 and pending[0]["run"] in gone            # run 2, and the one that never committed
+    assert IO.read_published(spark, root, "a").count() == 4 and IO.read_published(spark, root, "b").count() == 9
+    assert len([f for f in os.listdir(f"{root}/manifest") if f.endswith(".json")]) == 2
+
+
+def test_checks_read_no_dataset_again(spark):
+    root = tempfile.mkdtemp(prefix="cierre-pub-")
+    rows = [(date(2001, 4, 2), "h", 3, 1.0), (date(2001, 4, 9), None, 4, None), (None, "h", None, 2.0)]
+    IO.publish({"a": spark.createDataFrame(rows, "semana date, hub string, n bigint, x double"),
+                "none": spark.createDataFrame([], "semana date, n bigint")}, root)
+    wanted = [("a", 3, date(2001, 4, 9)), ("none", None, None), ("missing", None, None)]
+    checks = IO.dataset_checks(spark, root, wanted)
+    got = {r["dataset"]: tuple(r)[1:] for r in checks.collect()}
+    assert got["a"] == (True, 3, 2, 7, date(2001, 4, 2), date(2001, 4, 9), True)
+    assert got["none"] == (True, 0, 0, 0, None, None, True)
+    assert got["missing"] == (False, None, None, None, None, None, False)
+    assert "versions" not in _plan(checks)
+    for limits, passed in (((4, None), False), ((None, date(2001, 4, 10)), False), ((3, date(2001, 4, 9)), True)):
+        assert IO.dataset_checks(spark, root, [("a", *limits)]).first()["passed"] is passed
+    assert not IO.dataset_checks(spark, root, [("none", None, date(2001, 1, 1))]).first()["passed"]
+
+
 def test_other_labels_give_the_same_counts(spark):
     from cierre.sources.schema import Labels, standardize_bookings
 

@@ -6,10 +6,12 @@ import sys
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from cierre.__main__ import main
-from cierre.sources.fixtures import fixture_bookings, fixture_inventory, fixture_verdicts
+from cierre.sources.fixtures import fixture_bookings, fixture_inventory, fixture_payments, fixture_verdicts
 from cierre.sources.io import dataset_presence, manifest, read_published
+from cierre.sources.layout import write_snapshots
 from tests.conftest import SF0001
 
 REPORTS = [
@@ -27,6 +29,7 @@ def tables(spark):
     b.write.parquet(f"{root}/bookings")
     fixture_inventory(spark, SF0001).write.parquet(f"{root}/inventory")
     fixture_verdicts(b).write.parquet(f"{root}/verdicts")
+    fixture_payments(spark, SF0001).write.parquet(f"{root}/payments")
     return root
 
 
@@ -54,6 +57,28 @@ def test_refresh_with_verdicts(spark, tables):
     assert read_published(spark, out, "verdict_mix").count() > 0
 
 
+def test_refresh_with_payments_over_stored_snapshots(spark, tables):
+    out, table = f"{tables}/published_p", "cierre_test_refresh_snapshots"
+    write_snapshots(fixture_inventory(spark, SF0001), table, 4, path=f"{tables}/snapshots")
+    try:
+        args = _args(tables, out, "--payments", f"{tables}/payments", "--snapshots-by-car", "--keep", "2")
+        args[args.index("--inventory") + 1] = table
+        assert main(args) == 0
+    finally:
+        spark.sql(f"DROP TABLE {table}")
+    dims, other = read_published(spark, out, "str_dims"), f"{tables}/published_plain"
+    paid = {r.dim: r.n for r in dims.filter("report = 'payment' AND grain = 'month' AND method = 'all'").groupBy("dim").agg(
+        F.sum(F.col("ventas") + F.col("cancelaciones")).alias("n")).collect()}
+    assert paid["Con Pago"] > 0 < paid["Sin Pago"]
+    # the other dimensions are as without payments, over plain snapshots
+    assert main(_args(tables, other)) == 0
+    plainly = read_published(spark, other, "str_dims")
+    assert dims.filter("report <> 'payment'").exceptAll(plainly).count() == 0 and plainly.count() < dims.count()
+    split = read_published(spark, out, "payment_dim")
+    assert split.columns == ["semana", "metodo_de_pago", "pago_dim", "ventas", "cancelaciones"] and split.count() > 0
+    assert read_published(spark, other, "payment_dim").count() == 0
+
+
 def test_submitted_job_keeps_the_submitters_settings(tables):
     """The command line in a driver of its own: master and partitions stay as submitted."""
     code = ("import sys; from cierre.__main__ import main; from pyspark.sql import SparkSession; "
