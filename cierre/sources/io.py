@@ -19,7 +19,7 @@ import json
 import os
 import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
@@ -95,30 +95,35 @@ def _manifests(spark: SparkSession, root: str) -> DataFrame:
     return read_or_empty(spark, folder if _names(spark, folder) else None, MANIFEST_SCHEMA, "json")
 
 
-def write_all(reports: Mapping[str, DataFrame], root: str, fmt: str = "parquet", parallelism: int = 8) -> list[dict]:
+def write_all(reports: Mapping[str, DataFrame], root: str, fmt: str = "parquet", parallelism: int = 8,
+              partition_by: list[str] | None = None) -> list[dict]:
     """Write all reports of a run to a folder of its own; their manifest rows."""
     run = f"{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
 
     def write(item) -> dict:
         name, df = item
         path = f"{root.rstrip('/')}/versions/{run}/{name}"
-        return {"run": run, "dataset": name, "path": path, "format": fmt, **write_report(df, path, fmt)}
+        return {"run": run, "dataset": name, "path": path, "format": fmt, **write_report(df, path, fmt, partition_by)}
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         return list(pool.map(write, reports.items()))
 
 
-def commit(spark: SparkSession, root: str, written: list[dict], attempts: int = 100) -> int:
+def commit(spark: SparkSession, root: str, written: list[dict], attempts: int = 100, parent: int | None = None,
+           without: Iterable[str] = ()) -> int | None:
     """Name the written datasets in a new manifest on top of the newest one, whose
-    other datasets stay as they are; its number."""
+    other datasets stay as they are, but for those ``without``; its number. With
+    ``parent`` the newest one must be that: None if it is not."""
     root = root.rstrip("/")
     for _ in range(attempts):
         before = [r.asDict() for r in manifest(spark, root).collect()]  # a row a dataset
-        parent = before[0]["version"] if before else 0
-        rows = {r["dataset"]: r for r in [*before, *written]}
-        lines = [json.dumps({**r, "version": parent + 1, "parent": parent}, default=str) for _, r in sorted(rows.items())]
-        if _create(spark, f"{root}/manifest/{parent + 1:012d}.json", "\n".join(lines) + "\n"):
-            return parent + 1
+        newest = before[0]["version"] if before else 0
+        if parent is not None and newest != parent:
+            return None
+        rows = {r["dataset"]: r for r in [*(r for r in before if r["dataset"] not in without), *written]}
+        lines = [json.dumps({**r, "version": newest + 1, "parent": newest}, default=str) for _, r in sorted(rows.items())]
+        if _create(spark, f"{root}/manifest/{newest + 1:012d}.json", "\n".join(lines) + "\n"):
+            return newest + 1
     raise RuntimeError(f"no manifest of {root} could be committed in {attempts} attempts")
 
 

@@ -38,6 +38,7 @@ SQL["profile_mix_weekly"] = OK.profile_mix_weekly_sql()
 SQL["kpi_mtd"] = OK.kpi_period_sql("mtd")
 SQL["kpi_lmtd"] = OK.kpi_period_sql("lmtd")
 SQL["daily_hub"] = OK.daily_hub_sql()
+SQL["kpi_incremental"] = OK.daily_hub_sql()
 SQL["last_month_hub"] = OK.last_month_hub_sql()
 
 from oracle import funnel as OF  # noqa: E402
