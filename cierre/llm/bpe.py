@@ -26,21 +26,20 @@ import json
 import re
 from array import array
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cierre.llm import byte_ids
 from cierre.llm import exchange as X
 from cierre.llm.ship import ship
 
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-#: Stretches that a worker remembers the ids of before it starts afresh.
-_REMEMBERED = 250_000
 _CODECS: dict[str, "Codec"] = {}
 
 
@@ -58,9 +57,6 @@ class Codec:
     #: The pattern that splits text before the merges (a fixed value of the vocabulary).
     SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
-    #: White space before a blank.
-    WIDE = re.compile(r"\s ")
-
     def __init__(self, definition: str):
         spec = json.loads(definition)
         to_byte = byte_alphabet()
@@ -95,9 +91,8 @@ class Codec:
         np.cumsum(self.length, out=self.offsets[1:])
         self.bytes = np.frombuffer(b"".join(self.token), np.uint8)
         self.splitter = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
-        self.listed: dict[str, bytes] = {}
-        self.raw: dict[str, bytes] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.decimal = list(map(str, range(size)))
+        self.listed, self.raw, self.pieces = byte_ids.Recent(), byte_ids.Recent(), byte_ids.Recent()
 
     def _next_prefix(self, i: int) -> int:
         """The longest token that is a shorter prefix of token i, or -1."""
@@ -149,7 +144,7 @@ class Codec:
             return [whole]
         n = len(piece)
         longest = [-1] * n
-        length, shorter, fits = self.length, self.shorter, self.compatible
+        length, shorter, fits, seen = self.length, self.shorter, self.compatible, self.pairs.get
         for end, i in self.matcher.iter(piece.decode("latin-1")):
             start = end + 1 - length[i]
             if longest[start] < 0 or length[i] > length[longest[start]]:
@@ -161,7 +156,7 @@ class Codec:
             before = ids[-1] if ids else -1
             while token >= 0:
                 end = at + length[token]
-                if open_[end] and (before < 0 or fits(before, token)):
+                if open_[end] and (before < 0 or (seen((before, token)) or fits(before, token))):
                     ids.append(token)
                     at = end
                     token = longest[at] if at < n else -1
@@ -197,48 +192,60 @@ class Codec:
                 for piece in self.SPLIT.findall(part):
                     ids = self.pieces.get(piece)
                     if ids is None:
-                        if len(self.pieces) > _REMEMBERED:
-                            self.pieces.clear()
-                        ids = self.encode_piece(piece.encode())
+                        ids = self.pieces.older.get(piece)
+                        if ids is None:
+                            ids = self.encode_piece(piece.encode())
                         if len(piece) < 64:
-                            self.pieces[piece] = ids
+                            self.pieces.put(piece, ids)
                     out += ids
         return out
 
-    def _stretches(self, text: str) -> list[str]:
-        """Parts of a text that can be encoded one by one: cut at each blank that
-        follows something other than white space. The blank goes with the part
-        after it, and is left out here in all parts but the first."""
-        if self.splitter and self.splitter.search(text):
-            return [text]
-        parts = text.split(" ")
-        if self.WIDE.search(text):
-            out = [parts[0]]
-            for p in parts[1:]:
-                if out[-1] and not out[-1][-1].isspace():
-                    out.append(p)
-                else:
-                    out[-1] += " " + p
-            return out
-        return parts
-
-    def _learn(self, stretches) -> None:
+    def _learn(self, stretches: list[str]) -> None:
         for s in stretches:
             ids = self.encode(" " + s)
-            self.listed[s], self.raw[s] = ",".join(map(str, ids)).encode(), array("i", ids).tobytes()
+            self.listed[s], self.raw[s] = ",".join(map(self.decimal.__getitem__, ids)).encode(), array("i", ids).tobytes()
+
+    def digests(self, texts: pa.StringArray) -> list[tuple[int, str, str]]:
+        """Of each text (none of them null): number of ids, SHA-256 of the ids in
+        decimal, joined by commas, and of the decoded text.
+
+        Texts are cut into stretches that can be encoded one by one, and each distinct
+        stretch of all texts is encoded once; the texts' ids are gathered by index."""
+        apart = {}
+        if self.splitter:
+            special = pc.match_substring_regex(texts, self.splitter.pattern).to_numpy(zero_copy_only=False)
+            apart = {k: texts[k].as_py() for k in np.flatnonzero(special).tolist()}
+            if apart:
+                texts = pc.if_else(pa.array(special), "", texts)
+        flat, offsets = byte_ids.cut(texts)
+        held = flat.dictionary_encode()
+        words, which = held.dictionary.to_pylist(), held.indices.to_numpy().astype(np.int64)
+        known = self.raw.missing(words)
+        self.listed.missing(words)
+        self._learn(known)
+        # No blank stands before a text's first stretch; a special token makes a whole text one.
+        heads = [self.encode(apart.get(k, h)) for k, h in enumerate(flat.take(pa.array(offsets[:-1])).to_pylist())]
+        which[offsets[:-1]] = len(words) + np.arange(len(heads))
+        raw = [*map(self.raw.__getitem__, words), *(array("i", h).tobytes() for h in heads)]
+        listed = [*map(self.listed.__getitem__, words), *(",".join(map(self.decimal.__getitem__, h)).encode() for h in heads)]
+        ids, sizes = byte_ids.gather(raw, which)
+        at, begin = byte_ids.by_text(sizes, offsets).tolist(), offsets.tolist()
+        ends = np.concatenate([[0], np.cumsum(self.offsets[ids + 1] - self.offsets[ids])])
+        decoded, place, of = self.decode(ids), ends[at].tolist(), which.tolist()
+        out = []
+        for k in range(len(heads)):
+            parts = list(map(listed.__getitem__, of[begin[k] : begin[k + 1]]))
+            text = b",".join(parts if parts[0] else parts[1:])
+            whole = decoded[place[k] : place[k + 1]].decode("utf-8", "replace").encode()
+            out.append((at[k + 1] - at[k], hashlib.sha256(text).hexdigest(), hashlib.sha256(whole).hexdigest()))
+        return out
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        """Number of ids, SHA-256 of the ids in decimal, joined by commas, and of the decoded text."""
-        if len(self.raw) > _REMEMBERED:
-            self.raw.clear()
-            self.listed.clear()
-        first, *rest = self._stretches(text)
-        self._learn(filterfalse(self.raw.__contains__, set(rest)))
-        head = self.encode(first)
-        listed = b",".join(([",".join(map(str, head)).encode()] if head else []) + [self.listed[s] for s in rest])
-        ids = np.frombuffer(array("i", head).tobytes() + b"".join([self.raw[s] for s in rest]), np.int32)
-        whole = self.decode(ids).decode("utf-8", "replace").encode()
-        return len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(whole).hexdigest()
+        return self.digests(pa.array([text], pa.string()))[0]
+
+    def forget(self) -> None:
+        """A worker lives on after its task; the pieces stay, which cost most to encode."""
+        self.raw, self.listed = byte_ids.Recent(), byte_ids.Recent()
 
 
 def codec(definition: str) -> Codec:
@@ -259,11 +266,12 @@ def encode_report(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(definition.value)
         for batch in batches:
-            rows = [c.digest(t or "") for t in batch.column(1).to_pylist()]
-            if rows:
-                yield X.record(OUT, batch.column(0), *zip(*rows))
+            for a in range(0, batch.num_rows, 1024):
+                part = batch.slice(a, 1024)
+                yield X.record(OUT, part.column(0), *zip(*c.digests(part.column(1))))
+        c.forget()
 
-    picked = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    picked = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     return picked.mapInArrow(run, OUT)
 
 

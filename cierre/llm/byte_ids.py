@@ -90,6 +90,13 @@ class Recent(dict):
         super().__init__()
         self.older: dict = {}
 
+    def put(self, key: str, value) -> None:
+        """Add one key."""
+        if len(self) > _REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+
     def missing(self, keys: list[str]) -> list[str]:
         """The keys that neither generation has; those of the older one move up."""
         if len(self) > _REMEMBERED:
