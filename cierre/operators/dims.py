@@ -90,19 +90,24 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
         closed = cut_lineage(closed)
     frames, joins = {"b": closed}, []
     columns = [c for d in dims for c in SNAPSHOT_COLUMNS.get(d, [])]
-    with_history = "stock_region" in dims or ("aging" in dims and columns) or (stored_by_car and columns)
-    today = eve = "CAST(NULL AS STRING)"
+    with_history = bool(columns) and (stored_by_car or bool({"aging", "stock_region"} & set(dims)))
+    today, region = "car", "CAST(NULL AS STRING)"
     if columns or {"aging", "stock_region"} & set(dims):
         snaps = E.snapshots_before(inventory, p.as_of)
         if prune:
-            snaps = _pruned(closed, snaps, with_history or "aging" in dims, words)
+            snaps = _pruned(closed, snaps, bool({"aging", "stock_region"} & set(dims)), words)
         on = f"car.bk_stock = {E.spread_key('b')} AND b.stock_key IS NOT NULL"
         if with_history:
             frames["car"] = E.car_history(snaps, columns)
-            today, eve = "try_element_at(car.days, b.fecha_reserva)", "try_element_at(car.days, date_sub(b.fecha_reserva, 1))"
+            today = "try_element_at(car.days, b.fecha_reserva)"
+            region = f"coalesce({today}.region, try_element_at(car.days, date_sub(b.fecha_reserva, 1)).region, car.latest_region)"
         elif columns:
             frames["car"] = E.day_facts(snaps, columns)
-            today, on = "car", f"{on} AND car.inv_date = b.fecha_reserva"
+            on = f"{on} AND car.inv_date = b.fecha_reserva"
+        elif "stock_region" in dims:
+            frames["car"] = E.car_regions(snaps)
+            recent = "filter(car.listed, x -> x.inv_date BETWEEN date_sub(b.fecha_reserva, 1) AND b.fecha_reserva)"
+            region = f"coalesce(array_max({recent}).stock_region, array_max(car.listed).stock_region)"
         else:
             frames["car"] = snaps.groupBy("bk_stock").agg(F.min("item_receipt_date").alias("item_receipt_date"))
         joins.append(f"LEFT JOIN {{car}} car ON {on}")
@@ -117,7 +122,7 @@ def enrich_dims(bookings: DataFrame, inventory: DataFrame, p: Params, dims: list
         "price": f"CASE WHEN {snap}.real_published_price IS NOT NULL THEN {B.price_sql(f'{snap}.real_published_price')} END",
         "coming_soon": f"CASE WHEN {snap} IS NOT NULL THEN {B.coming_soon_sql(f'{snap}.flag_coming_soon')} END",
         "pix": f"CASE WHEN {pix[0]} IS NOT NULL OR {pix[1]} IS NOT NULL THEN {B.pix_sql('b.metodo_de_pago', *pix)} END",
-        "stock_region": B.stock_region_sql(f"coalesce({today}.region, {eve}.region, car.latest_region)"),
+        "stock_region": B.stock_region_sql(region),
         "payment": B.payment_sql("paid.amount"),
     }
     cols = ["b.metodo_de_pago", "b.close_date", "b.venta", "b.cancel", *(f"{value[d]} AS dim_{d}" for d in dims)]

@@ -130,9 +130,14 @@ def day_facts(snaps: DataFrame, columns: list[str]) -> DataFrame:
     """
     last = max((SNAPSHOT_VALUE_COLUMNS.index(c) for c in columns), default=-1)
     keep = SNAPSHOT_VALUE_COLUMNS[: last + 1]
-    snap = F.struct(*keep) if keep else F.struct(F.lit(1).alias("seen"))
+    if len(keep) == 1:
+        # The same without a struct, which would need sorts: null is the smallest.
+        some = F.min(keep[0])
+        snap = F.struct(F.when(F.count(keep[0]) == F.count(F.lit(1)), some).alias(keep[0]))
+    else:
+        snap = F.min(F.struct(*keep) if keep else F.struct(F.lit(1).alias("seen")))
     return snaps.groupBy("bk_stock", "inv_date").agg(
-        F.min(snap).alias("snap"), F.min(F.expr(_listed_region())).alias("region"), F.min("item_receipt_date").alias("receipt"))
+        snap.alias("snap"), F.min(F.expr(_listed_region())).alias("region"), F.min("item_receipt_date").alias("receipt"))
 
 
 def car_history(snaps: DataFrame, columns: list[str]) -> DataFrame:
@@ -149,6 +154,16 @@ def car_history(snaps: DataFrame, columns: list[str]) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("inv_date", F.struct("snap", "region")))).alias("days"))
 
 
+def car_regions(snaps: DataFrame) -> DataFrame:
+    """One row per car: its first receipt, and ``listed``, the distinct (day, region)
+    pairs with a listed region; a set of at most days x regions that combines
+    map-side. The greatest pair of a range of days is its latest day's first region
+    by name (Q9)."""
+    pair = f"CASE WHEN {_region_rank()} IS NOT NULL THEN struct(inv_date, {_region_rank()} AS k, stock_region) END"
+    return snaps.groupBy("bk_stock").agg(
+        F.min("item_receipt_date").alias("item_receipt_date"), F.collect_set(F.expr(pair)).alias("listed"))
+
+
 def stock_region_asof(rows: DataFrame, inventory: DataFrame, as_of: date) -> DataFrame:
     """Region on the reservation day, else the day before, else the latest
     known; first non-null wins. Adds ``stock_region_asof``."""
