@@ -87,7 +87,8 @@ def text_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     A null text counts as empty, a null id stays null. A document is never
     split: one longer than ``BLOCK_BYTES`` has a block of its own. The columns
-    ``carry`` go with the documents as they are (``carried``).
+    ``carry`` go with the documents as they are (``carried``), but for the text,
+    which is null among them.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,7 +108,8 @@ def text_blocks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ship(docs.sparkSession)
     picked = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"),
-                         *(F.col(c).alias(f"carried{n}") for n, c in enumerate(carry)))
+                         *((F.lit(None).cast("string") if c == text_col else F.col(f"`{c}`")).alias(f"carried{n}")
+                           for n, c in enumerate(carry)))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     with _planned_ahead(docs.sparkSession):
         return cut_lineage(picked.mapInArrow(build, BLOCK_SCHEMA).repartition(n, "block"))

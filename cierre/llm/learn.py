@@ -26,6 +26,13 @@ def labelled_ids(labels: DataFrame, label: str, mod: int, bound: int) -> DataFra
     return once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
+def one_text(texts: DataFrame) -> DataFrame:
+    """(doc_id, label, text) with one text for each id: of several the shortest, then
+    the one with the least hash."""
+    return texts.groupBy("doc_id", "label").agg(
+        F.min(F.struct(F.length("text"), F.xxhash64("text"), F.col("text").alias("text")))["text"].alias("text"))
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 

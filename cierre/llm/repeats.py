@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cierre.llm import exchange as X
+from cierre.llm.ship import give_back
 from cierre.session import cut_lineage
 
 LENGTH = 50
@@ -162,6 +163,7 @@ def _each(fn):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in X.each_row(batches):
             yield from fn(row)
+        give_back()
 
     return run
 
@@ -216,13 +218,7 @@ def trimmed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_c
                 part[n_chars_col] = pa.array(map(len, texts), pa.int64()).cast(part[n_chars_col].type)
             yield pa.RecordBatch.from_arrays([part[n] for n in names], names=names)
 
-    return _search(_blocks_with(docs, id_col, text_col), tell, schema)
-
-
-def _blocks_with(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Blocks that carry all columns; the text itself only once."""
-    without = docs.withColumn("__text", F.col(text_col)).withColumn(text_col, F.lit(None).cast("string"))
-    return X.text_blocks(without, id_col, "__text", carry=tuple(docs.columns))
+    return _search(X.text_blocks(docs, id_col, text_col, carry=tuple(names)), tell, schema)
 
 
 def _search(blocks: DataFrame, tell, schema) -> DataFrame:
@@ -286,6 +282,7 @@ def _search(blocks: DataFrame, tell, schema) -> DataFrame:
         ids = t.ids[t.doc_of(at)]
         _, low, place = _first(name, ids)
         gone = at[(low - X.answered(row["answer0"]))[place] < ids] if len(at) else at
+        del at, name, ids, low, place  # the largest arrays, before the texts are made
         doc = t.doc_of(gone)
         new = np.ones(len(gone), bool)
         new[1:] = (gone[1:] > gone[:-1] + LENGTH) | (doc[1:] != doc[:-1])

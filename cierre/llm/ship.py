@@ -1,11 +1,15 @@
-"""Sending this package to the executors, whose Python workers import it."""
+"""Sending this package to the executors, whose Python workers import it, and
+giving back what a worker no longer needs."""
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import SparkSession
 
 import cierre
@@ -30,3 +34,14 @@ def ship(spark: SparkSession) -> None:
                     z.write(full, os.path.join("cierre", os.path.relpath(full, root)))
     sc.addPyFile(path)
     _SHIPPED.add(sc.applicationId)
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: a worker waits for its
+    next one, which may be of another stage, and counts towards its executor."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library, which has no such call

@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cierre.llm import exchange as X
@@ -211,10 +211,12 @@ def representatives(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col
     marked = cut_lineage(fingerprints(docs, shingle, id_col, text_col))
     kept = classes(marked, distance).filter("doc_id = component_id").groupBy("fp", "component_id").agg(
         F.min("digest").alias("digest"))
-    kept = kept.groupBy(F.col("component_id").alias("kept_id"), F.col("digest").alias("kept_digest")).agg(F.count(F.lit(1)))
-    key, digest = F.col(id_col).cast("long"), _digest(F.col(text_col).cast("string"))
-    known = docs.filter(key.isNotNull()).withColumn("__id", key).withColumn("__digest", digest)
-    first = Window.partitionBy("__id", "__digest").orderBy(F.lit(1))
-    chosen = known.join(kept, (F.col("__id") == F.col("kept_id")) & (F.col("__digest") == F.col("kept_digest")), "left_semi")
-    chosen = chosen.withColumn("__rn", F.row_number().over(first)).filter("__rn = 1").select(*docs.columns)
-    return chosen.unionByName(docs.filter(key.isNull()))
+    kept = kept.groupBy(F.col("component_id").alias("id"), "digest").agg(F.lit(True).alias("stays"))
+    # The rows travel as one value, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"),
+                       _digest(F.col(text_col).cast("string")).alias("digest"))
+    # Rows without doc_id stay, each by itself.
+    rows = rows.withColumn("own", F.when(F.col("id").isNull(), F.monotonically_increasing_id()))
+    chosen = rows.join(kept, ["id", "digest"], "left").filter("id IS NULL OR stays")
+    one = chosen.groupBy("id", "digest", "own").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return one.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -32,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 
 from cierre.llm import exchange as X
 from cierre.llm import learn
-from cierre.llm.ship import ship
+from cierre.llm.ship import give_back, ship
 from cierre.session import cut_lineage
 
 HELD_OUT_MOD = 5
@@ -66,7 +67,7 @@ REPORTING = frozenset(
     "sagte nannte zitierte schrieb wort dit disait appelle cite mot dijo llama escribe palabra".split())
 #: Signs that are written for letters (fixed values).
 LOOKALIKE = str.maketrans("013457@$", "oieastas")
-_REMEMBERED = 400_000
+_REMEMBERED = 200_000
 #: Near copies: this share of their min-hashes agrees. Rows that agree in a whole band are compared.
 NEAR = 0.8
 HASHES, BAND = 256, 8
@@ -156,7 +157,8 @@ class Lexicon:
 
     def clear(self) -> None:
         self.root, self.known, self.tokens = Trie(), {}, {}
-        self.ends: dict[tuple[int, str], set[int]] = {}
+        self.heads: dict[str, set[int]] = {}
+        self.tails: dict[str, set[int]] = {}
         self.inner, self.short = set(), set()
         for term, weight in self.terms.items():
             self.root.add(term, weight)
@@ -170,8 +172,8 @@ class Lexicon:
                 self.inner.add(letters[3:6])
             else:
                 near = set(range(len(letters) - 1, len(letters) + 2))
-                self.ends.setdefault((0, letters[:2]), set()).update(near)
-                self.ends.setdefault((1, letters[-2:]), set()).update(near)
+                self.heads.setdefault(letters[:2], set()).update(near)
+                self.tails.setdefault(letters[-2:], set()).update(near)
 
     def __getstate__(self):
         return self.terms
@@ -181,11 +183,15 @@ class Lexicon:
         self.clear()
 
     def may_match(self, w: str) -> bool:
-        return (len(w) in self.ends.get((0, w[:2]), ()) or len(w) in self.ends.get((1, w[-2:]), ())
-                or any(w[:n] in self.short for n in range(1, 5)) or any(w[n : n + 3] in self.inner for n in (2, 3, 4)))
+        n, short, inner = len(w), self.short, self.inner
+        return (n in self.heads.get(w[:2], ()) or n in self.tails.get(w[-2:], ())
+                or w[:1] in short or w[:2] in short or w[:3] in short or w[:4] in short
+                or w[2:5] in inner or w[3:6] in inner or w[4:7] in inner)
 
     def holds(self, token: str) -> bool:
         """Whether what white space separates has a word that meets a term."""
+        if token.isalpha():
+            return self.find(token) is not None
         got = self.tokens.get(token)
         if got is None:
             if len(self.tokens) > _REMEMBERED:
@@ -195,6 +201,15 @@ class Lexicon:
                 self.tokens[token] = got
         return got
 
+    def hit(self, lows: list[str]) -> np.ndarray:
+        """Of each lower-case text, whether it has a word that meets a term: each
+        distinct token of all texts is looked up once."""
+        parts = pc.utf8_split_whitespace(pa.array(lows, pa.string()))
+        held, offsets = parts.flatten().dictionary_encode(), parts.offsets.to_numpy()
+        met = np.fromiter(map(self.holds, held.dictionary.to_pylist()), bool, len(held.dictionary))
+        before = np.concatenate([[0], np.cumsum(met[held.indices.to_numpy()])])
+        return before[offsets[1:]] > before[offsets[:-1]]
+
     def find(self, word: str) -> tuple[str, float, int] | None:
         """The best term of a lower-case word, plainly written or with signs for letters."""
         if word in self.known:
@@ -202,11 +217,12 @@ class Lexicon:
         if len(self.known) > _REMEMBERED:
             self.known.clear()
         got = lookup(self.root, word) if self.may_match(word) else None
-        plain = word.translate(LOOKALIKE)
-        if (got is None or got[2]) and plain != word and self.may_match(plain):
-            other = lookup(self.root, plain)
-            if other and (got is None or other[2] < got[2]):
-                got = other
+        if (got is None or got[2]) and not word.isalpha():
+            plain = word.translate(LOOKALIKE)
+            if plain != word and self.may_match(plain):
+                other = lookup(self.root, plain)
+                if other and (got is None or other[2] < got[2]):
+                    got = other
         if len(word) < 64:
             self.known[word] = got
         return got
@@ -215,8 +231,12 @@ class Lexicon:
 def hits(text: str, lexicon: Lexicon) -> list[tuple[str, float, int, bool, int, int]]:
     """(term, weight, edits, quoted, start, end) of each hit in a text."""
     low = text.lower()
-    if not any(map(lexicon.holds, set(low.split()))):
+    if not lexicon.hit([low])[0]:
         return []
+    return _hits(low, lexicon)
+
+
+def _hits(low: str, lexicon: Lexicon) -> list[tuple[str, float, int, bool, int, int]]:
     out, marks, recent, at, line_end, last_mark = [], 0, [], 0, -1, -1
     for m in WORD.finditer(low):
         between = low[at : m.start()]
@@ -262,7 +282,18 @@ class Model:
         self.lexicon, self.weights, self.weak = Lexicon(terms), weights, weak
 
     def score(self, text: str) -> float:
-        return float(learn.sigmoid(figures(hits(text, self.lexicon), self.weak) @ self.weights))
+        return self.scores([text])[0]
+
+    def scores(self, texts: list[str]) -> list[float]:
+        """The score of each text."""
+        lows = [t.lower() for t in texts]
+        plain, out = self._score([]), []
+        for low, met in zip(lows, self.lexicon.hit(lows).tolist()):
+            out.append(self._score(_hits(low, self.lexicon)) if met else plain)
+        return out
+
+    def _score(self, found: list) -> float:
+        return float(learn.sigmoid(figures(found, self.weak) @ self.weights))
 
 
 def _terms_of(text: str) -> set[str]:
@@ -360,8 +391,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "
     """Learn from the labelled documents that are not held out; None without both labels."""
     ship(docs.sparkSession)
     wanted = learn.labelled_ids(labels, label, HELD_OUT_MOD, sample)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
-        F.broadcast(wanted), "doc_id").dropDuplicates(["doc_id"])  # bounded by `sample`
+    texts = learn.one_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).join(
+        F.broadcast(wanted), "doc_id"))  # bounded by `sample`
 
     def signed(batches):
         for batch in batches:
@@ -407,8 +438,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "
 
     def describe(batches):
         for batch in batches:
-            x = [figures(hits(t, lexicons[k][0]), lexicons[k][1]).tolist()
-                 for t, k in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())]
+            lows, parts = [t.lower() for t in batch.column(0).to_pylist()], np.array(batch.column(2).to_pylist())
+            x = [None] * len(lows)
+            for k, (lexicon, few) in enumerate(lexicons):
+                mine = np.flatnonzero(parts == k).tolist()
+                for n, met in zip(mine, lexicon.hit([lows[n] for n in mine]).tolist() if mine else ()):
+                    x[n] = figures(_hits(lows[n], lexicon) if met else [], few).tolist()
+                lexicon.clear()
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(x, pa.list_(pa.float64()))], names=["label", "x"])
 
     seen = learnt.mapInArrow(describe, "label int, x array<double>").collect()
@@ -439,8 +475,13 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            yield X.record(schema, batch.column(0), [model.score(t or "") if model else 0.0 for t in texts])
+            for a in range(0, batch.num_rows, 1024):
+                part = batch.slice(a, 1024)
+                texts = [t or "" for t in part.column(1).to_pylist()]
+                yield X.record(schema, part.column(0), model.scores(texts) if model else [0.0] * len(texts))
+        if model:
+            model.lexicon.clear()
+        give_back()
 
     picked = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
     return picked.mapInArrow(run, schema).select(
@@ -455,8 +496,15 @@ def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(at).to_pylist()
-            yield batch.filter(pa.array([model is None or model.score(t or "") < THRESHOLD for t in texts], pa.bool_()))
+            for a in range(0, batch.num_rows, 1024):
+                part = batch.slice(a, 1024)
+                if model is not None:
+                    got = model.scores([t or "" for t in part.column(at).to_pylist()])
+                    part = part.filter(pa.array([x < THRESHOLD for x in got], pa.bool_()))
+                yield part
+        if model:
+            model.lexicon.clear()
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
 

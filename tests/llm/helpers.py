@@ -5,7 +5,8 @@ from __future__ import annotations
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns whose names the operators use themselves.
 CLASHING = ["block", "payload", "bucket", "fp", "key", "rank", "label", "score", "length", "piece", "digest", "component_id",
-            "kept", "starts", "features", "term", "sequence_id", "carried0", "text_2"]
+            "kept", "starts", "features", "term", "sequence_id", "carried0", "text_2", "__id", "__digest", "__rn", "__text", "kept_id",
+            "kept_digest", "row", "id", "own", "stays", "low", "root"]
 
 LONG = " ".join(f"word{i % 977} and{i % 13}." for i in range(60_000))
 SHARED = "this passage of well over fifty bytes stands in several of the documents here"

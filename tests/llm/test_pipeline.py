@@ -109,3 +109,26 @@ def test_extra_columns_pass_through(spark, folder):
     for _, stage in corpus_pipeline.STAGES[:4]:
         assert stage(spark, docs, folder[0]).columns == docs.columns
     assert docs.columns[:5] == [f.split()[0] for f in SCHEMA.split(", ")]
+
+
+def test_columns_of_any_name_come_through_as_they_are(spark):
+    from cierre.llm import repeats, simhash
+    from tests.llm import helpers
+
+    docs = helpers.documents(spark, long=False)
+    for out in (simhash.representatives(docs), repeats.trimmed(docs)):
+        assert out.columns == docs.columns
+        for r in out.collect():
+            assert [r[c] for c in helpers.CLASHING] == list(range(len(helpers.CLASHING)))
+
+
+def test_run_scores_each_document_once(spark, monkeypatch):
+    """Stages' results are written before the next stage reads them."""
+    import corpus_pipeline as CP
+
+    seen = []
+    monkeypatch.setattr(CP, "STAGES", [("one", lambda s, d, p: (seen.append(d), d.filter("doc_id % 2 = 0"))[1]),
+                                       ("two", lambda s, d, p: (seen.append(d), d.limit(5))[1])])
+    CP.run(spark, "/root/testdata/sf0.001")
+    plans = [d._jdf.queryExecution().logical().toString() for d in seen]
+    assert "Relation" in plans[0] and "Relation" not in plans[1] and "LogicalRDD" in plans[1]
