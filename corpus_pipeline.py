@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cierre.llm import packing, quality, repeats, simhash, toxicity
+from cierre.session import cut_lineage
 
 ORACLE_SQL = None
 
@@ -56,8 +57,11 @@ STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_copies", drop
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, one after the other, on ``documents``."""
+    """All stages, one after the other, on ``documents``. Each stage's rows are kept
+    in the checkpoint folder for the next, which may read them more than once."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for n, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
+        if n < len(STAGES):
+            docs = cut_lineage(docs)
     return docs
