@@ -130,5 +130,5 @@ def test_run_scores_each_document_once(spark, monkeypatch):
     monkeypatch.setattr(CP, "STAGES", [("one", lambda s, d, p: (seen.append(d), d.filter("doc_id % 2 = 0"))[1]),
                                        ("two", lambda s, d, p: (seen.append(d), d.limit(5))[1])])
     CP.run(spark, "/root/testdata/sf0.001")
-    plans = [d._jdf.queryExecution().logical().toString() for d in seen]
-    assert "Relation" in plans[0] and "Relation" not in plans[1] and "LogicalRDD" in plans[1]
+    plans = [d._jdf.queryExecution().analyzed().toString() for d in seen]
+    assert "Relation" in plans[0] and "Relation" not in plans[1] and "LogicalRDD" in plans[1], plans
