@@ -76,6 +76,24 @@ def qa_funnel_weeks(weekly: DataFrame, vta_weekly: DataFrame) -> DataFrame:
     )
 
 
+#: Conversion rates that the country is known to have, in percent, and how far a week may be off.
+CR_TARGETS = {"cr_ho": 83.0, "cr_app": 78.0}
+CR_TOLERANCE = 10.0
+
+
+def qa_funnel_expected(weeks: DataFrame, expected: DataFrame, targets: dict[str, float] = CR_TARGETS,
+                       tolerance: float = CR_TOLERANCE) -> DataFrame:
+    """R28 compared: for each week of ``qa_funnel_weeks`` or of ``expected`` (``semana,
+    ho, app``) the handoffs and approvals found and expected, whether they are the
+    same (a week that either side lacks is not), and whether each conversion rate lies
+    within ``tolerance`` points of its target (null without a rate)."""
+    found = weeks.select("semana", "ho", "app", *targets)
+    wanted = expected.select("semana", F.col("ho").cast("bigint").alias("expected_ho"), F.col("app").cast("bigint").alias("expected_app"))
+    near = [(F.abs(F.col(c) - t) <= tolerance).alias(f"{c}_near") for c, t in targets.items()]
+    same = F.coalesce((F.col("ho") == F.col("expected_ho")) & (F.col("app") == F.col("expected_app")), F.lit(False))
+    return found.join(wanted, "semana", "full").select("semana", "ho", "expected_ho", "app", "expected_app", same.alias("same"), *near)
+
+
 def qa_dim_row(reports: DataFrame) -> DataFrame:
     """The country row (all methods) of the weekly region report - STR of the
     last 3 closed weeks, WoW, WTD, LWTD, delta - and the ``0-30d`` aging row, of the

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cierre.functions import buckets as B
 from cierre.plans.asof import as_of_join
+from cierre.sources.schema import BOOKING_DATE_COLUMNS
 
 
 def sale_date():
@@ -78,6 +79,13 @@ def closed_rows(bookings: DataFrame, lo: date, hi: date) -> DataFrame:
     )
 
 
+def recent_rows(bookings: DataFrame, lo: date, hi: date) -> DataFrame:
+    """b2b=0 rows with any event date in ``[lo, hi]``: all that reports of that window
+    read. The ranges reach the Parquet scan."""
+    window = f"BETWEEN DATE'{lo.isoformat()}' AND DATE'{hi.isoformat()}'"
+    return bookings.filter("b2b = 0 AND (" + " OR ".join(f"{c} {window}" for c in BOOKING_DATE_COLUMNS) + ")")
+
+
 def snapshots_before(inventory: DataFrame, as_of: date) -> DataFrame:
     return inventory.filter(F.col("inv_date") < F.lit(as_of))
 

@@ -431,6 +431,21 @@ def _q_qa_funnel_weeks(spark, sf):
     return QA.qa_funnel_weeks(FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P))
 
 
+@register("qa_funnel_expected")
+def _q_qa_funnel_expected(spark, sf):
+    """The last weeks against expected pairs: handoffs and approvals that a plain
+    count finds, but for odd days of the month, where one more is expected."""
+    b = _b(spark, sf)
+    day = F.date_trunc("week", "fecha_handoff").cast("date").alias("semana")
+    base = b.filter(F.col("b2b") == 0).filter(B.is_financing()).filter("estimate_flag = 1")
+    ho = base.filter(F.col("fecha_handoff").between(F.lit(date(2001, 3, 12)), F.lit(P.yesterday))).groupBy(day).agg(
+        F.count_distinct("booking_id", B.hub_label()).alias("ho"))
+    app = base.filter(F.col("fecha_aprobacion").between(F.lit(date(2001, 3, 12)), F.lit(P.yesterday))).groupBy(
+        F.date_trunc("week", "fecha_aprobacion").cast("date").alias("semana")).agg(F.count_distinct("booking_id", B.hub_label()).alias("app"))
+    expected = ho.join(app, "semana", "full").withColumn("ho", F.col("ho") + F.day("semana") % 2)
+    return QA.qa_funnel_expected(QA.qa_funnel_weeks(FN.funnel_weekly(b, P), FN.funnel_app_sale_weekly(b, P)), expected)
+
+
 @register("qa_dim_row")
 def _q_qa_dim_row(spark, sf):
     return QA.qa_dim_row(D.report(_b(spark, sf), _i(spark, sf), P, ["region", "aging"], ["week"]))

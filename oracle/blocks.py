@@ -122,3 +122,13 @@ def qa_dim_row_sql() -> str:
             parts.append(f"""SELECT '{check}', '{m}', CAST(NULL AS DATE), {m} FROM ({OD.str_deltas_sql(report)})
   WHERE method = 'all' AND dim = '{dim}'""")
     return "\nUNION ALL\n".join(parts)
+
+
+def qa_funnel_expected_sql() -> str:
+    """The weekly pairs from the oracle's own weeks; expected is one handoff more where the Monday's day is odd."""
+    return f"""SELECT COALESCE(w.semana, e.semana) AS semana, w.ho, e.ho AS expected_ho, w.app, e.app AS expected_app,
+  COALESCE(w.ho = e.ho AND w.app = e.app, FALSE) AS same,
+  ABS(w.cr_ho - 83) <= 10 AS cr_ho_near, ABS(w.cr_app - 78) <= 10 AS cr_app_near
+FROM ({qa_funnel_weeks_sql()}) w
+FULL JOIN (SELECT semana, ho + day(semana) % 2 AS ho, app FROM ({qa_funnel_weeks_sql()}) WHERE semana >= DATE '2001-03-12') e
+USING (semana)"""

@@ -91,6 +91,7 @@ SQL["period_labels"] = OB.period_labels_sql()
 SQL["qa_recent_weeks"] = OB.qa_recent_weeks_sql()
 SQL["qa_period_totals"] = OB.qa_period_totals_sql()
 SQL["qa_funnel_weeks"] = OB.qa_funnel_weeks_sql()
+SQL["qa_funnel_expected"] = OB.qa_funnel_expected_sql()
 SQL["qa_dim_row"] = OB.qa_dim_row_sql()
 SQL["kpi_from_daily_events"] = "\nUNION ALL\n".join(
     f"SELECT '{kind}' AS period_kind, * FROM ({OK.kpi_period_sql(kind)})" for kind in ("mtd", "lmtd")

@@ -79,6 +79,21 @@ def test_refresh_with_payments_over_stored_snapshots(spark, tables):
     assert read_published(spark, other, "payment_dim").count() == 0
 
 
+def test_one_scan_of_the_bookings(spark, tables):
+    """Every report reads the rows that the refresh kept, and they are the same."""
+    from cierre.params import FIXTURE_PARAMS as P
+    from cierre.refresh import build_reports
+    from cierre.sources.schema import read_bookings, read_inventory
+
+    b, i = read_bookings(spark, f"{tables}/bookings"), read_inventory(spark, f"{tables}/inventory")
+    v = spark.read.parquet(f"{tables}/verdicts")
+    kept, plain = build_reports(b, i, P, v), build_reports(b, i, P, v, checkpoint=False)
+    assert set(kept) == set(plain)
+    for name, df in kept.items():
+        assert "bookings" not in df._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect())), name
+
+
 def test_submitted_job_keeps_the_submitters_settings(tables):
     """The command line in a driver of its own: master and partitions stay as submitted."""
     code = ("import sys; from cierre.__main__ import main; from pyspark.sql import SparkSession; "
