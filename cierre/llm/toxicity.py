@@ -96,55 +96,52 @@ def allowed(length: int, stem: bool) -> int:
 
 
 class Levenshtein:
-    """The automaton of one word: a state holds, for each number of letters read,
-    the least edits so far, up to the limit."""
+    """The automaton of one word. A state is how many letters are read and how many
+    edits were made; all its ways are open at once, as those of an automaton that is
+    not made deterministic: for few edits most of them end after a letter or two."""
+
+    __slots__ = ("word", "limit")
 
     def __init__(self, word: str, limit: int):
         self.word, self.limit = word, limit
 
-    def start(self) -> dict[int, int]:
-        return {i: i for i in range(min(len(self.word), self.limit) + 1)}
-
-    def step(self, state: dict[int, int], letter: str) -> dict[int, int]:
-        """After the trie's letter: match, substitution, letter left out, letter added."""
-        out: dict[int, int] = {}
-        for i, e in state.items():
-            if e < self.limit and e + 1 < out.get(i, self.limit + 1):
-                out[i] = e + 1
-            if i < len(self.word):
-                cost = e + (self.word[i] != letter)
-                if cost <= self.limit and cost < out.get(i + 1, self.limit + 1):
-                    out[i + 1] = cost
-        for i in sorted(out):
-            e = out[i]
-            while i < len(self.word) and e < self.limit:
-                i, e = i + 1, e + 1
-                if e >= out.get(i, self.limit + 1):
-                    break
-                out[i] = e
-        return out
-
-    def edits(self, state: dict[int, int], stem: bool) -> int | None:
+    def edits(self, read: int, made: int, stem: bool) -> int | None:
         """Least edits if the term ends here; a stem leaves the word's rest free."""
-        return min(state.values(), default=None) if stem else state.get(len(self.word))
+        made += 0 if stem else len(self.word) - read
+        return made if made <= self.limit else None
+
+    def walk(self, root: Trie) -> Iterator[tuple[Trie, int]]:
+        """The intersection with a trie: (node with a term, edits), by depth first."""
+        word, limit, size = self.word, self.limit, len(self.word)
+        stack = [(root, 0, 0)]
+        while stack:
+            node, read, made = stack.pop()
+            if node.term is not None:
+                edits = self.edits(read, made, node.stem)
+                if edits is not None:
+                    yield node, edits
+            letter = word[read] if read < size else None
+            child = node.next.get(letter)
+            if child is not None:
+                stack.append((child, read + 1, made))
+            if made < limit:
+                made += 1
+                if letter is not None:
+                    stack.append((node, read + 1, made))  # a letter added in the word
+                for other, child in node.next.items():
+                    stack.append((child, read, made))  # a letter left out
+                    if letter is not None and other != letter:
+                        stack.append((child, read + 1, made))  # another letter
 
 
 def lookup(root: Trie, word: str, limit: int = 1) -> tuple[str, float, int] | None:
     """The best term for a word: (term, weight, edits), the fewest edits first."""
-    automaton, best = Levenshtein(word, limit), None
-    stack = [(root, automaton.start())]
-    while stack:
-        node, state = stack.pop()
-        if node.term is not None:
-            edits = automaton.edits(state, node.stem)
-            if edits is not None and edits <= allowed(node.length, node.stem):
-                rank = (edits, -node.weight, node.term)
-                if best is None or rank < best:
-                    best = rank
-        for letter, child in node.next.items():
-            after = automaton.step(state, letter)
-            if after:
-                stack.append((child, after))
+    best = None
+    for node, edits in Levenshtein(word, limit).walk(root):
+        if edits <= allowed(node.length, node.stem):
+            rank = (edits, -node.weight, node.term)
+            if best is None or rank < best:
+                best = rank
     return (best[2], -best[1], best[0]) if best else None
 
 
