@@ -186,6 +186,25 @@ def _q_funnel_lmtd(spark, sf):
     return FN.funnel_period(_b(spark, sf), P, "lmtd")
 
 
+from cierre.operators import funnel_days as FD  # noqa: E402
+
+
+@register("funnel_weekly_from_days")
+def _q_funnel_weekly_from_days(spark, sf):
+    """The weekly funnel as unions of daily bitmaps."""
+    return FD.funnel_weekly_of(FD.days_of(_b(spark, sf), P), P)
+
+
+@register("funnel_mtd_from_days")
+def _q_funnel_mtd_from_days(spark, sf):
+    return FD.funnel_period_of(FD.days_of(_b(spark, sf), P), P, "mtd")
+
+
+@register("funnel_lmtd_from_days")
+def _q_funnel_lmtd_from_days(spark, sf):
+    return FD.funnel_period_of(FD.days_of(_b(spark, sf), P), P, "lmtd")
+
+
 @register("funnel_by_week_month")
 def _q_funnel_by_week_month(spark, sf):
     return FN.funnel_by_week_month(FN.funnel_weekly(_b(spark, sf), P))

@@ -47,6 +47,8 @@ SQL["funnel_weekly"] = OF.funnel_weekly_sql()
 SQL["funnel_app_sale_weekly"] = OF.funnel_app_sale_weekly_sql()
 SQL["funnel_mtd"] = OF.funnel_period_sql("mtd")
 SQL["funnel_lmtd"] = OF.funnel_period_sql("lmtd")
+SQL["funnel_weekly_from_days"] = SQL["funnel_weekly"]
+SQL["funnel_mtd_from_days"], SQL["funnel_lmtd_from_days"] = SQL["funnel_mtd"], SQL["funnel_lmtd"]
 SQL["funnel_by_week_month"] = OF.funnel_by_week_month_sql()
 SQL["funnel_kpi"] = OF.funnel_kpi_sql()
 SQL["funnel_by_ti"] = OF.funnel_by_ti_sql()
