@@ -96,30 +96,35 @@ def _license_sql() -> str:
     names = [(lic, n) for lic, ns in licenses.mention_names().items() for n in ns]
     fixed = [*((i, s) for i, s in licenses.SENTENCES.items()),
              ("apache-copy", licenses.SENTENCES["apache-copy"] + " " + licenses.APACHE_URL)]
-    rules = [(lic, licenses.STRENGTHS.index(s), " ".join(ids)) for lic, s, ids in licenses.LONG_RULES]
+    spaced = lambda ids: "".join(f" {i} " for i in ids)
+    # A rule yields inside a longer one of another licence: it must hold more often than that one does.
+    longer = lambda lic, ids: next((spaced(o) for other, _, o in licenses.LONG_RULES
+                                    if other != lic and len(o) > len(ids) and licenses.places(o, ids)), "|")
+    rules = [(lic, licenses.STRENGTHS.index(s), spaced(ids), longer(lic, ids)) for lic, s, ids in licenses.LONG_RULES]
     cuts = " UNION ALL ".join(
         f"SELECT doc_id, '{how}' AS how, regexp_split_to_array(coalesce(text, ''), '{pattern}') AS parts FROM documents"
         for how, pattern in licenses.CUT.items())
     plain = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))".format
+    times = "((length(found.ids) - length(replace(found.ids, {0}, ''))) // length({0}))".format
     one = lambda xs: _values([(x,) for x in xs])
     return f"""
 WITH names(lic, name) AS ({_values(names)}), fixed(ident, sentence) AS ({_values(fixed)}),
 subjects(s) AS ({one(licenses.SUBJECTS)}), verbs(v) AS ({one(licenses.VERBS)}), terms(t) AS ({one(licenses.TERMS)}),
-long_rules(lic, strength, ids) AS ({_values(rules)}),
+long_rules(lic, strength, ids, longer) AS ({_values(rules)}),
 known AS (
   SELECT DISTINCT {plain("sentence")} AS sentence, ident FROM fixed
   UNION SELECT {plain("s || ' ' || v || ' ' || t || ' ' || name")}, 'names-' || lower(lic) FROM subjects, verbs, terms, names
   UNION SELECT {plain("'SPDX-License-Identifier: ' || name")}, 'names-' || lower(lic) FROM names),
 rules AS (
-  SELECT lic, strength, ids FROM long_rules UNION SELECT lic, 2, 'names-' || lower(lic) FROM names),
+  SELECT lic, strength, ids, longer FROM long_rules UNION SELECT lic, 2, ' names-' || lower(lic) || ' ', '|' FROM names),
 parts AS (
   SELECT doc_id, how, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos FROM ({cuts})),
 found AS (
-  SELECT doc_id, how, count(*) AS n, string_agg(ident, ' ' ORDER BY pos) AS ids
+  SELECT doc_id, how, count(*) AS n, string_agg(' ' || ident || ' ', '' ORDER BY pos) AS ids
   FROM parts JOIN known ON {plain("part")} = known.sentence GROUP BY doc_id, how),
 held AS (
   SELECT doc_id, lic, min(strength) AS strength
-  FROM found JOIN rules ON contains(' ' || found.ids || ' ', ' ' || rules.ids || ' ') GROUP BY doc_id, lic),
+  FROM found JOIN rules ON {times("rules.ids")} > {times("rules.longer")} GROUP BY doc_id, lic),
 listed AS (
   SELECT doc_id, count(*) AS n, string_agg(lic || ':' || ['full', 'notice', 'mention'][strength + 1], ',' ORDER BY lic) AS licenses
   FROM held GROUP BY doc_id),
