@@ -61,6 +61,7 @@ WINDOW = 4
 #: Letters, with digits and signs inside that stand for letters, and inner apostrophes.
 WORD = regex.compile(r"[\p{L}\p{M}\p{N}@$]+(?:['’*][\p{L}\p{M}\p{N}]+)*")
 QUOTES = "\"“”„«»‘"
+_QUOTE = regex.compile(f"[{QUOTES}]")
 #: Words that report speech (a fixed list; English, German, French, Spanish).
 REPORTING = frozenset(
     "said says say called calls quoted quote quotes wrote writes word term insult insulted slur "
@@ -126,11 +127,15 @@ class Levenshtein:
                 stack.append((child, read + 1, made))
             if made < limit:
                 made += 1
+                free, after = made < limit, word[read + 1] if read + 1 < size else None
                 if letter is not None:
                     stack.append((node, read + 1, made))  # a letter added in the word
+                # With no edit left, a state that neither ends a term nor goes on with the next letter is dead.
                 for other, child in node.next.items():
-                    stack.append((child, read, made))  # a letter left out
-                    if letter is not None and other != letter:
+                    ends = free or child.term is not None
+                    if ends or letter in child.next:
+                        stack.append((child, read, made))  # a letter left out
+                    if letter is not None and other != letter and (ends or after in child.next):
                         stack.append((child, read + 1, made))  # another letter
 
 
@@ -154,23 +159,29 @@ class Lexicon:
 
     def clear(self) -> None:
         self.root, self.known, self.tokens = Trie(), {}, {}
-        self.heads: dict[str, set[int]] = {}
-        self.tails: dict[str, set[int]] = {}
-        self.inner, self.short = set(), set()
+        exact, starts, heads, tails, inner = set(), {}, {}, {}, {}
         for term, weight in self.terms.items():
             self.root.add(term, weight)
             letters, stem = term.rstrip("*"), term.endswith("*")
-            if not allowed(len(letters), stem):
-                self.short.add(letters[:4])
+            size, half = len(letters), len(letters) // 2
+            if not allowed(size, stem):
+                if stem:
+                    starts.setdefault(size, set()).add(letters)
+                else:
+                    exact.add(letters)
                 continue
-            # One edit leaves the head or the tail as it is (of a stem: the head or what follows it).
+            # One edit leaves the first or the second half as it is.
+            first, second = letters[:half], letters[half:]
             if stem:
-                self.short.add(letters[:3])
-                self.inner.add(letters[3:6])
+                starts.setdefault(half, set()).add(first)
+                for at in (half - 1, half, half + 1):
+                    inner.setdefault((at, at + size - half), set()).add(second)
             else:
-                near = set(range(len(letters) - 1, len(letters) + 2))
-                self.heads.setdefault(letters[:2], set()).update(near)
-                self.tails.setdefault(letters[-2:], set()).update(near)
+                near = range(size - 1, size + 2)
+                heads.setdefault(half, {}).setdefault(first, set()).update(near)
+                tails.setdefault(half - size, {}).setdefault(second, set()).update(near)
+        self.exact = exact
+        self.starts, self.heads, self.tails, self.inner = (tuple(x.items()) for x in (starts, heads, tails, inner))
 
     def __getstate__(self):
         return self.terms
@@ -180,10 +191,23 @@ class Lexicon:
         self.clear()
 
     def may_match(self, w: str) -> bool:
-        n, short, inner = len(w), self.short, self.inner
-        return (n in self.heads.get(w[:2], ()) or n in self.tails.get(w[-2:], ())
-                or w[:1] in short or w[:2] in short or w[:3] in short or w[:4] in short
-                or w[2:5] in inner or w[3:6] in inner or w[4:7] in inner)
+        """False only for words that no term is near enough to."""
+        if w in self.exact:
+            return True
+        for n, found in self.starts:
+            if w[:n] in found:
+                return True
+        size = len(w)
+        for n, found in self.heads:
+            if size in found.get(w[:n], ()):
+                return True
+        for n, found in self.tails:
+            if size in found.get(w[n:], ()):
+                return True
+        for (a, b), found in self.inner:
+            if w[a:b] in found:
+                return True
+        return False
 
     def holds(self, token: str) -> bool:
         """Whether what white space separates has a word that meets a term."""
@@ -241,7 +265,7 @@ def _hits(low: str, lexicon: Lexicon) -> list[tuple[str, float, int, bool, int,
             marks = 0  # a quotation doesn't reach over a line
             between = between.rpartition("\n")[2]
         if between != " ":
-            marks += sum(between.count(q) for q in QUOTES)
+            marks += len(_QUOTE.findall(between))
         at = m.end()
         w = m.group()
         got = lexicon.find(w)
