@@ -9,7 +9,8 @@ get their exact score.
 
 The stated queries are searched against all rows in blocks: query blocks and
 vector blocks of fixed size meet once each, in one task, and leave k rows for
-each query there.
+each query there. Vector blocks are dealt out over keys, a few blocks each, and a
+copy of the queries goes to every key; no key grows with the table.
 
 Defined results: components are floor(scale * x). Vectors that are null or hold
 a null or non-finite component, and rows without id, take no part; vectors are
@@ -35,6 +36,7 @@ from cierre.session import cut_lineage
 LEVELS = (1, 4, 16)
 QUERIES_PER_BLOCK = 1024
 VECTORS_PER_BLOCK = 8192
+BLOCKS_PER_KEY = 4
 _BLOCK = "dim int, block long, asked long, payload binary"
 _FOUND = "query_id long, query_row long, vec_id long, score long"
 
@@ -148,8 +150,12 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     groups = 1 + n_queries // QUERIES_PER_BLOCK
     queries = (blocks.filter("asked > 0").mapInArrow(pick, _BLOCK)
                .groupBy("dim", F.pmod(F.xxhash64("block"), F.lit(groups))).applyInArrow(gather, _BLOCK))
-    pairs = blocks.select("dim", "block", F.col("payload").alias("x")).join(
-        queries.select("dim", F.col("block").alias("asking"), F.col("payload").alias("q")), "dim")
+    # The queries go to the vectors: a copy of each group to every few blocks, which share a key.
+    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = max(n, 1 + blocks.count() // BLOCKS_PER_KEY)
+    stored = blocks.select("dim", F.pmod(F.xxhash64("block"), F.lit(keys)).alias("part"), F.col("payload").alias("x"))
+    copied = queries.select("dim", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(keys - 1).cast("bigint"))).alias("part"), F.col("payload").alias("q"))
+    pairs = stored.join(copied, ["dim", "part"]).select("dim", "x", "q")
 
     def search(batches):
         for batch in batches:
@@ -159,9 +165,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
                 if out:
                     yield X.record(_FOUND, *zip(*out))
 
-    n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = pairs.repartition(n, "block", "asking").select("dim", "x", "q")
-    found = spread.mapInArrow(search, _FOUND)
+    found = pairs.mapInArrow(search, _FOUND)
     w = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), F.asc("vec_id"))
     best = found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")

@@ -100,3 +100,15 @@ def test_components_of_chains_and_stars(spark):
     got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert {got[i] for i in range(101)} == {0} and {got[i] for i in range(200, 260)} == {200} and got[301] == 300
     assert graph.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_hubs_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(graph, "MANY", 3)
+    monkeypatch.setattr(graph, "PARTS", 5)
+    rng = np.random.default_rng(5)
+    edges = [(0, k) for k in range(1, 80)] + [(500, 500 + k) for k in range(1, 40)] + [(60, 530), (900, 901)]
+    edges += [tuple(map(int, rng.integers(1000, 1400, 2))) for _ in range(300)]
+    got = dict(map(tuple, graph.components(spark.createDataFrame(edges, "a long, b long").repartition(3)).collect()))
+    a, b = map(np.array, zip(*edges))
+    root = graph.local_roots(2000, a, b)
+    assert got == {n: int(root[n]) for e in edges if e[0] != e[1] for n in e}

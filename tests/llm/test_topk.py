@@ -45,3 +45,22 @@ def test_fewer_candidates_than_k_and_empty_table(spark):
     few = [(0, [1.0, 2.0]), (1, [0.5, 0.5])]
     assert sorted(map(tuple, topk.top_k(frame(spark, few), F.col("vec_id") % 50 == 0).collect())) == brute(few)
     assert topk.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_many_blocks_and_query_groups(spark, rows, monkeypatch):
+    monkeypatch.setattr(topk, "VECTORS_PER_BLOCK", 7)
+    monkeypatch.setattr(topk, "QUERIES_PER_BLOCK", 3)
+    got = topk.top_k(frame(spark, rows), F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, got.collect())) == brute(rows)
+
+
+def test_no_join_on_the_length_alone(spark, rows):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = topk.top_k(frame(spark, rows), F.col("vec_id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 1 and "[dim#" in joins[0] and "part#" in joins[0]
