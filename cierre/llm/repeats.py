@@ -108,9 +108,19 @@ def anchor_runs(body: bytes, begin: np.ndarray, lens: np.ndarray) -> tuple[np.nd
 
 def _first(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, each one's smallest value, and each row's place."""
-    distinct, place = np.unique(keys, return_inverse=True)
-    low = np.full(len(distinct), X.NO_ID, np.int64)
-    np.minimum.at(low, place, values)
+    n = len(keys)
+    if not n:
+        return keys, np.empty(0, np.int64), np.empty(0, np.int32)
+    order = np.argsort(keys).astype(np.int32 if n < 1 << 31 else np.int64)
+    ranked = keys[order]
+    new = np.ones(n, bool)
+    new[1:] = ranked[1:] != ranked[:-1]
+    first = np.flatnonzero(new)
+    distinct = ranked[first]
+    del ranked
+    low = np.minimum.reduceat(values[order], first)
+    place = np.empty(n, order.dtype)
+    place[order] = np.cumsum(new, dtype=order.dtype) - 1
     return distinct, low, place
 
 
@@ -126,12 +136,13 @@ class Texts:
     def windows(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and names of the windows that start in the ranges."""
         buf = np.frombuffer(self.body, np.uint8)
-        at, names = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+        kind = np.int32 if len(buf) < 1 << 30 else np.int64
+        at, names = [np.empty(0, kind)], [np.empty(0, np.uint64)]
         for a, b in zip(starts.tolist(), ends.tolist()):
             for s in range(a, b, _SEGMENT):
                 e = min(s + _SEGMENT, b)
                 names.append(refine(*gram_names(buf[s : e + LENGTH - 1])))
-                at.append(np.arange(s, e))
+                at.append(np.arange(s, e, dtype=kind))
         return np.concatenate(at), np.concatenate(names)
 
     def without(self, k: int, spans: list[tuple[int, int]]) -> bytes:
@@ -163,7 +174,7 @@ def _each(fn):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in X.each_row(batches):
             yield from fn(row)
-        give_back()
+            give_back()
 
     return run
 
@@ -243,6 +254,8 @@ def _search(blocks: DataFrame, tell, schema) -> DataFrame:
         first = np.flatnonzero(new)
         held = 1 + np.add.reduceat(other, first, dtype=np.uint64) if len(first) else np.empty(0, np.uint64)
         yield from X.request_rows(row["block"], name[first], np.minimum(held, 2).astype(np.uint64), many)
+        del name, doc, new, other, order
+        give_back()
 
     many = X.bucket_count(blocks, bytes_per_key=13)
     with_copies = X.with_answers(blocks, copies)
@@ -269,8 +282,13 @@ def _search(blocks: DataFrame, tell, schema) -> DataFrame:
         t = Texts(row["payload"])
         start, end, _ = X.unpack(row["ranges"])
         at, name = t.windows(start, end)
-        keys, low, _ = _first(name, t.ids[t.doc_of(at)])
+        ids = t.ids[t.doc_of(at)]
+        del at
+        keys, low, _ = _first(name, ids)
+        del name, ids
         yield from X.request_rows(row["block"], keys, low, some)
+        del keys, low
+        give_back()
 
     some = X.bucket_count(blocks, bytes_per_key=8)
     windows = X.exchange(ranged, ask_windows, some, "min")
