@@ -26,24 +26,23 @@ import json
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cierre.llm import byte_ids
 from cierre.llm import exchange as X
-from cierre.llm.ship import ship
+from cierre.llm.ship import give_back, ship
 from cierre.session import cut_lineage
 
 CAPACITY = 2048
 CLOSING_ID = 0
 _PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PLAN = "length long, first long, last long, sequence long, copies long, place long"
-#: Words that a task remembers the ids of before it starts afresh.
-_REMEMBERED = 400_000
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
@@ -61,7 +60,7 @@ class Encoder:
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
@@ -73,11 +72,17 @@ class Encoder:
             {"type": "WhitespaceSplit"},
             {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
         self.merges = Tokenizer.from_str(json.dumps(spec))
+        model = spec["model"]
+        if model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "byte_fallback", "ignore_merges")):
+            # Words met once only fill the library's cache.
+            pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
+            names = ("unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk")
+            self.merges.model = models.BPE(vocab=model["vocab"], merges=pairs, cache_capacity=0,
+                                           **{k: model[k] for k in names if model.get(k)})
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.words: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.words, self.known = byte_ids.Recent(), byte_ids.Recent()
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -106,25 +111,30 @@ class Encoder:
             else:
                 other.append(s)
         self.known.update(zip(other, self._encode(other)))
-        if len(self.words) > _REMEMBERED:
-            self.words.clear()
-        self._learn_words(list(filterfalse(self.words.__contains__, {w for p in parts for w in p})))
+        self._learn_words(self.words.missing(list({w for p in parts for w in p})))
         words = self.words
         self.known.update(zip(plain, [words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p]) for p in parts]))
 
     def forget(self) -> None:
-        """A worker lives on after its task; the words stay, which cost most to encode."""
-        self.known.clear()
+        """A worker lives on after its task, which should not hold its memory."""
+        self.words, self.known = byte_ids.Recent(), byte_ids.Recent()
+
+    def batch(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts (none of them null) in a row, and where each text's
+        begin (and the end). Each distinct stretch of all texts is looked up once."""
+        parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        offsets = parts.offsets.to_numpy().astype(np.int64)
+        held = parts.flatten().dictionary_encode()
+        stretches = held.dictionary.to_pylist()
+        self._learn(self.known.missing(stretches))
+        ids, sizes = byte_ids.gather(list(map(self.known.__getitem__, stretches)), held.indices.to_numpy().astype(np.int64))
+        return ids, byte_ids.by_text(sizes, offsets - offsets[0])
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) > _REMEMBERED:
-            self.known.clear()
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn(filterfalse(self.known.__contains__, set().union(*split)))
-        known = self.known
-        for s in split:
-            yield b"".join([known[w] for w in s])
+        ids, at = self.batch(pa.array(texts, pa.string()))
+        raw, at = ids.tobytes(), (4 * at).tolist()
+        return (raw[a:b] for a, b in zip(at, at[1:]))
 
 
 def encoder(definition: str) -> Encoder:
@@ -147,18 +157,21 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(definition.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part, rows = batch.slice(a, 256), []
-                for i, ids in zip(part.column(0).to_pylist(), enc.ids([t or "" for t in part.column(1).to_pylist()])):
-                    ids += closing
+            for a in range(0, batch.num_rows, 1024):
+                part, rows = batch.slice(a, 1024), []
+                found, at = enc.batch(part.column(1))
+                at = at.tolist()
+                for d, i in enumerate(part.column(0).to_pylist()):
+                    ids = found[at[d] : at[d + 1]].tobytes() + closing
                     n = len(ids) // 4
                     for k, start in enumerate(range(0, n, capacity)):
                         end = min(start + capacity, n)
                         rows.append((i, k, start, end - start, zlib.crc32(ids[4 * start : 4 * end])))
                 yield X.record(_PIECE, *zip(*rows))
         enc.forget()
+        give_back()
 
-    picked = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    picked = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
     return picked.mapInArrow(run, _PIECE)
 
 
