@@ -104,3 +104,23 @@ def test_empty_change(spark):
     INC.update(spark, root, make_bookings(spark, [dict(booking_id=1, fecha_venta_declarada=date(2001, 4, 3))]))
     INC.update(spark, root, make_bookings(spark, []))
     assert INC.reports(spark, root, P)["weekly_hub_str"].count() == 1
+
+
+def test_command_line(spark, tmp_path):
+    from cierre.__main__ import main
+
+    rng = random.Random(11)
+    table = {n: [_row(rng, n)] for n in range(30)}
+    make_bookings(spark, [r for rows in table.values() for r in rows]).write.parquet(f"{tmp_path}/all")
+    table[3], table[40] = [_row(rng, 3)], [_row(rng, 40)]
+    gone = table.pop(7)
+    make_bookings(spark, table[3] + table[40]).write.parquet(f"{tmp_path}/changed")
+    spark.createDataFrame([(gone[0]["booking_id"],)], "booking_id long").write.parquet(f"{tmp_path}/removed")
+    common = ["--state", f"{tmp_path}/state", "--as-of", P.as_of.isoformat(), "--weeks-start", P.weeks_start.isoformat(),
+              "--out", f"{tmp_path}/out"]
+    assert main([*common, "--changed", f"{tmp_path}/all"]) == 0
+    assert main([*common, "--changed", f"{tmp_path}/changed", "--removed", f"{tmp_path}/removed"]) == 0
+    _same_as_full(spark, f"{tmp_path}/state", table)
+    assert sorted(r.dataset for r in IO.manifest(spark, f"{tmp_path}/out").collect()) == sorted(INC.reports(spark, f"{tmp_path}/state", P))
+    with pytest.raises(SystemExit):
+        main([*common, "--changed", ""])
