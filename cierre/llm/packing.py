@@ -146,8 +146,9 @@ def encoder(definition: str) -> Encoder:
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
-    """Each document's pieces: ``_PIECE``."""
+           text_col: str = "text", release: bool = False) -> DataFrame:
+    """Each document's pieces: ``_PIECE``. With ``release`` workers drop the tokenizer
+    after each task, as one stage of many should."""
     spark = docs.sparkSession
     ship(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -169,6 +170,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
                         rows.append((i, k, start, end - start, zlib.crc32(ids[4 * start : 4 * end])))
                 yield X.record(_PIECE, *zip(*rows))
         enc.forget()
+        if release:
+            _ENCODERS.clear()
+            del enc
         give_back()
 
     picked = docs.select(F.col(id_col).cast("long"), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
@@ -264,6 +268,6 @@ def packed(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", release: bool = False) -> DataFrame:
     """Tokenize, cut and pack all documents; one row for each piece."""
-    return packed(pieces(docs, tokenizer_path, capacity, id_col, text_col), capacity)
+    return packed(pieces(docs, tokenizer_path, capacity, id_col, text_col, release), capacity)
