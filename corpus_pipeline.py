@@ -49,7 +49,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of at most 2048 tokens."""
     import public_tokenizers
 
-    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048)
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=2048, release=True)
 
 
 STAGES = [("toxicity", drop_toxic), ("quality", drop_poor), ("near_copies", drop_near_copies),
