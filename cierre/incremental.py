@@ -111,7 +111,9 @@ def update(spark: SparkSession, root: str, changed: DataFrame, removed: DataFram
     log, gone = given, []
     if len(logs) >= MAX_RUNS:
         whole = versions(spark, logs).unionByName(given.select(*_names()))
-        newest = F.max("seq").over(Window.partitionBy("booking_id"))
+        # Rows without an id all stay; a hash of the row spreads them.
+        spread = F.when(F.col("booking_id").isNull(), F.xxhash64(*_names()))
+        newest = F.max("seq").over(Window.partitionBy("booking_id", spread))
         log = whole.withColumn("_newest", newest).filter("(booking_id IS NULL OR seq = _newest) AND NOT gone").drop("_newest")
         gone = [r["dataset"] for r in logs]
     written = IO.write_all({"events": counted}, root)
