@@ -257,7 +257,7 @@ def _search(blocks: DataFrame, tell, schema) -> DataFrame:
         del name, doc, new, other, order
         give_back()
 
-    many = X.bucket_count(blocks, bytes_per_key=13)
+    many = X.bucket_count(blocks, bytes_per_key=6)
     with_copies = X.with_answers(blocks, copies)
     anchors = X.exchange(with_copies, ask_anchors, many, "sum")
 
@@ -290,7 +290,7 @@ def _search(blocks: DataFrame, tell, schema) -> DataFrame:
         del keys, low
         give_back()
 
-    some = X.bucket_count(blocks, bytes_per_key=8)
+    some = X.bucket_count(blocks, bytes_per_key=2)
     windows = X.exchange(ranged, ask_windows, some, "min")
 
     def finish(row):
