@@ -1,8 +1,4 @@
-"""Labelled samples and small linear models for the classifiers.
-
-Only the fit sees a sample, of a documented bound; it is made of small feature
-rows, on the driver. Scoring covers every document.
-"""
+"""Labels and small linear models for the classifiers. Scoring covers every document."""
 
 from __future__ import annotations
 
@@ -16,14 +12,21 @@ def crc_mod(id_col: Column, mod: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("long").cast("string").cast("binary")), F.lit(mod))
 
 
-def labelled_ids(labels: DataFrame, label: str, mod: int, bound: int) -> DataFrame:
-    """(doc_id, label) of at most ``bound`` rows to learn from: those that are not
-    held out, by the order of a hash of the id. Of rows with one id the greatest
-    label counts; rows without id or label don't."""
+def not_held_out(id_col: Column, mod: int) -> Column:
+    return crc_mod(id_col, mod) != 0
+
+
+def known_labels(labels: DataFrame, label: str, mod: int) -> DataFrame:
+    """(doc_id, label) of all rows to learn from: those that are not held out. Of rows
+    with one id the greatest label counts; rows without id or label don't."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
-    known = known.filter(F.col("label").isNotNull() & (crc_mod(F.col("doc_id"), mod) != 0))
-    once = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    return once.orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
+    known = known.filter(F.col("label").isNotNull() & not_held_out(F.col("doc_id"), mod))
+    return known.groupBy("doc_id").agg(F.max("label").alias("label"))
+
+
+def labelled_ids(labels: DataFrame, label: str, mod: int, bound: int) -> DataFrame:
+    """At most ``bound`` of ``known_labels``, by the order of a hash of the id."""
+    return known_labels(labels, label, mod).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
 
 
 def one_text(texts: DataFrame) -> DataFrame:
@@ -37,13 +40,15 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -60, 60)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 50) -> np.ndarray:
-    """Weights of a logistic regression by Newton's method; ``ridge`` holds them small."""
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 50, times: np.ndarray | None = None) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method; ``ridge`` holds them small.
+    ``times``: how often each row counts."""
     w = np.zeros(x.shape[1])
+    share = np.full(len(y), 1 / len(y)) if times is None else times / times.sum()
     for _ in range(steps):
         p = sigmoid(x @ w)
-        slope = x.T @ (p - y) / len(y) + ridge * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x / len(y) + ridge * np.eye(len(w))
+        slope = x.T @ ((p - y) * share) + ridge * w
+        curve = (x * (p * (1 - p) * share)[:, None]).T @ x + ridge * np.eye(len(w))
         step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-9:

@@ -4,23 +4,29 @@ A document's features describe its whole text. In a preference pair a document
 with label 1 is preferred to one with label 0; a Bradley-Terry model gives the
 preference the probability sigmoid(w . (x1 - x0)), and w minimises the logistic
 loss on the feature differences. A document's strength is w . x. Documents are
-accepted from a quantile of the strengths on: the sample's share of label 0.
-Strengths become scores from 0 to 1 by a logistic curve, set so that the
-quantile lies at ``THRESHOLD``.
-
-The fit takes at most ``SAMPLE`` labelled documents and ``PAIRS`` pairs; every
-document is scored.
+accepted from a quantile of the strengths on: the share of label 0. Strengths
+become scores from 0 to 1 by a logistic curve, set so that the quantile lies at
+``THRESHOLD``.
+
+The fit takes every labelled document that is not held out, and every pair of
+them. Their features stay in Spark; the driver sees sums. A pair's probability
+depends on two strengths only, so each step of Newton's method counts the
+documents of each label by strength, on the points of a grid (a document between
+two points counts at both by its distance), and the pairs are those of points.
+What a document adds is rounded to a multiple of 1 / ``_ONE``, so that sums don't
+depend on the order of rows.
 
 Defined results: a null or empty text has features zero and a score like any
 other; held_out is false and doc_id null for a null id; without labels of both
-kinds every score is 0.5; repeated rows are scored each; an empty table gives no
-rows; other columns are ignored.
+kinds every score is 0.5; repeated rows are scored each, and of several texts
+with one id one is learnt from; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +36,15 @@ from pyspark.sql import functions as F
 from cierre.llm import exchange as X
 from cierre.llm import learn
 from cierre.llm.ship import give_back, ship
+from cierre.session import cut_lineage
 
 HELD_OUT_MOD = 5
-SAMPLE = 8000
-PAIRS = 60_000
 THRESHOLD = 0.3
+#: Points of the grid in a unit of strength near 0; they lie apart in proportion to strengths far from it.
+_GRID = 64
+_STEPS = 25
+_CELLS = 4096
+_ONE = 1 << 20
 _PART = 1 << 20
 
 
@@ -90,51 +100,208 @@ def features(text: bytes) -> list[float]:
 
 
 def feature_rows(docs: DataFrame, keep: list[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, *keep, features) of every document; ``keep`` are int columns."""
+    """(doc_id, *keep, features) of every document; ``keep`` are long columns."""
     ship(docs.sparkSession)
-    schema = "doc_id long, " + "".join(f"{c} int, " for c in keep) + "features array<double>"
+    schema = "doc_id long, " + "".join(f"{c} long, " for c in keep) + "features array<double>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [features(t.as_py() or b"") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(rows, pa.list_(pa.float64()))],
                                              names=["doc_id", *keep, "features"])
+        give_back()
 
     picked = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string").cast("binary"), *keep)
     return picked.mapInArrow(run, schema)
 
 
+#: Of features and labels (1: good) of some documents: keys, and for each a row of whole numbers to sum.
+Part = Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
+#: Sums a part's rows by key over all documents: ascending keys and their rows.
+Total = Callable[[Part, int], tuple[np.ndarray, np.ndarray]]
+
+
+def _by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    own, first = np.unique(keys[order], return_index=True)
+    return own, np.add.reduceat(values[order], first, axis=0)
+
+
+def _total_here(x: np.ndarray, good: np.ndarray) -> Total:
+    return lambda part, width: _by_key(*part(x, good))
+
+
+def _total_of(rows: DataFrame) -> Total:
+    """Sums over (label, features): a task yields its own sums, Spark adds those up."""
+    def total(part: Part, width: int) -> tuple[np.ndarray, np.ndarray]:
+        names = [f"s{k}" for k in range(width)]
+        schema = "key long, " + ", ".join(f"{n} long" for n in names)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held = None
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
+                keys, values = part(x, batch.column(0).to_numpy() == 1)
+                if held is not None:
+                    keys, values = np.concatenate([held[0], keys]), np.concatenate([held[1], values])
+                held = _by_key(keys, values)
+            if held is not None:
+                yield X.record(schema, held[0], *held[1].T)
+
+        # As many rows as the grid has occupied points, twice at most, or as there are features or cells.
+        summed = rows.select("label", "features").mapInArrow(run, schema).groupBy("key").agg(*[F.sum(n).alias(n) for n in names]).collect()
+        table = np.array(sorted(tuple(r) for r in summed), np.int64).reshape(len(summed), width + 1)
+        return table[:, 0], table[:, 1:]
+
+    return total
+
+
+def _whole(x: np.ndarray) -> np.ndarray:
+    return np.rint(x * _ONE).astype(np.int64)
+
+
+def _strengths(x: np.ndarray, mean: np.ndarray, scale: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Added up feature by feature: the same number in whatever batch a row comes."""
+    out = np.zeros(len(x))
+    for k in range(len(w)):
+        out += (x[:, k] - mean[k]) / scale[k] * w[k]
+    return out
+
+
+def _points(strength: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The grid point at or below each strength, and how far it lies towards the next."""
+    low = np.floor(np.arcsinh(strength) * _GRID).astype(np.int64)
+    a, b = _at(low), _at(low + 1)
+    return low, np.clip((strength - a) / (b - a), 0.0, 1.0)
+
+
+def _at(point: np.ndarray) -> np.ndarray:
+    return np.sinh(point / _GRID)
+
+
+def _one_row(total: Total, of: Callable[[np.ndarray], np.ndarray], m: int, one: int = 1 << 28) -> tuple[int, int, np.ndarray]:
+    """How many documents there are, how many of label 0, and the sums of figures of the features."""
+    def part(x, good):
+        return np.zeros(len(x), np.int64), np.column_stack([np.ones(len(x), np.int64), ~good, np.rint(of(x) * one).astype(np.int64)])
+
+    _, ((n, poor, *sums),) = total(part, m + 2)
+    return int(n), int(poor), np.array(sums) / one
+
+
 class Ranking:
     """A fitted model: centre and scale of the features, weights, and the curve of scores."""
 
-    def __init__(self, x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 7):
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
-        z = (x - self.mean) / self.scale
-        rng = np.random.default_rng(seed)
-        one, zero = np.flatnonzero(good), np.flatnonzero(~good)
-        diff = z[rng.choice(one, pairs)] - z[rng.choice(zero, pairs)]
-        side = rng.integers(0, 2, pairs)  # each pair in either order, so that both outcomes occur
-        self.w = learn.logistic(np.where(side[:, None] == 1, diff, -diff), side.astype(float), ridge=1e-3)
-        strength = z @ self.w
-        self.cut = float(np.quantile(strength, len(zero) / len(x)))
-        curve = learn.logistic(np.column_stack([strength - self.cut, np.ones(len(x))]), good.astype(float), ridge=1e-4)
+    def __init__(self, x: np.ndarray, good: np.ndarray):
+        self._fit(_total_here(x, good), x.shape[1])
+
+    @classmethod
+    def of(cls, rows: DataFrame) -> Ranking | None:
+        """Of (label, features); None without both labels."""
+        counts = {r["good"]: r["n"] for r in rows.groupBy((F.col("label") == 1).alias("good")).agg(F.count(F.lit(1)).alias("n")).collect()}
+        if len(counts) < 2:
+            return None
+        model = cls.__new__(cls)
+        model._fit(_total_of(rows), len(NAMES))
+        return model
+
+    def _fit(self, total: Total, m: int) -> None:
+        n, poor, sums = _one_row(total, lambda x: x, m)
+        mean = sums / n
+        scale = np.sqrt(_one_row(total, lambda x: (x - mean) ** 2, m)[2] / n) + 1e-3
+        w = self._weights(total, mean, scale, m)
+        self.mean, self.scale, self.w = mean, scale, w
+        point, bad, one = self._counts(total)
+        self.cut = self._quantile(total, _at(point[0] - 1), _at(point[-1] + 1), poor)
+        # The curve's logistic loss, of which a point's documents are so many equal rows.
+        x = np.column_stack([_at(point) - self.cut, np.ones(len(point))])
+        curve = learn.logistic(np.concatenate([x, x]), np.repeat([0.0, 1.0], len(x)), 1e-4, times=np.concatenate([bad, one]))
         self.slope = max(float(curve[0]), 1e-3)
 
+    def _weights(self, total: Total, mean: np.ndarray, scale: np.ndarray, m: int, ridge: float = 1e-3) -> np.ndarray:
+        """Newton's method on the loss of all pairs of a document with label 1 and one with label 0."""
+        w = np.zeros(m)
+        for _ in range(_STEPS):
+            def held(x, good, w=w):
+                low, to_next = _points(_strengths(x, mean, scale, w))
+                z = np.column_stack([np.ones(len(x)), (x - mean) / scale])
+                keys = np.concatenate([2 * low + good, 2 * (low + 1) + good])
+                return keys, np.concatenate([_whole(z * (1 - to_next)[:, None]), _whole(z * to_next[:, None])])
+
+            keys, sums = total(held, m + 1)
+            sums = sums / _ONE
+            one, bad = ((_at(keys[keys % 2 == k] // 2), sums[keys % 2 == k]) for k in (1, 0))
+            pairs = one[1][:, 0].sum() * bad[1][:, 0].sum()
+            missed = learn.sigmoid(bad[0][None, :] - one[0][:, None])
+            for_one, for_bad = missed @ bad[1][:, 0], one[1][:, 0] @ missed
+            slope = (for_bad @ bad[1][:, 1:] - for_one @ one[1][:, 1:]) / pairs + ridge * w
+            # A pair's curvature is that of its difference: the squares of either document, less both products.
+            bend = missed * (1 - missed)
+            both = one[1][:, 1:].T @ bend @ bad[1][:, 1:]
+            for_good, for_poor = (one[0], bend @ bad[1][:, 0]), (bad[0], one[1][:, 0] @ bend)
+            most = max(float(for_good[1].max()), float(for_poor[1].max()))
+
+            def squares(x, good, w=w, for_good=for_good, for_poor=for_poor, most=most):
+                at = _strengths(x, mean, scale, w)
+                bent = np.where(good, np.interp(at, *for_good), np.interp(at, *for_poor)) / most
+                # Whole numbers whose products are summed exactly.
+                v = np.rint((x - mean) / scale * np.sqrt(bent)[:, None] * (1 << 12))
+                return np.arange(m), np.rint(v.T @ v).astype(np.int64)
+
+            _, bent = total(squares, m)
+            step = np.linalg.solve((bent * (most / (1 << 24)) - both - both.T) / pairs + ridge * np.eye(m), slope)
+            w = w - step
+            if np.abs(step).max() < 1e-6:
+                break
+        return w
+
+    def _counts(self, total: Total) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ascending grid points, and how many documents of label 0 and of label 1 lie at each."""
+        mean, scale, w = self.mean, self.scale, self.w
+
+        def held(x, good):
+            low, to_next = _points(_strengths(x, mean, scale, w))
+            return np.concatenate([low, low + 1]), _whole(np.column_stack([
+                np.concatenate([(1 - to_next) * kind, to_next * kind]) for kind in (~good, good)]))
+
+        point, n = total(held, 2)
+        return point, *(n / _ONE).T
+
+    def _quantile(self, total: Total, low: float, high: float, below: int) -> float:
+        """The strength that ``below`` documents of all lie under: the counts of a range's
+        cells tell the cell, which is the next range."""
+        mean, scale, w = self.mean, self.scale, self.w
+        while high - low > 1e-9 * max(1.0, abs(low), abs(high)):
+            width = (high - low) / _CELLS
+
+            def held(x, good, low=low, width=width):
+                cell = np.floor((_strengths(x, mean, scale, w) - low) / width)
+                return np.clip(cell, -1, _CELLS).astype(np.int64), np.ones((len(x), 1), np.int64)
+
+            cells, n = total(held, 1)
+            found = int(np.clip(cells[np.searchsorted(np.cumsum(n[:, 0]), below, side="right")], 0, _CELLS - 1))
+            low, high = low + found * width, low + (found + 1) * width
+        return float(low)
+
     def score(self, x: np.ndarray) -> np.ndarray:
-        strength = ((x - self.mean) / self.scale) @ self.w
+        strength = _strengths(x, self.mean, self.scale, self.w)
         return learn.sigmoid(self.slope * (strength - self.cut) + math.log(THRESHOLD / (1 - THRESHOLD)))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, label: str = "quality") -> Ranking | None:
-    """Learn from the labelled documents that are not held out; None without both labels."""
-    wanted = learn.labelled_ids(labels, label, HELD_OUT_MOD, sample)
-    # The sample is bounded by its parameter.
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(wanted), "doc_id")
-    rows = feature_rows(learn.one_text(texts), ["label"]).orderBy("doc_id").collect()
-    good = np.array([r["label"] == 1 for r in rows], bool)
-    if not len(rows) or good.all() or not good.any():
-        return None
-    return Ranking(np.array([r["features"] for r in rows]), good)
+def learning_rows(docs: DataFrame, labels: DataFrame, label: str = "quality") -> DataFrame:
+    """(doc_id, label, features) of every labelled document that is not held out. Of
+    several texts with one id the shortest counts, then the one with the least hash."""
+    text = F.col("text").cast("string")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.length(text).cast("long").alias("size"),
+                        F.xxhash64(text).alias("digest")).filter(learn.not_held_out(F.col("doc_id"), HELD_OUT_MOD))
+    known = feature_rows(texts, ["size", "digest"]).groupBy("doc_id").agg(F.min(F.struct("size", "digest", "features"))["features"].alias("features"))
+    return known.join(learn.known_labels(labels, label, HELD_OUT_MOD), "doc_id").select("doc_id", "label", "features")
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Ranking | None:
+    """Learn from all labelled documents that are not held out; None without both labels."""
+    return Ranking.of(cut_lineage(learning_rows(docs, labels, label)))
 
 
 def score(docs: DataFrame, model: Ranking | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -180,3 +180,24 @@ def test_long_quotations(fitted):
     lexicon, filler = fitted[-1].lexicon, "tormen salis priot " * 40
     text = f'"{filler}gnarfling {filler}blotzen" then gnarfling {filler}\n"gnarfling {filler}\nblotzen"'
     assert [h[3] for h in toxicity.hits(text, lexicon)] == [True, True, False, False, False]
+
+
+def test_quality_learns_from_every_label(spark):
+    """Ten thousand labels: as many rows as are not held out, a mean of all of them, and weights that minimise the loss of all pairs."""
+    rng = random.Random(4)
+    texts = [(i, " ".join(rng.choice(("salis", "tormen", "vex.", "$$$", "PRIOT")) for _ in range(rng.randint(0, 6)))) for i in range(10_000)]
+    labels = spark.createDataFrame([(i, int("$" not in t or i % 7 == 0)) for i, t in texts], "doc_id long, quality int")
+    docs = documents(spark, texts, long=False)
+    rows = quality.learning_rows(docs, labels).orderBy("doc_id").collect()
+    assert [r["doc_id"] for r in rows] == [i for i, _ in texts if zlib.crc32(str(i).encode()) % 5]
+    x, good = np.array([r["features"] for r in rows]), np.array([r["label"] == 1 for r in rows])
+    model, here = quality.fit(docs, labels), quality.Ranking(x, good)
+    assert np.allclose(model.mean, x.mean(axis=0), atol=1e-6)
+    assert (model.w == here.w).all() and model.cut == here.cut and model.slope == here.slope
+    z = (x - model.mean) / model.scale
+    at = z @ model.w
+    missed = learn.sigmoid(at[~good][None, :] - at[good][:, None])
+    slope = (missed.sum(axis=0) @ z[~good] - missed.sum(axis=1) @ z[good]) / missed.size + 1e-3 * model.w
+    assert np.abs(slope).max() < 1e-4
+    ranked = np.sort(at)
+    assert model.cut == pytest.approx(ranked[(~good).sum()], abs=1e-6)
