@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cierre.plans.spread import deal_out
 from cierre.sources.schema import standardize_bookings, standardize_inventory
 
 # ---------------------------------------------------------------------------
@@ -123,12 +124,14 @@ def fixture_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``inventory_velocity`` = lineitem JOIN orders, one row per (car, day).
 
     The group key starts with ``l_orderkey``, the join key, so the aggregate
-    reuses the join's hash partitioning (no second shuffle).
+    reuses the join's hash partitioning (no second shuffle). What reports do by
+    car goes on in the same tasks, which have a bounded number of rows.
     """
     l = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_suppkey"
     )
     o = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("d"))
+    l, o = deal_out(l, "l_orderkey", o, "o_orderkey")
     j = l.join(o, l.l_orderkey == o.o_orderkey)
     g = j.groupBy(
         F.col("l_orderkey").alias("bk_stock"),
