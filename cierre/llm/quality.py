@@ -213,7 +213,9 @@ class Ranking:
         w = self._weights(total, mean, scale, m)
         self.mean, self.scale, self.w = mean, scale, w
         point, bad, one = self._counts(total)
-        self.cut = self._quantile(total, _at(point[0] - 1), _at(point[-1] + 1), poor)
+        # Between the last of as many as have label 0 and the next one, as near to that as the share of label 1.
+        last, after = (self._ranked(total, _at(point[0] - 1), _at(point[-1] + 1), k) for k in (poor - 1, poor))
+        self.cut = last + (1 - poor / n) * (after - last)
         # The curve's logistic loss, of which a point's documents are so many equal rows.
         x = np.column_stack([_at(point) - self.cut, np.ones(len(point))])
         curve = learn.logistic(np.concatenate([x, x]), np.repeat([0.0, 1.0], len(x)), 1e-4, times=np.concatenate([bad, one]))
@@ -268,7 +270,7 @@ class Ranking:
         point, n = total(held, 2)
         return point, *(n / _ONE).T
 
-    def _quantile(self, total: Total, low: float, high: float, below: int) -> float:
+    def _ranked(self, total: Total, low: float, high: float, below: int) -> float:
         """The strength that ``below`` documents of all lie under: the counts of a range's
         cells tell the cell, which is the next range."""
         mean, scale, w = self.mean, self.scale, self.w
