@@ -9,7 +9,8 @@ Groups are found by diagonal run skipping. With the arrays of ends and a
 current shift between their indices, stretches of one-to-one tokens are equal
 slices on the shifted diagonal: probes of 1, 2, 4, ... entries find how far it
 goes, halving probes find where it stops. The irregular group that follows is
-walked token by token until both end at one byte; the shift changes there.
+walked token by token until both end at one byte; the shift changes there. Many
+texts are aligned in a row: both sides of a text end at one byte.
 
 How often an A token and a B token are linked in all documents is counted in
 two steps: a block of documents counts its own pairs, Spark sums them by pair;
@@ -29,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,62 +44,89 @@ from cierre.session import cut_lineage
 BLOCK_LINKS = 1 << 20
 #: Stretches encoded in a row.
 _ROW = 1024
-_NONE = np.empty(0, np.int64)
+#: Stretches of a generation that a worker remembers the ids of.
+_REMEMBERED = 250_000
 _PAIRS: dict[str, "Pair"] = {}
 OUT = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 _BLOCK = "block long, keys binary, payload binary"
 GROUPS = "doc_id long, a_first long, a_end long, b_first long, b_end long, byte_first long, byte_end long"
 
 
-def groups(a: list[int], b: list[int]) -> tuple[list[tuple], list[tuple], list[int], list[int]]:
-    """One-to-one stretches (first in a, first in b, how many) and irregular groups
-    (first and end in a, first and end in b) of two ascending lists of ends with
-    the same last one, and the irregular groups' links (places in a and b)."""
+def irregular(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The irregular groups (first and end in a, first and end in b, a row each) of
+    two ascending arrays of ends with the same last one. All between them is
+    one-to-one."""
     n, i, j = len(a), 0, 0
-    even, odd, link_a, link_b = [], [], [], []
-    add_a, add_b = link_a.append, link_b.append
+    # Never equal, so that no stretch goes on beyond the ends.
+    a, b = [*a.tolist(), -1], [*b.tolist(), -2]
+    odd = []
+    add = odd.extend
     while i < n:
         x, y = a[i], b[j]
         if x == y:
-            k, step = 1, 2
-            # Beyond the ends slices are shorter, and equal only if both end there.
-            while i + k < n and a[i + k : i + k + step] == b[j + k : j + k + step]:
-                k += step
-                step *= 2
-            while step > 1:
-                step >>= 1
-                if a[i + k : i + k + step] == b[j + k : j + k + step]:
+            k = 1
+            if a[i + 1] == b[j + 1]:
+                k = step = 2
+                while a[i + k : i + k + step] == b[j + k : j + k + step]:
                     k += step
-            k = min(k, n - i)
-            even.append((i, j, k))
+                    step *= 2
+                while step > 1:
+                    step >>= 1
+                    if a[i + k : i + k + step] == b[j + k : j + k + step]:
+                        k += step
             i += k
             j += k
         else:
             i0, j0 = i, j
             while x != y:
-                add_a(i)
-                add_b(j)
                 if x < y:
                     i += 1
                     x = a[i]
                 else:
                     j += 1
                     y = b[j]
-            add_a(i)
-            add_b(j)
             i += 1
             j += 1
-            odd.append((i0, i, j0, j))
-    return even, odd, link_a, link_b
+            add((i0, i, j0, j))
+    return np.array(odd, np.int64).reshape(-1, 4)
+
+
+def _inside(first: np.ndarray, end: np.ndarray, n: int) -> np.ndarray:
+    """Whether each of n places lies in one of the ranges, which don't overlap."""
+    steps = np.zeros(n + 1, np.int8)
+    steps[first] += 1
+    steps[end] -= 1
+    return np.cumsum(steps[:-1], dtype=np.int8).astype(bool)
+
+
+def _links(a: np.ndarray, b: np.ndarray, odd: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Whether each end of a, and of b, ends a group; and places in a and b of the
+    links, those of one-to-one stretches and those of irregular groups."""
+    i0, i1, j0, j1 = odd.T
+    ends_a, ends_b = ~_inside(i0, i1 - 1, len(a)), ~_inside(j0, j1 - 1, len(b))
+    in_a, in_b = _inside(i0, i1, len(a)), _inside(j0, j1, len(b))
+    # In an irregular group each place where a token of either side ends links the tokens over it.
+    odd_a, odd_b, inner_b = np.flatnonzero(in_a), np.flatnonzero(in_b), np.flatnonzero(~ends_b)
+    over_a, over_b = odd_b[np.searchsorted(b[odd_b], a[odd_a])], odd_a[np.searchsorted(a[odd_a], b[inner_b])]
+    return (ends_a, ends_b, (np.flatnonzero(~in_a), np.flatnonzero(~in_b)),
+            (np.concatenate([odd_a, over_b]), np.concatenate([over_a, inner_b])))
+
+
+def groups(a: list[int], b: list[int]) -> tuple[list[tuple], list[tuple], list[int], list[int]]:
+    """One-to-one stretches (first in a, first in b, how many) and irregular groups
+    (first and end in a, first and end in b) of two ascending lists of ends with
+    the same last one, and the irregular groups' links (places in a and b)."""
+    n, a, b = len(a), np.array(a, np.int64), np.array(b, np.int64)
+    odd = irregular(a, b)
+    *_, (link_a, link_b) = _links(a, b, odd)
+    found = list(map(tuple, odd.tolist()))
+    even = [(i, j, until - i) for (_, i, _, j), (until, *_) in zip([(0, 0, 0, 0), *found], [*found, (n,)]) if until > i]
+    return even, found, link_a.tolist(), link_b.tolist()
 
 
 def _steps(x: np.ndarray, first: int) -> np.ndarray:
-    """Differences from the entry before, of the first from ``first``; ``np.diff`` takes
-    many times as long on a document's few entries."""
-    out = x.copy()
-    out[1:] -= x[:-1]
-    out[:1] -= first
-    return out
+    """Differences from the entry before, of the first from ``first``."""
+    return np.diff(x, prepend=first)
 
 
 class Pair:
@@ -119,18 +148,26 @@ class Pair:
         self.a_size, self.b_size = (np.array(list(map(len, t)), np.int64) for t in (self.a_bytes, self.b_bytes))
         n, m = len(self.a_bytes), len(self.b_bytes)
         self.n, self.m = n, m
-        self.listed = [f"{i}{mark}" for count, marks in ((n, ",|"), (m, ",;")) for mark in marks for i in range(count)]
+        # In fields of one width, zeros behind.
+        self.listed = np.array([f"{i}{mark}".encode() for count, marks in ((n, ",|"), (m, ",;")) for mark in marks for i in range(count)])
         (self.lead,) = self.b.encode(["a"])
         if not {bytes([x]) for x in range(256)} <= set(self.a_bytes):
             raise ValueError("vocabulary A has no token for some bytes")
-        self.of_a, self.of_b = byte_ids.Recent(), byte_ids.Recent()
+        self.known, self.of_a = byte_ids.Recent(_REMEMBERED), byte_ids.Recent()
 
     def forget(self) -> None:
         """A worker lives on after its task, which should not hold its memory."""
         self.a.forget()
-        self.of_a, self.of_b = byte_ids.Recent(), byte_ids.Recent()
+        self.known, self.of_a = byte_ids.Recent(_REMEMBERED), byte_ids.Recent()
 
     def _learn(self, fresh: list[str]) -> None:
+        """Both vocabularies' ids of stretches; None where B does not give one back."""
+        self.a.after_blank(self.of_a.missing(fresh), self.of_a)
+        of_b = self._learn_b(fresh)
+        self.known.update((s, (self.of_a[s], of_b[s])) for s in fresh)
+
+    def _learn_b(self, fresh: list[str]) -> dict[str, bytes | None]:
+        of_b = {}
         # A blank that follows a blank or nothing may not begin a piece of its own.
         inner = [s for s in fresh if s and s[-1] != " "]
         for at in range(0, len(inner), _ROW):
@@ -142,15 +179,16 @@ class Pair:
             last = np.minimum(np.searchsorted(ends, wanted), max(len(ends) - 1, 0))
             if found and (ends[last] == wanted).all() and whole.encode() == b"".join(map(self.b_bytes.__getitem__, found)):
                 raw, cut = ids.tobytes(), (4 * last + 4).tolist()
-                self.of_b.update(zip(some, [raw[x:y] for x, y in zip([0, *cut], cut)]))
+                of_b.update(zip(some, [raw[x:y] for x, y in zip([0, *cut], cut)]))
             else:
-                self._learn_apart(some)
-        self._learn_apart([s for s in fresh if not s or s[-1] == " "])
+                self._learn_apart(some, of_b)
+        self._learn_apart([s for s in fresh if not s or s[-1] == " "], of_b)
+        return of_b
 
-    def _learn_apart(self, fresh: list[str]) -> None:
+    def _learn_apart(self, fresh: list[str], of_b: dict[str, bytes | None]) -> None:
         for s, b in zip(fresh, self._b_ids([" " + s for s in fresh])):
             fits = b is not None and (" " + s).encode() == b"".join(map(self.b_bytes.__getitem__, b))
-            self.of_b[s] = np.array(b, np.int32).tobytes() if fits else None
+            of_b[s] = np.array(b, np.int32).tobytes() if fits else None
 
     def _b_ids(self, texts: list[str]) -> list[list[int] | None]:
         """B's ids of texts that begin with a blank. B adds one to a text, but not to an
@@ -158,53 +196,50 @@ class Pair:
         lead = len(self.lead)
         return [b[lead:] if b[:lead] == self.lead else None for b in self.b.encode(["a" + t for t in texts], num_threads=1)]
 
-    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Both vocabularies' ids of each text; none for a text without tokens."""
-        column = pa.array(texts, pa.string())
-        flat, offsets = byte_ids.cut(column) if self.local else (column, np.arange(len(texts) + 1))
+    def encoded(self, texts: pa.StringArray) -> tuple[np.ndarray, ...]:
+        """Both vocabularies' ids of all texts (none of them null) in a row, and where
+        each text's begin (and the end) in both; a text without tokens has none."""
+        flat, offsets = byte_ids.cut(texts) if self.local else (texts, np.arange(len(texts) + 1))
         held = flat.dictionary_encode()
-        words, which = held.dictionary.to_pylist(), held.indices.to_numpy().astype(np.int64)
-        self.a.after_blank(self.of_a.missing(words), self.of_a)
-        self._learn(self.of_b.missing(words))
-        of_b = list(map(self.of_b.__getitem__, words))
-        # A's single bytes are tokens, so that A gives every text back.
-        lost = np.array([b is None for b in of_b], bool)[which]
-        lost = np.add.reduceat(lost, offsets[:-1], dtype=np.int64) > 0 if len(lost) else lost
+        words, which = held.dictionary.to_numpy(zero_copy_only=False).tolist(), held.indices.to_numpy().astype(np.int64)
+        self._learn(self.known.missing(words))
+        of_a, of_b = zip(*map(self.known.__getitem__, words)) if words else ((), ())
+        keep = pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0
+        if None in of_b:
+            # A's single bytes are tokens, so that A gives every text back.
+            lost = np.array([b is None for b in of_b], bool)[which]
+            keep &= ~np.logical_or.reduceat(lost, offsets[:-1])
+            of_b = [b or b"" for b in of_b]
+        counts = np.diff(offsets)
+        which, offsets = which[np.repeat(keep, counts)], np.concatenate([[0], np.cumsum(counts * keep)])
         ids, at = [], []
-        for lists in (list(map(self.of_a.__getitem__, words)), [b or b"" for b in of_b]):
+        for lists in (of_a, of_b):
             found, sizes = byte_ids.gather(lists, which)
             ids.append(found.astype(np.int64))
-            at.append(byte_ids.by_text(sizes, offsets).tolist())
-        for k, text in enumerate(texts):
-            if text and not lost[k]:
-                yield tuple(i[x[k] : x[k + 1]] for i, x in zip(ids, at))
-            else:
-                yield _NONE, _NONE
+            at.append(byte_ids.by_text(sizes, offsets))
+        return *ids, *at
+
+    def tokens(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Both vocabularies' ids of each text; none for a text without tokens."""
+        a, b, at_a, at_b = self.encoded(pa.array(texts, pa.string()))
+        for k in range(len(texts)):
+            yield a[at_a[k] : at_a[k + 1]], b[at_b[k] : at_b[k + 1]]
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, ...]:
-        """For tokens a and b of one text: whether each token of a, and of b, ends
-        its group, and the links (places in a, places in b)."""
-        _, odd, link_a, link_b = groups(np.cumsum(self.a_size[a]).tolist(), np.cumsum(self.b_size[b]).tolist())
-        ends_a, ends_b = bytearray(b"\1") * len(a), bytearray(b"\1") * len(b)
-        for i, i_end, j, j_end in odd:
-            if i_end - i > 1:
-                ends_a[i : i_end - 1] = bytes(i_end - i - 1)
-            if j_end - j > 1:
-                ends_b[j : j_end - 1] = bytes(j_end - j - 1)
-        ends_a, ends_b = (np.frombuffer(x, np.uint8).astype(bool) for x in (ends_a, ends_b))
-        last_a, last_b = np.flatnonzero(ends_a), np.flatnonzero(ends_b)
-        even = (_steps(last_a, -1) == 1) & (_steps(last_b, -1) == 1)
-        return (ends_a, ends_b, np.concatenate([np.array(link_a, np.int64), last_a[even]]),
-                np.concatenate([np.array(link_b, np.int64), last_b[even]]))
-
-    def group_digest(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> bytes:
-        """SHA-256 of ``a1,a2|b1;a3|b2,b3``: the groups' ids in decimal."""
+        """For tokens a and b of one text, or of many in a row: whether each token of a,
+        and of b, ends its group, and the links (places in a, places in b)."""
+        at_a, at_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        ends_a, ends_b, even, odd = _links(at_a, at_b, irregular(at_a, at_b))
+        return ends_a, ends_b, *(np.concatenate(x) for x in zip(even, odd))
+
+    def listing(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> bytes:
+        """``a1,a2|b1;a3|b2,b3;``: the groups' ids in decimal, in fields of one width."""
         after_a, after_b = np.flatnonzero(ends_a) + 1, np.flatnonzero(ends_b) + 1
         size_a, size_b = _steps(after_a, 0), _steps(after_b, 0)
         out = np.empty(len(a) + len(b), np.int64)
         out[np.arange(len(a)) + np.repeat(after_b - size_b, size_a)] = a + self.n * ends_a
         out[np.arange(len(b)) + np.repeat(after_a, size_b)] = b + 2 * self.n + self.m * ends_b
-        return hashlib.sha256("".join(map(self.listed.__getitem__, out.tolist()))[:-1].encode()).digest()
+        return self.listed[out].tobytes()
 
 
 def pair_of(a_definition: str, b_model: bytes) -> Pair:
@@ -255,12 +290,12 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
         pair, block = pair_of(*vocabularies.value), TaskContext.get().partitionId() << 36
         rows, held = [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [t or "" for t in part.column(1).to_pylist()]
-                for doc_id, (a, b) in zip(part.column(0).to_pylist(), pair.tokens(texts)):
-                    rows.append((doc_id, *_figures(pair, a, b)))
-                    held += len(a) + len(b)
+            ids, texts = batch.column(0), pc.fill_null(batch.column(1).cast(pa.string()), "")
+            for first, end in _parts(pc.binary_length(texts), 4 * BLOCK_LINKS):
+                a, b, at_a, at_b = pair.encoded(texts[first:end])
+                for x, y in _parts(np.diff(at_a + at_b), BLOCK_LINKS):
+                    rows.append((ids[first + x : first + y], *_figures(pair, a, b, at_a[x : y + 1], at_b[x : y + 1])))
+                    held += int(rows[-1][1].sum() + rows[-1][2].sum())
                     if held >= BLOCK_LINKS:
                         yield _block(block, rows)
                         block, rows, held = block + 1, [], 0
@@ -271,24 +306,46 @@ def _blocks(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return docs.mapInArrow(run, _BLOCK)
 
 
-def _figures(pair: Pair, a: np.ndarray, b: np.ndarray) -> tuple:
-    """Tokens, groups, links, digest, and the distinct pairs with their counts."""
-    if not len(a):
-        return 0, 0, 0, 0, bytes(32), np.empty(0, np.int64), np.empty(0, np.int64)
+def _parts(sizes, most: int) -> Iterator[tuple[int, int]]:
+    """Stretches of rows whose sizes are ``most`` together at most; a row of a larger
+    size is one of its own."""
+    until = np.cumsum(np.asarray(sizes), dtype=np.int64)
+    first, before = 0, 0
+    while first < len(until):
+        end = max(int(np.searchsorted(until, before + most, "right")), first + 1)
+        yield first, end
+        first, before = end, int(until[end - 1])
+
+
+def _figures(pair: Pair, a: np.ndarray, b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> tuple:
+    """For texts whose tokens begin at these places: each text's tokens, groups, links
+    and digest, how many distinct pairs it has, and these with their counts."""
+    a, b, n = a[at_a[0] : at_a[-1]], b[at_b[0] : at_b[-1]], len(at_a) - 1
+    at_a, at_b = at_a - at_a[0], at_b - at_b[0]
+    # Both sides of a text end at the same byte, so a group never goes on into the next text.
     ends_a, ends_b, link_a, link_b = pair.align(a, b)
-    keys, counts = np.unique(a[link_a] << 32 | b[link_b], return_counts=True)
-    return len(a), len(b), int(ends_a.sum()), len(link_a), pair.group_digest(a, b, ends_a, ends_b), keys, counts
+    n_a, n_b = np.diff(at_a), np.diff(at_b)
+    n_groups = np.diff(np.concatenate([[0], np.cumsum(ends_a)])[at_a])
+    text = np.repeat(np.arange(n), n_a)[link_a]
+    base = pair.n * pair.m
+    keys, counts = np.unique(text * base + a[link_a] * pair.m + b[link_b], return_counts=True)
+    sizes, keys = np.bincount(keys // base, minlength=n), keys % base
+    listing, width, at = pair.listing(a, b, ends_a, ends_b), pair.listed.itemsize, (at_a + at_b).tolist()
+    # SHA-256 of ``a1,a2|b1;a3|b2,b3``.
+    digests = b"".join([hashlib.sha256(listing[x * width : y * width].translate(None, b"\0")[:-1]).digest() if x < y else bytes(32)
+                        for x, y in zip(at, at[1:])])
+    return n_a, n_b, n_groups, np.bincount(text, minlength=n), digests, sizes, keys // pair.m << 32 | keys % pair.m, counts
 
 
 def _block(block: int, rows: list[tuple]) -> pa.RecordBatch:
-    ids, n_a, n_b, n_groups, n_links, digests, keys, counts = zip(*rows)
-    sizes = np.array([len(k) for k in keys], np.int64)
+    ids, n_a, n_b, n_groups, n_links, digests, sizes, keys, counts = zip(*rows)
+    ids = pa.concat_arrays(ids)
     own, place = np.unique(np.concatenate(keys), return_inverse=True)
     times = np.concatenate(counts)
     total = np.bincount(place, times, minlength=len(own)).astype(np.int64)
-    payload = X.pack(np.array([0 if i is None else i for i in ids], np.int64), np.array([i is None for i in ids], np.uint8),
-                     *map(np.array, (n_a, n_b, n_groups, n_links)), np.frombuffer(b"".join(digests), np.uint8), sizes,
-                     X.least(place), X.least(times))
+    payload = X.pack(pc.fill_null(ids, 0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False).astype(np.uint8),
+                     *map(np.concatenate, (n_a, n_b, n_groups, n_links)), np.frombuffer(b"".join(digests), np.uint8),
+                     np.concatenate(sizes), X.least(place), X.least(times))
     return X.record(_BLOCK, [block], [X.pack(np.diff(own, prepend=0), X.least(total))], [payload])
 
 

@@ -84,22 +84,23 @@ def by_text(held: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 class Recent(dict):
     """What was learnt about stretches lately: those of two generations, of which
-    the older goes when the newer has grown to ``_REMEMBERED``."""
+    the older goes when the newer has grown to ``most``."""
 
-    def __init__(self):
+    def __init__(self, most: int = _REMEMBERED):
         super().__init__()
+        self.most = most
         self.older: dict = {}
 
     def put(self, key: str, value) -> None:
         """Add one key."""
-        if len(self) > _REMEMBERED:
+        if len(self) > self.most:
             self.older = dict(self)
             self.clear()
         self[key] = value
 
     def missing(self, keys: list[str]) -> list[str]:
         """The keys that neither generation has; those of the older one move up."""
-        if len(self) > _REMEMBERED:
+        if len(self) > self.most:
             self.older = dict(self)
             self.clear()
         fresh = list(filterfalse(self.__contains__, keys))

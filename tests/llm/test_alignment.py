@@ -131,3 +131,22 @@ def test_on_tables(spark):
     path = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, QUERIES["op12_diagonal_alignment"](spark, path).collect())) == sorted(brute(rows))
+
+
+def test_texts_in_a_row():
+    """All texts of a part are aligned at once; each text's figures are those that it has alone, whatever the parts."""
+    import numpy as np
+    import pyarrow as pa
+
+    texts = ["", *hostile(9, 400), "the end", ""]
+    pair = alignment.Pair(open(A, encoding="utf-8").read(), open(B, "rb").read())
+    a, b, at_a, at_b = pair.encoded(pa.array(texts))
+    whole = alignment._figures(pair, a, b, at_a, at_b)
+    alone = [alignment._figures(pair, *pair.encoded(pa.array([t]))) for t in texts]
+    for k in (0, 1, 2, 3, 5, 6, 7):
+        assert np.array_equal(whole[k], np.concatenate([x[k] for x in alone])), k
+    assert whole[4] == b"".join(x[4] for x in alone) and len(whole[4]) == 32 * len(texts)
+    for most in (1, 50, 10**6):
+        parts = list(alignment._parts(np.diff(at_a), most))
+        assert [p for x, y in parts for p in range(x, y)] == list(range(len(texts)))
+        assert all(y - x == 1 or at_a[y] - at_a[x] <= most for x, y in parts)
