@@ -22,6 +22,11 @@ def partitions_for(n_rows: int, cores: int, rows: int = ROWS) -> int | None:
 
 def deal_out(large: DataFrame, large_key: str, other: DataFrame, other_key: str, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join, dealt alike by their keys if ``large`` has many rows.
-    Counts ``large``, for which a table of Parquet files is not read but its footers."""
-    n = partitions_for(large.count(), large.sparkSession.sparkContext.defaultParallelism, rows)
-    return (large, other) if n is None else (large.repartition(n, large_key), other.repartition(n, other_key))
+    Counts them, for which a table of Parquet files is not read but its footers.
+    A task's rows of ``other`` are few then and are hashed, where a merge would sort
+    both sides, and each sort holds a first page of up to 64 MB."""
+    cores, n_rows = large.sparkSession.sparkContext.defaultParallelism, large.count()
+    if partitions_for(n_rows, cores, rows) is None:
+        return large, other
+    n = partitions_for(max(n_rows, other.count()), cores, rows)
+    return large.repartition(n, large_key), other.repartition(n, other_key).hint("shuffle_hash")

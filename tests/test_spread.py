@@ -36,3 +36,24 @@ def test_keys_without_rows(spark):
     assert a.rdd.getNumPartitions() == b.rdd.getNumPartitions() == 100
     joined = lambda x, y: sorted((r["v"], r["w"]) for r in x.join(y, x.k == y.j).collect())
     assert joined(a, b) == joined(left, right) and len(joined(a, b)) == 2 * len(range(1, 200, 7))
+
+
+def test_dealt_joins_hash_the_other_side(spark):
+    """No sort, whose first page is most of what a task holds; the other side's rows in a task are bounded too."""
+    keys = [*range(50), 7, 7, None]
+    left = spark.createDataFrame([(k, n) for n, k in enumerate(keys * 2)], "k long, v int")
+    right = spark.createDataFrame([(k, n) for n, k in enumerate(keys * 8)], "j long, w int")
+    a, b = spread.deal_out(left, "k", right, "j", rows=4)
+    joined = a.join(b, a.k == b.j)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+    assert a.rdd.getNumPartitions() == b.rdd.getNumPartitions() == -(-len(keys) * 8 // 4)
+    usual = left.join(right.hint("merge"), left.k == right.j)
+    assert joined.exceptAll(usual).isEmpty() and usual.exceptAll(joined).isEmpty()
+    assert joined.count() == 49 * 2 * 8 + 6 * 24
+
+
+def test_snapshots_of_many_rows_need_no_sort(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "deal_out", partial(spread.deal_out, rows=100))
+    plan = fixtures.fixture_inventory(spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
