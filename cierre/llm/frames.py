@@ -166,8 +166,8 @@ def encoded_frames(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, squeeze, seq = byte_ids.encoder(definition.value), zstandard.ZstdCompressor(level=3).compress, TaskContext.get().partitionId() << 40
         for batch in batches:
-            for a in range(0, batch.num_rows, 2048):
-                part, rows = batch.slice(a, 2048), []
+            for a, z in byte_ids.at_once(batch.column(1)):
+                part, rows = batch.slice(a, z - a), []
                 ids, at = enc.batch(part.column(1))
                 at = at.tolist()
                 for k, (i, tie) in enumerate(zip(part.column(0).to_pylist(), part.column(2).to_pylist())):

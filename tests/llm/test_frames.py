@@ -51,6 +51,26 @@ def test_ids_equal_the_library(plain):
     assert got == library(texts, plain)
 
 
+def test_letters_and_marks_are_looked_up_apart():
+    """One word with any marks is one entry, whatever stretches hold it."""
+    enc = byte_ids.Encoder(open(PATH, encoding="utf-8").read())
+    texts = ["x señor señor. señor, señor$$$ señor", "x it's señor's x.y ...", "", *(f"{c}a {c}, {c}. a{c}' {c}a{c}" for c in map(chr, range(33, 0x260)))]
+    assert [np.frombuffer(b, "<u4").tolist() for b in enc.ids(texts)] == library(texts)
+    assert sorted(s for s in enc.known if "eñor" in s) == ["señor", "señor's"]
+
+
+def test_parts_of_a_batch_are_bounded_by_their_bytes():
+    import pyarrow as pa
+
+    texts = pa.array(["aaaa", "", "é" * 3, "b" * 50, "", "c"], pa.string())
+    for most in (1, 4, 10, 56, 1000):
+        parts = list(byte_ids.at_once(texts, most))
+        assert [k for a, b in parts for k in range(a, b)] == list(range(6))
+        assert all(b - a == 1 or sum(len(t.as_py().encode()) for t in texts.slice(a, b - a)) <= most for a, b in parts)
+        assert list(byte_ids.at_once(texts.slice(3), most))[0][0] == 0
+    assert list(byte_ids.at_once(texts.slice(0, 0))) == []
+
+
 def test_rows(spark, tmp_path):
     docs = helpers.documents(spark)
     rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
