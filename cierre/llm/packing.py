@@ -50,13 +50,17 @@ class Encoder:
     """Ids of a text by a word-level tokenizer that drops white space.
 
     Such a tokenizer treats what blanks and line ends separate apart, so each
-    distinct stretch is encoded once and looked up after that. Stretches of plain
-    letters are encoded many at a time, as words; a word's last id is one of a
-    token with a word end, which tells the words apart again.
+    distinct stretch is encoded once and looked up after that. Stretches of letters
+    with marks after them are told apart for a whole batch at once; their distinct
+    letters, in lower case, and marks are words. Words are encoded many at a time; a
+    word's last id is one of a token with a word end, which tells them apart again.
     """
 
     WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
     PLAIN = regex.compile(r"[!-~¡-¬®-įı-ɏ]+")
+    #: Letters of PLAIN, whose lower case is one character each, and marks: no white space, letter or number.
+    LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c != "İ")
+    MARKS = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -98,14 +102,10 @@ class Encoder:
                 self.words.update(zip(some, self._encode(some)))
 
     def _learn(self, stretches) -> None:
-        """A stretch is most often letters, or letters and a mark at the end."""
+        """Put into ``known`` stretches other than letters with marks after them."""
         plain, parts, other = [], [], []
         for s in stretches:
-            letters = s.rstrip(".,")
-            if letters.isalpha() and (letters.isascii() or self.PLAIN.fullmatch(letters)):
-                parts.append((letters.lower(),) if len(letters) == len(s) else (letters.lower(), s[len(letters) :]))
-                plain.append(s)
-            elif "<|" not in s and (s.isascii() and s.isprintable() or self.PLAIN.fullmatch(s)) and s:
+            if "<|" not in s and (s.isascii() and s.isprintable() or self.PLAIN.fullmatch(s)) and s:
                 parts.append(self.WORD.findall(s.lower()))
                 plain.append(s)
             else:
@@ -113,7 +113,21 @@ class Encoder:
         self.known.update(zip(other, self._encode(other)))
         self._learn_words(self.words.missing(list({w for p in parts for w in p})))
         words = self.words
-        self.known.update(zip(plain, [words[p[0]] if len(p) == 1 else b"".join([words[w] for w in p]) for p in parts]))
+        self.known.update(zip(plain, [b"".join([words[w] for w in p]) for p in parts]))
+
+    def distinct(self, held: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct stretches in a row, and how many each has."""
+        plain, heads, tails = byte_ids.letters_and_marks(held, self.LETTERS, self.MARKS)
+        heads, tails = pc.utf8_lower(heads).dictionary_encode(), tails.dictionary_encode()
+        letters, marks = byte_ids.listed(heads.dictionary), byte_ids.listed(tails.dictionary)
+        others = byte_ids.listed(held.filter(pa.array(~plain)))
+        self._learn(self.known.missing(others))
+        self._learn_words(self.words.missing([*letters, *filter(None, marks)]))
+        words = self.words
+        return byte_ids.put_together(
+            plain, (list(map(words.__getitem__, letters)), heads.indices.to_numpy().astype(np.int64)),
+            ([words[m] if m else b"" for m in marks], tails.indices.to_numpy().astype(np.int64)),
+            list(map(self.known.__getitem__, others)))
 
     def forget(self) -> None:
         """A worker lives on after its task, which should not hold its memory."""
@@ -125,9 +139,7 @@ class Encoder:
         parts = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         offsets = parts.offsets.to_numpy().astype(np.int64)
         held = parts.flatten().dictionary_encode()
-        stretches = held.dictionary.to_pylist()
-        self._learn(self.known.missing(stretches))
-        ids, sizes = byte_ids.gather(list(map(self.known.__getitem__, stretches)), held.indices.to_numpy().astype(np.int64))
+        ids, sizes = byte_ids.gather_flat(*self.distinct(held.dictionary), held.indices.to_numpy().astype(np.int64))
         return ids, byte_ids.by_text(sizes, offsets - offsets[0])
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
@@ -158,8 +170,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, id_co
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(definition.value)
         for batch in batches:
-            for a in range(0, batch.num_rows, 1024):
-                part, rows = batch.slice(a, 1024), []
+            for a, b in byte_ids.at_once(batch.column(1)):
+                part, rows = batch.slice(a, b - a), []
                 found, at = enc.batch(part.column(1))
                 at = at.tolist()
                 for d, i in enumerate(part.column(0).to_pylist()):

@@ -55,6 +55,16 @@ def test_word_encoder_equals_library():
         assert np.frombuffer(ids, "<u4").tolist() == public.encode(t, add_special_tokens=False).ids
 
 
+def test_letters_and_marks_are_looked_up_apart():
+    """One word in any case and with any marks is one entry, whatever stretches hold it."""
+    public, enc = Tokenizer.from_file(WORDS), packing.Encoder(open(WORDS, encoding="utf-8").read())
+    texts = ["Señor señor. SEÑOR, señor$$$ señor''", "it's señor's x.y ...", "", *(f"{c}a {c}, {c}. a{c}'" for c in map(chr, range(33, 0x250)))]
+    for t, ids in zip(texts, enc.ids(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == public.encode(t, add_special_tokens=False).ids
+    assert not [s for s in enc.known if "eñor" in s.lower() and s != "señor's"]
+    assert [w for w in enc.words if "eñor" in w.lower()] == ["señor"]
+
+
 def check_plan(counts, capacity):
     bins, done = {}, dict.fromkeys(counts, 0)
     for length, first, last, sequence, copies, place in packing.plan(counts, capacity):
